@@ -17,10 +17,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .scratch import table
 from .textarrays import slices
 
 ORDERS = (3, 4, 5, 6)
-BITS = 20
+BITS = 18
 BUCKETS = 1 << BITS
 FEATURES = 4096
 #: Bytes of text hashed at a time, so that the arrays stay in the cache.
@@ -93,30 +94,32 @@ def _features(select: np.ndarray):
     return run
 
 
-def _logistic(rows: list[tuple[int, np.ndarray]], scale: np.ndarray, l2: float = 1.0, steps: int = 300) -> tuple[np.ndarray, float]:
-    """Weights of the features and the intercept: Nesterov's gradient method on the r-scaled binary rows."""
-    y = np.array([r[0] for r in rows], np.float32)
-    x = np.zeros((len(rows), len(scale)), np.float32)
-    for i, (_, f) in enumerate(rows):
-        x[i, f] = scale[f]
-    norm = max(1e-6, float(np.sqrt((x * x).sum(axis=1)).mean()))
-    x /= norm
+def _logistic(rows: list[tuple[int, np.ndarray]], scale: np.ndarray, l2: float = 0.01, steps: int = 300) -> tuple[np.ndarray, float]:
+    """Weights of the features and the intercept: Nesterov's gradient method on the r-scaled binary rows (kept sparse)."""
+    y = np.array([r[0] for r in rows], np.float64)
+    feature = np.concatenate([r[1] for r in rows]).astype(np.int64)
+    row = np.repeat(np.arange(len(rows)), [len(r[1]) for r in rows])
+    value = scale[feature].astype(np.float64)
+    norm = max(1e-6, float(np.sqrt(np.bincount(row, value * value, minlength=len(rows))).mean()))
+    value /= norm
+    times = lambda z: np.bincount(row, value * z[feature], minlength=len(rows))
+    back = lambda e: np.bincount(feature, value * e[row], minlength=len(scale))
     p0 = (y.sum() + 0.5) / (len(y) + 1)
-    w, b = np.zeros(len(scale), np.float32), float(np.log(p0 / (1 - p0)))
-    v = np.ones(len(scale), np.float32) / np.sqrt(len(scale))
+    w, b = np.zeros(len(scale)), float(np.log(p0 / (1 - p0)))
+    v, top = np.ones(len(scale)) / np.sqrt(len(scale)), 0.0
     for _ in range(12):  # the curvature's largest eigenvalue sets the step
-        v = x.T @ (x @ v)
+        v = back(times(v))
         top = float(np.linalg.norm(v))
         v /= max(top, 1e-12)
     rate = 1.0 / (0.25 * (top + len(y)) + l2)
     zw, zb = w.copy(), b
     for k in range(steps):
-        e = 1 / (1 + np.exp(-(x @ zw + zb))) - y
-        nw, nb = zw - rate * (x.T @ e + l2 * 0.01 * zw), zb - rate * float(e.sum())
+        e = 1 / (1 + np.exp(-(times(zw) + zb))) - y
+        nw, nb = zw - rate * (back(e) + l2 * zw), zb - rate * float(e.sum())
         m = k / (k + 3)
         zw, zb = nw + m * (nw - w), nb + m * (nb - b)
         w, b = nw, nb
-    return w * scale / norm, b
+    return (w * scale / norm).astype(np.float32), b
 
 
 class Model:
@@ -139,31 +142,29 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def fit(rows: DataFrame, max_fit: int = MAX_FIT) -> Model:
     """rows: doc_id, text, label (0 or 1)."""
-    counts = rows.select("label", "text").mapInArrow(_count, "bucket long, neg long, pos long").groupBy("bucket").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos")).toPandas()
-    last = counts[counts.bucket == BUCKETS]
-    n0, n1 = (int(last.neg.sum()), int(last.pos.sum())) if len(last) else (0, 0)
+    counts = table(rows.select("label", "text").mapInArrow(_count, "bucket long, neg long, pos long").groupBy("bucket").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos")), "counts")
+    last = counts.where(F.col("bucket") == BUCKETS).agg(F.sum("neg"), F.sum("pos")).first()
+    n0, n1 = last[0] or 0, last[1] or 0
     prior = float(np.log((n1 + 0.5) / (n0 + 0.5))) if n0 + n1 else 0.0
     weights = np.zeros(BUCKETS, np.float32)
     if not n0 or not n1:
         return Model(weights, prior)
-    counts = counts[counts.bucket < BUCKETS]
-    at, neg, pos = (counts[c].to_numpy() for c in ("bucket", "neg", "pos"))
-    r = np.log((pos + 0.5) / (n1 + 1)) - np.log((neg + 0.5) / (n0 + 1))
-    p = (pos + neg) / (n0 + n1)
-    z = (pos / n1 - neg / n0) / np.sqrt(np.maximum(p * (1 - p), 1e-9) * (1 / n0 + 1 / n1))
-    best = np.argsort(-np.abs(z), kind="stable")[:FEATURES]
-    scale = r[best].astype(np.float32)
+    p = (F.col("pos") + F.col("neg")) / (n0 + n1)
+    z = (F.col("pos") / n1 - F.col("neg") / n0) / F.sqrt(F.greatest(p * (1 - p), F.lit(1e-9)))
+    best = counts.where(F.col("bucket") < BUCKETS).orderBy(F.abs(z).desc(), "bucket").limit(FEATURES).collect()
+    at, neg, pos = (np.array([r[c] for r in best]) for c in ("bucket", "neg", "pos"))
+    scale = (np.log((pos + 0.5) / (n1 + 1)) - np.log((neg + 0.5) / (n0 + 1))).astype(np.float32)
     select = np.full(BUCKETS, -1, np.int32)
-    select[at[best]] = np.arange(len(best))
+    select[at] = np.arange(len(at))
     share = min(1.0, max_fit / (n0 + n1))
     chosen = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)) if share < 1 else rows
     got = chosen.select("label", "text").mapInArrow(_features(select), "label int, features binary").limit(2 * max_fit).toArrow()
     data = list(zip(got.column("label").to_pylist(), (np.frombuffer(f, np.int32) for f in got.column("features").to_pylist()), strict=True))
     if len({y for y, _ in data}) < 2:
-        weights[at[best]] = scale * 0.1
+        weights[at] = scale * 0.1
         return Model(weights, prior)
     w, bias = _logistic(data, scale)
-    weights[at[best]] = w
+    weights[at] = w
     return Model(weights, bias)
 
 
