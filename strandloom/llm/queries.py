@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from . import toxicity
+from . import minhash, toxicity
 
 
 def queries() -> dict:
-    return {"op1_toxicity": toxicity.op1_toxicity}
+    return {"op1_toxicity": toxicity.op1_toxicity, "op4_minhash": minhash.op4_minhash}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_minhash": minhash.ORACLE}
