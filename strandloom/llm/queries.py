@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from . import minhash, toxicity
+from . import minhash, substring, toxicity
 
 
 def queries() -> dict:
-    return {"op1_toxicity": toxicity.op1_toxicity, "op4_minhash": minhash.op4_minhash}
+    return {"op1_toxicity": toxicity.op1_toxicity, "op3_substring": substring.op3_substring, "op4_minhash": minhash.op4_minhash}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_minhash": minhash.ORACLE}
+    return {"op3_substring": substring.ORACLE, "op4_minhash": minhash.ORACLE}
