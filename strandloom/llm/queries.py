@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from . import minhash, substring, toxicity
+from . import chat, minhash, sharding, substring, toxicity
 
 
 def queries() -> dict:
-    return {"op1_toxicity": toxicity.op1_toxicity, "op3_substring": substring.op3_substring, "op4_minhash": minhash.op4_minhash}
+    return {
+        "op1_toxicity": toxicity.op1_toxicity,
+        "op3_substring": substring.op3_substring,
+        "op4_minhash": minhash.op4_minhash,
+        "op5_sharding": sharding.op5_sharding,
+        "op10_chat": chat.op10_chat,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
