@@ -82,7 +82,7 @@ def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY, hist
 
 def read_back(formatted: DataFrame) -> DataFrame:
     """(conv_id, span, turns, loss): the turns a window adds, and the unescaped text under its mask."""
-    turns = F.slice(F.filter(F.split("text", F.lit(r"<\|end\|>")), lambda x: x != ""), F.col("repeated") + 1, F.lit(2**31 - 1))
+    turns = F.slice(F.filter(F.split("text", F.lit(r"<\|end\|>")), lambda x: x != ""), F.col("repeated") + 1, F.lit(1 << 30))
     part = lambda x, k: unescape(F.regexp_extract(x, r"(?s)^<\|turn\|>(.*?)<\|text\|>(.*)$", k))
     turns = F.transform(turns, lambda x: F.struct(part(x, 1).alias("role"), part(x, 2).alias("text")))
     loss = F.array_join(F.transform("targets", lambda s: unescape(F.substring(F.col("text"), (s["start"] + 1).cast("int"), s["length"].cast("int")))), "")
