@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, minhash, sharding, substring, toxicity
+from . import chat, minhash, packing, sharding, substring, toxicity, warc
 
 
 def queries() -> dict:
@@ -11,9 +11,11 @@ def queries() -> dict:
         "op3_substring": substring.op3_substring,
         "op4_minhash": minhash.op4_minhash,
         "op5_sharding": sharding.op5_sharding,
+        "op6_packing": packing.op6_packing,
+        "op7_warc": warc.op7_warc,
         "op10_chat": chat.op10_chat,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_substring": substring.ORACLE, "op4_minhash": minhash.ORACLE}
+    return {"op3_substring": substring.ORACLE, "op4_minhash": minhash.ORACLE, "op7_warc": warc.ORACLE}
