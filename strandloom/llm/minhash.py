@@ -6,8 +6,8 @@
 * Documents with equal sets share a digest and become one representative before anything is paired.
 * In each band bucket, members are paired with one hub only (the member that shares most buckets), which makes m - 1
   pairs of m members. What passes the sketch is confirmed on the full sets of both texts.
-* The rest is exact: buckets whose members are still in several components are searched in blocks with finer odd
-  sketches for likely links between components, which are confirmed in the same way.
+* The rest is exact: members of buckets that still hold several components are compared across components, in blocks,
+  by finer odd sketches and then on their full sets.
 
 A pair at the threshold shares no band with probability under 1e-5. Null and empty texts have an empty set and link
 with nothing; a text under five words is one shingle. Repeated rows are copies of each other. A null doc_id never
@@ -30,7 +30,8 @@ from .textarrays import Words, mix, slices
 
 SAMPLES, ROWS, BANDS, BITS = 128, 4, 25, 512
 FINE_SAMPLES, FINE_BITS = 512, 2048
-BLOCK = 2000
+#: Shingles of a block of the exact search.
+BLOCK = 250_000
 SLICE = 1 << 18
 
 
@@ -99,8 +100,9 @@ def _fine(batches):
             text, h = _sets(part.column("text"))
             if len(h):  # only texts with shingles come here
                 full = np.unique(text)
-                odd = _odd(_samples(h, np.searchsorted(text, full), FINE_SAMPLES), FINE_BITS)
-                yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(full)), pa.array(np.bincount(text)[full], pa.int64()), pa.array([r.tobytes() for r in odd], pa.binary())], ["id", "n", "fine"])
+                cut = np.append(np.searchsorted(text, full), len(h))
+                odd = _odd(_samples(h, cut[:-1], FINE_SAMPLES), FINE_BITS)
+                yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(full)), pa.array(np.bincount(text)[full], pa.int64()), pa.array([r.tobytes() for r in odd], pa.binary()), pa.array([h[i:j].tobytes() for i, j in zip(cut[:-1], cut[1:], strict=True)], pa.binary())], ["id", "n", "fine", "set"])
 
 
 def _confirm(percent: int):
@@ -132,49 +134,66 @@ def _differ(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) of doc_ids whose full shingle sets reach the threshold."""
-    text = docs.select("doc_id", "text").where("doc_id is not null and text is not null")
-    rows = pairs.join(text.select(F.col("doc_id").alias("u"), F.col("text").alias("text_u")), "u").join(text.select(F.col("doc_id").alias("v"), F.col("text").alias("text_v")), "v")
+def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) of ids whose full shingle sets reach the threshold; texts: id, text."""
+    side = lambda c: texts.select(F.col("id").alias(c), F.col("text").alias(f"text_{c}"))
+    rows = pairs.join(side("u"), "u").join(side("v"), "v")
     return rows.select("u", "v", "text_u", "text_v").mapInArrow(_confirm(percent), "u long, v long").distinct()
 
 
-def _likely(most: int, percent: int):
-    """Pairs of a block (base, asked) in different components whose fine sketches are close."""
+def _links(most: int, percent: int):
+    """Of a block: links between the asked rows and the base rows of other components, one for each two components."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         asked, base = rows[rows.asked], rows[~rows.asked]
-        out = []
+        out, joined = [], set()
         if len(asked) and len(base):
             x, y = (np.frombuffer(b"".join(s.fine), np.uint64).reshape(len(s), -1) for s in (asked, base))
             xi, yi, xc, yc, xn, yn = asked.id.to_numpy(), base.id.to_numpy(), asked.comp.to_numpy(), base.comp.to_numpy(), asked.n.to_numpy(), base.n.to_numpy()
+            xs, ys = ([np.frombuffer(b, np.uint64) for b in s.set] for s in (asked, base))
             for i in range(len(x)):
                 rest = np.flatnonzero((yc != xc[i]) & (100 * np.minimum(yn, xn[i]) >= percent * np.maximum(yn, xn[i])))
-                near = rest[np.bitwise_count(x[i] ^ y[rest]).sum(axis=1, dtype=np.int64) <= most]
-                if len(near):
-                    out.append(np.stack([np.minimum(xi[i], yi[near]), np.maximum(xi[i], yi[near])], axis=1))
-        got = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"u": got[:, 0], "v": got[:, 1]})
+                differ = np.bitwise_count(x[i] ^ y[rest]).sum(axis=1, dtype=np.int64)
+                near = np.flatnonzero(differ <= most)
+                for j in rest[near[np.argsort(differ[near], kind="stable")]]:
+                    two = (min(xc[i], yc[j]), max(xc[i], yc[j]))
+                    if two in joined:
+                        continue
+                    at = np.searchsorted(ys[j], xs[i])
+                    both = int((ys[j][np.minimum(at, len(ys[j]) - 1)] == xs[i]).sum())
+                    if 100 * both >= percent * (int(xn[i]) + int(yn[j]) - both):
+                        joined.add(two)
+                        out.append((min(xi[i], yi[j]), max(xi[i], yi[j])))
+        return pd.DataFrame(out, columns=["u", "v"]).astype("int64")
 
     return run
 
 
-def _rest(shared: DataFrame, comp: DataFrame, docs: DataFrame, tested: DataFrame, percent: int) -> DataFrame | None:
-    """Untested likely links between components that share a bucket (None: no bucket has two components)."""
+def _rest(shared: DataFrame, comp: DataFrame, texts: DataFrame, percent: int) -> DataFrame | None:
+    """Links between components that share a bucket (None: no bucket has two components).
+
+    Members of such buckets form groups (all that buckets connect); the members outside a group's largest component are
+    compared with all of the group, in blocks of both sides, first by fine odd sketches, then on full sets.
+    """
     member = shared.join(comp, shared.id == comp.cid, "left").select("key", "id", F.coalesce("component_id", "id").alias("comp"))
-    mixed = member.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("key")
-    member = table(member.join(mixed, "key"), "mixed")
+    mixed = member.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.min("id").alias("hub")).where("a <> b").select("key", "hub")
+    member = table(member.join(mixed, "key").select("id", "hub", "comp").distinct(), "mixed")
     if member.isEmpty():
         return None
-    text = docs.select(F.col("doc_id").alias("id"), "text").where("text is not null").join(member.select("id").distinct(), "id")
-    member = member.join(text.mapInArrow(_fine, "id long, n long, fine binary").dropDuplicates(["id"]), "id")
-    sizes = member.groupBy("key", "comp").agg(F.count("*").alias("m"))
-    largest = sizes.groupBy("key").agg(F.max(F.struct("m", "comp"))["comp"].alias("most"), F.ceil(F.sum("m") / BLOCK).cast("int").alias("blocks"))
-    member = member.join(largest, "key")
-    base = member.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("asked", F.lit(False))
-    asked = member.where("comp <> most").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("asked", F.lit(True))
-    pairs = base.unionByName(asked).groupBy("key", "block").applyInPandas(_likely(_furthest(percent, FINE_SAMPLES, FINE_BITS, 4.2), percent), "u long, v long")
-    return pairs.distinct().join(tested, ["u", "v"], "left_anti")
+    groups = components(member.select(F.col("id").alias("u"), F.col("hub").alias("v"))).withColumnRenamed("component_id", "group")
+    rows = member.select("id", "comp").distinct().join(groups, "id").join(texts.mapInArrow(_fine, "id long, n long, fine binary, set binary").dropDuplicates(["id"]), "id")
+    rows = table(rows, "rest")
+    sizes = rows.groupBy("group", "comp").agg(F.count("*").alias("m"), F.sum("n").alias("n"))
+    largest = sizes.groupBy("group").agg(F.max(F.struct("m", "comp"))["comp"].alias("most"), F.ceil(F.sum("n") / BLOCK).cast("int").alias("across"), F.count("*").alias("k")).where("k > 1")
+    down = sizes.join(largest, "group").where("comp <> most").groupBy("group").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("down"))
+    rows = rows.join(largest.join(down, "group"), "group")
+    part = lambda c: F.pmod(F.xxhash64("id"), F.col(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    base = rows.withColumn("i", part("across")).withColumn("j", every("down")).withColumn("asked", F.lit(False))
+    asked = rows.where("comp <> most").withColumn("j", part("down")).withColumn("i", every("across")).withColumn("asked", F.lit(True))
+    columns = ["group", "i", "j", "asked", "id", "comp", "n", "fine", "set"]
+    both = base.select(*columns).unionByName(asked.select(*columns))
+    return both.groupBy("group", "i", "j").applyInPandas(_links(_furthest(percent, FINE_SAMPLES, FINE_BITS, 4.2), percent), "u long, v long").distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -191,11 +210,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     near = _differ(F.col("su"), F.col("sv")) <= _furthest(percent, SAMPLES, BITS, 4.75)
     side = lambda c: reps.select(F.col("id").alias(c), F.col("n").alias("n" + c), F.col("sketch").alias("s" + c))
     tested = table(pairs.join(side("u"), "u").join(side("v"), "v").where(size[0] & size[1] & near).select("u", "v"), "pairs")
-    links = table(confirm(tested, docs, percent), "links")
+    # the texts of all that shares a bucket, fetched once
+    texts = table(docs.select(F.col("doc_id").alias("id"), "text").where("text is not null").join(shared.select("id").distinct(), "id"), "texts")
+    links = table(confirm(tested, texts, percent), "links")
     comp = components(links)
-    more = _rest(shared.select("key", "id"), comp.withColumnRenamed("id", "cid"), docs, tested, percent)
-    if more is not None:
-        found = table(confirm(more, docs, percent), "links")
+    found = _rest(shared.select("key", "id"), comp.withColumnRenamed("id", "cid"), texts, percent)
+    if found is not None:
+        found = table(found, "links")
         if not found.isEmpty():
             comp = components(links.union(found))
     # repeated ids with unlike texts: each row follows its own text's representative
