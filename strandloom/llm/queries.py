@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from . import chat, minhash, packing, sharding, substring, toxicity, warc
+from . import chat, decontaminate, minhash, packing, sharding, substring, toxicity, urls, warc
 
 
 def queries() -> dict:
     return {
         "op1_toxicity": toxicity.op1_toxicity,
+        "op2_urls": urls.op2_urls,
         "op3_substring": substring.op3_substring,
         "op4_minhash": minhash.op4_minhash,
         "op5_sharding": sharding.op5_sharding,
         "op6_packing": packing.op6_packing,
         "op7_warc": warc.op7_warc,
+        "op8_decontamination": decontaminate.op8_decontamination,
         "op10_chat": chat.op10_chat,
     }
 
