@@ -1,8 +1,9 @@
 """Toxicity: a linear classifier over character n-grams scaled by naive Bayes log-count ratios.
 
-1. Document counts of every hashed n-gram by class over *all* labelled rows, summed per task and then by bucket.
+1. At most ``MAX_LABELLED`` labelled rows are the sample to fit on. Document counts of every hashed n-gram by class over
+   all of them, summed per task and then by bucket.
 2. The log-count ratio r of each bucket; the buckets with most evidence become features.
-3. Logistic weights over r-scaled binary features, fitted on at most ``MAX_FIT`` labelled rows (chosen by hash).
+3. Logistic weights over r-scaled binary features, fitted on at most ``MAX_FIT`` rows of the sample (chosen by hash).
 4. Every whole text is scored in one scan without a shuffle. The model's size is fixed by ``BUCKETS`` and ``FEATURES``.
 
 Null and empty texts have no n-gram and get the intercept's score. A document with several labels is toxic if one
@@ -26,8 +27,8 @@ BUCKETS = 1 << BITS
 FEATURES = 4096
 #: Bytes of text hashed at a time, so that the arrays stay in the cache.
 SLICE = 1 << 17
-#: Most labelled rows that the logistic weights are fitted on; the counts cover all rows.
-MAX_FIT = 4000
+#: Most labelled rows that the classifier is fitted on, and most of them for the logistic weights.
+MAX_LABELLED, MAX_FIT = 20_000, 4000
 
 
 def _grams(texts: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -134,10 +135,14 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, text, label) of the labelled documents."""
+def labelled(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> DataFrame:
+    """(doc_id, text, label) of at most ``most`` labelled documents, chosen by a hash of the id.
+
+    The bound makes the label table fit for a broadcast, so no text is shuffled.
+    """
     one = labels.where(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("label"))
-    return docs.select("doc_id", "text").join(one, "doc_id").where(F.col("text").isNotNull())
+    chosen = table(one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most), "labels")
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where(F.col("text").isNotNull())
 
 
 def fit(rows: DataFrame, max_fit: int = MAX_FIT) -> Model:
