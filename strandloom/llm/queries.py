@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, minhash, packing, sharding, substring, toxicity, urls, warc
+import corpus_pipeline
+
+from . import chat, decontaminate, embeddings, minhash, packing, sharding, substring, toxicity, urls, warc
 
 
 def queries() -> dict:
@@ -15,9 +17,11 @@ def queries() -> dict:
         "op6_packing": packing.op6_packing,
         "op7_warc": warc.op7_warc,
         "op8_decontamination": decontaminate.op8_decontamination,
+        "op9_embeddings": embeddings.op9_embeddings,
         "op10_chat": chat.op10_chat,
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_substring": substring.ORACLE, "op4_minhash": minhash.ORACLE, "op7_warc": warc.ORACLE}
+    return {"op3_substring": substring.ORACLE, "op4_minhash": minhash.ORACLE, "op7_warc": warc.ORACLE, "op9_embeddings": embeddings.ORACLE}
