@@ -2,15 +2,16 @@
 
 The index holds hashes of half-width word windows, thinned by winnowing: of all half windows inside a full window the
 least hash is always taken, so two equal full windows share an indexed hash for certain. It is a list of immutable
-runs, each sorted by hash, written once and never changed. A new batch
+runs (hash, seen more than once), each sorted by hash, written once and never changed. A new batch
 
-1. is hashed into its own sorted run,
-2. is merge-joined with the runs so far: a hash that the batch repeats, or that a run holds, is a *hit* for the
-   documents it came from (also for the historical one, whose id the run keeps until its first hit),
-3. joins the runs; ``FANOUT`` runs of one level are merged into one of the next level (compaction).
+1. is hashed and counted by hash,
+2. is merge-joined with the runs so far: a hash is *repeated* if the batch or a run holds it too,
+3. joins the runs as a run of its own; ``FANOUT`` runs of one level are merged into one of the next (compaction).
 
-Hits only say where to look. They are verified on the full windows: every full window over a hit is hashed with two
-independent 64-bit functions over all its words, and only windows whose pair of hashes starts twice are covered.
+Repeated hashes only say where to look: a Bloom bitmap of fixed size carries them to a scan of the texts. Every full
+window whose least half window may be repeated is then verified: windows are dealt by that half window's hash, and those
+that agree in it and in a 64-bit hash of all their words start more than once. A fuller bitmap sends more windows to
+verification; it never loses one.
 
 Null texts have no words. A text shorter than the window loses nothing. Rows are told apart by doc_id and text (a 64-bit
 hash of both), so repeated ids, null ids and repeated rows (which are copies of each other) all get a result. Extra
@@ -27,11 +28,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .scratch import new_path, table
-from .textarrays import Words, mix, powers, slices
+from .textarrays import Words, slices
 
 WIDTH = 35
 FANOUT = 4
 SLICE = 1 << 19
+#: Bits of the bitmap of repeated hashes.
+BLOOM_BITS = 26
 
 
 def _slide(x: np.ndarray, n: int, fold) -> np.ndarray:
@@ -46,13 +49,12 @@ def _slide(x: np.ndarray, n: int, fold) -> np.ndarray:
 
 
 def _winnowed(words: Words, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word positions chosen, their hashes, and where full windows start)."""
+    """(word positions chosen, their hashes, and for every word the least hash of the full window it starts, else 0)."""
     half = (width + 1) // 2
     span = width - half + 1
     n = len(words.hash)
-    full = np.zeros(n, bool)
     if n < width:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), full
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(n, np.uint64)
     last = np.repeat(words.first[1:], words.counts())
     full = np.arange(n) + width <= last
     h = np.full(n, np.iinfo(np.uint64).max, np.uint64)
@@ -61,30 +63,21 @@ def _winnowed(words: Words, width: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     least = np.where(full, _slide(h, span, np.minimum), np.uint64(0))
     cover = _slide(least[::-1], span, np.maximum)[::-1]  # the largest minimum of the windows over each position
     chosen = np.flatnonzero((h == cover) & (cover > 0))
-    return chosen, h[chosen], full
+    return chosen, h[chosen], least
 
 
 def _fingerprints(width: int):
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text", SLICE):
-                words = Words(part.column("text"))
-                at, h, _ = _winnowed(words, width)
-                owner = words.owner()[at]
-                order = np.argsort(h)
-                order = order[np.argsort(owner[order].astype(np.uint32), kind="stable")]
-                h, owner = h[order], owner[order]
-                new = np.ones(len(h), bool)
-                new[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
-                start = np.flatnonzero(new)
-                n = np.diff(np.append(start, len(h)))
-                yield pa.RecordBatch.from_arrays([pa.array(h[start].view(np.int64)), part.column("rid").take(pa.array(owner[start])), pa.array(n, pa.int64())], ["fp", "rid", "n"])
+                h, n = np.unique(_winnowed(Words(part.column("text")), width)[1], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.minimum(n, 2).astype(np.int64))], ["fp", "n"])
 
     return run
 
 
 class FingerprintIndex:
-    """Sorted immutable runs (fp, rid, many) under ``path``; ``many``: the hash has been seen twice, all its rows are known."""
+    """Sorted immutable runs (fp, many) under ``path``; ``many``: the hash has been seen more than once."""
 
     def __init__(self, spark: SparkSession, path: str, width: int = WIDTH):
         self.spark, self.path, self.width = spark, path, width
@@ -99,26 +92,21 @@ class FingerprintIndex:
             index.runs = [*(index.runs if r.place else []), (r.level, r.run)]
         return index
 
-    def _write(self, rows: DataFrame, level: int) -> str:
-        self.made += 1
-        path = f"{self.path}/run-{self.made:06d}-level-{level}"
-        rows.select("fp", "rid", "many").sortWithinPartitions("fp").write.parquet(path)
-        return path
-
     def save(self) -> None:
         """Write the list of runs as a new version, so that ``open`` finds them."""
         self.made += 1
         rows = [(self.made, i, level, run) for i, (level, run) in enumerate(self.runs)]
         self.spark.createDataFrame(rows, "version int, place int, level int, run string").coalesce(1).write.mode("append").parquet(f"{self.path}/manifest")
 
-    def history(self) -> DataFrame | None:
-        """One row per hash of all runs, merged."""
-        if not self.runs:
-            return None
-        rows = self.spark.read.schema("fp long, rid long, many boolean").parquet(*[run for _, run in self.runs])
-        if len(self.runs) == 1:
-            return rows
-        return rows.groupBy("fp").agg(F.min("rid").alias("rid"), (F.max("many") | (F.count("*") > 1)).alias("many"))
+    def _write(self, rows: DataFrame, level: int) -> str:
+        self.made += 1
+        path = f"{self.path}/run-{self.made:06d}-level-{level}"
+        rows.select("fp", "many").sortWithinPartitions("fp").write.parquet(path)
+        return path
+
+    def _read(self, runs: list[str]) -> DataFrame:
+        rows = self.spark.read.schema("fp long, many boolean").parquet(*runs)
+        return rows if len(runs) == 1 else rows.groupBy("fp").agg((F.max("many") | (F.count("*") > 1)).alias("many"))
 
     def compact(self) -> None:
         """Merge FANOUT runs of one level into one run of the next, as long as there are so many."""
@@ -127,131 +115,144 @@ class FingerprintIndex:
             full = next((x for x in sorted(set(levels)) if levels.count(x) >= FANOUT), None)
             if full is None:
                 return
-            old = [run for level, run in self.runs if level == full]
-            rows = self.spark.read.schema("fp long, rid long, many boolean").parquet(*old)
-            merged = rows.groupBy("fp").agg(F.min("rid").alias("rid"), (F.max("many") | (F.count("*") > 1)).alias("many"))
+            merged = self._read([run for level, run in self.runs if level == full])
             self.runs = [x for x in self.runs if x[0] != full] + [(full + 1, self._write(merged, full + 1))]
 
-    def add(self, batch: DataFrame) -> DataFrame:
-        """Join a batch (rid, text) with the history and add it; returns the hits (rid, fp), of old rows too."""
-        own = table(batch.select("rid", "text").mapInArrow(_fingerprints(self.width), "fp long, rid long, n long"), "fingerprints")
-        counts = own.groupBy("fp").agg(F.sum("n").alias("n"), F.min("rid").alias("one"))
-        history = self.history()
-        if history is None:
-            merged = counts.select("fp", "one", F.lit(None).cast("long").alias("old"), F.lit(None).cast("boolean").alias("known"), (F.col("n") > 1).alias("many"))
+    def add(self, batch: DataFrame) -> None:
+        """Hash a batch (text), join it with the runs, and add it as a run."""
+        own = batch.select("text").mapInArrow(_fingerprints(self.width), "fp long, n long").groupBy("fp").agg(F.sum("n").alias("n"))
+        if self.runs:
+            own = own.join(self._read([run for _, run in self.runs]).select("fp", F.lit(True).alias("old")), "fp", "left")
         else:
-            old = history.select("fp", F.col("rid").alias("old"), F.col("many").alias("known"))
-            merged = counts.join(old, "fp", "left").select("fp", "one", "old", "known", ((F.col("n") > 1) | F.col("known").isNotNull()).alias("many"))
-        run = self._write(merged.select("fp", F.coalesce("old", "one").alias("rid"), "many", "known"), 0) if history is None else None
-        if run is None:
-            merged = table(merged, "merged")
-            run = self._write(merged.select("fp", F.col("one").alias("rid"), "many"), 0)
-            hits = own.join(merged.where("many").select("fp"), "fp").select("rid", "fp").union(merged.where("not known").select("old", "fp"))
-        else:
-            seen = self.spark.read.schema("fp long, rid long, many boolean").parquet(run)
-            hits = own.join(seen.where("many").select("fp"), "fp").select("rid", "fp")
-        self.runs.append((0, run))
+            own = own.withColumn("old", F.lit(None).cast("boolean"))
+        self.runs.append((0, self._write(own.select("fp", ((F.col("n") > 1) | F.col("old").isNotNull()).alias("many")), 0)))
         self.compact()
-        return hits
 
+    def repeated(self) -> DataFrame:
+        """(fp): the hashes seen more than once, in a batch or across batches (some may come twice)."""
+        return self.spark.read.schema("fp long, many boolean").parquet(*[run for _, run in self.runs]).where("many").select("fp")
+
+
+def _probes(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    mask = np.uint64((1 << bits) - 1)
+    return (h & mask).astype(np.int64), ((h >> np.uint64(64 - bits)) & mask).astype(np.int64)
 
-def _verify(width: int, buckets: int):
-    """Full windows over hits, dealt to buckets by hash: per bucket the two hashes, the rows (run lengths) and positions.
 
+def _bitmap(fps: DataFrame, bits: int) -> np.ndarray:
+    """Bloom bitmap of (fp); its size does not depend on their number."""
+
+    def run(batches):
+        for batch in batches:
+            at = np.unique(np.concatenate(_probes(np.asarray(batch.column("fp"), np.int64).view(np.uint64), bits)))
+            word, first = np.unique(at >> 6, return_index=True)
+            value = np.bitwise_or.reduceat(np.uint64(1) << (at & 63).astype(np.uint64), first) if len(at) else np.zeros(0, np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(value.view(np.int64))], ["word", "bits"])
+
+    rows = fps.mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros((1 << bits) >> 6, np.int64)
+    out[np.asarray(rows.column("word"), np.int64)] = np.asarray(rows.column("bits"), np.int64)
+    return out
+
+
+def _runs(row: np.ndarray, at: np.ndarray, key: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and length of stretches of consecutive places of one row (and of one key)."""
+    new = np.ones(len(at), bool)
+    new[1:] = (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1)
+    if key is not None:
+        new[1:] |= key[1:] != key[:-1]
+    begin = np.flatnonzero(new)
+    return begin, np.diff(np.append(begin, len(at)))
+
+
+def _verify(width: int, buckets: int, shared):
+    """Full windows that may repeat, dealt to buckets by their least half window.
+
+    Per bucket: runs of consecutive windows of one least hash (row, start, length, hash) and the windows' own hashes.
     Windows that start twice within the slice are sure already; only the first of them goes on.
     """
 
     def run(batches):
+        bits = shared.value
         for batch in batches:
             for part in slices(batch, "text", SLICE):
                 words = Words(part.column("text"))
-                chosen, h, full = _winnowed(words, width)
-                owner = words.owner()
-                hits = part.column("hits")
-                size = np.diff(hits.offsets.to_numpy()) if len(hits) else np.zeros(0, int)
-                size = np.where(hits.is_null().to_numpy(zero_copy_only=False), 0, size)
-                flat = hits.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-                if not len(flat) or not len(chosen):
-                    continue
-                salt = lambda t: mix(t.astype(np.uint64) + np.uint64(99))
-                wanted = flat ^ salt(np.repeat(np.arange(part.num_rows), size))
-                hot = np.zeros(len(full) + 1, np.int64)
-                hot[chosen[np.isin(h ^ salt(owner[chosen]), wanted)] + 1] = 1
-                seen = np.cumsum(hot)
-                span = width - (width + 1) // 2 + 1
-                at = np.flatnonzero(full)
-                at = at[seen[at + span] > seen[at]]
+                least = _winnowed(words, width)[2]
+                at = np.flatnonzero(least)
+                x, y = _probes(least[at], BLOOM_BITS)
+                at = at[((bits[x >> 6] >> (x & 63)) & (bits[y >> 6] >> (y & 63)) & 1).astype(bool)]
                 if not len(at):
                     continue
-                sums = []
-                for base, salted in ((0xA0761D6478BD642F, words.hash), (0xE7037ED1A0B428DB, mix(words.hash ^ np.uint64(0x589965CC75374CC3)))):
-                    up, down = powers(base, len(salted) + 1)
-                    prefix = np.zeros(len(salted) + 1, np.uint64)
-                    np.cumsum(salted * up[: len(salted)], out=prefix[1:])
-                    sums.append(mix((prefix[at + width] - prefix[at]) * down[at]))
-                a, b = sums
-                order = np.lexsort((at, b, a))
+                starts, hashes = words.windows(width)
+                a, v = hashes[np.searchsorted(starts, at)], least[at]
+                row = words.owner()[at]
+                place = (at - words.first[row]).astype(np.int32)
+                order = np.lexsort((at, a, v))
                 new = np.ones(len(order), bool)
-                x, y = a[order], b[order]
-                new[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+                p, q = a[order], v[order]
+                new[1:] = (p[1:] != p[:-1]) | (q[1:] != q[:-1])
                 group = np.cumsum(new) - 1
-                repeated = np.zeros(len(at), bool)
-                repeated[order] = np.bincount(group)[group] > 1
-                firsts = np.zeros(len(at), bool)
-                firsts[order[new]] = True
-                row = owner[at]
-                place = (at - words.first[row]).astype(np.int32)
-                bucket = ((a >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
-                for send, sure in ((firsts, False), (repeated, True)):
-                    pick = np.flatnonzero(send)
-                    if not len(pick):
-                        continue
-                    where = bucket[pick] if not sure else np.full(len(pick), int(a[0] % np.uint64(buckets)), np.int32)
-                    pick = pick[np.argsort(where, kind="stable")]
-                    cut = np.searchsorted(np.sort(where), np.arange(buckets + 1))
-                    out = []
-                    for k in np.flatnonzero(np.diff(cut)):
-                        p = pick[cut[k] : cut[k + 1]]
-                        r = row[p]
-                        edge = np.flatnonzero(np.append(True, r[1:] != r[:-1]))
-                        ids = part.column("rid").take(pa.array(r[edge])).to_numpy()
-                        out.append((int(k), sure, b"" if sure else a[p].tobytes(), b"" if sure else b[p].tobytes(), ids.tobytes(), np.diff(np.append(edge, len(p))).astype(np.int32).tobytes(), place[p].tobytes()))
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.bool_(), *[pa.binary()] * 5), strict=True)], ["bucket", "sure", "a", "b", "rids", "runs", "places"])
+                twice = np.zeros(len(at), bool)
+                twice[order] = np.bincount(group)[group] > 1
+                first = np.zeros(len(at), bool)
+                first[order[new]] = True
+                rid = part.column("rid").to_numpy()
+                bucket = ((v >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+                out = []
+                pick = np.flatnonzero(first)
+                pick = pick[np.argsort(bucket[pick], kind="stable")]
+                cut = np.searchsorted(bucket[pick], np.arange(buckets + 1))
+                for k in np.flatnonzero(np.diff(cut)):
+                    own = pick[cut[k] : cut[k + 1]]
+                    begin, length = _runs(row[own], place[own], v[own])
+                    head = own[begin]
+                    out.append((int(k), rid[row[head]].tobytes(), place[head].tobytes(), length.astype(np.int32).tobytes(), v[head].tobytes(), a[own].tobytes()))
+                sure = np.flatnonzero(twice)
+                if len(sure):
+                    begin, length = _runs(row[sure], place[sure])
+                    head = sure[begin]
+                    out.append((int(rid[row[sure[0]]] % buckets), rid[row[head]].tobytes(), place[head].tobytes(), length.astype(np.int32).tobytes(), b"", b""))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), *[pa.binary()] * 5), strict=True)], ["bucket", "rids", "places", "lengths", "least", "hashes"])
 
     return run
 
 
-_BLOB = "bucket int, sure boolean, a binary, b binary, rids binary, runs binary, places binary"
+_BLOB = "bucket int, rids binary, places binary, lengths binary, least binary, hashes binary"
 
 
 def _repeated(rows: pa.Table) -> pa.Table:
-    """Of one bucket: (rid, places) of the windows that start more than once."""
-    out_r, out_p = [], []
-
-    def put(rids: np.ndarray, places: np.ndarray):
-        if not len(rids):
-            return
-        edge = np.flatnonzero(np.append(True, rids[1:] != rids[:-1]))
-        out_r.append(rids[edge])
-        out_p.extend(places[i:j].tobytes() for i, j in zip(edge, np.append(edge[1:], len(rids)), strict=True))
-
-    cols = {c: rows.column(c).to_pylist() for c in ("sure", "a", "b", "rids", "runs", "places")}
-    spread = [np.repeat(np.frombuffer(r, np.int64), np.frombuffer(n, np.int32)) for r, n in zip(cols["rids"], cols["runs"], strict=True)]
-    places = [np.frombuffer(p, np.int32) for p in cols["places"]]
-    open_ = [i for i, s in enumerate(cols["sure"]) if not s]
-    for i, s in enumerate(cols["sure"]):
-        if s:
-            put(spread[i], places[i])
+    """Of one bucket: (rid, runs) of the windows that start more than once; a run is a start and a length."""
+    open_, rid, place, length = [], [], [], []
+    for r in rows.to_pylist():
+        one = np.frombuffer(r["rids"], np.int64), np.frombuffer(r["places"], np.int32), np.frombuffer(r["lengths"], np.int32)
+        if r["hashes"]:
+            open_.append((*one, np.frombuffer(r["least"], np.uint64), np.frombuffer(r["hashes"], np.uint64)))
+        else:
+            for have, new in zip((rid, place, length), one, strict=True):
+                have.append(new)
     if open_:
-        a, b = (np.frombuffer(b"".join(cols[c][i] for i in open_), np.uint64) for c in ("a", "b"))
-        rid, place = np.concatenate([spread[i] for i in open_]), np.concatenate([places[i] for i in open_])
-        order = np.lexsort((b, a))
-        x, y = a[order], b[order]
+        r, p, n, v, a = (np.concatenate(x) for x in zip(*open_, strict=True))
+        p = np.repeat(p, n) + np.arange(len(a)) - np.repeat(np.cumsum(n) - n, n)
+        r, v = np.repeat(r, n), np.repeat(v, n)
+        order = np.lexsort((v, a))
+        x, y = a[order], v[order]
         same = (x[1:] == x[:-1]) & (y[1:] == y[:-1])
         twice = np.zeros(len(order), bool)
         twice[order] = np.append(False, same) | np.append(same, False)
-        put(rid[twice], place[twice])
-    return pa.table({"rid": pa.array(np.concatenate(out_r) if out_r else np.zeros(0, np.int64)), "places": pa.array(out_p, pa.binary())})
+        r, p = r[twice], p[twice]
+        if len(r):
+            order = np.lexsort((p, r))
+            r, p = r[order], p[order]
+            begin, n = _runs(r, p)
+            rid.append(r[begin])
+            place.append(p[begin].astype(np.int32))
+            length.append(n.astype(np.int32))
+    if not rid:
+        return pa.table({"rid": pa.array([], pa.int64()), "runs": pa.array([], pa.binary())})
+    r, p, n = np.concatenate(rid), np.concatenate(place), np.concatenate(length)
+    order = np.argsort(r, kind="stable")
+    r, both = r[order], np.stack([p[order], n[order]], axis=1)
+    edge = np.flatnonzero(np.append(True, r[1:] != r[:-1]))
+    return pa.table({"rid": pa.array(r[edge]), "runs": pa.array([both[i:j].tobytes() for i, j in zip(edge, np.append(edge[1:], len(r)), strict=True)], pa.binary())})
 
 
 def _cut(keep: list[str], width: int, texts: bool):
@@ -263,11 +264,11 @@ def _cut(keep: list[str], width: int, texts: bool):
                 words = Words(part.column("__text"))
                 total = len(words.hash)
                 cover = np.zeros(total + 1, np.int64)
-                for i, places in enumerate(part.column("__places").to_pylist()):
-                    if places:
-                        at = np.unique(np.frombuffer(b"".join(places), np.int32)) + words.first[i]
-                        np.add.at(cover, at, 1)
-                        np.add.at(cover, at + width, -1)
+                for i, runs in enumerate(part.column("__runs").to_pylist()):
+                    if runs:
+                        at, n = np.frombuffer(b"".join(runs), np.int32).reshape(-1, 2).astype(np.int64).T
+                        np.add.at(cover, at + words.first[i], 1)
+                        np.add.at(cover, at + words.first[i] + n - 1 + width, -1)
                 gone = np.cumsum(cover)[:total] > 0
                 owner = words.owner()
                 removed = np.bincount(owner[gone], minlength=part.num_rows)
@@ -298,14 +299,12 @@ def remove_repeats(docs: DataFrame, keep: list[str], width: int = WIDTH, batches
     rid = F.xxhash64("doc_id", "text")
     base = docs.select(rid.alias("rid"), F.col("text"))
     index = index or FingerprintIndex(spark, new_path(spark, "index"), width)
-    hits = None
     for i in range(batches):
-        part = index.add(base.where(F.pmod(F.col("rid"), F.lit(batches)) == i) if batches > 1 else base)
-        hits = part if hits is None else hits.union(part)
-    hits = table(hits.groupBy("rid").agg(F.collect_set("fp").alias("hits")), "hits")
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    windows = base.join(hits, "rid").select("rid", "text", "hits").mapInArrow(_verify(width, buckets), _BLOB)
-    covered = windows.groupBy("bucket").applyInArrow(_repeated, "rid long, places binary").groupBy("rid").agg(F.collect_list("places").alias("__places"))
+        index.add(base.where(F.pmod(F.col("rid"), F.lit(batches)) == i) if batches > 1 else base)
+    shared = spark.sparkContext.broadcast(_bitmap(index.repeated(), BLOOM_BITS))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    windows = base.mapInArrow(_verify(width, buckets, shared), _BLOB)
+    covered = windows.groupBy("bucket").applyInArrow(_repeated, "rid long, runs binary").groupBy("rid").agg(F.collect_list("runs").alias("__runs"))
     wide = docs.select(rid.alias("rid"), F.col("text").alias("__text"), *keep)
     out = wide.join(table(covered, "covered"), "rid", "left").drop("rid")
     kind = docs.select(*keep).schema.add("n_words", "long").add("n_removed", "long").add("kept", "string")
