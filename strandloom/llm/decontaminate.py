@@ -77,14 +77,16 @@ def _windows(bloom, lengths):
                 out = {"doc_id": [], "start": [], "words": [], "print": [], "shingles": []}
                 ids = part.column("doc_id")
 
-                def put(starts, size, hashes_of, ids=ids, owner=owner, first=first, out=out):
-                    for s in starts:
-                        own = hashes_of(s)
-                        out["doc_id"].append(ids[int(owner[s])].as_py())
-                        out["start"].append(int(s - first[owner[s]]))
-                        out["words"].append(int(size))
-                        out["print"].append(int(_sign(_bits(own).astype(np.int64).sum(axis=0)[None]).view(np.int64)[0]))
-                        out["shingles"].append(np.sort(own).tobytes())
+                def put(starts, size, matrix, ids=ids, owner=owner, first=first, out=out):
+                    """Add windows; matrix: a row of shingle hashes for each."""
+                    for i in range(0, len(starts), 1024):
+                        s, m = starts[i : i + 1024], np.sort(matrix[i : i + 1024], axis=1)
+                        sums = (np.unpackbits(m.view(np.uint8).reshape(*m.shape, 8), axis=2, bitorder="little").sum(axis=1, dtype=np.int32) * 2 - m.shape[1])
+                        out["doc_id"] += ids.take(pa.array(owner[s])).to_pylist()
+                        out["start"] += (s - first[owner[s]]).tolist()
+                        out["words"] += [int(size)] * len(s)
+                        out["print"] += _sign(sums).view(np.int64).tolist()
+                        out["shingles"] += [r.tobytes() for r in m]
 
                 touched = np.flatnonzero(hit)
                 for size in sizes:
@@ -93,8 +95,7 @@ def _windows(bloom, lengths):
                         hw = mix(hw + np.uint64(size)) if len(hw) else hw
                         x, y = _probes(hw)
                         ok = bitmap[x] & bitmap[y]
-                        own = dict(zip(w[ok].tolist(), hw[ok], strict=True))
-                        put(w[ok], size, lambda s, own=own: np.array([own[int(s)]], np.uint64))
+                        put(w[ok], size, hw[ok][:, None])
                         continue
                     if not len(touched):
                         continue
@@ -106,12 +107,12 @@ def _windows(bloom, lengths):
                     starts = np.flatnonzero(np.cumsum(near)[:n] > 0)
                     starts = starts[(starts + size <= last[starts])]
                     starts = starts[before[starts + k] - before[starts] >= need]
-                    put(starts, size, lambda s, k=k: hash_at[s : s + k])
+                    put(starts, size, hash_at[starts[:, None] + np.arange(k)])
                 for i in np.flatnonzero((counts > 0) & (counts < sizes.max(initial=0))):  # shorter than some item: itself a window
                     s, c = int(first[i]), int(counts[i])
                     if c >= SHINGLE:
                         if before[s + c - SHINGLE + 1] > before[s]:
-                            put([s], c, lambda s, c=c: hash_at[s : s + c - SHINGLE + 1])
+                            put(np.array([s]), c, hash_at[None, s : s + c - SHINGLE + 1])
                 if out["doc_id"]:
                     yield pa.RecordBatch.from_pydict(out, schema=_WINDOW)
 
@@ -121,16 +122,26 @@ def _windows(bloom, lengths):
 _WINDOW = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("words", pa.int32()), ("print", pa.int64()), ("shingles", pa.binary())])
 
 
+def _counted(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, shingle salted by its row, occurrences), sorted by the salted shingle."""
+    h = np.frombuffer(b"".join(rows), np.uint64)
+    row = np.repeat(np.arange(len(rows)), [len(r) // 8 for r in rows])
+    key, at, n = np.unique(h ^ mix(row.astype(np.uint64) + np.uint64(1)), return_index=True, return_counts=True)
+    return row[at], key, n
+
+
 def _similar(batches):
-    for batch in batches:
-        sims = []
-        for a, b in zip(batch.column("shingles").to_pylist(), batch.column("item_shingles").to_pylist(), strict=True):
-            (x, nx), (y, ny) = (np.unique(np.frombuffer(s, np.uint64), return_counts=True) for s in (a, b))
-            _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-            least = int(np.minimum(nx[i], ny[j]).sum())
-            sims.append(least / max(1, int(nx.sum() + ny.sum()) - least))
-        keep = ["doc_id", "start", "words", "item_id"]
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(sims, pa.float64())], [*keep, "similarity"])
+    keep = ["doc_id", "start", "words", "item_id"]
+    for whole in batches:
+        for i in range(0, whole.num_rows, 2000):
+            batch = whole.slice(i, 2000)
+            m = batch.num_rows
+            (rx, x, nx), (ry, y, ny) = (_counted(batch.column(c).to_pylist()) for c in ("shingles", "item_shingles"))
+            at = np.minimum(np.searchsorted(y, x), max(0, len(y) - 1))
+            both = y[at] == x
+            least = np.bincount(rx[both], np.minimum(nx[both], ny[at[both]]), minlength=m)
+            sims = least / np.maximum(1, np.bincount(rx, nx, minlength=m) + np.bincount(ry, ny, minlength=m) - least)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(sims, pa.float64())], [*keep, "similarity"])
 
 
 def _masks() -> list[int]:
