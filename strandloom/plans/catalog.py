@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from strandloom.plans import qc
+from strandloom.plans import qc, table
 
-_PARTS = (qc,)
+_PARTS = (qc, table)
 
 
 def queries() -> dict:
