@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from strandloom.plans import qc, table
+from strandloom.plans import qc, quant, table
 
-_PARTS = (qc, table)
+_PARTS = (qc, table, quant)
 
 
 def queries() -> dict:
