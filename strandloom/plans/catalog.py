@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from strandloom.plans import qc, quant, table
+from strandloom.plans import align, qc, quant, table
 
-_PARTS = (qc, table, quant)
+_PARTS = (qc, table, quant, align)
 
 
 def queries() -> dict:
