@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from strandloom.plans import align, qc, quant, table
+from strandloom.plans import align, qc, quant, stats, table
 
-_PARTS = (qc, table, quant, align)
+_PARTS = (qc, table, quant, align, stats)
 
 
 def queries() -> dict:
