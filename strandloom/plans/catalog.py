@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from strandloom.plans import align, qc, quant, stats, table
+from strandloom.plans import align, files, qc, quant, stats, table
 
-_PARTS = (qc, table, quant, align, stats)
+_PARTS = (qc, table, quant, align, stats, files)
 
 
 def queries() -> dict:
