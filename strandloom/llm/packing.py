@@ -178,8 +178,10 @@ def _pack_blocks(pieces: DataFrame, blocks: int, capacity: int) -> DataFrame:
     packed = items.select("block", lengths.alias("l")).mapInArrow(_as_bytes, "block long, lengths binary")
     state = packed.withColumn("island", F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1)))).withColumn("elite", F.lit(None).cast("binary")).withColumn("migrant", F.lit(None).cast("binary"))
     kind = "block long, island int, elite binary, bins long, square double"
+    # these rows are small but dear, so their number of tasks follows the blocks and not the bytes
+    tasks = min(blocks * ISLANDS, max(int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions")), blocks * ISLANDS // 64))
     for epoch in range(EPOCHS):
-        evolved = table(state.withColumn("epoch", F.lit(epoch)).repartition("block", "island").mapInArrow(_epoch(capacity), kind), "islands")
+        evolved = table(state.withColumn("epoch", F.lit(epoch)).repartition(tasks, "block", "island").mapInArrow(_epoch(capacity), kind), "islands")
         if epoch + 1 < EPOCHS:
             moved = evolved.select("block", ((F.col("island") + 1) % ISLANDS).alias("island"), F.col("elite").alias("migrant"))
             state = packed.join(evolved.select("block", "island", "elite"), "block").join(moved, ["block", "island"])
