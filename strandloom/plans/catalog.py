@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from strandloom.plans import align, files, qc, quant, stats, table
+from strandloom.plans import align, files, qc, quant, records, stats, table
 
-_PARTS = (qc, table, quant, align, stats, files)
+_PARTS = (qc, table, quant, align, stats, files, records)
 
 
 def queries() -> dict:
