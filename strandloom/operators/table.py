@@ -113,7 +113,7 @@ def table_join_outer(left: DataFrame, right: DataFrame, on: list[str], order: li
     right = last_rows(right, on, order).withColumn("__hit", F.lit(True))
     values = [c for c in right.columns if c not in on and c != "__hit"]
     out = left.join(right, on, "left")
-    other = lambda c: F.col(on[0]).cast(right.schema[c].dataType) if key_as_fill else F.lit(fill).cast(right.schema[c].dataType)
+    other = lambda c: F.col(on[0]).cast(right.schema[c].dataType) if key_as_fill else F.lit(fill).try_cast(right.schema[c].dataType)
     return out.withColumns({c: F.when(F.col("__hit"), F.col(c)).otherwise(other(c)) for c in values}).drop("__hit")
 
 
