@@ -23,6 +23,18 @@ def letters(seq: Column) -> Column:
     return F.filter(F.split(seq, ""), lambda x: x != "")
 
 
+def kmers(df: DataFrame, seq: str, k: int, keep: list[str], tile: int = 512) -> DataFrame:
+    """``keep`` columns, pos (from 1) and kmer for every place of a sequence.
+
+    Sequences are cut into tiles first: taking a piece walks from the start of its string, which is square in the length.
+    """
+    s = F.col(seq)
+    tiles = df.where(F.length(s) >= k).select(*keep, s, F.explode(F.sequence(F.lit(0), F.length(s) - k, F.lit(tile))).alias("__off"))
+    tiles = tiles.select(*keep, "__off", F.substr(s, F.col("__off") + 1, F.lit(tile + k - 1)).alias("__tile"))
+    cut = F.transform(F.sequence(F.lit(1), F.length("__tile") - k + 1), lambda i: F.substr("__tile", i, F.lit(k)))
+    return tiles.select(*keep, "__off", F.posexplode(cut).alias("__i", "kmer")).select(*keep, (F.col("__off") + F.col("__i") + 1).alias("pos"), "kmer")
+
+
 def reverse_complement(seq: Column, iupac: bool = False) -> Column:
     """Complement of the reversed string, U as A's partner; with ``iupac`` for the ambiguity codes too."""
     if iupac:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandloom.functions.seq import hamming, letters, once, reverse_complement
+from strandloom.functions.seq import hamming, kmers, letters, once, reverse_complement
 
 
 def ref_windows(refs: DataFrame, lengths: list[int], both: bool = True) -> DataFrame:
@@ -134,15 +134,17 @@ def seed_sites(utr: DataFrame, mir: DataFrame, lengths: tuple[int, ...] = (8, 7,
     mir: mirna, seq (its seed begins at base ``start``). The site is the reverse complement of the seed. An equi-join on the
     seed's shortest core, then the longer seeds are tested at the same place.
     """
-    core = min(lengths)
+    core, most = min(lengths), max(lengths)
     m = mir.select("mirna", *[reverse_complement(F.substring("seq", start, n)).alias(f"s{n}") for n in lengths])
-    places = utr.where(F.length("seq") >= core).select("utr", F.col("seq"), F.explode(F.sequence(F.lit(1), F.length("seq") - core + 1)).alias("at")).withColumn("core", F.substr("seq", F.col("at"), F.lit(core)))
+    # blanks before the sequence let a site of the core's length begin at its first base
+    padded = utr.where(F.length("seq") >= core).select("utr", F.concat(F.lit(" " * (most - core)), "seq").alias("seq"))
+    places = kmers(padded, "seq", most, ["utr"]).withColumn("core", F.right("kmer", F.lit(core)))
     j = places.join(m, F.col("core") == F.col(f"s{core}"))
     best = None
     for n in sorted(lengths, reverse=True):
-        hit = (F.col("at") - (n - core) >= 1) & (F.substr("seq", F.greatest(F.col("at") - (n - core), F.lit(1)), F.lit(n)) == F.col(f"s{n}"))
+        hit = F.right("kmer", F.lit(n)) == F.col(f"s{n}")
         best = F.when(hit, n) if best is None else best.when(hit, n)
-    return j.select("utr", "mirna", best.alias("seed"), (F.col("at") - (best - core)).alias("pos"))
+    return j.select("utr", "mirna", best.alias("seed"), (F.col("pos") + core - best).alias("pos"))
 
 
 def random_site(utr: DataFrame, width: int = 22) -> DataFrame:

@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandloom.functions.components import components
+
 
 def _ranges(df: DataFrame, order: list[str]) -> DataFrame:
     """df with __part: the range of the order that a row is in, by bounds from a bounded sample (fixed by hash)."""
@@ -133,23 +135,9 @@ def table_join_keynorm(left: DataFrame, right: DataFrame, on: str, how: str, ord
     return table_join(left.withColumn(on, norm), right.withColumn(on, norm), [on], order)
 
 
-def synonym_classes(pairs: DataFrame, rounds: int = 64) -> DataFrame:
-    """pairs (a, b) of equal names to (name, canon): the least name that each one reaches.
-
-    Minimum labels with doubling; stops when a round changes nothing.
-    """
-    edges = pairs.select("a", "b").union(pairs.select("b", "a")).distinct().cache()
-    label = edges.select(F.col("a").alias("name")).distinct().withColumn("canon", F.col("name"))
-    for _ in range(rounds):
-        near = edges.join(label, F.col("b") == F.col("name")).groupBy("a").agg(F.min("canon").alias("m"))
-        new = label.join(near, F.col("name") == F.col("a"), "left").select("name", F.least("canon", F.coalesce("m", "canon")).alias("canon"))
-        up = new.select(F.col("name").alias("canon"), F.col("canon").alias("higher"))
-        new = new.join(up, "canon", "left").select("name", F.least("canon", F.coalesce("higher", "canon")).alias("canon")).cache()
-        moved = new.join(label.withColumnRenamed("canon", "old"), "name").where("canon <> old").isEmpty()
-        label = new
-        if moved:
-            break
-    return label
+def synonym_classes(pairs: DataFrame) -> DataFrame:
+    """pairs (a, b) of equal names to (name, canon): the least name that each one reaches."""
+    return components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))).select(F.col("id").alias("name"), F.col("component_id").alias("canon"))
 
 
 def table_join_synonyms(left: DataFrame, right: DataFrame, on: str, synonyms: DataFrame, order: list[str]) -> DataFrame:
