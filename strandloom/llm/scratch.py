@@ -1,31 +1,5 @@
 """Tables that cut lineage, in the folder the cluster shares."""
 
-from __future__ import annotations
+from strandloom.functions.scratch import new_path, shared_dir, table
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-_OWN: list[str] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; only where that is unset (tests), one temporary folder per process."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base.rstrip("/")
-    if not _OWN:
-        _OWN.append("file://" + tempfile.mkdtemp(prefix="spark-strandloom-"))
-    return _OWN[0]
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/strandloom/{name}-{uuid.uuid4().hex}"
-
-
-def table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: a lost executor loses nothing."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["new_path", "shared_dir", "table"]
