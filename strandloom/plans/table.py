@@ -97,7 +97,7 @@ QUERIES = {
     "line_number": (lambda s, d: t.line_number(o(s, d).select("o_orderkey"), ["o_orderkey"], 10, -3), "SELECT o_orderkey, 10 - 3 * (row_number() OVER (ORDER BY o_orderkey) - 1) AS line FROM orders"),
     "uniquify": (lambda s, d: t.uniquify(t.uniquify(part(s, d).select("p_partkey", "p_brand", "p_type"), ["p_brand"], ["p_partkey"]), ["p_type"], ["p_partkey"], "_", force=True), "SELECT p_partkey, CASE WHEN b > 1 THEN p_brand || '-' || (b - 1) ELSE p_brand END AS p_brand, p_type || '_' || k AS p_type FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS b, row_number() OVER (PARTITION BY p_type ORDER BY p_partkey) AS k FROM part)"),
     "take_first_n": (lambda s, d: t.take_first_n(o(s, d).select("o_custkey", "o_orderkey"), ["o_custkey"], 2, ["o_orderkey"]), "SELECT o_custkey, o_orderkey FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) <= 2"),
-    "cumulative_sum": (lambda s, d: t.cumulative_sum(line(s, d).select(*KEY, F.col("l_quantity").cast("long").alias("q")), "q", KEY), "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS BIGINT) AS q, CAST(sum(CAST(l_quantity AS BIGINT)) OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cumul FROM lineitem"),
+    "cumulative_sum": (lambda s, d: t.cumulative_sum(line(s, d).select(*KEY, F.col("l_quantity").cast("long").alias("q")), "q", [*KEY, "q"]), "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS BIGINT) AS q, CAST(sum(CAST(l_quantity AS BIGINT)) OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, q ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cumul FROM lineitem"),
     "moving_window": (lambda s, d: t.moving_window(read(s, d, "events").select("user_id", "event_id", "ts", F.floor("value").alias("v")), "v", 2, ["ts", "event_id"], ["user_id"]).select("event_id", F.round("avg_v", 6).alias("avg_v"), "max_v", "min_v"), f"SELECT event_id, round(avg(v) {_W}, 6) AS avg_v, max(v) {_W} AS max_v, min(v) {_W} AS min_v FROM (SELECT *, CAST(floor(value) AS BIGINT) AS v FROM events)"),
     "body_range": (lambda s, d: t.body_range(o(s, d).select("o_orderkey"), 0.25, -100, ["o_orderkey"]), "SELECT o_orderkey, n AS line FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS n, count(*) OVER () AS t FROM orders) WHERE n BETWEEN floor(t * 0.25) + 1 AND t + 1 - 100"),
     "table_transpose": (lambda s, d: t.table_transpose(read(s, d, "nation").select("n_nationkey", "n_name", "n_regionkey").where("n_nationkey < 30"), "n_nationkey"), None),
