@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from strandloom.plans import align, files, qc, quant, records, stats, table
+from strandloom.plans import align, files, qc, quant, records, scans, stats, table
 
-_PARTS = (qc, table, quant, align, stats, files, records)
+_PARTS = (qc, table, quant, align, stats, files, records, scans)
 
 
 def queries() -> dict:

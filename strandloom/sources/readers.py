@@ -5,10 +5,15 @@ FASTQ has four lines a record and no separator that a quality line cannot hold,
 
 from __future__ import annotations
 
+import gzip
+import io
+from dataclasses import dataclass
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.types import LongType, StringType, StructType
 
 
 def read_fasta(spark: SparkSession, path, upper: bool = True, drop_n: bool = False, line: int | None = None) -> DataFrame:
@@ -22,50 +27,104 @@ def read_fasta(spark: SparkSession, path, upper: bool = True, drop_n: bool = Fal
     return out.where(~F.upper("seq").contains("N")) if drop_n else out
 
 
+def _filesystem(path: str) -> tuple[fs.FileSystem, str]:
+    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+
+
+@dataclass
 class _FastqPart(InputPartition):
-    def __init__(self, path: str):
-        self.path = path
+    """The records that begin in bytes ``start`` to ``stop`` of a file (stop None: to the end)."""
+
+    path: str
+    start: int
+    stop: int | None
 
 
 class _FastqReader(DataSourceReader):
-    def __init__(self, paths: list[str], phred: int):
-        self.paths, self.phred = paths, phred
+    def __init__(self, paths: list[str], phred: int, split: int):
+        self.paths, self.split = paths, split
+        self.shift = bytes(min(255, max(0, i - phred + 33)) for i in range(256))
 
     def partitions(self):
-        return [_FastqPart(p) for p in self.paths]
+        out = []
+        for path in self.paths:
+            files, place = _filesystem(path)
+            prefix = path[: len(path) - len(place)] if path.endswith(place) else ""
+            info = files.get_file_info(place)
+            found = files.get_file_info(fs.FileSelector(place, recursive=True)) if info.type == fs.FileType.Directory else [info]
+            for f in found:
+                if f.type != fs.FileType.File or f.base_name[0] in "._":
+                    continue
+                if f.path.endswith(".gz"):
+                    out.append(_FastqPart(prefix + f.path, 0, None))
+                else:
+                    out += [_FastqPart(prefix + f.path, i, i + self.split) for i in range(0, f.size, self.split)]
+        return out
 
     def read(self, partition):
-        import gzip
-
-        opened = gzip.open if partition.path.endswith(".gz") else open
-        with opened(partition.path, "rt") as f:
-            for i, head in enumerate(iter(f.readline, "")):
-                seq, _, qual = f.readline(), f.readline(), f.readline()
-                if self.phred != 33:
-                    qual = "".join(chr(ord(c) - self.phred + 33) for c in qual.rstrip("\r\n"))
-                yield head.rstrip("\r\n")[1:], seq.rstrip("\r\n"), qual.rstrip("\r\n"), partition.path, i
+        files, place = _filesystem(partition.path)
+        with io.BufferedReader(files.open_input_file(place), 1 << 20) as raw:
+            f = gzip.GzipFile(fileobj=raw) if place.endswith(".gz") else raw
+            rows = []
+            for row in _fastq_records(f, partition.start, partition.stop):
+                rows.append(row)
+                if len(rows) == 8192:
+                    yield self._batch(rows, partition.path)
+                    rows = []
+            if rows:
+                yield self._batch(rows, partition.path)
+
+    def _batch(self, rows, path):
+        text = lambda k: [r[k].decode("utf-8", "replace") for r in rows]
+        qual = [r[2].translate(self.shift).decode("latin-1") for r in rows]
+        return pa.RecordBatch.from_pydict({"read_id": text(0), "seq": text(1), "qual": qual, "file": [path] * len(rows), "offset": pa.array([r[3] for r in rows], pa.int64())})
+
+
+def _fastq_records(f, start: int, stop: int | None):
+    """(id, seq, qual, offset) of the records that begin in the range.
+
+    Inside a file a record begins at a line with ``@`` whose next line but one has ``+``: a quality line may begin
+    with ``@`` too, but is followed by a header and a sequence.
+    """
+    at, held = start, []
+    if start:
+        f.seek(start - 1)
+        at += len(f.readline()) - 1
+        held = [f.readline() for _ in range(3)]
+        while held[0] and not (held[0][:1] == b"@" and held[2][:1] == b"+"):
+            at += len(held.pop(0))
+            held.append(f.readline())
+    while stop is None or at < stop:
+        head = held.pop(0) if held else f.readline()
+        if not head:
+            return
+        if head.strip():
+            body = [held.pop(0) if held else f.readline() for _ in range(3)]
+            yield head.rstrip(b"\r\n")[1:], body[0].rstrip(b"\r\n"), body[2].rstrip(b"\r\n"), at
+            at += sum(map(len, body))
+        at += len(head)
 
 
 class FastqSource(DataSource):
-    """One partition a file (gz or plain); a gz file cannot be cut. Options: path (commas between), phred."""
+    """A partition for every ``split`` bytes of a plain file; a gz file cannot be cut.
+
+    Options: path (files or folders, commas between; local paths or URIs that Arrow opens), phred, split.
+    """
 
     @classmethod
     def name(cls):
         return "fastq"
 
     def schema(self):
-        s = StructType()
-        for c in ("read_id", "seq", "qual", "file"):
-            s = s.add(c, StringType())
-        return s.add("line", LongType())
+        return "read_id string, seq string, qual string, file string, offset bigint"
 
     def reader(self, schema):
-        return _FastqReader(self.options["path"].split(","), int(self.options.get("phred", "33")))
+        return _FastqReader(self.options["path"].split(","), int(self.options.get("phred", "33")), int(self.options.get("split", str(128 << 20))))
 
 
-def read_fastq(spark: SparkSession, paths: list[str], phred: int = 33) -> DataFrame:
+def read_fastq(spark: SparkSession, paths: list[str], phred: int = 33, split: int = 128 << 20) -> DataFrame:
     spark.dataSource.register(FastqSource)
-    return spark.read.format("fastq").option("phred", str(phred)).option("path", ",".join(paths)).load()
+    return spark.read.format("fastq").option("phred", str(phred)).option("split", str(split)).option("path", ",".join(paths)).load()
 
 
 def fastq_to_fasta(df: DataFrame) -> DataFrame:
@@ -80,7 +139,7 @@ BLAST14 = "qid string, qlen int, sid string, slen int, alen int, qstart int, qen
 
 
 def _tab(spark: SparkSession, path, schema: str) -> DataFrame:
-    return spark.read.csv(path, sep="\t", schema=schema, comment="#")
+    return spark.read.csv(path, sep="\t", schema=schema, comment="#", quote="")  # quality strings may hold quotes
 
 
 def read_alignments(spark: SparkSession, path) -> DataFrame:

@@ -32,6 +32,21 @@ def test_fastq(spark, tmp_path):
     assert readers.read_fastq(spark, [b], phred=64).first().qual == "I"
 
 
+def test_fastq_is_cut_anywhere_without_loss(spark, tmp_path):
+    # quality lines that look like headers or separators, records without bases, a blank end
+    rows = [(f"r{i}", "ACGT"[: i % 5], "@+@@"[: i % 5]) for i in range(40)]
+    p = put(tmp_path, "a.fq", "".join(f"@{a}\n{b}\n+\n{c}\n" for a, b, c in rows) + "\n")
+    size = len(open(p).read())
+    for split in (1, 7, 64, size):
+        found = []
+        for start in range(0, size, split):
+            with open(p, "rb") as f:
+                found += list(readers._fastq_records(f, start, start + split))
+        assert [tuple(x.decode() for x in r[:3]) for r in found] == rows, split
+    got = readers.read_fastq(spark, [str(tmp_path)], split=50).orderBy("offset").collect()
+    assert [(r.read_id, r.seq, r.qual) for r in got] == rows
+
+
 def test_tables(spark, tmp_path):
     aln = readers.read_alignments(spark, put(tmp_path, "a.bwt", "r_x1\t+\tm\t102\tACG\tIII\t0\t\n"))
     assert aln.first().pos == 102
