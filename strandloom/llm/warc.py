@@ -27,6 +27,8 @@ from .scratch import table
 
 #: Bytes of records in an archive, before compression.
 ARCHIVE = 8 << 20
+#: Of deflate: the first level with lazy matching, much smaller than level 1 for little time.
+LEVEL = 4
 _STEP = 1 << 20
 
 
@@ -59,7 +61,7 @@ def _archives(size: int):
         for batch in batches:
             for row in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html", "refers_to")), strict=True):
                 if packer is None:
-                    packer, parts, raw = zlib.compressobj(1, zlib.DEFLATED, 31), [], 0
+                    packer, parts, raw = zlib.compressobj(LEVEL, zlib.DEFLATED, 31), [], 0
                 record = _record(row[0], row[1], (row[2] or "").encode(), row[3])
                 parts.append(packer.compress(record))
                 raw += len(record)
@@ -78,7 +80,7 @@ def write(pages: DataFrame, least: int = 0, size: int = ARCHIVE) -> DataFrame:
     """Archives (archive_id, content), each one gzip stream."""
     payload = F.coalesce(F.col("html"), F.lit(""))
     url = F.col("url") if "url" in pages.columns else F.lit("")
-    base = pages.select("page_id", url.alias("url"), "html", F.sha2(payload.cast("binary"), 256).alias("key"), F.octet_length(payload).alias("bytes"))
+    base = pages.select("page_id", url.alias("url"), "html", F.unhex(F.sha2(payload.cast("binary"), 256)).alias("key"), F.octet_length(payload).alias("bytes"))
     light = base.select("page_id", "key", "bytes")
     last = light.where(F.col("bytes") >= least).groupBy("key", "bytes").agg(F.max("page_id").alias("last"), F.count("*").alias("n")).where("n > 1 and last is not null")
     again = light.join(last, ["key", "bytes"]).where(~F.col("page_id").eqNullSafe(F.col("last"))).select(F.col("page_id").alias("again"), "key", F.col("last").alias("refers_to")).distinct()
@@ -116,7 +118,7 @@ def _normalise(batches):
         for archive_id, content in zip(batch.column("archive_id").to_pylist(), batch.column("content").to_pylist(), strict=True):
             parts, index, at = [], [], 0
             for record in _records(content):
-                packer = zlib.compressobj(3, zlib.DEFLATED, 31)
+                packer = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
                 member = packer.compress(record) + packer.flush()
                 head = _headers(record, record.index(b"\r\n\r\n"))
                 index.append(f"{head['warc-record-id'][10:-1] or '-'} {head['warc-type']} {at} {len(member)}")
