@@ -4,7 +4,8 @@
 * A coarse quantiser (about ``LIST`` vectors a list) and residual codebooks (``PARTS`` subspaces of ``CODES`` centroids)
   are fitted on at most ``TRAIN`` vectors chosen by hash; every vector is indexed: list, codes, and how far its code is
   from it.
-* Every vector is a query. It visits its ``PROBES`` nearest lists. There a table of distances between its residual and
+* Every vector is a query. It visits its ``PROBES`` nearest lists. A pair is found if either end visits the other's list.
+  If only one does, that visit counts the link for both ends. In a visited list a table of distances between its residual and
   all subspace centroids gives the distance to each code by ``PARTS`` look-ups. A vector can only be within the radius
   if its code is within radius plus the code's own error, so the filter loses nothing in a visited list.
 * What passes is reranked by exact cosine in double precision; a link needs ``least`` or more.
@@ -102,7 +103,7 @@ def _encode(shared, probes: int):
             visit = quantiser.probes(x, probes)
             kind = pa.ListArray.from_arrays(pa.array(np.arange(0, visit.size + 1, visit.shape[1]), pa.int32()), pa.array(visit.ravel().astype(np.int32)))
             rows = lambda m: pa.array([r.tobytes() for r in m], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("copies"), pa.array(near.astype(np.int32)), rows(codes), pa.array(error), rows(raw), kind], ["rep", "copies", "list", "codes", "error", "vector", "probes"])
+            yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("copies"), pa.array(near.astype(np.int32)), rows(codes), pa.array(error), rows(raw), kind], ["rep", "copies", "own", "codes", "error", "vector", "probes"])
 
     return run
 
@@ -132,8 +133,12 @@ def _search(shared, least: float):
             codes = np.frombuffer(b"".join(held.codes), np.uint8).reshape(len(held), -1)
             y, q = (np.frombuffer(b"".join(s.vector), np.float64).reshape(len(s), -1) for s in (held, asked))
             y, q = _unit(y), _unit(q)
-            limit = ((radius + held.error.to_numpy() + 1e-6) ** 2).astype(np.float32)
-            ids, copies, own = held.rep.to_numpy(), held.copies.to_numpy(), asked.rep.to_numpy()
+            limit = ((radius + held.error.to_numpy() + 1e-5) ** 2).astype(np.float32)
+            ids, copies, own, times, home = held.rep.to_numpy(), held.copies.to_numpy(), asked.rep.to_numpy(), asked.copies.to_numpy(), asked.own.to_numpy()
+            # whether a held vector, for its part, visits a list
+            visit = np.stack(held.probes.to_list())
+            back = np.zeros((len(held), max(visit.max(), home.max()) + 1), bool)
+            back[np.arange(len(held))[:, None], visit] = True
             # vertices by id, so that a component's least label is its least id
             names, place = np.unique(np.concatenate([own, ids]), return_inverse=True)
             found = np.zeros(len(names), np.int64)
@@ -147,8 +152,11 @@ def _search(shared, least: float):
                 a, b = a[ok], b[ok]
                 if len(a):
                     at = place[: len(own)][i + a]
+                    to = place[len(own) :][b]
                     np.add.at(found, at, copies[b])
-                    ends.append((at, place[len(own) :][b]))
+                    lone = ~back[b, home[i + a]]
+                    np.add.at(found, to[lone], times[i + a[lone]])
+                    ends.append((at, to))
             if ends:
                 label = _least_labels(len(names), np.concatenate([e[0] for e in ends]), np.concatenate([e[1] for e in ends]))
                 some = np.flatnonzero((found > 0) | (label != np.arange(len(names))))
@@ -173,16 +181,17 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, probes: int = PROBES, t
     sample = reps.orderBy(F.xxhash64("rep"), "rep").limit(train).select("embedding").toArrow().column("embedding").combine_chunks().flatten().to_numpy()
     sample = np.asarray(sample, np.float64).reshape(-1, sizes.d)
     shared = spark.sparkContext.broadcast(Quantiser(sample, max(1, min(reps.count() // LIST, len(sample) // 16))))
-    index = table(reps.mapInArrow(_encode(shared, probes), "rep long, copies long, list int, codes binary, error double, vector binary, probes array<int>"), "index")
-    asked = index.select("rep", "vector", F.explode("probes").alias("list"))
+    index = table(reps.mapInArrow(_encode(shared, probes), "rep long, copies long, own int, codes binary, error double, vector binary, probes array<int>"), "index")
+    asked = index.select("rep", "copies", "own", "vector", F.explode("probes").alias("list"))
+    index = index.withColumn("list", F.col("own"))
     held = index.groupBy("list").agg(F.ceil(F.count("*") / INDEXED).cast("int").alias("across"))
     visits = asked.groupBy("list").agg(F.ceil(F.count("*") / ASKED).cast("int").alias("down"))
     blocks = held.join(visits, "list")
     part = lambda c: F.pmod(F.xxhash64("rep"), F.col(c)).cast("int")
     every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    columns = ["list", "i", "j", "asked", "rep", "copies", "codes", "error", "vector"]
-    nothing = {"copies": F.lit(None).cast("long"), "codes": F.lit(None).cast("binary"), "error": F.lit(None).cast("double")}
-    left = index.drop("probes").join(blocks, "list").withColumn("i", part("across")).withColumn("j", every("down")).withColumn("asked", F.lit(False)).select(*columns)
+    columns = ["list", "i", "j", "asked", "rep", "copies", "own", "codes", "error", "vector", "probes"]
+    nothing = {"codes": F.lit(None).cast("binary"), "error": F.lit(None).cast("double"), "probes": F.lit(None).cast("array<int>")}
+    left = index.join(blocks, "list").withColumn("i", part("across")).withColumn("j", every("down")).withColumn("asked", F.lit(False)).select(*columns)
     right = asked.join(blocks, "list").withColumn("j", part("down")).withColumn("i", every("across")).withColumn("asked", F.lit(True)).withColumns(nothing).select(*columns)
     found = table(left.unionByName(right).groupBy("list", "i", "j").applyInPandas(_search(shared, least), "u long, v long, n long"), "found")
     comp = components(found.select("u", "v"))

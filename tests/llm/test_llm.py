@@ -309,6 +309,26 @@ def test_embeddings_by_brute_force(spark, monkeypatch):
     assert embeddings.near_vectors(d.limit(0)).count() == 0
 
 
+def _rounds(n, d, rng):
+    x = rng.normal(size=(n, d))
+    to = rng.normal(size=(n, d))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    to -= (to * x).sum(axis=1, keepdims=True) * x
+    to /= np.linalg.norm(to, axis=1, keepdims=True)
+    return x, 0.91 * x + np.sqrt(1 - 0.91**2) * to
+
+
+def test_embeddings_links_have_two_ends(spark, monkeypatch):
+    x, y = _rounds(300, 32, np.random.default_rng(4))
+    d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(np.concatenate([x, y, y[:9]]))], "vec_id long, embedding array<double>").repartition(3)
+    monkeypatch.setattr(embeddings, "LIST", 16)
+    monkeypatch.setattr(embeddings, "REACH", 0.0, raising=False)  # one probe: many pairs are found from one end only
+    rows = embeddings.near_vectors(d, probes=1).collect()
+    size = Counter(r.component_id for r in rows)
+    assert sum(n > 1 for n in size.values()) > 100
+    assert all(r.n_links == size[r.component_id] - 1 for r in rows)
+
+
 def test_chat(spark):
     rows = [
         (1, 0, "system", "be | \\ brief", 9), (1, 1, "user", "<|turn|>x<|text|>y<|end|>", 9), (1, 2, "assistant", "\\|<|end|>\\", 9), (1, 3, "user", None, 9), (1, 4, "assistant", "", 9),
