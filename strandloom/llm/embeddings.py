@@ -3,9 +3,11 @@
 * Equal vectors are one representative with a multiplicity.
 * A coarse quantiser (about ``LIST`` vectors a list) and residual codebooks (``PARTS`` subspaces of ``CODES`` centroids)
   are fitted on at most ``TRAIN`` vectors chosen by hash; every vector is indexed: list, codes, and how far its code is
-  from it.
-* Every vector is a query. It visits its ``PROBES`` nearest lists. A pair is found if either end visits the other's list.
-  If only one does, that visit counts the link for both ends. In a visited list a table of distances between its residual and
+  from it. Each number of dimensions is a group of its own; one of at most ``CODES`` vectors is compared without codes.
+* Every vector is a query. It visits its nearest lists: ``PROBES``, or as many more as it takes until a visit joins the
+  share ``REACH`` of pairs made at cosine ``least`` from held-out vectors, and of the held-out vectors' own pairs.
+* A pair is found if either end visits the other's list. If only one does, that visit counts the link for both ends.
+* In a visited list a table of distances between the query's residual and
   all subspace centroids gives the distance to each code by ``PARTS`` look-ups. A vector can only be within the radius
   if its code is within radius plus the code's own error, so the filter loses nothing in a visited list.
 * What passes is reranked by exact cosine in double precision; a link needs ``least`` or more.
@@ -13,8 +15,7 @@
 Each task returns counts of links per query and a spanning set of links, never all pairs of a group. Large lists are cut
 into blocks of both sides.
 
-Vectors that are null, zero, hold null or non-finite components, or have another than the most common number of
-dimensions link with nothing, nor do rows without vec_id. Repeated rows are links of each other. Rows of one vec_id with
+Vectors that are null, zero, or hold null or non-finite components link with nothing, nor do rows without vec_id. Repeated rows are links of each other. Rows of one vec_id with
 unlike vectors are one vertex. Empty tables give no rows. Extra columns, labels too, are ignored.
 """
 
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from strandloom.functions.components import components
 from .scratch import table
 
-TRAIN, LIST, PARTS, CODES, PROBES = 20_000, 512, 16, 64, 12
+TRAIN, LIST, PARTS, CODES, PROBES, REACH = 20_000, 512, 16, 64, 12, 0.98
 INDEXED, ASKED = 4096, 16_384
 
 
@@ -76,6 +77,32 @@ class Quantiser:
         n = min(n, len(self.centroids))
         return np.argpartition(away, n - 1, axis=1)[:, :n]
 
+    def enough(self, held: np.ndarray, others: np.ndarray, least: float, reach: float) -> int:
+        """The fewest probes that join the share ``reach`` of pairs of held-out unit vectors: with others at cosine ``least`` or more, and at just ``least`` from them in random directions and in those of others."""
+        rng, most = np.random.default_rng(12), 1
+        a, b = [], []
+        for i in range(0, len(held), 256):
+            u, v = np.nonzero(held[i : i + 256] @ others.T >= least)
+            u, first = np.unique(u, return_index=True)
+            a.append(held[i + u])
+            b.append(others[v[first]])
+        pairs = [(np.concatenate(a), np.concatenate(b))] if a else []
+        for to in (rng.normal(size=held.shape), others[rng.integers(0, len(others), len(held))]):
+            to = to - (to * held).sum(axis=1, keepdims=True) * held
+            size = np.linalg.norm(to, axis=1, keepdims=True)
+            some = size[:, 0] > 1e-9
+            pairs.append((held[some], least * held[some] + np.sqrt(max(0.0, 1 - least * least)) * to[some] / size[some]))
+        for x, y in pairs:
+            if len(x):
+                need = np.minimum(self._rank(x, y), self._rank(y, x))
+                most = max(most, int(np.quantile(need, reach, method="higher")))
+        return most
+
+    def _rank(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """How many lists x visits until it comes to y's."""
+        away = (self.centroids**2).sum(axis=1) / 2 - x @ self.centroids.T
+        return (away <= away[np.arange(len(x)), _nearest(y, self.centroids)][:, None]).sum(axis=1)
+
     def distances(self, x: np.ndarray, which: int, codes: np.ndarray) -> np.ndarray:
         """Squared distances of queries to the codes of one list, by table look-ups."""
         rest = x - self.centroids[which]
@@ -91,19 +118,23 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _encode(shared, probes: int):
+def _encode(shared):
     def run(batches):
-        quantiser = shared.value
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            raw = batch.column("embedding").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, -1)
-            x = _unit(raw)
-            near, codes, error = quantiser.encode(x)
-            visit = quantiser.probes(x, probes)
-            kind = pa.ListArray.from_arrays(pa.array(np.arange(0, visit.size + 1, visit.shape[1]), pa.int32()), pa.array(visit.ravel().astype(np.int32)))
-            rows = lambda m: pa.array([r.tobytes() for r in m], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("copies"), pa.array(near.astype(np.int32)), rows(codes), pa.array(error), rows(raw), kind], ["rep", "copies", "own", "codes", "error", "vector", "probes"])
+        for mixed in batches:
+            sizes = mixed.column("d").to_numpy()
+            for d in np.unique(sizes):
+                batch = mixed.filter(pa.array(sizes == d))
+                raw = batch.column("embedding").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, -1)
+                if d in shared.value:
+                    quantiser, probes = shared.value[d]
+                    x = _unit(raw)
+                    near, codes, error = quantiser.encode(x)
+                    visit = quantiser.probes(x, probes)
+                else:  # few vectors: one list without codes
+                    near, codes, error, visit = np.zeros(len(raw), int), np.zeros((len(raw), 0), np.uint8), np.zeros(len(raw)), np.zeros((len(raw), 1), int)
+                kind = pa.ListArray.from_arrays(pa.array(np.arange(0, visit.size + 1, visit.shape[1]), pa.int32()), pa.array(visit.ravel().astype(np.int32)))
+                rows = lambda m: pa.array([r.tobytes() for r in m], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column("d"), batch.column("rep"), batch.column("copies"), pa.array(near.astype(np.int32)), rows(codes), pa.array(error), rows(raw), kind], ["d", "rep", "copies", "own", "codes", "error", "vector", "probes"])
 
     return run
 
@@ -129,7 +160,7 @@ def _search(shared, least: float):
         asked, held = rows[rows.asked], rows[~rows.asked]
         out = []
         if len(asked) and len(held):
-            quantiser, which = shared.value, int(rows.list.iloc[0])
+            (quantiser, _), which = shared.value.get(int(rows.d.iloc[0]), (None, 1)), int(rows.list.iloc[0])
             codes = np.frombuffer(b"".join(held.codes), np.uint8).reshape(len(held), -1)
             y, q = (np.frombuffer(b"".join(s.vector), np.float64).reshape(len(s), -1) for s in (held, asked))
             y, q = _unit(y), _unit(q)
@@ -145,7 +176,7 @@ def _search(shared, least: float):
             ends = []
             for i in range(0, len(q), 256):
                 part = q[i : i + 256]
-                a, b = np.nonzero(quantiser.distances(part, which, codes) <= limit)
+                a, b = np.nonzero(quantiser.distances(part, which, codes) <= limit if quantiser else part @ y.T >= least - 1e-9)
                 other = own[i + a] != ids[b]
                 a, b = a[other], b[other]
                 ok = np.einsum("ij,ij->i", part[a], y[b]) >= least
@@ -172,34 +203,39 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, probes: int = PROBES, t
     e = F.col("embedding")
     sound = F.col("vec_id").isNotNull() & e.isNotNull() & F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists(e, lambda x: x != 0)
     rows = vectors.select("vec_id", e.cast("array<double>").alias("embedding")).withColumn("sound", F.coalesce(sound, F.lit(False)))
-    sizes = rows.where("sound").groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    loose = lambda df: df.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    if sizes is None:
-        return loose(rows)
-    good = F.col("sound") & (F.size("embedding") == sizes.d)
-    reps = table(rows.where(good).groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "vectors")
-    sample = reps.orderBy(F.xxhash64("rep"), "rep").limit(train).select("embedding").toArrow().column("embedding").combine_chunks().flatten().to_numpy()
-    sample = np.asarray(sample, np.float64).reshape(-1, sizes.d)
-    shared = spark.sparkContext.broadcast(Quantiser(sample, max(1, min(reps.count() // LIST, len(sample) // 16))))
-    index = table(reps.mapInArrow(_encode(shared, probes), "rep long, copies long, own int, codes binary, error double, vector binary, probes array<int>"), "index")
-    asked = index.select("rep", "copies", "own", "vector", F.explode("probes").alias("list"))
+    loose = rows.where(~F.col("sound")).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+    reps = table(rows.where("sound").groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")).withColumn("d", F.size("embedding")), "vectors")
+    sizes = {r.d: r["count"] for r in reps.groupBy("d").count().collect()}
+    if not sizes:
+        return loose
+    trained = {}
+    for d, n in sizes.items():
+        if n > CODES:
+            sample = reps.where(F.col("d") == d).orderBy(F.xxhash64("rep"), "rep").limit(train).select("embedding").toArrow().column("embedding").combine_chunks().flatten().to_numpy()
+            sample = _unit(np.asarray(sample, np.float64).reshape(-1, d))
+            held, others = np.split(sample, [len(sample) // 10])
+            quantiser = Quantiser(others, max(1, min(n // LIST, len(sample) // 16)))
+            trained[d] = (quantiser, max(probes, quantiser.enough(held, others, least, REACH)))
+    shared = spark.sparkContext.broadcast(trained)
+    index = table(reps.mapInArrow(_encode(shared), "d int, rep long, copies long, own int, codes binary, error double, vector binary, probes array<int>"), "index")
+    asked = index.select("d", "rep", "copies", "own", "vector", F.explode("probes").alias("list"))
     index = index.withColumn("list", F.col("own"))
-    held = index.groupBy("list").agg(F.ceil(F.count("*") / INDEXED).cast("int").alias("across"))
-    visits = asked.groupBy("list").agg(F.ceil(F.count("*") / ASKED).cast("int").alias("down"))
-    blocks = held.join(visits, "list")
+    held = index.groupBy("d", "list").agg(F.ceil(F.count("*") / INDEXED).cast("int").alias("across"))
+    visits = asked.groupBy("d", "list").agg(F.ceil(F.count("*") / ASKED).cast("int").alias("down"))
+    blocks = held.join(visits, ["d", "list"])
     part = lambda c: F.pmod(F.xxhash64("rep"), F.col(c)).cast("int")
     every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    columns = ["list", "i", "j", "asked", "rep", "copies", "own", "codes", "error", "vector", "probes"]
+    columns = ["d", "list", "i", "j", "asked", "rep", "copies", "own", "codes", "error", "vector", "probes"]
     nothing = {"codes": F.lit(None).cast("binary"), "error": F.lit(None).cast("double"), "probes": F.lit(None).cast("array<int>")}
-    left = index.join(blocks, "list").withColumn("i", part("across")).withColumn("j", every("down")).withColumn("asked", F.lit(False)).select(*columns)
-    right = asked.join(blocks, "list").withColumn("j", part("down")).withColumn("i", every("across")).withColumn("asked", F.lit(True)).withColumns(nothing).select(*columns)
-    found = table(left.unionByName(right).groupBy("list", "i", "j").applyInPandas(_search(shared, least), "u long, v long, n long"), "found")
+    left = index.join(blocks, ["d", "list"]).withColumn("i", part("across")).withColumn("j", every("down")).withColumn("asked", F.lit(False)).select(*columns)
+    right = asked.join(blocks, ["d", "list"]).withColumn("j", part("down")).withColumn("i", every("across")).withColumn("asked", F.lit(True)).withColumns(nothing).select(*columns)
+    found = table(left.unionByName(right).groupBy("d", "list", "i", "j").applyInPandas(_search(shared, least), "u long, v long, n long"), "found")
     comp = components(found.select("u", "v"))
     links = found.groupBy(F.col("u").alias("rep")).agg(F.sum("n").alias("n"))
     whole = reps.join(links, "rep", "left").join(comp.withColumnRenamed("id", "rep"), "rep", "left")
     whole = whole.select("embedding", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("component_id", "rep").alias("component_id"))
-    joined = rows.where(good).join(whole, "embedding").select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
-    return joined.union(loose(rows.where(~good)))
+    joined = rows.where("sound").join(whole, "embedding").select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
+    return joined.union(loose)
 
 
 def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -329,6 +329,23 @@ def test_embeddings_links_have_two_ends(spark, monkeypatch):
     assert all(r.n_links == size[r.component_id] - 1 for r in rows)
 
 
+def test_embeddings_probes_rise_until_pairs_are_reached(spark, monkeypatch):
+    x, y = _rounds(600, 32, np.random.default_rng(5))
+    d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(np.concatenate([x, y]))], "vec_id long, embedding array<double>").repartition(3)
+    monkeypatch.setattr(embeddings, "LIST", 16)
+    assert embeddings.near_vectors(d, probes=1).where("n_links > 0").count() >= 0.95 * 1200
+
+
+def test_embeddings_link_in_every_dimension(spark):
+    rng = np.random.default_rng(6)
+    groups = [np.concatenate(_rounds(n, k, rng)) for n, k in ((90, 16), (60, 12), (5, 7))]  # 120 vectors train a quantiser, 10 do not
+    rows = [v for g in groups for v in g.tolist()]
+    d = spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<double>").repartition(3)
+    near = {(i, j) for i in range(len(rows)) for j in range(len(rows)) if i != j and len(rows[i]) == len(rows[j]) and np.dot(rows[i], rows[j]) >= 0.9 * np.linalg.norm(rows[i]) * np.linalg.norm(rows[j])}
+    degree = Counter(i for i, _ in near)
+    assert {r.vec_id: r.n_links for r in embeddings.near_vectors(d).collect()} == {i: degree[i] for i in range(len(rows))}
+
+
 def test_chat(spark):
     rows = [
         (1, 0, "system", "be | \\ brief", 9), (1, 1, "user", "<|turn|>x<|text|>y<|end|>", 9), (1, 2, "assistant", "\\|<|end|>\\", 9), (1, 3, "user", None, 9), (1, 4, "assistant", "", 9),
