@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -260,14 +262,38 @@ def go_enrich_length_bias(closure: DataFrame, foreground: DataFrame, lengths: Da
 
 
 def expr_pattern_pairs(a: DataFrame, b: DataFrame, least_change: float, least_r: float) -> DataFrame:
-    """Pairs of series (id, x) that change enough and correlate: series meet in buckets by the signs of their steps."""
+    """Pairs of series (id, x) of one length that change enough and correlate.
+
+    Of series scaled to mean 0 and norm 1, those with r >= t lie within sqrt(2 (1 - t)), and so do their first three cosine
+    coefficients: series meet in grid cells of that width and the cells around. Series with gaps (null) have no such bound
+    and meet all of their length.
+    """
     from strandloom.operators.vectors import pearson
 
-    def ready(df, p):
-        x = F.col("x").cast("array<double>")
-        moved = df.where(F.array_max(x) - F.array_min(x) >= least_change)
-        steps = F.transform(F.sequence(F.lit(1), F.size(x) - 1), lambda i: F.signum(F.get(x, i) - F.get(x, i - 1)).cast("int").cast("string"))
-        return moved.select(F.col("id").alias(p), x.alias("x" + p), F.array_join(steps, "").alias("s"))
+    x, n = F.col("x"), F.size("x")
+    wide = math.sqrt(2 * max(0.0, 1 - least_r + 5e-5)) * (1 + 1e-6) + 1e-6  # r is rounded to 4 digits
+    add = lambda c: F.aggregate(c, F.lit(0.0), lambda s, q: s + q)
 
-    j = ready(a, "a").join(ready(b, "b"), "s").where("a <> b")
-    return j.withColumn("r", F.round(pearson(F.col("xa"), F.col("xb")), 4)).where(F.col("r") >= least_r).select("a", "b", "r")
+    def ready(df, p):
+        moved = df.select("id", x.cast("array<double>").alias("x")).where(F.array_max(x) - F.array_min(x) >= least_change)
+        moved = moved.withColumn("gaps", F.exists(x, lambda q: q.isNull())).withColumn("norm", let(add(x) / n, lambda m: F.sqrt(add(F.transform(x, lambda q: (q - m) * (q - m))))))
+        wave = lambda k: F.sqrt(2 / n) * add(F.transform(x, lambda q, i: q * F.cos(math.pi * k * (i + 0.5) / n)))
+        cell = lambda k: F.floor(F.try_divide(wave(k), F.col("norm")) / wide)
+        return moved.select(F.col("id").alias(p), x.alias("x" + p), n.alias("n"), "gaps", *[cell(k).alias(f"c{k}") for k in (1, 2, 3)])
+
+    def near(df):
+        for k in (1, 2, 3):
+            df = df.withColumn(f"c{k}", F.explode(F.sequence(F.col(f"c{k}") - 1, F.col(f"c{k}") + 1)))
+        return df
+
+    def against_all(gaps, rest, p, deal=64):
+        """Pairs of few series and all of a length, dealt out by the rest's ids."""
+        q = rest.withColumn("deal", F.pmod(F.xxhash64(p), F.lit(deal)).cast("int"))
+        return gaps.withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(deal - 1)))).join(q, ["n", "deal"]).select("a", "xa", "b", "xb")
+
+    cols = ["n", "c1", "c2", "c3"]
+    l, r = ready(a, "a"), ready(b, "b")
+    whole = l.where("not gaps").drop("gaps").join(near(r.where("not gaps").drop("gaps")), cols).select("a", "xa", "b", "xb")
+    bare = lambda df: df.drop("gaps", *cols[1:])
+    j = whole.union(against_all(bare(l.where("gaps")), bare(r), "b")).union(against_all(bare(r.where("gaps")), bare(l.where("not gaps")), "a")).where("a <> b")
+    return j.withColumn("r", F.round(pearson(F.col("xa"), F.col("xb")), 4)).where((F.col("r") >= least_r) & ~F.isnan("r")).select("a", "b", "r")

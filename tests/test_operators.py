@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -158,3 +159,22 @@ def test_islands_cover_their_members(spark):
     d = frame(spark, [("c", 0, 10), ("c", 2, 4), ("c", 9, 12), ("c", 13, 20), ("d", 0, 1)], "chrom string, beg int, end int")
     got = {(r.chrom, r.beg, r.end, r.hits) for r in quant.hit_windows_merge(d, ["chrom"]).collect()}
     assert got == {("c", 0, 12, 3), ("c", 13, 20, 1), ("d", 0, 1, 1)}
+
+
+def test_expr_pattern_pairs_by_brute_force(spark):
+    rng = np.random.default_rng(3)
+    base = np.repeat(rng.normal(size=(20, 6)) * 5, 6, axis=0)
+    x = [[round(v, 3) for v in s] for s in (base + rng.normal(size=base.shape) * 0.7).tolist()]
+    x += [[0.0, 5.0, 5.0, 9.0, 2.0, 7.0], [0.0, 5.0, 5.1, 9.0, 2.0, 7.0], [0.0, 5.0, 4.9, 9.0, None, 7.0], [3.0] * 6, [1.0, 7.0, 8.0, 20.0], [1.0, 7.0, 7.0, 20.0], None]
+    want = {}
+    for i, p in enumerate(x):
+        for j, q in enumerate(x):
+            if i != j and p and q and len(p) == len(q) and all(max(v for v in s if v is not None) - min(v for v in s if v is not None) >= 5 for s in (p, q)):
+                both = np.array([(u, v) for u, v in zip(p, q, strict=True) if u is not None and v is not None])
+                r = round(float(np.corrcoef(both.T)[0, 1]), 4)
+                if r >= 0.95:
+                    want[i, j] = r
+    d = spark.createDataFrame(list(enumerate(x)), "id long, x array<double>").repartition(3)
+    rows = stats.expr_pattern_pairs(d, d, 5.0, 0.95).collect()
+    assert len(rows) == len(want) > 100 and (120, 121) in want and (121, 122) in want
+    assert {(r.a, r.b): r.r for r in rows} == pytest.approx(want, abs=1e-4)
