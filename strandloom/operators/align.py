@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandloom.functions.seq import hamming, kmers, letters, once, reverse_complement
+from strandloom.operators.stats import hypergeom_tail
 
 
 def ref_windows(refs: DataFrame, lengths: list[int], both: bool = True) -> DataFrame:
@@ -182,3 +183,19 @@ def phase_register(aln: DataFrame, register: int = 21, width: int = 252) -> Data
     p = aln.select("chrom", "pos").distinct().withColumn("w", F.floor(F.col("pos") / width))
     by = p.groupBy("chrom", "w", (F.col("pos") % register).alias("r")).agg(F.count("*").alias("k"))
     return by.groupBy("chrom", "w").agg(F.sum("k").alias("positions"), F.max("k").alias("phased"))
+
+
+def phase_windows(aln: DataFrame, abundance: int = 2, most_p: float = 0.001, lengths: tuple[int, int] = (20, 26), register: int = 21, width: int = 252) -> DataFrame:
+    """Windows that begin at a read's position and are phased on it: chrom, start, positions, phased, p.
+
+    aln: chrom, pos, len, n. Reads of the lengths count, at positions of at least ``abundance`` reads. p is the
+    hypergeometric tail of so many of the window's positions on the register of its first one; windows up to ``most_p``
+    are kept. No border between windows splits a locus.
+    """
+    p = aln.where(F.col("len").between(*lengths)).groupBy("chrom", "pos").agg(F.sum("n").alias("n")).where(F.col("n") >= abundance).select("chrom", "pos", F.floor(F.col("pos") / width).alias("bin"))
+    first = p.select("chrom", F.col("pos").alias("start"), F.explode(F.array("bin", F.col("bin") + 1)).alias("bin"))
+    j = p.join(first, ["chrom", "bin"]).withColumn("at", F.col("pos") - F.col("start")).where((F.col("at") >= 0) & (F.col("at") < width))
+    w = j.groupBy("chrom", "start").agg(F.count("*").alias("positions"), F.count_if(F.col("at") % register == 0).alias("phased"))
+    # a draw of all positions from the window's places, of which one in register is good
+    w = w.withColumn("slots", F.lit((width - 1) // register + 1)).withColumn("places", F.lit(width))
+    return hypergeom_tail(w, "phased", "positions", "slots", "places").where(F.col("p") <= most_p).select("chrom", "start", "positions", "phased", F.round("p", 10).alias("p"))

@@ -86,6 +86,7 @@ QUERIES = {
     "hamming_stats": (lambda s, d: a.hamming_stats(view(s, d).select("read_id", F.substring("seq", 1, 9).alias("a"), F.substring("seq", 10, 9).alias("b"))).select("read_id", "mism", "wobbles", "last"), f"WITH {READS}, x AS (SELECT read_id, substr(seq, 1, 9) AS a, substr(seq, 10, 9) AS b FROM reads), y AS (SELECT *, list_filter(list_transform(range(1, 10), lambda i: substr(a, i, 1) || substr(b, i, 1)), lambda p: substr(p, 1, 1) <> substr(p, 2, 1)) AS z FROM x) SELECT read_id, CAST(len(z) AS INT) AS mism, CAST(len(list_filter(z, lambda p: p IN ('CT', 'TC', 'AG', 'GA'))) AS INT) AS wobbles, right(a, 1) <> right(b, 1) AS last FROM y"),
     "name_compat_pairs": (lambda s, d: a.name_compat_pairs(read(s, d, "part").select(F.concat(F.lit("MIR"), F.col("p_partkey") % 40, F.when(F.col("p_size") % 2 == 0, "-5p").otherwise("*")).alias("id"), F.col("p_partkey").cast("string").alias("seq")), read(s, d, "supplier").select(F.concat(F.lit("mir"), F.col("s_suppkey") % 60, F.lit("a")).alias("id"))), "WITH m AS (SELECT 'MIR' || (p_partkey % 40) || CASE WHEN p_size % 2 = 0 THEN '-5p' ELSE '*' END AS mature, 'mir' || (p_partkey % 40) AS x FROM part), h AS (SELECT 'mir' || (s_suppkey % 60) || 'a' AS hairpin FROM supplier) SELECT mature, hairpin FROM m JOIN h ON hairpin = x || 'a'"),
     "phase_register": (lambda s, d: a.phase_register(read(s, d, "lineitem").select((F.col("l_suppkey") % 10).alias("chrom"), F.col("l_partkey").alias("pos"))), "WITH p AS (SELECT DISTINCT l_suppkey % 10 AS chrom, l_partkey AS pos FROM lineitem), b AS (SELECT chrom, pos // 252 AS w, pos % 21 AS r, count(*) AS k FROM p GROUP BY ALL) SELECT chrom, w, CAST(sum(k) AS BIGINT) AS positions, max(k) AS phased FROM b GROUP BY 1, 2"),
+    "phase_windows": (lambda s, d: a.phase_windows(read(s, d, "lineitem").select((F.col("l_suppkey") % 10).alias("chrom"), F.col("l_partkey").alias("pos"), (F.col("l_linenumber") + 18).alias("len"), F.col("l_quantity").cast("long").alias("n")), abundance=20, most_p=0.1), None),
     "ids_subset": (lambda s, d: read(s, d, "orders").join(read(s, d, "lineitem").where("l_quantity = 50").select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey", "left_semi").select("o_orderkey", "o_custkey"), "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity = 50)"),
     "species_prefix_filter": (lambda s, d: read(s, d, "part").join(F.broadcast(s.createDataFrame([("STANDARD",), ("SMALL",)], "prefix string")), F.split_part(F.col("p_type"), F.lit(" "), F.lit(1)) == F.col("prefix"), "left_semi").select("p_partkey", "p_type"), "SELECT p_partkey, p_type FROM part WHERE split_part(p_type, ' ', 1) IN ('STANDARD', 'SMALL')"),
     "fasta_tag_select": (lambda s, d: read(s, d, "documents").where(F.col("text").rlike("(?i)tion")).select("doc_id"), "SELECT doc_id FROM documents WHERE regexp_matches(text, '(?i)tion')"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -178,3 +179,26 @@ def test_expr_pattern_pairs_by_brute_force(spark):
     rows = stats.expr_pattern_pairs(d, d, 5.0, 0.95).collect()
     assert len(rows) == len(want) > 100 and (120, 121) in want and (121, 122) in want
     assert {(r.a, r.b): r.r for r in rows} == pytest.approx(want, abs=1e-4)
+
+
+def test_phase_windows_by_brute_force(spark):
+    rng = np.random.default_rng(8)
+    rows = [("x", 200 + 21 * i, 21, 3) for i in range(10)]  # phased across position 252
+    rows += [("x", 5000 + 21 * i, 21, 1) for i in range(10)] + [("x", 9000 + 21 * i, 30, 9) for i in range(10)]  # too few reads; too long
+    rows += [("y", int(k), int(rng.integers(18, 29)), int(rng.integers(1, 5))) for k in rng.integers(0, 1500, 400)] + [("y", 210, 24, 1), ("y", 210, 20, 1)]
+    n = Counter()
+    for c, pos, size, k in rows:
+        n[c, pos] += k if 20 <= size <= 26 else 0
+    held = [k for k, v in n.items() if v >= 2]
+    want = {}
+    for c, start in held:
+        at = [p - start for d, p in held if d == c and 0 <= p - start < 252]
+        k = sum(x % 21 == 0 for x in at)
+        tail = sum(math.comb(12, i) * math.comb(240, len(at) - i) for i in range(k, min(12, len(at)) + 1)) / math.comb(252, len(at))
+        p = 1.0 if k * 252 < len(at) * 12 else tail
+        if p <= 0.05:
+            want[c, start] = (len(at), k, p)
+    got = align.phase_windows(spark.createDataFrame(rows, "chrom string, pos long, len int, n long"), most_p=0.05).collect()
+    assert ("x", 200) in want and want["x", 200][:2] == (10, 10)
+    assert {(r.chrom, r.start): (r.positions, r.phased) for r in got} == {k: v[:2] for k, v in want.items()}
+    assert {(r.chrom, r.start): r.p for r in got} == pytest.approx({k: v[2] for k, v in want.items()}, abs=1e-9)
