@@ -13,12 +13,11 @@ from pyspark.sql.types import DoubleType
 from strandloom.functions.seq import let
 
 
-def with_ln_factorials(df: DataFrame, most: Column) -> DataFrame:
-    """df with ``lf``: ln(i!) for i from 0 to the largest value of ``most`` (one row, broadcast)."""
-    top = df.agg(F.max(most).cast("int").alias("top"))
-    logs = top.select(F.transform(F.sequence(F.lit(1), F.greatest("top", F.lit(1))), lambda i: F.ln(i.cast("double"))).alias("l"))
-    sums = F.aggregate("l", F.array(F.lit(0.0)), lambda s, x: F.concat(s, F.array(F.element_at(s, -1) + x)))
-    return df.crossJoin(F.broadcast(logs.select(sums.alias("lf"))))
+def ln_factorial(i: Column) -> Column:
+    """ln(i!) of a whole number: exact below 16, then Stirling's series of ln(gamma(i + 1))."""
+    x = i.cast("double") + 1
+    few = F.get(F.array(*[F.lit(math.lgamma(k + 1)) for k in range(16)]), F.least(i, F.lit(15)).cast("int"))
+    return F.when(i < 16, few).otherwise((x - 0.5) * F.ln(x) - x + math.log(2 * math.pi) / 2 + 1 / (12 * x) - 1 / (360 * x * x * x) + 1 / (1260 * x * x * x * x * x) - 1 / (1680 * x * x * x * x * x * x * x))
 
 
 def _tail(terms: Column) -> Column:
@@ -27,26 +26,23 @@ def _tail(terms: Column) -> Column:
 
 
 def _choose(n: Column, k: Column) -> Column:
-    at = lambda i: F.get("lf", i.cast("int"))
-    return at(n) - at(k) - at(n - k)
+    return ln_factorial(n) - ln_factorial(k) - ln_factorial(n - k)
 
 
 def binomial_tail(df: DataFrame, n: str, r: str, p: float) -> DataFrame:
     """P(X >= r) of n trials at rate p."""
-    d = with_ln_factorials(df, F.col(n))
     term = lambda i: _choose(F.col(n), i) + i * F.ln(F.lit(p)) + (F.col(n) - i) * F.ln(F.lit(1 - p))
     terms = F.when(F.col(r) <= F.col(n), F.transform(F.sequence(F.col(r), F.col(n)), term)).otherwise(F.array().cast("array<double>"))
-    return d.withColumn("p", F.when(F.col(r) <= 0, 1.0).otherwise(_tail(terms))).drop("lf")
+    return df.withColumn("p", F.when(F.col(r) <= 0, 1.0).otherwise(_tail(terms)))
 
 
 def hypergeom_tail(df: DataFrame, k: str, n: str, big_k: str, big_n: str) -> DataFrame:
     """P(X >= k) drawing n of big_n with big_k good ones; 1 where k is below expectation."""
-    d = with_ln_factorials(df, F.col(big_n))
     c = F.col
     term = lambda i: _choose(c(big_k), i) + _choose(c(big_n) - c(big_k), c(n) - i) - _choose(c(big_n), c(n))
     top = F.least(c(n), c(big_k))
     terms = F.when(c(k) <= top, F.transform(F.sequence(F.greatest(c(k), c(n) - (c(big_n) - c(big_k))), top), term)).otherwise(F.array().cast("array<double>"))
-    return d.withColumn("p", F.when(c(k) * c(big_n) < c(n) * c(big_k), 1.0).otherwise(_tail(terms))).drop("lf")
+    return df.withColumn("p", F.when(c(k) * c(big_n) < c(n) * c(big_k), 1.0).otherwise(_tail(terms)))
 
 
 def normal_tail(z: Column) -> Column:

@@ -202,3 +202,11 @@ def test_phase_windows_by_brute_force(spark):
     assert ("x", 200) in want and want["x", 200][:2] == (10, 10)
     assert {(r.chrom, r.start): (r.positions, r.phased) for r in got} == {k: v[:2] for k, v in want.items()}
     assert {(r.chrom, r.start): r.p for r in got} == pytest.approx({k: v[2] for k, v in want.items()}, abs=1e-9)
+
+
+def test_hypergeom_tail_of_small_and_huge_counts(spark):
+    rows = [(k, n, 40, 100) for n in (1, 17, 60) for k in (0, 1, 8, 15, 30) if k <= n] + [(3, 5, 10**9, 3 * 10**9)]
+    tail = lambda k, n, g, t: sum(math.comb(g, i) * math.comb(t - g, n - i) for i in range(k, min(n, g) + 1)) / math.comb(t, n)
+    got = {(r.k, r.n, r.g, r.t): r.p for r in stats.hypergeom_tail(frame(spark, rows, "k long, n long, g long, t long"), "k", "n", "g", "t").collect()}
+    for r in rows:
+        assert got[r] == pytest.approx(1.0 if r[0] * r[3] < r[1] * r[2] else tail(*r), rel=1e-4 if r[3] > 100 else 1e-9)
