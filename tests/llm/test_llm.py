@@ -322,8 +322,8 @@ def test_embeddings_links_have_two_ends(spark, monkeypatch):
     x, y = _rounds(300, 32, np.random.default_rng(4))
     d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(np.concatenate([x, y, y[:9]]))], "vec_id long, embedding array<double>").repartition(3)
     monkeypatch.setattr(embeddings, "LIST", 16)
-    monkeypatch.setattr(embeddings, "REACH", 0.0, raising=False)  # one probe: many pairs are found from one end only
-    rows = embeddings.near_vectors(d, probes=1).collect()
+    monkeypatch.setattr(embeddings, "REACH", 0.0, raising=False)  # two probes: many pairs are found from one end only
+    rows = embeddings.near_vectors(d, probes=2).collect()
     size = Counter(r.component_id for r in rows)
     assert sum(n > 1 for n in size.values()) > 100
     assert all(r.n_links == size[r.component_id] - 1 for r in rows)
