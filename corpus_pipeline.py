@@ -2,14 +2,19 @@
 
 toxicity drops what the classifier rejects; minhash keeps one document of each near-duplicate group; substring cuts
 passages that repeat; decontamination drops what holds a benchmark item; packing returns the pieces of the rest.
+
+All stages but the last return the columns of the documents, whatever else they hold and however their columns are named. Null
+and empty texts are clean: they link with nothing, lose nothing and become pieces of one end mark. Repeated rows are copies: one
+of those with equal id and text stays. Ties go to the least doc_id. An empty table gives no pieces. A very long text is held
+whole by one task of each stage (see textarrays). What a stage wrote for itself is deleted when its result is written.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strandloom.functions.scratch import result, scope
 from strandloom.llm import decontaminate, minhash, packing, substring, toxicity
-from strandloom.llm.scratch import table
 
 STAGES = [
     ("toxicity", toxicity.stage),
@@ -25,6 +30,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = table(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-    return docs
+    with scope(spark):
+        for name, stage in STAGES[:-1]:
+            with scope(spark):
+                docs = result(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        name, stage = STAGES[-1]
+        return result(stage(spark, docs, sf_dir), name.replace(" ", "-"))

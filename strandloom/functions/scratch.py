@@ -1,27 +1,39 @@
-"""Tables that cut lineage, in the folder the cluster shares."""
+"""Tables that cut lineage, in the folder the cluster shares: ``spark.checkpoint.dir``.
+
+Where that is unset a session on one machine (master ``local``, as in tests) gets a temporary folder; any other is refused.
+"""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_OWN: list[str] = []
+_LOCAL: list[str] = []
+_SCOPES: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; only where that is unset (tests), one temporary folder per process."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
-    if not _OWN:
-        _OWN.append("file://" + tempfile.mkdtemp(prefix="spark-strandloom-"))
-    return _OWN[0]
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if not _LOCAL:
+        _LOCAL.append("file://" + tempfile.mkdtemp(prefix="spark-strandloom-"))
+    return _LOCAL[0]
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/strandloom/{name}-{uuid.uuid4().hex}"
+    """A fresh path; the innermost ``scope`` deletes it at its end."""
+    path = f"{shared_dir(spark)}/strandloom/{name}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
 
 
 def table(df: DataFrame, name: str) -> DataFrame:
@@ -29,3 +41,25 @@ def table(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def result(df: DataFrame, name: str) -> DataFrame:
+    """A table that outlives the innermost scope (and goes with the one around it, if there is one)."""
+    inner = _SCOPES.pop() if _SCOPES else None
+    try:
+        return table(df, name)
+    finally:
+        if inner is not None:
+            _SCOPES.append(inner)
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables made inside at its end; what is returned must rest on ``result`` tables or given data only."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
