@@ -3,13 +3,14 @@
 For every length of a benchmark item, the windows of so many words of a document are candidates if enough of their
 shingles can be benchmark shingles (a Bloom bitmap of fixed size, which never misses one; a window with fewer cannot
 reach the threshold). A window's SimHash is the sign of the summed bits of its shingles' hashes. Items are entered in an
-index under every value of each of ``BLOCKS`` bit blocks that is at most RADIUS // BLOCKS bits away, so any two
-fingerprints within RADIUS meet in a block for certain. Pairs that meet are verified: the sum of the least weights over
+index under their length and every value of each of ``BLOCKS`` bit blocks that is at most RADIUS // BLOCKS bits away, so any
+two fingerprints of one length within RADIUS meet in a block for certain. Pairs that meet are verified: the sum of the least weights over
 the sum of the largest weights of their shingles (five words, weighted by number of occurrences) must reach 0.8.
 
 Words are lower-cased (A-Z). A text of fewer than five words is one shingle; a document shorter than an item is a
-window of its own. Null or empty texts and items match nothing. Repeated rows are judged alike; ties of similarity go to
-the least start and then the least window. Extra columns are ignored.
+window of its own, for each length of items that it can match. Null or empty texts and items match nothing. Repeated rows are
+judged alike; ties of similarity go to the least start and then the least window. Empty tables give no rows. Extra columns of any
+name are ignored. A very long text is held whole by the task that reads it (see textarrays); its windows leave it in blocks.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import table
+from strandloom.functions.keys import without
+from strandloom.functions.scratch import result, scope, table
 from .textarrays import Words, mix, slices
 
 SHINGLE, PERCENT = 5, 80
@@ -56,7 +58,7 @@ def _probes(hashes: np.ndarray) -> list[np.ndarray]:
 
 
 def _windows(bloom, lengths):
-    """Candidate windows: doc_id, start, words, print, and the shingles of the window."""
+    """Candidate windows: doc_id, start, words, the length of the items to compare with, print, and the window's shingles."""
 
     def run(batches):
         bitmap = np.unpackbits(np.frombuffer(bloom.value, np.uint8)).astype(bool)
@@ -74,17 +76,18 @@ def _windows(bloom, lengths):
                 before = np.concatenate([[0], np.cumsum(hit)])
                 owner = words.owner()
                 last = first[1:][owner]
-                out = {"doc_id": [], "start": [], "words": [], "print": [], "shingles": []}
+                out = {"doc_id": [], "start": [], "words": [], "n_words": [], "print": [], "shingles": []}
                 ids = part.column("doc_id")
 
-                def put(starts, size, matrix, ids=ids, owner=owner, first=first, out=out):
-                    """Add windows; matrix: a row of shingle hashes for each."""
+                def put(starts, size, matrix, item=None, ids=ids, owner=owner, first=first, out=out):
+                    """Add windows; matrix: a row of shingle hashes for each; item: the items' length, if another."""
                     for i in range(0, len(starts), 1024):
                         s, m = starts[i : i + 1024], np.sort(matrix[i : i + 1024], axis=1)
                         sums = (np.unpackbits(m.view(np.uint8).reshape(*m.shape, 8), axis=2, bitorder="little").sum(axis=1, dtype=np.int32) * 2 - m.shape[1])
                         out["doc_id"] += ids.take(pa.array(owner[s])).to_pylist()
                         out["start"] += (s - first[owner[s]]).tolist()
                         out["words"] += [int(size)] * len(s)
+                        out["n_words"] += [int(item or size)] * len(s)
                         out["print"] += _sign(sums).view(np.int64).tolist()
                         out["shingles"] += [r.tobytes() for r in m]
 
@@ -111,15 +114,17 @@ def _windows(bloom, lengths):
                 for i in np.flatnonzero((counts > 0) & (counts < sizes.max(initial=0))):  # shorter than some item: itself a window
                     s, c = int(first[i]), int(counts[i])
                     if c >= SHINGLE:
-                        if before[s + c - SHINGLE + 1] > before[s]:
-                            put(np.array([s]), c, hash_at[None, s : s + c - SHINGLE + 1])
+                        held = before[s + c - SHINGLE + 1] - before[s]
+                        for size in sizes[sizes > c]:
+                            if 100 * held >= PERCENT * (size - SHINGLE + 1):  # its shingles can reach the share
+                                put(np.array([s]), c, hash_at[None, s : s + c - SHINGLE + 1], size)
                 if out["doc_id"]:
                     yield pa.RecordBatch.from_pydict(out, schema=_WINDOW)
 
     return run
 
 
-_WINDOW = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("words", pa.int32()), ("print", pa.int64()), ("shingles", pa.binary())])
+_WINDOW = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("words", pa.int32()), ("n_words", pa.int32()), ("print", pa.int64()), ("shingles", pa.binary())])
 
 
 def _counted(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -151,24 +156,26 @@ def _masks() -> list[int]:
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, start, words, similarity): the best window of every document and item with 0.8 or more."""
-    spark = docs.sparkSession
-    items = table(benchmark.select("item_id", "text").mapInArrow(_items, "item_id long, n_words int, item_print long, item_shingles binary"), "items")
+    with scope(docs.sparkSession):
+        return result(_matches(docs.select("doc_id", "text"), benchmark.select("item_id", "text")), "matches")
+
+
+def _matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    items = table(benchmark.mapInArrow(_items, "item_id long, n_words int, item_print long, item_shingles binary"), "items")
     bloom = _bloom(items)
     lengths = sorted(r.n_words for r in items.select("n_words").distinct().collect())
-    sc = spark.sparkContext
-    found = docs.select("doc_id", "text").mapInArrow(_windows(sc.broadcast(bloom), sc.broadcast(lengths)), "doc_id long, start int, words int, print long, shingles binary")
-    found = table(found, "windows")
+    sc = docs.sparkSession.sparkContext
+    kind = "doc_id long, start int, words int, n_words int, print long, shingles binary"
+    found = table(docs.mapInArrow(_windows(sc.broadcast(bloom), sc.broadcast(lengths)), kind), "windows")
     block = lambda c, k: F.shiftrightunsigned(c, k * BLOCK_BITS).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)).cast("int")
     keys = lambda c: F.explode(F.array(*[F.struct(F.lit(k).alias("k"), block(F.col(c), k).alias("v")) for k in range(BLOCKS)])).alias("b")
-    masks = F.array(*[F.lit(m) for m in _masks()]) if len(_masks()) < 200 else None
-    near = spark.createDataFrame([(m,) for m in _masks()], "m int") if masks is None else None
-    entered = items.select("item_id", "item_print", keys("item_print")).join(F.broadcast(near), F.lit(True)) if near is not None else items.select("item_id", "item_print", keys("item_print"), F.explode(masks).alias("m"))
-    entered = entered.select("item_id", "item_print", F.col("b.k").alias("k"), F.col("b.v").bitwiseXOR(F.col("m")).alias("v"))
+    near = F.explode(F.from_json(F.lit(str(_masks())), "array<int>")).alias("m")
+    entered = items.select("item_id", "n_words", "item_print", keys("item_print")).select("*", near)
+    entered = entered.select("item_id", "n_words", "item_print", F.col("b.k").alias("k"), F.col("b.v").bitwiseXOR(F.col("m")).alias("v"))
     # equal windows (copies of a passage) meet the index once
-    prints = found.select("print").distinct().select("print", keys("print")).select("print", F.col("b.k").alias("k"), F.col("b.v").alias("v"))
-    met = prints.join(entered, ["k", "v"]).where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS).select("print", "item_id").distinct()
-    small = items.select("item_id", "n_words", "item_shingles")
-    pairs = found.join(met, "print").join(small, "item_id").where((F.col("words") == F.col("n_words")) | (F.col("words") < F.col("n_words")))
+    prints = found.select("print", "n_words").distinct().select("print", "n_words", keys("print")).select("print", "n_words", F.col("b.k").alias("k"), F.col("b.v").alias("v"))
+    met = prints.join(entered, ["n_words", "k", "v"]).where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS).select("print", "n_words", "item_id").distinct()
+    pairs = found.join(met, ["print", "n_words"]).join(items.select("item_id", "item_shingles"), "item_id")
     sims = pairs.select("doc_id", "start", "words", "item_id", "shingles", "item_shingles").mapInArrow(_similar, "doc_id long, start int, words int, item_id long, similarity double")
     best = F.max(F.struct("similarity", (-F.col("start")).alias("s"), (-F.col("words")).alias("w")))
     got = sims.where(F.col("similarity") >= PERCENT / 100).groupBy("doc_id", "item_id").agg(best.alias("b"))
@@ -198,6 +205,6 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline: documents that hold a benchmark item go."""
+    """Pipeline: documents that hold a benchmark item go; null and empty texts stay, columns of any name go through."""
     found = matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    return without(docs, "doc_id", found.select("doc_id"))

@@ -6,12 +6,14 @@
 * Documents with equal sets share a digest and become one representative before anything is paired.
 * In each band bucket, members are paired with one hub only (the member that shares most buckets), which makes m - 1
   pairs of m members. What passes the sketch is confirmed on the full sets of both texts.
-* The rest is exact: members of buckets that still hold several components are compared across components, in blocks,
-  by finer odd sketches and then on their full sets.
+* The rest is exact: in every bucket that still holds several components, the members outside its largest one are compared
+  with the bucket's members of other components, in blocks of both sides, by finer odd sketches. What those pass is
+  confirmed on full sets, which travel once to each block of pairs.
 
 A pair at the threshold shares no band with probability under 1e-5. Null and empty texts have an empty set and link
 with nothing; a text under five words is one shingle. Repeated rows are copies of each other. A null doc_id never
-represents a group unless all its ids are null. Extra columns are ignored.
+represents a group unless all its ids are null. Extra columns are ignored. A very long text is one set, held whole by the task
+that reads it (about 15 bytes a byte, see textarrays). Ties between hubs go to the least id. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -25,19 +27,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandloom.functions.components import components
-from .scratch import table
+from strandloom.functions.keys import matching, without
+from strandloom.functions.scratch import result, scope, table
 from .textarrays import Words, mix, slices
 
 SAMPLES, ROWS, BANDS, BITS = 128, 4, 25, 512
 FINE_SAMPLES, FINE_BITS = 512, 2048
-#: Shingles of a block of the exact search.
-BLOCK = 250_000
+#: Members of one side of a block of the exact search, rows of a task of small blocks, and shingles of a task of sets.
+SIDE, PACK, BLOCK = 2000, 20_000, 250_000
 SLICE = 1 << 18
 
 
-def _sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (text, shingle hash), ordered by text and hash."""
-    text, h = Words(texts, lower=True).shingles(5)
+def _sets(texts: pa.Array, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (text, shingle hash), ordered by text and hash; what confirms takes another seed than what finds."""
+    text, h = Words(texts, lower=True, seed=seed).shingles(5)
     order = np.argsort(h)
     order = order[np.argsort(text[order].astype(np.uint32), kind="stable")]
     text, h = text[order], h[order]
@@ -97,12 +100,18 @@ def _features(batches):
 def _fine(batches):
     for batch in batches:
         for part in slices(batch, "text", SLICE):
-            text, h = _sets(part.column("text"))
+            text, h = _sets(part.column("text"), 1)
             if len(h):  # only texts with shingles come here
                 full = np.unique(text)
                 cut = np.append(np.searchsorted(text, full), len(h))
                 odd = _odd(_samples(h, cut[:-1], FINE_SAMPLES), FINE_BITS)
-                yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(full)), pa.array(np.bincount(text)[full], pa.int64()), pa.array([r.tobytes() for r in odd], pa.binary()), pa.array([h[i:j].tobytes() for i, j in zip(cut[:-1], cut[1:], strict=True)], pa.binary())], ["id", "n", "fine", "set"])
+                values = {
+                    "id": part.column("id").take(pa.array(full)),
+                    "n": pa.array(np.bincount(text)[full], pa.int64()),
+                    "fine": pa.array([r.tobytes() for r in odd], pa.binary()),
+                    "set": pa.array([h[i:j].tobytes() for i, j in zip(cut[:-1], cut[1:], strict=True)], pa.binary()),
+                }
+                yield pa.RecordBatch.from_arrays(list(values.values()), list(values))
 
 
 def _confirm(percent: int):
@@ -111,7 +120,7 @@ def _confirm(percent: int):
             for part in slices(batch, "text_u", SLICE):
                 sides = []
                 for c in ("text_u", "text_v"):
-                    pair, h = _sets(part.column(c))
+                    pair, h = _sets(part.column(c), 1)
                     sides.append((pair, h ^ mix(pair.astype(np.uint64) + np.uint64(1))))
                 (pu, ku), (pv, kv) = sides
                 m = part.num_rows
@@ -141,66 +150,110 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return rows.select("u", "v", "text_u", "text_v").mapInArrow(_confirm(percent), "u long, v long").distinct()
 
 
-def _links(most: int, percent: int):
-    """Of a block: links between the asked rows and the base rows of other components, one for each two components."""
+def _near(most: int, percent: int):
+    """Of some blocks: pairs of an asked and a base member of other components whose sketches are near, with the distance."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        asked, base = rows[rows.asked], rows[~rows.asked]
-        out, joined = [], set()
-        if len(asked) and len(base):
-            x, y = (np.frombuffer(b"".join(s.fine), np.uint64).reshape(len(s), -1) for s in (asked, base))
-            xi, yi, xc, yc, xn, yn = asked.id.to_numpy(), base.id.to_numpy(), asked.comp.to_numpy(), base.comp.to_numpy(), asked.n.to_numpy(), base.n.to_numpy()
-            xs, ys = ([np.frombuffer(b, np.uint64) for b in s.set] for s in (asked, base))
-            for i in range(len(x)):
-                rest = np.flatnonzero((yc != xc[i]) & (100 * np.minimum(yn, xn[i]) >= percent * np.maximum(yn, xn[i])))
-                differ = np.bitwise_count(x[i] ^ y[rest]).sum(axis=1, dtype=np.int64)
-                near = np.flatnonzero(differ <= most)
-                for j in rest[near[np.argsort(differ[near], kind="stable")]]:
-                    two = (min(xc[i], yc[j]), max(xc[i], yc[j]))
-                    if two in joined:
-                        continue
-                    at = np.searchsorted(ys[j], xs[i])
-                    both = int((ys[j][np.minimum(at, len(ys[j]) - 1)] == xs[i]).sum())
-                    if 100 * both >= percent * (int(xn[i]) + int(yn[j]) - both):
-                        joined.add(two)
-                        out.append((min(xi[i], yi[j]), max(xi[i], yi[j])))
+        rows = rows.sort_values(["key", "i", "j"], kind="stable")
+        x = np.frombuffer(b"".join(rows.fine), np.uint64).reshape(len(rows), -1)
+        ids, comp, n, asked, keys = (rows[c].to_numpy() for c in ("id", "comp", "n", "asked", "key"))
+        place = rows[["key", "i", "j"]].to_numpy()
+        cut = np.flatnonzero(np.append(True, (place[1:] != place[:-1]).any(axis=1)))
+        out = []
+        for a, b in zip(cut, np.append(cut[1:], len(rows)), strict=True):
+            base = a + np.flatnonzero(~asked[a:b])
+            for i in a + np.flatnonzero(asked[a:b]):
+                rest = base[(comp[base] != comp[i]) & (100 * np.minimum(n[base], n[i]) >= percent * np.maximum(n[base], n[i]))]
+                if len(rest):
+                    differ = np.bitwise_count(x[i] ^ x[rest]).sum(axis=1, dtype=np.int64)
+                    hit = differ <= most
+                    v, d = rest[hit], differ[hit]
+                    out.append(np.stack([np.minimum(ids[i], ids[v]), np.maximum(ids[i], ids[v]), np.full(len(v), keys[i]), d], axis=1))
+        return pd.DataFrame(np.concatenate(out) if out else np.zeros((0, 4), np.int64), columns=["u", "v", "key", "differ"])
+
+    return run
+
+
+def _judge(percent: int):
+    """Of some pairs and the sets of their ids: links, nearest pairs first, one for each two components."""
+
+    def run(pairs: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
+        sets = {i: np.frombuffer(b, np.uint64) for i, b in zip(members.id, members.set, strict=True)}
+        root: dict[int, int] = {}
+
+        def find(c: int) -> int:
+            while root.get(c, c) != c:
+                c = root[c]
+            return c
+
+        out = []
+        for p in pairs.sort_values(["differ", "u", "v"], kind="stable").itertuples():
+            a, b = find(p.cu), find(p.cv)
+            if a != b:
+                x, y = sets[p.u], sets[p.v]
+                at = np.searchsorted(y, x)
+                both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
+                if 100 * both >= percent * (len(x) + len(y) - both):
+                    root[max(a, b)] = min(a, b)
+                    out.append((p.u, p.v))
         return pd.DataFrame(out, columns=["u", "v"]).astype("int64")
 
     return run
 
 
-def _rest(shared: DataFrame, comp: DataFrame, texts: DataFrame, percent: int) -> DataFrame | None:
-    """Links between components that share a bucket (None: no bucket has two components).
+def _parts(df: DataFrame, size: int, *what: str) -> int:
+    """How many tasks take about ``size`` of the sum each (at least one)."""
+    total = df.agg(*[F.sum(c) for c in what]).first()
+    return max(1, -(-sum(x or 0 for x in total) // size))
 
-    Members of such buckets form groups (all that buckets connect); the members outside a group's largest component are
-    compared with all of the group, in blocks of both sides, first by fine odd sketches, then on full sets.
-    """
+
+def _rest(shared: DataFrame, comp: DataFrame, texts: DataFrame, percent: int) -> DataFrame | None:
+    """Links between components that share a bucket (None: no bucket has two components)."""
     member = shared.join(comp, shared.id == comp.cid, "left").select("key", "id", F.coalesce("component_id", "id").alias("comp"))
-    mixed = member.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.min("id").alias("hub")).where("a <> b").select("key", "hub")
-    member = table(member.join(mixed, "key").select("id", "hub", "comp").distinct(), "mixed")
+    sizes = member.groupBy("key", "comp").agg(F.count("*").alias("m"))
+    mixed = sizes.groupBy("key").agg(F.max(F.struct("m", "comp"))["comp"].alias("most"), F.sum("m").alias("all"), F.max("m").alias("top"), F.count("*").alias("k")).where("k > 1")
+    blocks = mixed.select("key", "most", F.ceil(F.col("all") / SIDE).cast("int").alias("across"), F.ceil((F.col("all") - F.col("top")) / SIDE).cast("int").alias("down"))
+    member = table(member.join(blocks, "key"), "mixed")
     if member.isEmpty():
         return None
-    groups = components(member.select(F.col("id").alias("u"), F.col("hub").alias("v"))).withColumnRenamed("component_id", "group")
-    rows = member.select("id", "comp").distinct().join(groups, "id").join(texts.mapInArrow(_fine, "id long, n long, fine binary, set binary").dropDuplicates(["id"]), "id")
-    rows = table(rows, "rest")
-    sizes = rows.groupBy("group", "comp").agg(F.count("*").alias("m"), F.sum("n").alias("n"))
-    largest = sizes.groupBy("group").agg(F.max(F.struct("m", "comp"))["comp"].alias("most"), F.ceil(F.sum("n") / BLOCK).cast("int").alias("across"), F.count("*").alias("k")).where("k > 1")
-    down = sizes.join(largest, "group").where("comp <> most").groupBy("group").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("down"))
-    rows = rows.join(largest.join(down, "group"), "group")
-    part = lambda c: F.pmod(F.xxhash64("id"), F.col(c)).cast("int")
+    ids = member.select("id").distinct()
+    fine = table(matching(texts, "id", ids).mapInArrow(_fine, "id long, n long, fine binary, set binary").dropDuplicates(["id"]), "fine")
+    part = lambda c, n: F.pmod(F.xxhash64(c), n).cast("int")
     every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    base = rows.withColumn("i", part("across")).withColumn("j", every("down")).withColumn("asked", F.lit(False))
-    asked = rows.where("comp <> most").withColumn("j", part("down")).withColumn("i", every("across")).withColumn("asked", F.lit(True))
-    columns = ["group", "i", "j", "asked", "id", "comp", "n", "fine", "set"]
-    both = base.select(*columns).unionByName(asked.select(*columns))
-    return both.groupBy("group", "i", "j").applyInPandas(_links(_furthest(percent, FINE_SAMPLES, FINE_BITS, 4.2), percent), "u long, v long").distinct()
+    base = member.withColumn("i", part("id", F.col("across"))).withColumn("j", every("down")).withColumn("asked", F.lit(False))
+    asked = member.where("comp <> most").withColumn("j", part("id", F.col("down"))).withColumn("i", every("across")).withColumn("asked", F.lit(True))
+    columns = ["key", "i", "j", "asked", "id", "comp"]
+    both = table(base.select(*columns).unionByName(asked.select(*columns)), "blocks")
+    deal = max(1, -(-both.count() // PACK))
+    dealt = both.join(fine.select("id", "n", "fine"), "id").withColumn("task", F.pmod(F.xxhash64("key", "i", "j"), F.lit(deal)))
+    near = dealt.groupBy("task").applyInPandas(_near(_furthest(percent, FINE_SAMPLES, FINE_BITS, 4.2), percent), "u long, v long, key long, differ long")
+    near = near.groupBy("u", "v").agg(F.min("key").alias("key"), F.first("differ").alias("differ"))
+    own = lambda c: comp.select(F.col("cid").alias(c), F.col("component_id").alias("c" + c))
+    for c in ("u", "v"):
+        near = near.join(own(c), c, "left").withColumn("c" + c, F.coalesce("c" + c, c))
+    near = table(near, "near")
+    # a bucket's sets are cut into parts of BLOCK shingles; a pair goes to the block of its two parts
+    weight = near.select("key", F.col("u").alias("id")).union(near.select("key", "v")).distinct().join(fine.select("id", "n"), "id").groupBy("key").agg(F.sum("n").alias("n"))
+    weight = table(weight, "weights")
+    deal = _parts(weight, BLOCK, "n")
+    pairs = near.join(weight.select("key", F.ceil(F.col("n") / BLOCK).alias("parts")), "key")
+    at = F.xxhash64("key", part("u", F.col("parts")), part("v", F.col("parts")))
+    pairs = table(pairs.withColumn("task", F.pmod(at, F.lit(deal))).drop("key", "parts"), "near-tasks")
+    ends = pairs.select(F.col("task").alias("place"), F.col("u").alias("id")).union(pairs.select("task", "v")).distinct()
+    sets = ends.join(fine.select("id", "set"), "id")
+    return pairs.groupBy("task").cogroup(sets.groupBy("place")).applyInPandas(_judge(percent), "u long, v long").distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row; links have 100 * intersection >= percent * union."""
-    feats = table(docs.select("doc_id", "text").mapInArrow(_features, "doc_id long, n_shingles long, digest binary, bands array<long>, sketch array<long>"), "minhash")
-    reps = feats.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")).where("id is not null")
-    reps = table(reps, "sets")
+    with scope(docs.sparkSession):
+        return result(_near_duplicates(docs.select("doc_id", "text"), percent), "near-duplicates")
+
+
+def _near_duplicates(docs: DataFrame, percent: int) -> DataFrame:
+    feats = table(docs.mapInArrow(_features, "doc_id long, n_shingles long, digest binary, bands array<long>, sketch array<long>"), "minhash")
+    firsts = [F.first(c).alias(n) for c, n in (("n_shingles", "n"), ("bands", "bands"), ("sketch", "sketch"))]
+    reps = table(feats.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("id"), *firsts).where("id is not null"), "sets")
     keys = reps.select("id", F.explode("bands").alias("key"))
     shared = table(keys.join(keys.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "key"), "buckets")
     ranked = shared.join(shared.groupBy("id").agg(F.sum("m").alias("degree")), "id")
@@ -211,7 +264,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     side = lambda c: reps.select(F.col("id").alias(c), F.col("n").alias("n" + c), F.col("sketch").alias("s" + c))
     tested = table(pairs.join(side("u"), "u").join(side("v"), "v").where(size[0] & size[1] & near).select("u", "v"), "pairs")
     # the texts of all that shares a bucket, fetched once
-    texts = table(docs.select(F.col("doc_id").alias("id"), "text").where("text is not null").join(shared.select("id").distinct(), "id"), "texts")
+    texts = docs.select(F.col("doc_id").alias("id"), "text").where("text is not null")
+    texts = table(matching(texts, "id", shared.select("id")), "texts")
     links = table(confirm(tested, texts, percent), "links")
     comp = components(links)
     found = _rest(shared.select("key", "id"), comp.withColumnRenamed("id", "cid"), texts, percent)
@@ -231,10 +285,15 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline: one document of each group of near copies (similarity 0.8 or more) stays, that with the least id."""
-    judged = table(near_duplicates(docs, 80).select("doc_id", "kept"), "kept")
-    out = docs.join(judged.where("not kept").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
-    twice = judged.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    """Pipeline: one document of each group of near copies (similarity 0.8 or more) stays, that with the least id.
+
+    Null and empty texts stay. Of repeated rows of one id and text one stays. Columns of any name go through untouched.
+    """
+    with scope(spark):
+        judged = near_duplicates(docs, 80).select("doc_id", "kept")
+        gone = result(judged.where("not kept").select("doc_id").distinct(), "near-copies")
+        twice = result(judged.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
+    out = without(docs, "doc_id", gone)
     return out if twice.isEmpty() else out.dropDuplicates(["doc_id", "text"])
 
 

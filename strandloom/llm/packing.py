@@ -1,14 +1,18 @@
 """Best-fit packing of token pieces by a grouping genetic algorithm on islands.
 
 Pieces are dealt by hash into blocks of about ``BLOCK`` pieces. On every block several islands evolve their own
-populations of packings. A crossover injects whole well-filled bins of one parent into the other, removes the bins
-that hold their pieces a second time, and best-fits the displaced pieces, longest first; fitness is the mean square
-fill. Between epochs each island's elite goes to the next island of its block. The best packing of a block wins; the
-pieces of bins that are not well filled are dealt again into fewer blocks and packed once more.
+populations, which start from unlike packings: best fit in orders of length disturbed by ``NOISE`` of each member, so from
+longest-first to nearly random. A crossover injects whole well-filled bins of one parent into the other, removes the bins
+that hold their pieces a second time, and best-fits the displaced pieces, longest first but for a little noise; a mutation
+then breaks up the emptiest bins and a few others and best-fits their pieces. A child replaces its receiving parent if it is
+fitter (fewer bins, then mean square fill). Every epoch does all its ``CROSSOVERS``. Between epochs each island's elite goes to
+the next island of its block. The best packing of a block wins; the pieces of bins that are not well filled are dealt again
+into fewer blocks and evolve once more. ``report`` tells how many bins the evolution saved.
 
 Null texts are empty; every document has at least its end mark, so an empty one is a piece of one token. Only documents
 longer than a sequence are cut: full pieces, the first may be shorter. Rows that are equal in all columns used are
-counted first and each gets its own place. Null ids are kept. Empty tables give no pieces. Extra columns are ignored.
+counted first and each gets its own place. Ties of fitness go to the older packing, ties of room to the lower bin. Null ids are
+kept. Empty tables give no pieces. Extra columns of any name are ignored. A very long text is tokenised whole by one task.
 """
 
 from __future__ import annotations
@@ -20,13 +24,15 @@ from bisect import bisect_left, insort
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import table
+from strandloom.functions.scratch import result, scope, table
 from .textarrays import slices
 
-CAPACITY, BLOCK, ISLANDS, EPOCHS, POPULATION, CROSSOVERS = 2048, 4096, 2, 2, 3, 6
+CAPACITY, BLOCK, ISLANDS, EPOCHS, CROSSOVERS = 2048, 4096, 2, 2, 20
+#: How much the order of length is disturbed for each member of a population.
+NOISE = (0.0, 0.05, 0.1, 0.2, 0.5, 2.0)
 #: Bins filled to this share stay as they are after the first round.
 WELL = 0.99
 _WORKER: dict = {}
@@ -83,7 +89,7 @@ def _pieces(path: str, ranks: str | None, capacity: int):
 _PIECE = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
 
-_STATE = pa.schema([("block", pa.int64()), ("island", pa.int32()), ("elite", pa.binary()), ("bins", pa.int64()), ("square", pa.float64())])
+_STATE = pa.schema([("block", pa.int64()), ("island", pa.int32()), ("elite", pa.binary()), ("bins", pa.int64()), ("square", pa.float64()), ("began", pa.int64()), ("crossed", pa.int64()), ("used", pa.int64())])
 
 
 def _best_fit(lengths: np.ndarray, order: np.ndarray, bins: np.ndarray, room: list[int], capacity: int) -> None:
@@ -112,33 +118,58 @@ def _compact(bins: np.ndarray) -> np.ndarray:
     return np.unique(bins, return_inverse=True)[1].astype(np.int32)
 
 
+def _refit(lengths: np.ndarray, bins: np.ndarray, displaced: np.ndarray, rng: np.random.Generator, capacity: int) -> np.ndarray:
+    """Best-fit the displaced pieces into what is left, longest first but for a little noise."""
+    out = np.full(len(lengths), -1, np.int32)
+    kept = _compact(bins[~displaced])
+    out[~displaced] = kept
+    room = (capacity - np.bincount(kept, lengths[~displaced]).astype(np.int64)).tolist()
+    left = np.flatnonzero(displaced)
+    noisy = lengths[left] * (1 + rng.normal(0, 0.05, len(left)))
+    _best_fit(lengths, left[np.argsort(-noisy, kind="stable")], out, room, capacity)
+    return out
+
+
 def _cross(lengths: np.ndarray, a: np.ndarray, b: np.ndarray, rng: np.random.Generator, capacity: int) -> np.ndarray:
     """Whole well-filled bins of ``a`` go into ``b``."""
     fill = np.bincount(a, lengths)
     good = np.flatnonzero(fill >= np.quantile(fill, 0.5))
-    chosen = rng.choice(good, max(1, len(good) // 8), replace=False)
+    chosen = rng.choice(good, max(1, len(good) // 20), replace=False)
     brought = np.isin(a, chosen)
     gone = np.unique(b[brought])  # bins that would hold a piece twice
     displaced = np.isin(b, gone) & ~brought
-    child = np.where(brought, _compact(a) + int(b.max()) + 1, b)
-    child[displaced] = child.max() + 1
-    kept = _compact(child[~displaced])
-    out = np.full(len(lengths), -1, np.int32)
-    out[~displaced] = kept
-    room = (capacity - np.bincount(kept, lengths[~displaced]).astype(np.int64)).tolist()
-    left = np.flatnonzero(displaced)
-    _best_fit(lengths, left[np.argsort(-lengths[left], kind="stable")], out, room, capacity)
-    return out
+    return _refit(lengths, np.where(brought, a + int(b.max()) + 1, b), displaced, rng, capacity)
 
 
-def _seeded(lengths: np.ndarray, rng: np.random.Generator, capacity: int) -> np.ndarray:
-    """Best fit in order of length, a little disturbed (by more for later members)."""
-    noise = lengths * (1 + rng.normal(0, 0.05, len(lengths)))
+def _mutate(lengths: np.ndarray, bins: np.ndarray, rng: np.random.Generator, capacity: int) -> np.ndarray:
+    """Break up the emptiest bins and about one in a hundred of the others."""
+    fill = np.bincount(bins, lengths)
+    worst = np.argsort(fill, kind="stable")[: rng.integers(1, 4)]
+    some = rng.choice(len(fill), max(1, len(fill) // 100), replace=False)
+    return _refit(lengths, bins, np.isin(bins, np.concatenate([worst, some])), rng, capacity)
+
+
+def _seeded(lengths: np.ndarray, rng: np.random.Generator, capacity: int, noise: float) -> np.ndarray:
+    """Best fit in order of length, disturbed by ``noise``."""
     out, room = np.full(len(lengths), -1, np.int32), []
-    _best_fit(lengths, np.argsort(-noise, kind="stable"), out, room, capacity)
+    _best_fit(lengths, np.argsort(-lengths * (1 + rng.normal(0, noise, len(lengths))), kind="stable"), out, room, capacity)
     return out
 
 
+def _evolve(lengths: np.ndarray, people: list[np.ndarray], rng: np.random.Generator, capacity: int, crossovers: int = CROSSOVERS) -> tuple[list, int]:
+    """The population after so many crossovers, rated and best first, and how many children replaced their parent."""
+    rated = sorted(((_fitness(lengths, p, capacity), -i, p) for i, p in enumerate(people)), key=lambda r: r[:2], reverse=True)
+    used = 0
+    for k in range(crossovers if len(lengths) > 1 else 0):
+        i, j = rng.choice(len(rated), 2, replace=False)
+        child = _mutate(lengths, _cross(lengths, rated[i][2], rated[j][2], rng, capacity), rng, capacity)
+        fit = _fitness(lengths, child, capacity)
+        if fit > rated[j][0]:
+            rated[j], used = (fit, -len(people) - k, child), used + 1
+            rated.sort(key=lambda r: r[:2], reverse=True)
+    return rated, used
+
+
 def _epoch(capacity: int):
     """One epoch of an island: (block, island, epoch, lengths, elite, migrant) to the same with a new elite."""
 
@@ -148,27 +179,17 @@ def _epoch(capacity: int):
                 lengths = np.frombuffer(row["lengths"], np.int32).astype(np.int64)
                 rng = np.random.default_rng([row["block"], row["island"], row["epoch"]])
                 people = [np.frombuffer(x, np.int32) for x in (row["elite"], row["migrant"]) if x]
-                if not people:
-                    first, room = np.full(len(lengths), -1, np.int32), []
-                    _best_fit(lengths, np.argsort(-lengths, kind="stable"), first, room, capacity)
-                    people = [first]
-                people += [_seeded(lengths, rng, capacity) for _ in range(POPULATION - len(people))]
-                rated = sorted(((_fitness(lengths, p, capacity), i, p) for i, p in enumerate(people)), reverse=True)
-                serial, bound = len(rated), -(-int(lengths.sum()) // capacity)
-                for _ in range(CROSSOVERS):
-                    if -rated[0][0][0] <= bound:
-                        break  # no packing has fewer bins
-                    i, j = rng.choice(len(rated), 2, replace=False)
-                    child = _cross(lengths, rated[i][2], rated[j][2], rng, capacity)
-                    rated = sorted([*rated, (_fitness(lengths, child, capacity), serial, child)], reverse=True)[:POPULATION]
-                    serial += 1
+                people += [_seeded(lengths, rng, capacity, x) for x in NOISE[len(people) :]]
+                rated, used = _evolve(lengths, people, rng, capacity)
                 (bins, square), _, best = rated[0]
-                yield pa.RecordBatch.from_pylist([{"block": row["block"], "island": row["island"], "elite": best.tobytes(), "bins": bins, "square": square}], schema=_STATE)
+                began = min(int(p.max()) + 1 for p in people)
+                values = (row["block"], row["island"], best.tobytes(), bins, square, began, CROSSOVERS, used)
+                yield pa.RecordBatch.from_pylist([dict(zip(_STATE.names, values, strict=True))], schema=_STATE)
 
     return run
 
 
-def _pack_blocks(pieces: DataFrame, blocks: int, capacity: int) -> DataFrame:
+def _pack_blocks(pieces: DataFrame, blocks: int, capacity: int, report: list | None) -> DataFrame:
     """pieces (with ``copy``) to the same with block, bin and fill."""
     names = [c for c in pieces.columns]
     dealt = pieces.withColumn("block", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "copy", F.lit(blocks)), F.lit(blocks)))
@@ -177,17 +198,23 @@ def _pack_blocks(pieces: DataFrame, blocks: int, capacity: int) -> DataFrame:
     lengths = F.transform("items", lambda x: x["length"].cast("int"))
     packed = items.select("block", lengths.alias("l")).mapInArrow(_as_bytes, "block long, lengths binary")
     state = packed.withColumn("island", F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1)))).withColumn("elite", F.lit(None).cast("binary")).withColumn("migrant", F.lit(None).cast("binary"))
-    kind = "block long, island int, elite binary, bins long, square double"
+    kind = "block long, island int, elite binary, bins long, square double, began long, crossed long, used long"
+    epochs = []
     # these rows are small but dear, so their number of tasks follows the blocks and not the bytes
     tasks = min(blocks * ISLANDS, max(int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions")), blocks * ISLANDS // 64))
     for epoch in range(EPOCHS):
         evolved = table(state.withColumn("epoch", F.lit(epoch)).repartition(tasks, "block", "island").mapInArrow(_epoch(capacity), kind), "islands")
+        epochs.append(evolved)
         if epoch + 1 < EPOCHS:
             moved = evolved.select("block", ((F.col("island") + 1) % ISLANDS).alias("island"), F.col("elite").alias("migrant"))
             state = packed.join(evolved.select("block", "island", "elite"), "block").join(moved, ["block", "island"])
     best = evolved.groupBy("block").agg(F.max_by("elite", F.struct("bins", "square", "island")).alias("elite"))
-    placed = items.join(best, "block").mapInArrow(_unpack(capacity, names), _kind(pieces, names))
-    return placed
+    if report is not None:
+        began = epochs[0].groupBy("block").agg(F.min("began").alias("began")).agg(F.sum("began")).first()[0]
+        ended = evolved.groupBy("block").agg((-F.max("bins")).alias("ended")).agg(F.sum("ended")).first()[0]
+        tried = [e.agg(F.sum("crossed"), F.sum("used")).first() for e in epochs]
+        report.append({"blocks": blocks, "bins_before": began, "bins_after": ended, "crossovers": sum(t[0] for t in tried), "used": sum(t[1] for t in tried)})
+    return items.join(best, "block").mapInArrow(_unpack(capacity, names), _kind(pieces, names))
 
 
 def _as_bytes(batches):
@@ -218,36 +245,47 @@ def _unpack(capacity: int, names: list[str]):
     return run
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """pieces (doc_id, piece, start, length, ids_crc32) with sequence_id and offset."""
+def pack(pieces: DataFrame, capacity: int = CAPACITY, report: list | None = None) -> DataFrame:
+    """pieces (doc_id, piece, start, length, ids_crc32) with sequence_id and offset.
+
+    A sequence's number is made of its round, block and bin, so no two share one. ``report`` gets, for each of the two rounds,
+    blocks, bins before and after, crossovers and how many of them were used.
+    """
+    with scope(pieces.sparkSession):
+        return result(_pack(pieces, capacity, report), "packing")
+
+
+def _number(turn: int, low: Column) -> Column:
+    return F.lit(turn << 60).cast("long").bitwiseOR(low).alias("sequence_id")
+
+
+def _pack(pieces: DataFrame, capacity: int, report: list | None) -> DataFrame:
     names = pieces.columns
     counted = pieces.groupBy(*names).agg(F.count("*").alias("copies"))
     single = table(counted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop("copies"), "pieces")
-    whole = single.where(F.col("length") == capacity)
     rest = single.where(F.col("length") < capacity)
     n = rest.count()
-    done = whole.select(*names, F.xxhash64("doc_id", "piece", "ids_crc32", "copy").alias("h"), "copy").select(*names, F.concat_ws(":", F.lit("w"), "doc_id", "piece", "ids_crc32", "copy").alias("s"), F.lit(0).cast("long").alias("offset"))
+    # full pieces by partition and row of the written table
+    done = single.where(F.col("length") == capacity).select(*names, _number(0, F.monotonically_increasing_id()), F.lit(0).cast("long").alias("offset"))
     if n:
-        first = table(_pack_blocks(rest, max(1, -(-n // BLOCK)), capacity), "packed")
+        placed = lambda df, turn: df.select(*names, _number(turn, F.shiftleft("block", 24).bitwiseOR(F.col("bin"))), "offset")
+        first = table(_pack_blocks(rest, max(1, -(-n // BLOCK)), capacity, report), "packed")
         loose = first.where(F.col("fill") < F.lit(WELL * capacity))
         m = loose.count()
-        tight = first.where(F.col("fill") >= F.lit(WELL * capacity))
-        name = lambda r: F.concat_ws(":", F.lit(r), "block", "bin").alias("s")
-        done = done.union(tight.select(*names, name("a"), "offset"))
+        done = done.union(placed(first.where(F.col("fill") >= F.lit(WELL * capacity)), 1))
         if m:
-            again = _pack_blocks(loose.select(*names, "copy"), max(1, -(-m // BLOCK)), capacity)
-            done = done.union(again.select(*names, name("b"), "offset"))
-    return done.withColumn("sequence_id", F.xxhash64("s")).select(*names, "sequence_id", "offset")
+            done = done.union(placed(_pack_blocks(loose.select(*names, "copy"), max(1, -(-m // BLOCK)), capacity, report), 2))
+    return done
 
 
-def pack_documents(docs: DataFrame, tokenizer: str | None = None, ranks: str | None = None, capacity: int = CAPACITY) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str | None = None, ranks: str | None = None, capacity: int = CAPACITY, report: list | None = None) -> DataFrame:
     """Tokenise whole texts, add id 0, cut what is longer than a sequence, pack."""
     if tokenizer is None:
         import public_tokenizers
 
         tokenizer, ranks = (str(public_tokenizers.path(f"byte_bpe_50k.{x}")) for x in ("json", "tiktoken"))
     kind = "doc_id long, piece int, start long, length long, ids_crc32 long"
-    return pack(docs.select("doc_id", "text").mapInArrow(_pieces(tokenizer, ranks, capacity), kind), capacity)
+    return pack(docs.select("doc_id", "text").mapInArrow(_pieces(tokenizer, ranks, capacity), kind), capacity, report)
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,39 +2,45 @@
 
 The index holds hashes of half-width word windows, thinned by winnowing: of all half windows inside a full window the
 least hash is always taken, so two equal full windows share an indexed hash for certain. It is a list of immutable
-runs (hash, seen more than once), each sorted by hash, written once and never changed. A new batch
+runs (hash, times seen), each bucketed and sorted by hash, written once and never changed. A new batch
 
-1. is hashed and counted by hash,
-2. is merge-joined with the runs so far: a hash is *repeated* if the batch or a run holds it too,
-3. joins the runs as a run of its own; ``FANOUT`` runs of one level are merged into one of the next (compaction).
+1. is hashed and counted by hash, and becomes a run of its own,
+2. is merge-joined with every older run, bucket by bucket and without shuffling it: a hash is *repeated* if the batch holds
+   it twice or an older run holds it too,
+3. joins the runs; ``FANOUT`` runs of one level are merged into one of the next (compaction).
 
-Repeated hashes only say where to look: a Bloom bitmap of fixed size carries them to a scan of the texts. Every full
-window whose least half window may be repeated is then verified: windows are dealt by that half window's hash, and those
-that agree in it and in a 64-bit hash of all their words start more than once. A fuller bitmap sends more windows to
-verification; it never loses one.
+Repeated hashes say where to look: a Bloom bitmap (sized by their number, ``MOST_BITS`` at most) carries them to a scan of the
+texts, of the batch and of the history that the index was built from. Every full window whose least half window may be
+repeated is verified: it starts more than once if a second, independent hash of all its words occurs more than once beside the
+same half-window hash (128 bits together). A fuller bitmap sends more windows to verification; it never loses one.
 
 Null texts have no words. A text shorter than the window loses nothing. Rows are told apart by doc_id and text (a 64-bit
-hash of both), so repeated ids, null ids and repeated rows (which are copies of each other) all get a result. Extra
-columns are ignored.
+hash of both), so repeated ids, null ids and repeated rows (which are copies of each other) all get a result; ties are equal
+rows with equal results. Empty tables give no rows. Extra columns of any name are ignored or go through untouched. A very long
+text is held whole by the task that reads it (about 15 bytes a byte, see textarrays).
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
+import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import new_path, table
+from strandloom.functions.keys import marked
+from strandloom.functions.scratch import new_path, result, scope, table
 from .textarrays import Words, slices
 
 WIDTH = 35
 FANOUT = 4
-SLICE = 1 << 19
-#: Bits of the bitmap of repeated hashes.
-BLOOM_BITS = 26
+SLICE = 1 << 18
+#: Least and most bits (as powers of two) of the bitmap of repeated hashes; 32 bits for each hash as long as they last.
+LEAST_BITS, MOST_BITS = 20, 28
 
 
 def _slide(x: np.ndarray, n: int, fold) -> np.ndarray:
@@ -66,47 +72,66 @@ def _winnowed(words: Words, width: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     return chosen, h[chosen], least
 
 
-def _fingerprints(width: int):
-    def run(batches):
-        for batch in batches:
+def _fingerprints(width: int, batches: int):
+    def run(rows):
+        for batch in rows:
             for part in slices(batch, "text", SLICE):
-                h, n = np.unique(_winnowed(Words(part.column("text")), width)[1], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.minimum(n, 2).astype(np.int64))], ["fp", "n"])
+                words = Words(part.column("text"))
+                at, h, _ = _winnowed(words, width)
+                deal = (part.column("rid").to_numpy() % batches)[words.owner()[at]]
+                for k in range(batches):
+                    fp, n = np.unique(h[deal == k], return_counts=True)
+                    if len(fp):
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(fp), k, np.int32)), pa.array(fp.view(np.int64)), pa.array(n.astype(np.int64))], ["batch", "fp", "n"])
 
     return run
 
 
 class FingerprintIndex:
-    """Sorted immutable runs (fp, many) under ``path``; ``many``: the hash has been seen more than once."""
+    """Immutable runs (fp, n) under ``path``, bucketed and sorted by fp; n: how often the hash was seen."""
 
-    def __init__(self, spark: SparkSession, path: str, width: int = WIDTH):
+    def __init__(self, spark: SparkSession, path: str, width: int = WIDTH, buckets: int | None = None):
         self.spark, self.path, self.width = spark, path, width
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.runs: list[tuple[int, str]] = []
         self.made = 0
+        self._names: dict[str, str] = {}
 
     @classmethod
-    def open(cls, spark: SparkSession, path: str, width: int = WIDTH) -> FingerprintIndex:
-        index = cls(spark, path, width)
+    def open(cls, spark: SparkSession, path: str) -> FingerprintIndex:
+        index = cls(spark, path)
         for r in spark.read.parquet(f"{path}/manifest").orderBy("version", "place").collect():
-            index.made = max(index.made, r.version)
+            index.made, index.width, index.buckets = max(index.made, r.version), r.width, r.buckets
             index.runs = [*(index.runs if r.place else []), (r.level, r.run)]
         return index
 
     def save(self) -> None:
         """Write the list of runs as a new version, so that ``open`` finds them."""
         self.made += 1
-        rows = [(self.made, i, level, run) for i, (level, run) in enumerate(self.runs)]
-        self.spark.createDataFrame(rows, "version int, place int, level int, run string").coalesce(1).write.mode("append").parquet(f"{self.path}/manifest")
+        rows = [(self.made, i, level, run, self.width, self.buckets) for i, (level, run) in enumerate(self.runs)]
+        kind = "version int, place int, level int, run string, width int, buckets int"
+        self.spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(f"{self.path}/manifest")
+
+    def close(self) -> None:
+        """Take the runs' names out of the session's catalog; the files stay."""
+        for name in self._names.values():
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self._names.clear()
+
+    def _read(self, run: str) -> DataFrame:
+        if run not in self._names:
+            self._names[run] = f"strandloom_run_{uuid.uuid4().hex}"
+            how = f"USING parquet CLUSTERED BY (fp) SORTED BY (fp) INTO {self.buckets} BUCKETS LOCATION '{run}'"
+            self.spark.sql(f"CREATE TABLE {self._names[run]} (fp BIGINT, n BIGINT) {how}")
+        return self.spark.table(self._names[run])
 
     def _write(self, rows: DataFrame, level: int) -> str:
         self.made += 1
-        path = f"{self.path}/run-{self.made:06d}-level-{level}"
-        rows.select("fp", "many").sortWithinPartitions("fp").write.parquet(path)
-        return path
-
-    def _read(self, runs: list[str]) -> DataFrame:
-        rows = self.spark.read.schema("fp long, many boolean").parquet(*runs)
-        return rows if len(runs) == 1 else rows.groupBy("fp").agg((F.max("many") | (F.count("*") > 1)).alias("many"))
+        run = f"{self.path}/run-{self.made:06d}-level-{level}"
+        self._names[run] = f"strandloom_run_{uuid.uuid4().hex}"
+        dealt = rows.select("fp", "n").repartition(self.buckets, "fp")
+        dealt.write.bucketBy(self.buckets, "fp").sortBy("fp").format("parquet").option("path", run).saveAsTable(self._names[run])
+        return run
 
     def compact(self) -> None:
         """Merge FANOUT runs of one level into one run of the next, as long as there are so many."""
@@ -115,22 +140,29 @@ class FingerprintIndex:
             full = next((x for x in sorted(set(levels)) if levels.count(x) >= FANOUT), None)
             if full is None:
                 return
-            merged = self._read([run for level, run in self.runs if level == full])
-            self.runs = [x for x in self.runs if x[0] != full] + [(full + 1, self._write(merged, full + 1))]
-
-    def add(self, batch: DataFrame) -> None:
-        """Hash a batch (text), join it with the runs, and add it as a run."""
-        own = batch.select("text").mapInArrow(_fingerprints(self.width), "fp long, n long").groupBy("fp").agg(F.sum("n").alias("n"))
-        if self.runs:
-            own = own.join(self._read([run for _, run in self.runs]).select("fp", F.lit(True).alias("old")), "fp", "left")
-        else:
-            own = own.withColumn("old", F.lit(None).cast("boolean"))
-        self.runs.append((0, self._write(own.select("fp", ((F.col("n") > 1) | F.col("old").isNotNull()).alias("many")), 0)))
+            run = self._write(self._merged([run for level, run in self.runs if level == full]), full + 1)
+            self.runs = [x for x in self.runs if x[0] != full] + [(full + 1, run)]
+
+    def add(self, fingerprints: DataFrame) -> DataFrame:
+        """Add the hashes (fp, n) of a batch as a run; returns (fp): those that it holds twice or an older run holds too."""
+        older = [run for _, run in self.runs]
+        new = self._write(fingerprints.groupBy("fp").agg(F.sum("n").alias("n")), 0)
+        own = self._read(new)
+        hits = own.where("n > 1").select("fp")
+        for run in older:
+            hits = hits.union(own.join(self._read(run), "fp", "left_semi").select("fp"))
+        hits = table(hits, "hits")
+        self.runs.append((0, new))
         self.compact()
+        return hits
 
-    def repeated(self) -> DataFrame:
-        """(fp): the hashes seen more than once, in a batch or across batches (some may come twice)."""
-        return self.spark.read.schema("fp long, many boolean").parquet(*[run for _, run in self.runs]).where("many").select("fp")
+    def hashes(self) -> DataFrame:
+        """(fp, n) of all runs."""
+        return self._merged([run for _, run in self.runs]) if self.runs else self.spark.createDataFrame([], "fp long, n long")
+
+    def _merged(self, runs: list[str]) -> DataFrame:
+        # read as plain files: Spark 4.1 takes a union of bucketed scans as dealt by bucket, which it is not
+        return self.spark.read.schema("fp long, n long").parquet(*runs).groupBy("fp").agg(F.sum("n").alias("n"))
 
 
 def _probes(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -138,8 +170,9 @@ def _probes(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (h & mask).astype(np.int64), ((h >> np.uint64(64 - bits)) & mask).astype(np.int64)
 
 
-def _bitmap(fps: DataFrame, bits: int) -> np.ndarray:
-    """Bloom bitmap of (fp); its size does not depend on their number."""
+def _bitmap(fps: DataFrame) -> np.ndarray:
+    """Bloom bitmap of (fp), of at most 2**MOST_BITS bits."""
+    bits = min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(32 * max(1, fps.count())))))
 
     def run(batches):
         for batch in batches:
@@ -154,38 +187,27 @@ def _bitmap(fps: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-def _runs(row: np.ndarray, at: np.ndarray, key: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Begin and length of stretches of consecutive places of one row (and of one key)."""
-    new = np.ones(len(at), bool)
-    new[1:] = (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1)
-    if key is not None:
-        new[1:] |= key[1:] != key[:-1]
-    begin = np.flatnonzero(new)
-    return begin, np.diff(np.append(begin, len(at)))
-
-
-def _verify(width: int, buckets: int, shared):
-    """Full windows that may repeat, dealt to buckets by their least half window.
+def _suspects(width: int, shared):
+    """(rid, place, least, hash) of the full windows that may repeat.
 
-    Per bucket: runs of consecutive windows of one least hash (row, start, length, hash) and the windows' own hashes.
-    Windows that start twice within the slice are sure already; only the first of them goes on.
+    A window that starts twice within the slice is repeated for sure (``hash`` null); its first start goes on with its hash too.
     """
 
     def run(batches):
-        bits = shared.value
+        bitmap = shared.value
+        bits = len(bitmap).bit_length() + 5
         for batch in batches:
             for part in slices(batch, "text", SLICE):
                 words = Words(part.column("text"))
                 least = _winnowed(words, width)[2]
                 at = np.flatnonzero(least)
-                x, y = _probes(least[at], BLOOM_BITS)
-                at = at[((bits[x >> 6] >> (x & 63)) & (bits[y >> 6] >> (y & 63)) & 1).astype(bool)]
+                x, y = _probes(least[at], bits)
+                at = at[((bitmap[x >> 6] >> (x & 63)) & (bitmap[y >> 6] >> (y & 63)) & 1).astype(bool)]
                 if not len(at):
                     continue
-                starts, hashes = words.windows(width)
+                starts, hashes = words.rehash(1).windows(width)
                 a, v = hashes[np.searchsorted(starts, at)], least[at]
                 row = words.owner()[at]
-                place = (at - words.first[row]).astype(np.int32)
                 order = np.lexsort((at, a, v))
                 new = np.ones(len(order), bool)
                 p, q = a[order], v[order]
@@ -195,136 +217,111 @@ def _verify(width: int, buckets: int, shared):
                 twice[order] = np.bincount(group)[group] > 1
                 first = np.zeros(len(at), bool)
                 first[order[new]] = True
-                rid = part.column("rid").to_numpy()
-                bucket = ((v >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
-                out = []
-                pick = np.flatnonzero(first)
-                pick = pick[np.argsort(bucket[pick], kind="stable")]
-                cut = np.searchsorted(bucket[pick], np.arange(buckets + 1))
-                for k in np.flatnonzero(np.diff(cut)):
-                    own = pick[cut[k] : cut[k + 1]]
-                    begin, length = _runs(row[own], place[own], v[own])
-                    head = own[begin]
-                    out.append((int(k), rid[row[head]].tobytes(), place[head].tobytes(), length.astype(np.int32).tobytes(), v[head].tobytes(), a[own].tobytes()))
-                sure = np.flatnonzero(twice)
-                if len(sure):
-                    begin, length = _runs(row[sure], place[sure])
-                    head = sure[begin]
-                    out.append((int(rid[row[sure[0]]] % buckets), rid[row[head]].tobytes(), place[head].tobytes(), length.astype(np.int32).tobytes(), b"", b""))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), *[pa.binary()] * 5), strict=True)], ["bucket", "rids", "places", "lengths", "least", "hashes"])
+                rid, place = part.column("rid").to_numpy()[row], (at - words.first[row]).astype(np.int32)
+                sure, some = np.flatnonzero(twice), np.flatnonzero(first)
+                pick = np.concatenate([sure, some])
+                lone = np.zeros(len(pick), bool)
+                lone[: len(sure)] = True
+                values = [pa.array(rid[pick]), pa.array(place[pick]), *(pa.array(c[pick].view(np.int64), mask=lone) for c in (v, a))]
+                yield pa.RecordBatch.from_arrays(values, ["rid", "place", "least", "hash"])
 
     return run
 
 
-_BLOB = "bucket int, rids binary, places binary, lengths binary, least binary, hashes binary"
-
-
-def _repeated(rows: pa.Table) -> pa.Table:
-    """Of one bucket: (rid, runs) of the windows that start more than once; a run is a start and a length."""
-    open_, rid, place, length = [], [], [], []
-    for r in rows.to_pylist():
-        one = np.frombuffer(r["rids"], np.int64), np.frombuffer(r["places"], np.int32), np.frombuffer(r["lengths"], np.int32)
-        if r["hashes"]:
-            open_.append((*one, np.frombuffer(r["least"], np.uint64), np.frombuffer(r["hashes"], np.uint64)))
-        else:
-            for have, new in zip((rid, place, length), one, strict=True):
-                have.append(new)
-    if open_:
-        r, p, n, v, a = (np.concatenate(x) for x in zip(*open_, strict=True))
-        p = np.repeat(p, n) + np.arange(len(a)) - np.repeat(np.cumsum(n) - n, n)
-        r, v = np.repeat(r, n), np.repeat(v, n)
-        order = np.lexsort((v, a))
-        x, y = a[order], v[order]
-        same = (x[1:] == x[:-1]) & (y[1:] == y[:-1])
-        twice = np.zeros(len(order), bool)
-        twice[order] = np.append(False, same) | np.append(same, False)
-        r, p = r[twice], p[twice]
-        if len(r):
-            order = np.lexsort((p, r))
-            r, p = r[order], p[order]
-            begin, n = _runs(r, p)
-            rid.append(r[begin])
-            place.append(p[begin].astype(np.int32))
-            length.append(n.astype(np.int32))
-    if not rid:
-        return pa.table({"rid": pa.array([], pa.int64()), "runs": pa.array([], pa.binary())})
-    r, p, n = np.concatenate(rid), np.concatenate(place), np.concatenate(length)
-    order = np.argsort(r, kind="stable")
-    r, both = r[order], np.stack([p[order], n[order]], axis=1)
-    edge = np.flatnonzero(np.append(True, r[1:] != r[:-1]))
-    return pa.table({"rid": pa.array(r[edge]), "runs": pa.array([both[i:j].tobytes() for i, j in zip(edge, np.append(edge[1:], len(r)), strict=True)], pa.binary())})
-
-
-def _cut(keep: list[str], width: int, texts: bool):
-    """``keep`` columns, n_words, n_removed, and the kept words' digest (or text)."""
+def _cut(width: int, texts: bool):
+    """``row``, n_words, n_removed, and the kept words' digest (or text)."""
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "__text", SLICE):
-                words = Words(part.column("__text"))
+            for part in slices(batch, "text", SLICE):
+                words = Words(part.column("text"))
                 total = len(words.hash)
-                cover = np.zeros(total + 1, np.int64)
-                for i, runs in enumerate(part.column("__runs").to_pylist()):
-                    if runs:
-                        at, n = np.frombuffer(b"".join(runs), np.int32).reshape(-1, 2).astype(np.int64).T
-                        np.add.at(cover, at + words.first[i], 1)
-                        np.add.at(cover, at + words.first[i] + n - 1 + width, -1)
+                places = part.column("places")
+                at = np.asarray(places.flatten(), np.int64)
+                at = at + np.repeat(words.first[:-1], pc.fill_null(pc.list_value_length(places), 0).to_numpy())
+                cover = np.bincount(at, minlength=total + 1) - np.bincount(at + width, minlength=total + 1)[: total + 1]
                 gone = np.cumsum(cover)[:total] > 0
                 owner = words.owner()
                 removed = np.bincount(owner[gone], minlength=part.num_rows)
                 start, end = words.start[~gone], words.end[~gone]
                 size = len(words.buf)
-                step = np.zeros(size + 1, np.int64)
+                step = np.zeros(size + 1, np.int8)
                 step[start] += 1
                 step[end] -= 1
-                inside = np.cumsum(step[:size]) > 0 if size else np.zeros(0, bool)
+                inside = np.cumsum(step[:size], dtype=np.int8) > 0 if size else np.zeros(0, bool)
                 buf = np.array(words.buf)
                 gap = end[end < words.offsets[1:][owner[~gone]]]  # the byte after a kept word, inside the same text
                 inside[gap], buf[gap] = True, 0x20
                 kept = buf[inside].tobytes()
                 cut = np.concatenate([[0], np.cumsum(inside)])[words.offsets]
                 values = [kept[i : j - 1] if j > i and kept[j - 1] == 0x20 else kept[i:j] for i, j in zip(cut[:-1], cut[1:], strict=True)]
-                last = pa.array([v.decode("utf-8", "replace") for v in values] if texts else [hashlib.sha256(v).hexdigest() for v in values], pa.string())
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(words.counts(), pa.int64()), pa.array(removed, pa.int64()), last], [*keep, "n_words", "n_removed", "kept"])
+                if texts:  # a text that loses nothing stays as it is
+                    last = pc.if_else(pa.array(removed > 0), pa.array([v.decode("utf-8", "replace") for v in values], pa.string()), part.column("text"))
+                else:
+                    last = pa.array([hashlib.sha256(v).hexdigest() for v in values], pa.string())
+                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(words.counts(), pa.int64()), pa.array(removed, pa.int64()), last], ["row", "n_words", "n_removed", "kept"])
 
     return run
 
 
-def remove_repeats(docs: DataFrame, keep: list[str], width: int = WIDTH, batches: int = 2, texts: bool = False, index: FingerprintIndex | None = None) -> DataFrame:
-    """``keep`` columns of docs, n_words, n_removed and ``kept`` (the kept words' SHA-256, or with ``texts`` the words).
+def _covered(base: DataFrame, hits: DataFrame, width: int) -> DataFrame:
+    """(rid, places): where windows that start more than once among base (rid, text) begin."""
+    shared = base.sparkSession.sparkContext.broadcast(_bitmap(hits))
+    found = table(base.mapInArrow(_suspects(width, shared), "rid long, place int, least long, hash long"), "suspects")
+    some = found.where("hash is not null")
+    twice = some.groupBy("least", "hash").agg(F.count("*").alias("n")).where("n > 1").select("least", "hash")
+    places = found.where("hash is null").select("rid", "place").union(some.join(twice, ["least", "hash"], "left_semi").select("rid", "place"))
+    return table(places.groupBy("rid").agg(F.collect_set("place").alias("places")), "covered")
+
 
-    docs enter the index in ``batches`` parts, by a hash of the row.
+def remove_repeats(docs: DataFrame, keep: list[str], width: int = WIDTH, batches: int = FANOUT, texts: bool = False, index: FingerprintIndex | None = None, history: DataFrame | None = None) -> DataFrame:
+    """(row, n_words, n_removed, kept): row is a struct of the ``keep`` columns of docs (doc_id, text, ...), kept the kept words'
+    SHA-256, or with ``texts`` the text without the removed words.
+
+    docs enter the index in ``batches`` parts, by a hash of the row. Given an ``index`` with runs, docs are judged against what
+    it has seen too; ``history`` are those documents (doc_id, text). Only docs come back.
     """
     spark = docs.sparkSession
-    rid = F.xxhash64("doc_id", "text")
-    base = docs.select(rid.alias("rid"), F.col("text"))
-    index = index or FingerprintIndex(spark, new_path(spark, "index"), width)
-    for i in range(batches):
-        index.add(base.where(F.pmod(F.col("rid"), F.lit(batches)) == i) if batches > 1 else base)
-    shared = spark.sparkContext.broadcast(_bitmap(index.repeated(), BLOOM_BITS))
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    windows = base.mapInArrow(_verify(width, buckets, shared), _BLOB)
-    covered = windows.groupBy("bucket").applyInArrow(_repeated, "rid long, runs binary").groupBy("rid").agg(F.collect_list("runs").alias("__runs"))
-    wide = docs.select(rid.alias("rid"), F.col("text").alias("__text"), *keep)
-    out = wide.join(table(covered, "covered"), "rid", "left").drop("rid")
-    kind = docs.select(*keep).schema.add("n_words", "long").add("n_removed", "long").add("kept", "string")
-    return out.mapInArrow(_cut(keep, width, texts), kind)
+    old = index is not None and bool(index.runs)
+    if old and history is None:
+        raise ValueError("an index with runs verifies against the documents it has seen: give them as history")
+    width = index.width if index else width
+    base = docs.select(F.xxhash64("doc_id", "text").alias("rid"), "text")
+    with scope(spark):
+        own = index or FingerprintIndex(spark, new_path(spark, "index"), width)
+        marks = table(base.mapInArrow(_fingerprints(width, batches), "batch int, fp long, n long"), "fingerprints")
+        hits = None
+        for k in range(batches):
+            more = own.add(marks.where(F.col("batch") == k).select("fp", "n"))
+            hits = more if hits is None else hits.union(more)
+        hits = table(hits.distinct(), "repeated")
+        seen = base.union(history.select(F.xxhash64("doc_id", "text"), "text")) if old else base
+        covered = result(_covered(seen, hits, width), "covered")
+        if index is None:
+            own.close()
+    wide = docs.select(F.xxhash64("doc_id", "text").alias("rid"), "text", F.struct(*keep).alias("row"))
+    split = marked(wide, "rid", covered.select("rid"), "hit")
+    touched = split.where("hit").join(covered, "rid", "left").select("row", "text", "places")
+    rest = split.where("not hit").select("row", "text", F.lit(None).cast("array<int>").alias("places"))
+    kind = wide.select("row").schema.add("n_words", "long").add("n_removed", "long").add("kept", "string")
+    return touched.union(rest).mapInArrow(_cut(width, texts), kind)
 
 
 def op3_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return remove_repeats(docs, ["doc_id"]).withColumnRenamed("kept", "kept_sha256")
+    return remove_repeats(docs, ["doc_id"]).select("row.doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline: repeated windows of 35 words are cut out; a document left without words goes; n_chars follows the text."""
-    rest = [c for c in docs.columns if c not in ("text", "n_chars")]
-    named = docs.withColumn("__old", F.col("text"))
-    out = remove_repeats(named, [*rest, "__old", "n_chars"], texts=True)
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("__old"))
-    out = out.where("n_removed = 0 or n_words > n_removed").withColumn("text", text)
-    n_chars = F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return out.withColumn("n_chars", n_chars).select(*docs.columns)
+    """Pipeline: repeated windows of 35 words are cut out; a document left without words goes; n_chars follows the text.
+
+    Null and empty texts stay as they are. Columns of any other name go through untouched.
+    """
+    out = remove_repeats(docs, [c for c in docs.columns if c != "text"], texts=True).where("n_removed = 0 or n_words > n_removed")
+    value = {c: F.col("row").getField(c) for c in docs.columns if c != "text"} | {"text": F.col("kept")}
+    if "n_chars" in docs.columns:
+        value["n_chars"] = F.when(F.col("n_removed") > 0, F.length("kept").cast(docs.schema["n_chars"].dataType)).otherwise(value["n_chars"])
+    return out.select(*[value[c].alias(c) for c in docs.columns])
 
 
 ORACLE = """

@@ -1,7 +1,10 @@
 """Words, shingles and windows of whole texts as numpy arrays, straight from Arrow string buffers.
 
-A word is a maximal run of bytes other than 0x20 and 0x09-0x0D. Hashes are 64-bit polynomial sums over
-prefix sums (wrapping arithmetic), so a window of any width costs two look-ups.
+A word is a maximal run of bytes other than 0x20 and 0x09-0x0D. A word's hash sums a pseudo-random value for each letter and
+place (no polynomial in the letters, so no repetitive spelling cancels out); ``seed`` gives independent hashes. Windows of
+words are 64-bit polynomials in those hashes over prefix sums, so a window of any width costs two look-ups.
+
+A text is held whole by the task that reads it, with about 15 bytes of arrays for each of its bytes.
 """
 
 from __future__ import annotations
@@ -16,9 +19,13 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_BYTE = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
-_MUL_BYTE, _MUL_WORD = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
+_MUL_WORD = 0xD1342543DE82EF95
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+#: Places of a word whose letter values are kept in a table; values of later places are computed.
+_PLACES = 64
+_LETTERS: dict[int, np.ndarray] = {}
+#: Bytes of words hashed at a time, so that the arrays stay in the cache.
+_CHUNK = 1 << 16
 
 
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -48,6 +55,28 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _letter(code: np.ndarray, seed: int) -> np.ndarray:
+    """The value of a byte at a place of its word (code: place * 256 + byte)."""
+    return mix(mix(code.astype(np.uint64) + np.uint64((seed + 1) * 0x9E3779B97F4A7C15 % 2**64)))
+
+
+def _word_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int) -> np.ndarray:
+    """Hash of every word: the mixed sum of its letters' values by place, so words of any length differ for sure but for chance."""
+    if seed not in _LETTERS:
+        _LETTERS[seed] = _letter(np.arange(_PLACES * 256), seed)
+    values, size = _LETTERS[seed], end - start
+    out = np.empty(len(start), np.uint64)
+    total = np.cumsum(size)
+    cuts = np.unique(np.append(np.searchsorted(total, np.arange(0, total[-1], _CHUNK)), len(start))) if len(start) else []
+    for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+        n = size[i:j]
+        first = np.cumsum(n) - n
+        place = np.arange(first[-1] + n[-1]) - np.repeat(first, n)
+        code = place * 256 + buf[np.repeat(start[i:j], n) + place]
+        out[i:j] = np.add.reduceat(values[code] if n.max() <= _PLACES else _letter(code, seed), first)
+    return mix(out + size.astype(np.uint64))
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each slice holds about ``limit`` bytes of text (a longer text stands alone)."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
@@ -64,10 +93,10 @@ class Words:
     """The words of a slice of texts.
 
     buf: the bytes; start, end: byte range of every word; first: index of each text's first word, one entry more
-    than there are texts; hash: a 64-bit hash of every word.
+    than there are texts; hash: a 64-bit hash of every word under ``seed``.
     """
 
-    def __init__(self, texts: pa.Array, lower: bool = False):
+    def __init__(self, texts: pa.Array, lower: bool = False, seed: int = 0):
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
         data = texts.buffers()[2]
@@ -86,10 +115,13 @@ class Words:
         self.start = np.flatnonzero(black & (before | edge[:n]))
         self.end = np.flatnonzero(black & (after | edge[1:])) + 1
         self.first = np.searchsorted(self.start, self.offsets)
-        up, down = powers(_MUL_BYTE, n + 1)
-        prefix = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(_BYTE[self.buf] * up[:n], out=prefix[1:])
-        self.hash = mix((prefix[self.end] - prefix[self.start]) * down[self.start] + (self.end - self.start).astype(np.uint64))
+        self.hash = _word_hashes(self.buf, self.start, self.end, seed)
+
+    def rehash(self, seed: int) -> Words:
+        """The same words under an independent hash."""
+        other = object.__new__(Words)
+        other.__dict__.update(self.__dict__, hash=_word_hashes(self.buf, self.start, self.end, seed))
+        return other
 
     def counts(self) -> np.ndarray:
         return np.diff(self.first)

@@ -8,7 +8,8 @@
 
 Null and empty texts have no n-gram and get the intercept's score. A document with several labels is toxic if one
 label says so; null labels are left out. With labels of one class only, or none, the score is the (smoothed) share of
-toxic labels. Repeated rows are scored alike; extra columns are ignored.
+toxic labels. Repeated rows are scored alike; ties between buckets go to the lower one; empty tables give no rows. Extra columns
+of any name go through untouched. A very long text is scored whole, alone (about 60 bytes for each of its letters).
 """
 
 from __future__ import annotations
@@ -18,11 +19,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import table
+from strandloom.functions.scratch import scope, table
 from .textarrays import slices
 
 ORDERS = (3, 4, 5, 6)
-BITS = 18
+BITS = 20
 BUCKETS = 1 << BITS
 FEATURES = 4096
 #: Bytes of text hashed at a time, so that the arrays stay in the cache.
@@ -163,7 +164,7 @@ def fit(rows: DataFrame, max_fit: int = MAX_FIT) -> Model:
     select[at] = np.arange(len(at))
     share = min(1.0, max_fit / (n0 + n1))
     chosen = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)) if share < 1 else rows
-    got = chosen.select("label", "text").mapInArrow(_features(select), "label int, features binary").limit(2 * max_fit).toArrow()
+    got = chosen.select("label", "text").mapInArrow(_features(select), "label int, features binary").toArrow()
     data = list(zip(got.column("label").to_pylist(), (np.frombuffer(f, np.int32) for f in got.column("features").to_pylist()), strict=True))
     if len({y for y, _ in data}) < 2:
         weights[at] = scale * 0.1
@@ -174,10 +175,10 @@ def fit(rows: DataFrame, max_fit: int = MAX_FIT) -> Model:
 
 
 def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """``keep`` columns of ``docs`` and ``score``; docs needs ``text``."""
+    """(row, score): a struct of the ``keep`` columns of docs, and the score of ``text``."""
     sc = docs.sparkSession.sparkContext
     shared = sc.broadcast((np.flatnonzero(model.weights).astype(np.int32), model.weights[model.weights != 0], model.bias))
-    schema = docs.select(*keep).schema
+    wide = docs.select(F.struct(*keep).alias("row"), "text")
 
     def run(batches):
         at, w, bias = shared.value
@@ -185,11 +186,11 @@ def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
         weights[at] = w
         own = Model(weights, bias)
         for batch in batches:
-            for part in slices(batch, "__text", SLICE):
-                s = own.scores(part.column("__text").to_pylist())
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(s, pa.float64())], [*keep, "score"])
+            for part in slices(batch, "text", SLICE):
+                s = own.scores([t or "" for t in part.column("text").to_pylist()])
+                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(s, pa.float64())], ["row", "score"])
 
-    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(run, schema.add("score", "double"))
+    return wide.mapInArrow(run, wide.select("row").schema.add("score", "double"))
 
 
 def in_fold(doc_id: Column) -> Column:
@@ -197,15 +198,19 @@ def in_fold(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def train(docs: DataFrame, labels: DataFrame) -> Model:
+    """The model of the labels outside the held-out fold."""
+    with scope(docs.sparkSession):
+        return fit(labelled(docs, labels.where(~in_fold(F.col("doc_id")))))
+
+
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~in_fold(F.col("doc_id")))
-    model = fit(labelled(docs, labels))
-    return score(docs, model, ["doc_id"]).select("doc_id", in_fold(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    scored = score(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")), ["doc_id"]).select("row.doc_id", "score")
+    return scored.select("doc_id", in_fold(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline: documents that the classifier rejects (score 0.5 or more) go; all columns stay."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~in_fold(F.col("doc_id")))
-    model = fit(labelled(docs, labels))
-    return score(docs, model, docs.columns).where(F.col("score") < 0.5).drop("score")
+    """Pipeline: documents that the classifier rejects (score 0.5 or more) go; all columns of any name stay as they are."""
+    model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return score(docs, model, docs.columns).where(F.col("score") < 0.5).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
