@@ -7,8 +7,8 @@
 * In each band bucket, members are paired with one hub only (the member that shares most buckets), which makes m - 1
   pairs of m members. What passes the sketch is confirmed on the full sets of both texts.
 * The rest is exact: in every bucket that still holds several components, the members outside its largest one are compared
-  with the bucket's members of other components, in blocks of both sides, by finer odd sketches. What those pass is
-  confirmed on full sets, which travel once to each block of pairs.
+  with the bucket's members of other components, in blocks of both sides, by finer odd sketches; two members meet in the
+  first bucket that they share only. Members that are near another one there come again with their full sets, which decide.
 
 A pair at the threshold shares no band with probability under 1e-5. Null and empty texts have an empty set and link
 with nothing; a text under five words is one shingle. Repeated rows are copies of each other. A null doc_id never
@@ -33,8 +33,8 @@ from .textarrays import Words, mix, slices
 
 SAMPLES, ROWS, BANDS, BITS = 128, 4, 25, 512
 FINE_SAMPLES, FINE_BITS = 512, 2048
-#: Members of one side of a block of the exact search, rows of a task of small blocks, and shingles of a task of sets.
-SIDE, PACK, BLOCK = 2000, 20_000, 250_000
+#: Shingles of one side of a block of the exact search, and of a task of small blocks.
+BLOCK = 250_000
 SLICE = 1 << 18
 
 
@@ -150,98 +150,113 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return rows.select("u", "v", "text_u", "text_v").mapInArrow(_confirm(percent), "u long, v long").distinct()
 
 
+def _cells(rows: pd.DataFrame):
+    """The blocks among rows of a task: (first row, row after the last)."""
+    place = rows[["key", "i", "j"]].to_numpy()
+    cut = np.flatnonzero(np.append(True, (place[1:] != place[:-1]).any(axis=1)))
+    return zip(cut, np.append(cut[1:], len(rows)), strict=True)
+
+
+class _Members:
+    """Members of blocks as arrays; ``near``: whom an asked member may link with and meets nowhere before."""
+
+    def __init__(self, rows: pd.DataFrame, most: int, percent: int):
+        self.sketch = np.frombuffer(b"".join(rows.fine), np.uint64).reshape(len(rows), -1)
+        self.bands = np.stack(rows.bands.to_list())
+        self.key, self.id, self.comp, self.n, self.asked = (rows[c].to_numpy() for c in ("key", "id", "comp", "n", "asked"))
+        self.most, self.percent = most, percent
+
+    def near(self, i: int, base: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of ``base`` near row i, and by how many bits they differ."""
+        n, m = self.n[base], self.n[i]
+        rest = base[(self.comp[base] != self.comp[i]) & (100 * np.minimum(n, m) >= self.percent * np.maximum(n, m))]
+        differ = np.bitwise_count(self.sketch[i] ^ self.sketch[rest]).sum(axis=1, dtype=np.int64)
+        hit = differ <= self.most
+        rest, differ = rest[hit], differ[hit]
+        shared = self.bands[rest] == self.bands[i]
+        first = self.bands[i][shared.argmax(axis=1)] == self.key[i]
+        return rest[first], differ[first]
+
+
 def _near(most: int, percent: int):
-    """Of some blocks: pairs of an asked and a base member of other components whose sketches are near, with the distance."""
+    """The members of blocks that are near another one in it: (key, i, j, asked, id)."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["key", "i", "j"], kind="stable")
-        x = np.frombuffer(b"".join(rows.fine), np.uint64).reshape(len(rows), -1)
-        ids, comp, n, asked, keys = (rows[c].to_numpy() for c in ("id", "comp", "n", "asked", "key"))
-        place = rows[["key", "i", "j"]].to_numpy()
-        cut = np.flatnonzero(np.append(True, (place[1:] != place[:-1]).any(axis=1)))
-        out = []
-        for a, b in zip(cut, np.append(cut[1:], len(rows)), strict=True):
-            base = a + np.flatnonzero(~asked[a:b])
-            for i in a + np.flatnonzero(asked[a:b]):
-                rest = base[(comp[base] != comp[i]) & (100 * np.minimum(n[base], n[i]) >= percent * np.maximum(n[base], n[i]))]
-                if len(rest):
-                    differ = np.bitwise_count(x[i] ^ x[rest]).sum(axis=1, dtype=np.int64)
-                    hit = differ <= most
-                    v, d = rest[hit], differ[hit]
-                    out.append(np.stack([np.minimum(ids[i], ids[v]), np.maximum(ids[i], ids[v]), np.full(len(v), keys[i]), d], axis=1))
-        return pd.DataFrame(np.concatenate(out) if out else np.zeros((0, 4), np.int64), columns=["u", "v", "key", "differ"])
+        rows = rows.sort_values(["key", "i", "j"], kind="stable").reset_index(drop=True)
+        members, flag = _Members(rows, most, percent), np.zeros(len(rows), bool)
+        for a, b in _cells(rows):
+            base = a + np.flatnonzero(~members.asked[a:b])
+            for i in a + np.flatnonzero(members.asked[a:b]):
+                hit, _ = members.near(i, base)
+                flag[hit] = True
+                flag[i] |= len(hit) > 0
+        return rows.loc[flag, ["key", "i", "j", "asked", "id"]]
 
     return run
 
 
-def _judge(percent: int):
-    """Of some pairs and the sets of their ids: links, nearest pairs first, one for each two components."""
+def _links(most: int, percent: int):
+    """Of the near members of blocks and their sets: links, nearest first, one for each two components."""
 
-    def run(pairs: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
-        sets = {i: np.frombuffer(b, np.uint64) for i, b in zip(members.id, members.set, strict=True)}
-        root: dict[int, int] = {}
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["key", "i", "j"], kind="stable").reset_index(drop=True)
+        members, root, out = _Members(rows, most, percent), {}, []
 
         def find(c: int) -> int:
             while root.get(c, c) != c:
                 c = root[c]
             return c
 
-        out = []
-        for p in pairs.sort_values(["differ", "u", "v"], kind="stable").itertuples():
-            a, b = find(p.cu), find(p.cv)
-            if a != b:
-                x, y = sets[p.u], sets[p.v]
-                at = np.searchsorted(y, x)
-                both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
-                if 100 * both >= percent * (len(x) + len(y) - both):
-                    root[max(a, b)] = min(a, b)
-                    out.append((p.u, p.v))
+        for a, b in _cells(rows):
+            base = a + np.flatnonzero(~members.asked[a:b])
+            for i in a + np.flatnonzero(members.asked[a:b]):
+                x = np.frombuffer(rows.set[i], np.uint64)
+                hit, differ = members.near(i, base)
+                for j in hit[np.argsort(differ, kind="stable")]:
+                    u, v = find(members.comp[i]), find(members.comp[j])
+                    if u != v:
+                        y = np.frombuffer(rows.set[j], np.uint64)
+                        at = np.searchsorted(y, x)
+                        both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
+                        if 100 * both >= percent * (len(x) + len(y) - both):
+                            root[max(u, v)] = min(u, v)
+                            out.append((min(members.id[i], members.id[j]), max(members.id[i], members.id[j])))
         return pd.DataFrame(out, columns=["u", "v"]).astype("int64")
 
     return run
 
 
-def _parts(df: DataFrame, size: int, *what: str) -> int:
-    """How many tasks take about ``size`` of the sum each (at least one)."""
-    total = df.agg(*[F.sum(c) for c in what]).first()
-    return max(1, -(-sum(x or 0 for x in total) // size))
+def _dealt(rows: DataFrame, size: str) -> DataFrame:
+    """rows (key, i, j, ...) with ``task``: small blocks are packed so that a task takes about BLOCK of the sum of ``size``."""
+    total = rows.agg(F.sum(size)).first()[0] or 0
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // BLOCK))
+    return rows.withColumn("task", F.pmod(F.xxhash64("key", "i", "j"), F.lit(tasks)))
 
 
-def _rest(shared: DataFrame, comp: DataFrame, texts: DataFrame, percent: int) -> DataFrame | None:
+def _rest(shared: DataFrame, comp: DataFrame, reps: DataFrame, texts: DataFrame, percent: int) -> DataFrame | None:
     """Links between components that share a bucket (None: no bucket has two components)."""
-    member = shared.join(comp, shared.id == comp.cid, "left").select("key", "id", F.coalesce("component_id", "id").alias("comp"))
-    sizes = member.groupBy("key", "comp").agg(F.count("*").alias("m"))
+    own = comp.select(F.col("id").alias("cid"), "component_id")
+    member = shared.join(own, shared.id == own.cid, "left").select("key", "id", "n", F.coalesce("component_id", "id").alias("comp"))
+    sizes = member.groupBy("key", "comp").agg(F.sum("n").alias("m"))
     mixed = sizes.groupBy("key").agg(F.max(F.struct("m", "comp"))["comp"].alias("most"), F.sum("m").alias("all"), F.max("m").alias("top"), F.count("*").alias("k")).where("k > 1")
-    blocks = mixed.select("key", "most", F.ceil(F.col("all") / SIDE).cast("int").alias("across"), F.ceil((F.col("all") - F.col("top")) / SIDE).cast("int").alias("down"))
+    blocks = mixed.select("key", "most", F.ceil(F.col("all") / BLOCK).cast("int").alias("across"), F.ceil((F.col("all") - F.col("top")) / BLOCK).cast("int").alias("down"))
     member = table(member.join(blocks, "key"), "mixed")
     if member.isEmpty():
         return None
     ids = member.select("id").distinct()
-    fine = table(matching(texts, "id", ids).mapInArrow(_fine, "id long, n long, fine binary, set binary").dropDuplicates(["id"]), "fine")
+    fine = matching(texts, "id", ids).mapInArrow(_fine, "id long, n long, fine binary, set binary").dropDuplicates(["id"]).drop("n")
+    fine = table(fine.join(reps.select("id", "bands"), "id"), "fine")
     part = lambda c, n: F.pmod(F.xxhash64(c), n).cast("int")
     every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     base = member.withColumn("i", part("id", F.col("across"))).withColumn("j", every("down")).withColumn("asked", F.lit(False))
     asked = member.where("comp <> most").withColumn("j", part("id", F.col("down"))).withColumn("i", every("across")).withColumn("asked", F.lit(True))
-    columns = ["key", "i", "j", "asked", "id", "comp"]
-    both = table(base.select(*columns).unionByName(asked.select(*columns)), "blocks")
-    deal = max(1, -(-both.count() // PACK))
-    dealt = both.join(fine.select("id", "n", "fine"), "id").withColumn("task", F.pmod(F.xxhash64("key", "i", "j"), F.lit(deal)))
-    near = dealt.groupBy("task").applyInPandas(_near(_furthest(percent, FINE_SAMPLES, FINE_BITS, 4.2), percent), "u long, v long, key long, differ long")
-    near = near.groupBy("u", "v").agg(F.min("key").alias("key"), F.first("differ").alias("differ"))
-    own = lambda c: comp.select(F.col("cid").alias(c), F.col("component_id").alias("c" + c))
-    for c in ("u", "v"):
-        near = near.join(own(c), c, "left").withColumn("c" + c, F.coalesce("c" + c, c))
-    near = table(near, "near")
-    # a bucket's sets are cut into parts of BLOCK shingles; a pair goes to the block of its two parts
-    weight = near.select("key", F.col("u").alias("id")).union(near.select("key", "v")).distinct().join(fine.select("id", "n"), "id").groupBy("key").agg(F.sum("n").alias("n"))
-    weight = table(weight, "weights")
-    deal = _parts(weight, BLOCK, "n")
-    pairs = near.join(weight.select("key", F.ceil(F.col("n") / BLOCK).alias("parts")), "key")
-    at = F.xxhash64("key", part("u", F.col("parts")), part("v", F.col("parts")))
-    pairs = table(pairs.withColumn("task", F.pmod(at, F.lit(deal))).drop("key", "parts"), "near-tasks")
-    ends = pairs.select(F.col("task").alias("place"), F.col("u").alias("id")).union(pairs.select("task", "v")).distinct()
-    sets = ends.join(fine.select("id", "set"), "id")
-    return pairs.groupBy("task").cogroup(sets.groupBy("place")).applyInPandas(_judge(percent), "u long, v long").distinct()
+    place = ["key", "i", "j", "asked", "id"]
+    both = table(base.select(*place, "comp", "n").unionByName(asked.select(*place, "comp", "n")), "blocks")
+    most = _furthest(percent, FINE_SAMPLES, FINE_BITS, 4.2)
+    near = _dealt(both, "n").join(fine.select("id", "fine", "bands"), "id").groupBy("task")
+    near = table(both.join(near.applyInPandas(_near(most, percent), "key long, i int, j int, asked boolean, id long"), place, "left_semi"), "near")
+    sets = _dealt(near, "n").join(fine, "id").groupBy("task")
+    return sets.applyInPandas(_links(most, percent), "u long, v long").distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -254,7 +269,7 @@ def _near_duplicates(docs: DataFrame, percent: int) -> DataFrame:
     feats = table(docs.mapInArrow(_features, "doc_id long, n_shingles long, digest binary, bands array<long>, sketch array<long>"), "minhash")
     firsts = [F.first(c).alias(n) for c, n in (("n_shingles", "n"), ("bands", "bands"), ("sketch", "sketch"))]
     reps = table(feats.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("id"), *firsts).where("id is not null"), "sets")
-    keys = reps.select("id", F.explode("bands").alias("key"))
+    keys = reps.select("id", "n", F.explode("bands").alias("key"))
     shared = table(keys.join(keys.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "key"), "buckets")
     ranked = shared.join(shared.groupBy("id").agg(F.sum("m").alias("degree")), "id")
     hubs = ranked.groupBy("key").agg(F.max(F.struct("degree", (-F.col("id")).alias("i")))["i"].alias("i")).select("key", (-F.col("i")).alias("hub"))
@@ -268,7 +283,7 @@ def _near_duplicates(docs: DataFrame, percent: int) -> DataFrame:
     texts = table(matching(texts, "id", shared.select("id")), "texts")
     links = table(confirm(tested, texts, percent), "links")
     comp = components(links)
-    found = _rest(shared.select("key", "id"), comp.withColumnRenamed("id", "cid"), texts, percent)
+    found = _rest(shared.select("key", "id", "n"), comp, reps, texts, percent)
     if found is not None:
         found = table(found, "links")
         if not found.isEmpty():

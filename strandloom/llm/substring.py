@@ -268,12 +268,25 @@ def _covered(base: DataFrame, hits: DataFrame, width: int) -> DataFrame:
     """(rid, places): where windows that start more than once among base (rid, text) begin."""
     shared = base.sparkSession.sparkContext.broadcast(_bitmap(hits))
     found = table(base.mapInArrow(_suspects(width, shared), "rid long, place int, least long, hash long"), "suspects")
-    some = found.where("hash is not null")
-    twice = some.groupBy("least", "hash").agg(F.count("*").alias("n")).where("n > 1").select("least", "hash")
-    places = found.where("hash is null").select("rid", "place").union(some.join(twice, ["least", "hash"], "left_semi").select("rid", "place"))
+    # one 64-bit hash of both finds nearly all that start once; the rest is compared in full
+    some = found.where("hash is not null").withColumn("both", F.xxhash64("least", "hash"))
+    often = some.groupBy("both").agg(F.count("*").alias("n")).where("n > 1").select("both")
+    maybe = table(marked(some, "both", often, "often").where("often").select("rid", "place", "least", "hash"), "maybe")
+    twice = maybe.groupBy("least", "hash").agg(F.count("*").alias("n")).where("n > 1").select("least", "hash")
+    places = found.where("hash is null").select("rid", "place").union(maybe.join(twice, ["least", "hash"], "left_semi").select("rid", "place"))
     return table(places.groupBy("rid").agg(F.collect_set("place").alias("places")), "covered")
 
 
+def _enter(base: DataFrame, index: FingerprintIndex, batches: int) -> DataFrame:
+    """Add base (rid, text) to the index in parts; (fp): the hashes that repeat."""
+    marks = table(base.mapInArrow(_fingerprints(index.width, batches), "batch int, fp long, n long"), "fingerprints")
+    hits = None
+    for k in range(batches):
+        more = index.add(marks.where(F.col("batch") == k).select("fp", "n"))
+        hits = more if hits is None else hits.union(more)
+    return hits.distinct()
+
+
 def remove_repeats(docs: DataFrame, keep: list[str], width: int = WIDTH, batches: int = FANOUT, texts: bool = False, index: FingerprintIndex | None = None, history: DataFrame | None = None) -> DataFrame:
     """(row, n_words, n_removed, kept): row is a struct of the ``keep`` columns of docs (doc_id, text, ...), kept the kept words'
     SHA-256, or with ``texts`` the text without the removed words.
@@ -288,17 +301,13 @@ def remove_repeats(docs: DataFrame, keep: list[str], width: int = WIDTH, batches
     width = index.width if index else width
     base = docs.select(F.xxhash64("doc_id", "text").alias("rid"), "text")
     with scope(spark):
-        own = index or FingerprintIndex(spark, new_path(spark, "index"), width)
-        marks = table(base.mapInArrow(_fingerprints(width, batches), "batch int, fp long, n long"), "fingerprints")
-        hits = None
-        for k in range(batches):
-            more = own.add(marks.where(F.col("batch") == k).select("fp", "n"))
-            hits = more if hits is None else hits.union(more)
-        hits = table(hits.distinct(), "repeated")
+        with scope(spark):
+            own = index or FingerprintIndex(spark, new_path(spark, "index"), width)
+            hits = result(_enter(base, own, batches), "repeated")
+            if index is None:
+                own.close()
         seen = base.union(history.select(F.xxhash64("doc_id", "text"), "text")) if old else base
         covered = result(_covered(seen, hits, width), "covered")
-        if index is None:
-            own.close()
     wide = docs.select(F.xxhash64("doc_id", "text").alias("rid"), "text", F.struct(*keep).alias("row"))
     split = marked(wide, "rid", covered.select("rid"), "hit")
     touched = split.where("hit").join(covered, "rid", "left").select("row", "text", "places")
