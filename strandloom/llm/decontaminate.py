@@ -174,7 +174,8 @@ def _matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     entered = entered.select("item_id", "n_words", "item_print", F.col("b.k").alias("k"), F.col("b.v").bitwiseXOR(F.col("m")).alias("v"))
     # equal windows (copies of a passage) meet the index once
     prints = found.select("print", "n_words").distinct().select("print", "n_words", keys("print")).select("print", "n_words", F.col("b.k").alias("k"), F.col("b.v").alias("v"))
-    met = prints.join(entered, ["n_words", "k", "v"]).where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS).select("print", "n_words", "item_id").distinct()
+    # the entered rows are thousands for each item: merged, never broadcast
+    met = prints.join(entered.hint("merge"), ["n_words", "k", "v"]).where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS).select("print", "n_words", "item_id").distinct()
     pairs = found.join(met, ["print", "n_words"]).join(items.select("item_id", "item_shingles"), "item_id")
     sims = pairs.select("doc_id", "start", "words", "item_id", "shingles", "item_shingles").mapInArrow(_similar, "doc_id long, start int, words int, item_id long, similarity double")
     best = F.max(F.struct("similarity", (-F.col("start")).alias("s"), (-F.col("words")).alias("w")))
