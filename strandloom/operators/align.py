@@ -11,9 +11,11 @@ from strandloom.operators.stats import hypergeom_tail
 
 def ref_windows(refs: DataFrame, lengths: list[int], both: bool = True) -> DataFrame:
     """All windows of the read lengths on one or both strands: ref, pos (0-based), strand, seq. refs: ref, seq."""
-    cut = refs.withColumn("len", F.explode(F.array(*[F.lit(x) for x in lengths]))).where(F.length("seq") >= F.col("len"))
-    w = cut.select("ref", "len", F.explode(F.sequence(F.lit(0), F.length("seq") - F.col("len"))).alias("pos"), F.col("seq").alias("whole"))
-    w = w.select("ref", "pos", F.substr("whole", F.col("pos") + 1, F.col("len")).alias("seq"))
+    least, most = min(lengths), max(lengths)
+    # blanks after the sequence let shorter windows begin in its last places
+    padded = refs.where(F.length("seq") >= least).select("ref", F.length("seq").alias("n"), F.concat("seq", F.lit(" " * (most - least))).alias("seq"))
+    places = kmers(padded, "seq", most, ["ref", "n"]).select("*", F.explode(F.array(*[F.lit(x) for x in lengths])).alias("len"))
+    w = places.where(F.col("pos") + F.col("len") - 1 <= F.col("n")).select("ref", (F.col("pos") - 1).alias("pos"), F.substr("kmer", F.lit(1), F.col("len")).alias("seq"))
     plus = w.withColumn("strand", F.lit("+"))
     return plus if not both else plus.unionByName(w.withColumn("seq", reverse_complement(F.col("seq"))).withColumn("strand", F.lit("-")))
 

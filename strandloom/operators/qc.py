@@ -5,10 +5,38 @@ Reads have sample, read_id, seq and, where it is used, qual (Phred + 33).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandloom.functions.seq import hamming, letters, once, phred
+from strandloom.functions.seq import let, letters, once, phred
+
+
+def _with_mismatches(adapter: str, most: int, end_from: int | None = None) -> str:
+    """A pattern of the adapter with at most so many unlike letters; from ``end_from`` letters on the text may end.
+
+    Each letter either is the adapter's or is not, so a place of the text is tried along one path only.
+    """
+
+    def rest(k: int, left: int) -> str:
+        if k == len(adapter):
+            return ""
+        letter = re.escape(adapter[k])
+        ways = [letter + rest(k + 1, left)]
+        if left:
+            ways.append(f"[^{letter}]" + rest(k + 1, left - 1))
+        if end_from is not None and k >= end_from:
+            ways.append("\\z")
+        return ways[0] if len(ways) == 1 else f"(?:{'|'.join(ways)})"
+
+    return rest(0, most)
+
+
+def _count_upto(q: int) -> Column:
+    """How many letters of ``qual`` stand for a quality of at most ``q``."""
+    low = "".join(chr(c) for c in range(1, q + 34))
+    return F.length("qual") - F.length(F.translate("qual", low, ""))
 
 
 def n_rich(rate: float = 0.1) -> Column:
@@ -16,7 +44,7 @@ def n_rich(rate: float = 0.1) -> Column:
 
 
 def low_quality(q: int = 5, rate: float = 0.5) -> Column:
-    return F.length("seq") * rate <= F.size(F.filter(phred(F.col("qual")), lambda x: x <= q))
+    return F.length("seq") * rate <= _count_upto(q)
 
 
 def filter_n_rate(df: DataFrame, rate: float = 0.1) -> DataFrame:
@@ -41,14 +69,11 @@ def head_trim(df: DataFrame, n: int = 50) -> DataFrame:
 
 def has_adapter5(a5: str, least: int = 8, mismatches: int = 1) -> Column:
     """A 5' adapter, or a suffix of it at the read's start, ends at some base from ``least`` on."""
-    seq, a = F.col("seq"), F.lit(a5)
     n = len(a5)
-
-    def hit(end):
-        cut = F.least(end, F.lit(n))
-        return hamming(F.substr(seq, end - cut + 1, cut), F.substr(a, F.lit(n + 1) - cut, cut)) <= mismatches
-
-    return F.when(F.length(seq) > least, F.exists(F.sequence(F.lit(least), F.length(seq) - 1), hit)).otherwise(F.lit(False))
+    behind = f"(?<=[\\s\\S]{{{least - n}}})" if n < least else ""
+    whole = behind + _with_mismatches(a5, mismatches)
+    parts = [f"\\A{_with_mismatches(a5[n - cut :], mismatches)}" for cut in range(least, n)]
+    return F.coalesce(F.col("seq").rlike(f"(?:{'|'.join([whole, *parts])})(?=[\\s\\S])"), F.lit(False))
 
 
 def adapter5_detect(df: DataFrame, a5: str, min5: int = 8, mm: int = 1) -> DataFrame:
@@ -57,15 +82,9 @@ def adapter5_detect(df: DataFrame, a5: str, min5: int = 8, mm: int = 1) -> DataF
 
 def insert3(a3: str, least: int = 8, mismatches: int = 2) -> Column:
     """What stands before the leftmost 3' adapter (a part of at least ``least`` bases at the end counts); null if none."""
-    seq, a = F.col("seq"), F.lit(a3)
-
-    def hit(at):
-        cut = F.least(F.length(seq) - at, F.lit(len(a3)))
-        return hamming(F.substr(seq, at + 1, cut), F.substr(a, F.lit(1), cut)) <= mismatches
-
-    at = F.array_min(F.filter(F.sequence(F.lit(0), F.greatest(F.length(seq) - least, F.lit(0))), hit))
-    at = F.when(F.length(seq) >= least, at)
-    return F.transform(F.array(at), lambda p: F.when(p.isNotNull(), F.substr(seq, F.lit(1), p)))[0]
+    seq = F.col("seq")
+    at = F.regexp_instr(seq, F.lit(f"(?=[\\s\\S]{{{least}}}){_with_mismatches(a3, mismatches, least)}"))
+    return let(at, lambda p: F.when(p > 0, F.substr(seq, F.lit(1), p - 1)))
 
 
 def adapter3_trim(df: DataFrame, a3: str, min3: int = 8, mm: int = 2) -> DataFrame:
@@ -130,9 +149,9 @@ def quality_histogram(df: DataFrame) -> DataFrame:
 
 def fastq_summary(df: DataFrame) -> DataFrame:
     """Per sample: reads, bases, N, low quality, Q20, Q30, GC (all in percent) and duplication."""
-    q = phred(F.col("qual"))
-    upto = lambda k: F.size(F.filter(q, lambda x: x <= k))
-    rows = df.select("sample", "seq", F.length("seq").alias("len"), F.regexp_count("seq", F.lit("N")).alias("nn"), F.regexp_count("seq", F.lit("[GC]")).alias("gc"), upto(5).alias("q5"), upto(19).alias("q19"), upto(29).alias("q29"))
+    lost = lambda letters_: F.length("seq") - F.length(F.translate("seq", letters_, ""))
+    quality = [_count_upto(k).alias(f"q{k}") for k in (5, 19, 29)]
+    rows = df.select("sample", "seq", F.length("seq").alias("len"), lost("N").alias("nn"), lost("GC").alias("gc"), *quality)
     s = rows.groupBy("sample", "seq").agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in ("len", "nn", "gc", "q5", "q19", "q29")])
     s = s.groupBy("sample").agg(F.sum("n").alias("reads"), F.count("*").alias("distinct"), *[F.sum(c).alias(c) for c in ("len", "nn", "gc", "q5", "q19", "q29")])
     pct = lambda a, b: F.round(100 * a / b, 4)

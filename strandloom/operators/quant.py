@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandloom.functions.seq import half_up
+from strandloom.operators.table import cumulative_sum, islands, numbered
 
 
 def zero(c) -> Column:
@@ -103,25 +104,34 @@ def mature_windows(hits: DataFrame, up: int = 2, down: int = 5) -> DataFrame:
     return hits.select("precursor", "mature", F.greatest(F.lit(0), F.col("pos") - up).alias("beg"), (F.col("pos") + F.col("len") - 1 + down).alias("end"))
 
 
-def read_in_window(reads: DataFrame, windows: DataFrame) -> DataFrame:
+def _inside(reads: DataFrame, windows: DataFrame, width: int, how: str) -> DataFrame:
+    """Reads joined with the windows that hold them; windows are entered in all bins that they touch, a read in that of its begin."""
+    w = windows.withColumn("__bin", F.explode(F.sequence(F.floor(F.col("beg") / width), F.greatest(F.floor(F.col("beg") / width), F.floor(F.col("end") / width))))).alias("w")
+    r = reads.withColumn("__bin", F.floor(F.col("beg") / width)).alias("r")
+    same = (F.col("r.precursor") == F.col("w.precursor")) & (F.col("r.__bin") == F.col("w.__bin"))
+    return r.join(w, same & (F.col("r.beg") >= F.col("w.beg")) & (F.col("r.end") <= F.col("w.end")), how)
+
+
+def read_in_window(reads: DataFrame, windows: DataFrame, width: int = 256) -> DataFrame:
     """Reads (precursor, beg, end, n) inside windows of their precursor; a read in two windows counts in both."""
-    r, w = reads.alias("r"), windows.alias("w")
-    inside = r.join(w, (F.col("r.precursor") == F.col("w.precursor")) & (F.col("r.beg") >= F.col("w.beg")) & (F.col("r.end") <= F.col("w.end")))
-    return inside.groupBy("w.precursor", "mature").agg(F.count("*").alias("reads"), F.sum("r.n").alias("n"))
+    return _inside(reads, windows, width, "inner").groupBy("w.precursor", "mature").agg(F.count("*").alias("reads"), F.sum("r.n").alias("n"))
 
 
-def remaining_count(reads: DataFrame, windows: DataFrame) -> DataFrame:
+def remaining_count(reads: DataFrame, windows: DataFrame, width: int = 256) -> DataFrame:
     """Per precursor: reads outside all windows."""
-    r, w = reads.alias("r"), windows.alias("w")
-    out = r.join(w, (F.col("r.precursor") == F.col("w.precursor")) & (F.col("r.beg") >= F.col("w.beg")) & (F.col("r.end") <= F.col("w.end")), "left_anti")
+    out = _inside(reads, windows, width, "left_anti")
     return reads.select("precursor").distinct().join(out.groupBy("precursor").agg(F.sum("n").alias("n")), "precursor", "left").select("precursor", zero("n").alias("remaining"))
 
 
 def precursor_coverage(reads: DataFrame) -> DataFrame:
-    """Depth per base of each precursor; reads (precursor, beg, end half-open, n): sums of starts and ends, not of bases."""
+    """Depth per base of each precursor; reads (precursor, beg, end half-open, n): sums of starts and ends, not of bases.
+
+    Starts and ends of a precursor cancel out, so one running sum over all precursors, by ranges, gives every depth.
+    """
     steps = reads.select("precursor", F.col("beg").alias("at"), F.col("n").alias("d")).unionByName(reads.select("precursor", F.col("end").alias("at"), (-F.col("n")).alias("d"))).groupBy("precursor", "at").agg(F.sum("d").alias("d"))
-    w = Window.partitionBy("precursor").orderBy("at")
-    runs = steps.select("precursor", "at", F.sum("d").over(w).alias("depth"), F.lead("at").over(w).alias("next")).where("depth > 0 and next is not null")
+    runs = cumulative_sum(numbered(steps, ["precursor", "at"]), "d", ["line"], "depth")
+    following = runs.select((F.col("line") - 1).alias("line"), F.col("precursor").alias("__p"), F.col("at").alias("next"))
+    runs = runs.join(following, "line").where((F.col("precursor") == F.col("__p")) & (F.col("depth") > 0))
     return runs.select("precursor", F.explode(F.sequence("at", F.col("next") - 1)).alias("pos"), "depth")
 
 
@@ -241,18 +251,20 @@ def best_strata(hits: DataFrame, most: int | None = None) -> DataFrame:
 
 def hit_windows_merge(hits: DataFrame, key: list[str]) -> DataFrame:
     """Overlapping intervals (beg, end half-open) of a key merged: gaps and islands."""
-    w = Window.partitionBy(*key).orderBy("beg", "end")
-    upto = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    marked = hits.withColumn("__new", (F.coalesce(F.col("beg") > upto, F.lit(True))).cast("int"))
-    island = marked.withColumn("__i", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return island.groupBy(*key, "__i").agg(F.min("beg").alias("beg"), F.max("end").alias("end"), F.count("*").alias("hits")).drop("__i")
+    return islands(hits, key, "beg", "end", name="__i").groupBy(*key, "__i").agg(F.min("beg").alias("beg"), F.max("end").alias("end"), F.count("*").alias("hits")).drop("__i")
 
 
 def locus_cluster(reads: DataFrame, a: str, b: str, gap: int = 300, least: int = 3, pseudo: float = 0.1) -> DataFrame:
     """Reads (chrom, beg, end, sample, n) at most ``gap`` apart form a locus; loci of ``least`` hits, with the log ratio of two samples."""
-    w = Window.partitionBy("chrom").orderBy("beg", "end")
-    upto = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    marked = reads.withColumn("__new", F.coalesce(F.col("beg") - upto > gap, F.lit(True)).cast("int"))
-    island = marked.withColumn("locus", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    island = islands(reads, ["chrom"], "beg", "end", gap, "locus")
     g = island.groupBy("chrom", "locus").agg(F.min("beg").alias("beg"), F.max("end").alias("end"), F.count("*").alias("hits"), *[F.coalesce(F.sum(F.when(F.col("sample") == s, F.col("n"))), F.lit(0).cast("long")).alias(c) for s, c in ((a, "a"), (b, "b"))])
     return g.where(F.col("hits") >= least).withColumn("ratio", F.round(F.log2((F.col("a") + pseudo) / (F.col("b") + pseudo)), 6)).drop("locus")
+
+
+def hit_ordinal(hits: DataFrame, chrom: str, order: list) -> DataFrame:
+    """Each hit's place among those of its chromosome and its name, chromosome.place; numbered by ranges of the whole order."""
+    named = {f"__o{i}": c if isinstance(c, Column) else F.col(c) for i, c in enumerate(order)}
+    n = numbered(hits.withColumns(named), [chrom, *named], "__line").drop(*named)
+    first = n.groupBy(chrom).agg(F.min("__line").alias("__first"))
+    n = n.join(first, chrom).withColumn("ordinal", F.col("__line") - F.col("__first") + 1).drop("__line", "__first")
+    return n.withColumn("name", F.concat_ws(".", chrom, "ordinal"))

@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from strandloom.functions.scratch import result, scope, table
 from strandloom.functions.seq import let
+from strandloom.operators.table import numbered
 
 
 def ln_factorial(i: Column) -> Column:
@@ -122,20 +124,42 @@ def fisher_z(df: DataFrame, r: str, n: str) -> DataFrame:
     return df.withColumn("z", z).withColumn("score", z * F.sqrt(F.col(n) - 3))
 
 
+def _harmonic(m: Column) -> Column:
+    """1 + 1/2 + ... + 1/m: summed up to 64, then by its asymptotic series (error below 1e-15)."""
+    few = F.aggregate(F.sequence(F.lit(1), F.least(m, F.lit(64)).cast("int")), F.lit(0.0), lambda s, k: s + 1.0 / k)
+    x = m.cast("double")
+    return F.when(m <= 64, few).otherwise(F.ln(x) + 0.5772156649015329 + 1 / (2 * x) - 1 / (12 * x * x) + 1 / (120 * x * x * x * x))
+
+
 def padjust(df: DataFrame, p: str, method: str = "BH", key: list[str] = (), tie: list[str] = ()) -> DataFrame:
-    """Adjusted p (``q``) per key: BH, BY, bonferroni, holm, hochberg or none."""
-    w = Window.partitionBy(*key) if key else Window.partitionBy(F.lit(1))
-    m, up, down = F.count("*").over(w), w.orderBy(p, *tie), w.orderBy(F.desc(p), *[F.desc(t) for t in tie])
-    i = F.row_number().over(up)
-    d = df.withColumn("__m", m).withColumn("__i", i)
+    """Adjusted p (``q``) per key: BH, BY, bonferroni, holm, hochberg or none.
+
+    Without a key rows are ranked by ranges of p (see ``numbered``); a range's running extreme begins with that of the ranges
+    beyond it, so no task sees all rows.
+    """
     x, m, i = F.col(p), F.col("__m"), F.col("__i")
-    run = lambda e, f, o: f(e).over(o.rowsBetween(Window.unboundedPreceding, 0))
-    harmonic = F.aggregate(F.sequence(F.lit(1), m.cast("int")), F.lit(0.0), lambda s, k: s + 1.0 / k)
-    q = {
-        "BH": lambda: run(x * m / i, F.min, down), "BY": lambda: run(x * m / i * harmonic, F.min, down), "bonferroni": lambda: x * m,
-        "holm": lambda: run(x * (m - i + 1), F.max, up), "hochberg": lambda: run(x * (m - i + 1), F.min, down), "none": lambda: x,
-    }[method]()
-    return d.withColumn("q", F.least(F.lit(1.0), q)).drop("__m", "__i")
+    value, fold = {
+        "BH": (x * m / i, "min"), "BY": (x * m / i * _harmonic(m), "min"), "bonferroni": (x * m, None),
+        "holm": (x * (m - i + 1), "max"), "hochberg": (x * (m - i + 1), "min"), "none": (x, None),
+    }[method]
+    if key:
+        w = Window.partitionBy(*key)
+        d, part = df.withColumn("__m", F.count("*").over(w)).withColumn("__i", F.row_number().over(w.orderBy(p, *tie))), list(key)
+    else:
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        d = numbered(df, [p, *tie], "__i").crossJoin(F.broadcast(df.agg(F.count("*").alias("__m")))).withColumn("__part", F.floor((i - 1) * parts / m))
+        part = ["__part"]
+    d = d.withColumn("__v", value)
+    if fold is None:
+        return d.withColumn("q", F.least(F.lit(1.0), F.col("__v"))).drop("__m", "__i", "__v", *(part if not key else []))
+    f, order = (F.min, F.desc) if fold == "min" else (F.max, F.asc)
+    q = f("__v").over(Window.partitionBy(*part).orderBy(order("__i")).rowsBetween(Window.unboundedPreceding, 0))
+    d = d.withColumn("q", q)
+    if not key:
+        w = Window.orderBy(order("__part")).rowsBetween(Window.unboundedPreceding, -1)
+        beyond = d.groupBy("__part").agg(f("__v").alias("__t")).select("__part", f("__t").over(w).alias("__beyond"))
+        d = d.join(F.broadcast(beyond), "__part").withColumn("q", (F.least if fold == "min" else F.greatest)("q", "__beyond")).drop("__part", "__beyond")
+    return d.withColumn("q", F.least(F.lit(1.0), F.col("q"))).drop("__m", "__i", "__v")
 
 
 def fdr_threshold(df: DataFrame, p: str, alpha: float, key: list[str]) -> DataFrame:
@@ -216,19 +240,31 @@ def cluster_expression(vectors: DataFrame, key: str, col: str, ks: tuple[int, ..
     from pyspark.ml.evaluation import ClusteringEvaluator
     from pyspark.ml.functions import array_to_vector
 
-    data = vectors.select(key, array_to_vector(F.col(col).cast("array<double>")).alias("features")).cache()
+    data = vectors.select(key, array_to_vector(F.col(col).cast("array<double>")).alias("features")).persist()
     fits = [KMeans(k=k, seed=seed, maxIter=10).fit(data) for k in ks]
     rated = [(ClusteringEvaluator().evaluate(f.transform(data)), -i, f) for i, f in enumerate(fits)]
-    return max(rated, key=lambda x: x[:2])[2].transform(data).select(key, F.col("prediction").alias("cluster"))
+    best = max(rated, key=lambda x: x[:2])[2]
+    data.unpersist()
+    return best.transform(data).select(key, F.col("prediction").alias("cluster"))
+
 
+def go_closure(gene2go: DataFrame, edges: DataFrame) -> DataFrame:
+    """gene with all its terms and their ancestors. gene2go: gene, term; edges: child, parent.
 
-def go_closure(gene2go: DataFrame, edges: DataFrame, depth: int = 20) -> DataFrame:
-    """gene with all its terms and their ancestors. gene2go: gene, term; edges: child, parent."""
-    spark = gene2go.sparkSession
-    edges.createOrReplaceTempView("go_edges_in")
-    up = spark.sql(f"WITH RECURSIVE up(term, anc, n) AS (SELECT child, child, 0 FROM (SELECT child FROM go_edges_in UNION SELECT parent FROM go_edges_in) UNION ALL SELECT up.term, e.parent, n + 1 FROM up JOIN go_edges_in e ON e.child = up.anc WHERE n < {depth}) SELECT DISTINCT term, anc FROM up")
-    j = gene2go.join(F.broadcast(up), "term", "left")
-    return j.select("gene", F.coalesce("anc", "term").alias("term")).distinct()
+    Ancestors one step further up are joined until there is no new one, however deep (or circular) the edges are.
+    """
+    with scope(gene2go.sparkSession):
+        up = table(edges.select("child", "parent").distinct(), "edges")
+        step = table(up.select(F.col("child").alias("term"), F.col("child").alias("anc")).union(up.select("parent", "parent")).distinct(), "closure")
+        known = step
+        while True:
+            more = step.join(up, step.anc == up.child).select("term", F.col("parent").alias("anc")).distinct()
+            step = table(more.join(known, ["term", "anc"], "left_anti"), "closure")
+            if step.isEmpty():
+                break
+            known = known.union(step)
+        j = gene2go.join(known, "term", "left")
+        return result(j.select("gene", F.coalesce("anc", "term").alias("term")).distinct(), "closure")
 
 
 def enrich(closure: DataFrame, foreground: DataFrame, least: int = 1, method: str = "BH") -> DataFrame:

@@ -40,6 +40,32 @@ def line_number(df: DataFrame, order: list, start: int = 1, step: int = 1) -> Da
     return numbered(df, order).withColumn("line", (F.col("line") - 1) * step + start)
 
 
+def islands(df: DataFrame, key: list[str], beg: str, end: str, gap: int | None = None, name: str = "island") -> DataFrame:
+    """A number for each island of intervals of a key: those that begin at most ``gap`` after all before them have ended (no gap:
+    before or where they end).
+
+    Works by ranges of the order as ``numbered`` does: a range begins with the furthest end of its key in the ranges before it.
+    """
+    dealt = _ranges(df, [*key, beg, end])
+    w = Window.partitionBy("__part", *key).orderBy(beg, end)
+    inside = dealt.withColumn("__upto", F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    w = Window.partitionBy(*[F.col("__k").getField(k) for k in key]).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    ends = dealt.groupBy(*key, "__part").agg(F.max(end).alias("__e")).select(F.struct(*key).alias("__k"), F.col("__part").alias("__p"), "__e")
+    ends = ends.select("__k", "__p", F.max("__e").over(w).alias("__carry")).where("__carry is not null")
+    same = F.col("__part") == F.col("__p")
+    for k in key:
+        same = same & F.col(k).eqNullSafe(F.col("__k").getField(k))
+    joined = inside.join(ends, same, "left")
+    upto = F.greatest("__upto", "__carry")
+    new = F.coalesce(F.col(beg) > upto if gap is None else F.col(beg) - upto > gap, F.lit(True)).cast("int")
+    first = joined.withColumn("__new", new).drop("__upto", "__carry", "__k", "__p")
+    w = Window.partitionBy("__part").orderBy(*key, beg, end).rowsBetween(Window.unboundedPreceding, 0)
+    counted = first.withColumn("__n", F.sum("__new").over(w))
+    sums = first.groupBy("__part").agg(F.sum("__new").alias("__m"))
+    before = sums.select("__part", F.coalesce(F.sum("__m").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
+    return counted.join(F.broadcast(before), "__part").withColumn(name, F.col("__n") + F.col("__before")).drop("__part", "__n", "__new", "__before")
+
+
 def cumulative_sum(df: DataFrame, col: str, order: list[str], name: str = "cumul") -> DataFrame:
     """Running sum in a total order, by ranges as in ``numbered``."""
     dealt = _ranges(df, order)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strandloom.operators import align as a
+from strandloom.operators import annotate as n
 from strandloom.operators import table as t
 from strandloom.plans.views import _ABC, _DNA, COLLAPSED, READS, SEQS, collapsed, ham, read, sequences
 from strandloom.plans.views import reads as view
@@ -80,26 +81,65 @@ QUERIES = {
     "region_select": (lambda s, d: a.region_select(genes(s, d).select("chrom", F.col("start").alias("beg"), "end", "id"), 2, 20000, 60000), f"WITH {GENES} SELECT chrom, start AS beg, end_ AS \"end\", id FROM g WHERE chrom = 2 AND start < 60000 AND end_ > 20000"),
     "cis_nat": (lambda s, d: a.cis_nat(genes(s, d)), f"WITH {GENES} SELECT p.chrom, p.id AS p_id, m.id AS m_id, CASE WHEN {_OV} > 0 AND p.start <= m.start AND p.end_ >= m.end_ THEN 'Containing plus' WHEN {_OV} > 0 AND m.start <= p.start AND m.end_ >= p.end_ THEN 'Containing minus' WHEN {_OV} > 0 AND p.start < m.start THEN 'Tail to tail' WHEN {_OV} > 0 THEN 'Head to head' WHEN p.start < m.start THEN 'Nearby tail' ELSE 'Nearby head' END AS kind, greatest({_OV}, 0) AS overlap FROM g p JOIN g m ON p.chrom = m.chrom AND p.strand = '+' AND m.strand = '-' WHERE {_OV} > -100"),
     "trans_nat": (lambda s, d: a.trans_nat(selfhits(s, d)).select("qid", "sid", "alen", "gaps", "line", "kind"), "WITH h AS (SELECT l_suppkey % 60 AS qid, l_partkey % 60 AS sid, CAST(l_quantity * 5 AS INT) AS alen, l_linenumber - 1 AS gaps, l_partkey % 7 AS ss, l_suppkey % 5 AS se, ((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 1000 + l_suppkey AS line FROM lineitem), k AS (SELECT *, CASE WHEN gaps <> 0 AND gaps::DOUBLE / alen < 0.1 AND (alen >= 150 OR alen >= 140) THEN 'HC' WHEN gaps = 0 AND alen >= 100 THEN '100nt' END AS kind FROM h WHERE ss > se AND qid <> sid), r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY line) AS a, row_number() OVER (PARTITION BY sid ORDER BY line) AS b FROM k WHERE kind IS NOT NULL) SELECT qid, sid, alen, CAST(gaps AS INT) AS gaps, line, kind FROM r WHERE a = 1 OR b = 1"),
-    "seed_sites": (lambda s, d: a.seed_sites(ids(s, d).select(F.col("id").alias("utr"), "seq"), mirs(s, d).where("mirna % 4 = 0")).groupBy("utr", "mirna", "seed").agg(F.count("*").alias("sites"), F.sum("pos").alias("places")), f"WITH {SEQS}, {REFS}, m AS (SELECT ref AS mirna, {RC.format('substr(seq, 2, 8)')} AS s8, {RC.format('substr(seq, 2, 7)')} AS s7, {RC.format('substr(seq, 2, 6)')} AS s6 FROM rf WHERE ref % 4 = 0), p AS (SELECT doc_id AS utr, s AS seq, unnest(range(1, len(s) - 4)) AS at_ FROM s WHERE len(s) >= 60), j AS (SELECT utr, mirna, at_, {_SITE} AS seed FROM p JOIN m ON substr(seq, at_, 6) = s6) SELECT utr, mirna, CAST(seed AS INT) AS seed, count(*) AS sites, CAST(sum(at_ - (seed - 6)) AS BIGINT) AS places FROM j GROUP BY 1, 2, 3"),
+    "seed_sites": (lambda s, d: a.seed_sites(ids(s, d).select(F.col("id").alias("utr"), "seq"), mirs(s, d)).groupBy("utr", "mirna", "seed").agg(F.count("*").alias("sites"), F.sum("pos").alias("places")), f"WITH {SEQS}, {REFS}, m AS (SELECT ref AS mirna, {RC.format('substr(seq, 2, 8)')} AS s8, {RC.format('substr(seq, 2, 7)')} AS s7, {RC.format('substr(seq, 2, 6)')} AS s6 FROM rf), p AS (SELECT doc_id AS utr, s AS seq, unnest(range(1, len(s) - 4)) AS at_ FROM s WHERE len(s) >= 60), j AS (SELECT utr, mirna, at_, {_SITE} AS seed FROM p JOIN m ON substr(seq, at_, 6) = s6) SELECT utr, mirna, CAST(seed AS INT) AS seed, count(*) AS sites, CAST(sum(at_ - (seed - 6)) AS BIGINT) AS places FROM j GROUP BY 1, 2, 3"),
     "random_site": (lambda s, d: a.random_site(ids(s, d).select(F.col("id").alias("utr"), "seq")), f"WITH {SEQS}, h AS (SELECT doc_id AS utr, s, CAST('0x' || left(md5(doc_id::VARCHAR), 8) AS BIGINT) % (len(s) - 21) + 1 AS pos FROM s WHERE len(s) >= 60) SELECT utr, pos, substr(s, pos, 22) AS site FROM h"),
     "duplex_pvalue": (lambda s, d: a.duplex_pvalue(read(s, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", (-F.col("l_quantity")).alias("energy"), F.lit(22).alias("m"), (F.col("l_suppkey") + 100).alias("n")), 1.0, 0.5).select("l_orderkey", "l_linenumber", "l_partkey", "energy", F.round("p", 8).alias("p")), "WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey, -l_quantity AS energy, 1 - exp(-exp(-(l_quantity / ln(22 * (l_suppkey + 100)) - 1.0) / 0.5)) AS p FROM lineitem) SELECT l_orderkey, l_linenumber, l_partkey, energy, round(p, 8) AS p FROM x WHERE energy <= -10 AND p <= 0.05"),
     "hamming_stats": (lambda s, d: a.hamming_stats(view(s, d).select("read_id", F.substring("seq", 1, 9).alias("a"), F.substring("seq", 10, 9).alias("b"))).select("read_id", "mism", "wobbles", "last"), f"WITH {READS}, x AS (SELECT read_id, substr(seq, 1, 9) AS a, substr(seq, 10, 9) AS b FROM reads), y AS (SELECT *, list_filter(list_transform(range(1, 10), lambda i: substr(a, i, 1) || substr(b, i, 1)), lambda p: substr(p, 1, 1) <> substr(p, 2, 1)) AS z FROM x) SELECT read_id, CAST(len(z) AS INT) AS mism, CAST(len(list_filter(z, lambda p: p IN ('CT', 'TC', 'AG', 'GA'))) AS INT) AS wobbles, right(a, 1) <> right(b, 1) AS last FROM y"),
     "name_compat_pairs": (lambda s, d: a.name_compat_pairs(read(s, d, "part").select(F.concat(F.lit("MIR"), F.col("p_partkey") % 40, F.when(F.col("p_size") % 2 == 0, "-5p").otherwise("*")).alias("id"), F.col("p_partkey").cast("string").alias("seq")), read(s, d, "supplier").select(F.concat(F.lit("mir"), F.col("s_suppkey") % 60, F.lit("a")).alias("id"))), "WITH m AS (SELECT 'MIR' || (p_partkey % 40) || CASE WHEN p_size % 2 = 0 THEN '-5p' ELSE '*' END AS mature, 'mir' || (p_partkey % 40) AS x FROM part), h AS (SELECT 'mir' || (s_suppkey % 60) || 'a' AS hairpin FROM supplier) SELECT mature, hairpin FROM m JOIN h ON hairpin = x || 'a'"),
     "phase_register": (lambda s, d: a.phase_register(read(s, d, "lineitem").select((F.col("l_suppkey") % 10).alias("chrom"), F.col("l_partkey").alias("pos"))), "WITH p AS (SELECT DISTINCT l_suppkey % 10 AS chrom, l_partkey AS pos FROM lineitem), b AS (SELECT chrom, pos // 252 AS w, pos % 21 AS r, count(*) AS k FROM p GROUP BY ALL) SELECT chrom, w, CAST(sum(k) AS BIGINT) AS positions, max(k) AS phased FROM b GROUP BY 1, 2"),
     "phase_windows": (lambda s, d: a.phase_windows(read(s, d, "lineitem").select((F.col("l_suppkey") % 10).alias("chrom"), F.col("l_partkey").alias("pos"), (F.col("l_linenumber") + 18).alias("len"), F.col("l_quantity").cast("long").alias("n")), abundance=20, most_p=0.1), None),
-    "ids_subset": (lambda s, d: read(s, d, "orders").join(read(s, d, "lineitem").where("l_quantity = 50").select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey", "left_semi").select("o_orderkey", "o_custkey"), "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity = 50)"),
-    "species_prefix_filter": (lambda s, d: read(s, d, "part").join(F.broadcast(s.createDataFrame([("STANDARD",), ("SMALL",)], "prefix string")), F.split_part(F.col("p_type"), F.lit(" "), F.lit(1)) == F.col("prefix"), "left_semi").select("p_partkey", "p_type"), "SELECT p_partkey, p_type FROM part WHERE split_part(p_type, ' ', 1) IN ('STANDARD', 'SMALL')"),
-    "fasta_tag_select": (lambda s, d: read(s, d, "documents").where(F.col("text").rlike("(?i)tion")).select("doc_id"), "SELECT doc_id FROM documents WHERE regexp_matches(text, '(?i)tion')"),
-    "fraction_filter": (lambda s, d: read(s, d, "orders").where("o_totalprice / 5000 > 50").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(100).select("o_orderkey", "o_totalprice"), "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice / 5000 > 50 ORDER BY o_totalprice DESC, o_orderkey LIMIT 100"),
-    "validate_ids": (lambda s, d: read(s, d, "customer").select(F.col("c_custkey").alias("o_custkey")).join(read(s, d, "orders"), "o_custkey", "left_anti"), "SELECT c_custkey AS o_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)"),
-    "topn_example": (lambda s, d: t.take_first_n(read(s, d, "orders").select("o_custkey", "o_orderkey", "o_totalprice"), ["o_custkey"], 1, [F.desc("o_totalprice"), "o_orderkey"]).orderBy("o_custkey").limit(15), "SELECT o_custkey, o_orderkey, o_totalprice FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) = 1 ORDER BY o_custkey LIMIT 15"),
+    "ids_subset": (
+        lambda s, d: n.ids_subset(read(s, d, "orders"), read(s, d, "lineitem").where("l_quantity = 50").select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey").select("o_orderkey", "o_custkey"),
+        "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity = 50)",
+    ),
+    "species_prefix_filter": (
+        lambda s, d: n.species_prefix_filter(read(s, d, "part").select("p_partkey", "p_type"), "p_type", ["STANDARD", "SMALL"], " "),
+        "SELECT p_partkey, p_type FROM part WHERE split_part(p_type, ' ', 1) IN ('STANDARD', 'SMALL')",
+    ),
+    "fasta_tag_select": (
+        lambda s, d: n.fasta_tag_select(read(s, d, "documents"), "text", "(?i)tion").select("doc_id"),
+        "SELECT doc_id FROM documents WHERE regexp_matches(text, '(?i)tion')",
+    ),
+    "fraction_filter": (
+        lambda s, d: n.fraction_filter(read(s, d, "orders"), F.col("o_totalprice") / 5000, 50, [F.desc("o_totalprice"), "o_orderkey"], 100).select("o_orderkey", "o_totalprice"),
+        "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice / 5000 > 50 ORDER BY o_totalprice DESC, o_orderkey LIMIT 100",
+    ),
+    "validate_ids": (
+        lambda s, d: n.validate_ids(read(s, d, "customer").select(F.col("c_custkey").alias("o_custkey")), read(s, d, "orders"), "o_custkey"),
+        "SELECT c_custkey AS o_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
+    ),
+    "topn_example": (
+        lambda s, d: n.topn_example(read(s, d, "orders").select("o_custkey", "o_orderkey", "o_totalprice"), "o_custkey", [F.desc("o_totalprice"), "o_orderkey"]),
+        "SELECT o_custkey, o_orderkey, o_totalprice FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) = 1 ORDER BY o_custkey LIMIT 15",
+    ),
     "transcript_to_gene": (lambda s, d: read(s, d, "lineitem").select("l_orderkey", "l_partkey").join(read(s, d, "part").where("p_size > 10").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("gene")), "l_partkey").groupBy("gene").agg(F.countDistinct("l_orderkey").alias("targets")), "SELECT p_brand AS gene, count(DISTINCT l_orderkey) AS targets FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_size > 10 GROUP BY 1"),
-    "annotate_genes": (lambda s, d: read(s, d, "lineitem").select("l_partkey").distinct().join(read(s, d, "part").where("p_size < 25").select(F.col("p_partkey").alias("l_partkey"), "p_name"), "l_partkey"), "SELECT DISTINCT l_partkey, p_name FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_size < 25"),
-    "add_description": (lambda s, d: read(s, d, "part").select("p_partkey").join(read(s, d, "part").where("p_size < 25").select("p_partkey", F.col("p_name").alias("description")), "p_partkey", "left").na.fill("", ["description"]), "SELECT p_partkey, CASE WHEN p_size < 25 THEN p_name ELSE '' END AS description FROM part"),
-    "ko_extract": (lambda s, d: read(s, d, "orders").select("o_orderkey", "o_custkey").join(read(s, d, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey"), F.concat(F.lit("K"), F.col("c_nationkey")).alias("ko")), "o_custkey", "left").select("o_orderkey", F.coalesce("ko", F.lit("None")).alias("ko")), "SELECT o_orderkey, CASE WHEN c_acctbal > 0 THEN 'K' || c_nationkey ELSE 'None' END AS ko FROM orders LEFT JOIN customer ON c_custkey = o_custkey"),
-    "top_terms_per_class": (lambda s, d: t.take_first_n(read(s, d, "part").select(F.col("p_type").alias("term"), F.col("p_brand").alias("class"), (F.col("p_retailprice") / 1e6).alias("p"), "p_partkey").where("p < 0.0015"), ["class"], 20, ["p", "p_partkey"]).select("class", "term", "p_partkey"), "SELECT p_brand AS class, p_type AS term, p_partkey FROM part WHERE p_retailprice / 1e6 < 0.0015 QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice / 1e6, p_partkey) <= 20"),
-    "top20_pathways": (lambda s, d: read(s, d, "part").groupBy(F.col("p_type").alias("pathway")).agg(F.count_if(F.col("p_size") > 25).alias("hits"), F.count("*").alias("background")).withColumn("rich", F.round(F.col("hits") / F.col("background"), 6)).orderBy(F.desc("rich"), "pathway").limit(20), "SELECT p_type AS pathway, count(*) FILTER (p_size > 25) AS hits, count(*) AS background, round(count(*) FILTER (p_size > 25)::DOUBLE / count(*), 6) AS rich FROM part GROUP BY 1 ORDER BY rich DESC, pathway LIMIT 20"),
-    "genome_sizes": (lambda s, d: ids(s, d).select("id", F.length("seq").alias("size")).orderBy(F.desc("size"), "id").limit(10), f"WITH {SEQS} SELECT doc_id AS id, CAST(len(s) AS INT) AS size FROM s WHERE len(s) >= 60 ORDER BY 2 DESC, 1 LIMIT 10"),
+    "annotate_genes": (
+        lambda s, d: n.annotate_genes(read(s, d, "lineitem"), read(s, d, "part").where("p_size < 25").select(F.col("p_partkey").alias("l_partkey"), "p_name"), "l_partkey"),
+        "SELECT DISTINCT l_partkey, p_name FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_size < 25",
+    ),
+    "add_description": (
+        lambda s, d: n.add_description(read(s, d, "part").select("p_partkey"), read(s, d, "part").where("p_size < 25").select("p_partkey", F.col("p_name").alias("description")), "p_partkey"),
+        "SELECT p_partkey, CASE WHEN p_size < 25 THEN p_name ELSE '' END AS description FROM part",
+    ),
+    "ko_extract": (
+        lambda s, d: n.ko_extract(read(s, d, "orders").select("o_orderkey", "o_custkey"), read(s, d, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey"), F.concat(F.lit("K"), F.col("c_nationkey")).alias("ko")), "o_custkey").select("o_orderkey", "ko"),
+        "SELECT o_orderkey, CASE WHEN c_acctbal > 0 THEN 'K' || c_nationkey ELSE 'None' END AS ko FROM orders LEFT JOIN customer ON c_custkey = o_custkey",
+    ),
+    "top_terms_per_class": (
+        lambda s, d: n.top_terms_per_class(read(s, d, "part").select(F.col("p_type").alias("term"), F.col("p_brand").alias("class"), (F.col("p_retailprice") / 1e6).alias("p"), "p_partkey"), "class", "p", ["p_partkey"], 0.0015).select("class", "term", "p_partkey"),
+        "SELECT p_brand AS class, p_type AS term, p_partkey FROM part WHERE p_retailprice / 1e6 < 0.0015 QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice / 1e6, p_partkey) <= 20",
+    ),
+    "top20_pathways": (
+        lambda s, d: n.top20_pathways(read(s, d, "part").groupBy(F.col("p_type").alias("pathway")).agg(F.count_if(F.col("p_size") > 25).alias("hits"), F.count("*").alias("background")), "hits", "background", "pathway"),
+        "SELECT p_type AS pathway, count(*) FILTER (p_size > 25) AS hits, count(*) AS background, round(count(*) FILTER (p_size > 25)::DOUBLE / count(*), 6) AS rich FROM part GROUP BY 1 ORDER BY rich DESC, pathway LIMIT 20",
+    ),
+    "genome_sizes": (
+        lambda s, d: n.genome_sizes(ids(s, d)),
+        f"WITH {SEQS} SELECT doc_id AS id, CAST(len(s) AS INT) AS size FROM s WHERE len(s) >= 60 ORDER BY 2 DESC, 1 LIMIT 10",
+    ),
     "drop_nohit_blocks": (lambda s, d: read(s, d, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("block")).where(~F.col("block").contains("the")), "SELECT doc_id, block FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS block FROM documents) WHERE NOT contains(block, 'the')"),
-    "completeness_check": (lambda s, d: read(s, d, "orders").groupBy("o_orderstatus").agg(F.count("*").alias("rows"), F.countDistinct("o_orderpriority").alias("samples")).select("o_orderstatus", "rows", (F.col("samples") == 5).alias("complete")), "SELECT o_orderstatus, count(*) AS rows, count(DISTINCT o_orderpriority) = 5 AS complete FROM orders GROUP BY 1"),
+    "completeness_check": (
+        lambda s, d: n.completeness_check(read(s, d, "orders"), "o_orderstatus", "o_orderpriority", 5),
+        "SELECT o_orderstatus, count(*) AS rows, count(DISTINCT o_orderpriority) = 5 AS complete FROM orders GROUP BY 1",
+    ),
 }

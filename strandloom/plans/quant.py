@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from strandloom.operators import annotate as n
 from strandloom.operators import quant as q
 from strandloom.plans.views import ALN, alignments, read
 
@@ -41,11 +42,11 @@ SPANS = f"{ALN}, sp AS (SELECT ref % 10 AS chrom, strand, pos * 7 % 5000 AS beg,
 
 def inside(s, d):
     r = spans(s, d).select(F.col("chrom").alias("precursor"), "beg", (F.col("end") - 1).alias("end"), "n")
-    w = q.mature_windows(read(s, d, "part").select((F.col("p_partkey") % 10).alias("precursor"), F.concat(F.lit("m"), F.col("p_partkey")).alias("mature"), (F.col("p_partkey") * 13 % 5000).cast("int").alias("pos"), F.col("p_size").alias("len")).where("p_size > 44"))
+    w = q.mature_windows(read(s, d, "part").select((F.col("p_partkey") % 10).alias("precursor"), F.concat(F.lit("m"), F.col("p_partkey")).alias("mature"), (F.col("p_partkey") * 13 % 5000).cast("int").alias("pos"), F.col("p_size").alias("len")))
     return r, w
 
 
-WIN = "w AS (SELECT p_partkey % 10 AS precursor, 'm' || p_partkey AS mature, greatest(0, p_partkey * 13 % 5000 - 2) AS beg, p_partkey * 13 % 5000 + p_size - 1 + 5 AS end_ FROM part WHERE p_size > 44)"
+WIN = "w AS (SELECT p_partkey % 10 AS precursor, 'm' || p_partkey AS mature, greatest(0, p_partkey * 13 % 5000 - 2) AS beg, p_partkey * 13 % 5000 + p_size - 1 + 5 AS end_ FROM part)"
 
 
 def longs(s, d, value="value"):
@@ -67,7 +68,7 @@ def mirna_pairs(s, d):
 
 
 def sets(s, d):
-    return alignments(s, d).where("n > 47").select(F.col("pos").alias("id"), F.concat("sample", "strand").alias("comparison"))
+    return alignments(s, d).select(F.col("pos").alias("id"), F.concat("sample", "strand").alias("comparison"))
 
 
 def _merged(s, d):
@@ -109,14 +110,20 @@ QUERIES = {
     "group_means": (lambda s, d: q.group_means(longs(s, d), s.createDataFrame([("A", "g1"), ("N", "g1"), ("R", "g2")], "sample string, grp string")), f"WITH {LONG} SELECT id, CASE WHEN sample = 'R' THEN 'g2' ELSE 'g1' END AS grp, round(avg(value), 4) AS mean FROM lo GROUP BY 1, 2"),
     "tpm_intervals": (lambda s, d: q.tpm_intervals(tpm(s, d)), f"WITH {TPM}, b AS (SELECT sample, {_CASE} AS interval_, count(*) AS n FROM tp GROUP BY 1, 2) SELECT sample, interval_ AS \"interval\", n, round(100.0::DOUBLE * n / sum(n) OVER (PARTITION BY sample), 4) AS percent FROM b"),
     "expr_density_box": (lambda s, d: q.expr_density_box(tpm(s, d)), f"WITH {TPM}, v AS (SELECT sample, log10(tpm + 1) AS v FROM tp) SELECT sample, round(quantile_cont(v, 0.25), 6) AS q1, round(quantile_cont(v, 0.5), 6) AS q2, round(quantile_cont(v, 0.75), 6) AS q3, round(min(v), 6) AS lo, round(max(v), 6) AS hi FROM v GROUP BY 1"),
-    "venn_regions": (lambda s, d: q.venn_regions(sets(s, d)), f"WITH {ALN}, o AS (SELECT pos AS id, string_agg(DISTINCT sample || strand, '&' ORDER BY sample || strand) AS region FROM a WHERE n > 47 GROUP BY 1) SELECT region, count(*) AS n, min(id) AS first_id, max(id) AS last_id FROM o GROUP BY 1"),
+    "venn_regions": (lambda s, d: q.venn_regions(sets(s, d)), f"WITH {ALN}, o AS (SELECT pos AS id, string_agg(DISTINCT sample || strand, '&' ORDER BY sample || strand) AS region FROM a GROUP BY 1) SELECT region, count(*) AS n, min(id) AS first_id, max(id) AS last_id FROM o GROUP BY 1"),
     "exclusive_sets": (lambda s, d: q.exclusive_sets(longs(s, d).withColumnRenamed("sample", "grp"), "A", "R", 4000), f"WITH {LONG}, g AS (SELECT id, coalesce(bool_or(value > 4000) FILTER (sample = 'A'), false) AS a, coalesce(bool_or(value > 4000) FILTER (sample = 'R'), false) AS b FROM lo GROUP BY 1) SELECT id, CASE WHEN a THEN 'yes' ELSE 'no' END || '/' || CASE WHEN b THEN 'yes' ELSE 'no' END AS set FROM g WHERE a OR b"),
-    "union_ids": (lambda s, d: sets(s, d).select("id").distinct(), f"WITH {ALN} SELECT DISTINCT pos AS id FROM a WHERE n > 47"),
-    "signature_matrix": (lambda s, d: q.signature_matrix(sets(s, d).withColumn("significant", F.lit(True)), ["A+", "N+", "R-"]).select("id", F.col("c_A+").alias("a"), F.col("c_N+").alias("n"), F.col("c_R-").alias("r")), f"WITH {ALN} SELECT pos AS id, CAST(max(CASE WHEN sample || strand = 'A+' THEN 1 ELSE 0 END) AS INT) AS a, CAST(max(CASE WHEN sample || strand = 'N+' THEN 1 ELSE 0 END) AS INT) AS n, CAST(max(CASE WHEN sample || strand = 'R-' THEN 1 ELSE 0 END) AS INT) AS r FROM a WHERE n > 47 GROUP BY 1"),
+    "union_ids": (
+        lambda s, d: n.union_ids(sets(s, d)),
+        f"WITH {ALN} SELECT DISTINCT pos AS id FROM a",
+    ),
+    "signature_matrix": (lambda s, d: q.signature_matrix(sets(s, d).withColumn("significant", F.lit(True)), ["A+", "N+", "R-"]).select("id", F.col("c_A+").alias("a"), F.col("c_N+").alias("n"), F.col("c_R-").alias("r")), f"WITH {ALN} SELECT pos AS id, CAST(max(CASE WHEN sample || strand = 'A+' THEN 1 ELSE 0 END) AS INT) AS a, CAST(max(CASE WHEN sample || strand = 'N+' THEN 1 ELSE 0 END) AS INT) AS n, CAST(max(CASE WHEN sample || strand = 'R-' THEN 1 ELSE 0 END) AS INT) AS r FROM a GROUP BY 1"),
     "logsumexp_score": (lambda s, d: q.logsumexp_score(read(s, d, "lineitem").select(F.col("l_suppkey").alias("utr"), F.col("l_linenumber").alias("mirna"), (-F.col("l_quantity")).alias("ddg"))), "WITH x AS (SELECT l_suppkey AS utr, l_linenumber AS mirna, l_quantity AS g FROM lineitem), m AS (SELECT utr, mirna, max(g) AS m FROM x GROUP BY 1, 2) SELECT utr, mirna, count(*) AS sites, round(-(any_value(m) + ln(sum(exp(g - m)))), 6) AS score FROM x JOIN m USING (utr, mirna) GROUP BY 1, 2"),
     "pairs_to_list": (lambda s, d: q.pairs_to_list(mirna_pairs(s, d), "target", "mirna"), "SELECT l_partkey % 100 AS target, array_to_string(list_sort(list_distinct(list(l_suppkey))), ',') AS list FROM lineitem GROUP BY 1"),
     "two_way_lists": (lambda s, d: q.two_way_lists(mirna_pairs(s, d), "target", "mirna"), "WITH p AS (SELECT l_suppkey AS mirna, l_partkey % 100 AS target FROM lineitem) SELECT 'target' AS side, target::VARCHAR AS name, array_to_string(list_sort(list_distinct(list(mirna))), ',') AS list FROM p GROUP BY 2 UNION ALL SELECT 'mirna', mirna::VARCHAR, array_to_string(list_sort(list_distinct(list(target))), ',') FROM p GROUP BY 2"),
-    "distinct_pairs": (lambda s, d: mirna_pairs(s, d).distinct(), "SELECT DISTINCT l_suppkey AS mirna, l_partkey % 100 AS target FROM lineitem"),
+    "distinct_pairs": (
+        lambda s, d: n.union_ids(mirna_pairs(s, d).select(F.struct("mirna", "target").alias("id"))).select("id.*"),
+        "SELECT DISTINCT l_suppkey AS mirna, l_partkey % 100 AS target FROM lineitem",
+    ),
     "tool_consensus": (lambda s, d: mirna_pairs(s, d).withColumn("k", F.col("mirna") % 3).groupBy("target", "mirna").agg(*[F.max((F.col("k") >= i).cast("int")).alias(f"tool{i}") for i in (0, 1, 2)]), "SELECT l_partkey % 100 AS target, l_suppkey AS mirna, CAST(max(CASE WHEN l_suppkey % 3 >= 0 THEN 1 ELSE 0 END) AS INT) AS tool0, CAST(max(CASE WHEN l_suppkey % 3 >= 1 THEN 1 ELSE 0 END) AS INT) AS tool1, CAST(max(CASE WHEN l_suppkey % 3 >= 2 THEN 1 ELSE 0 END) AS INT) AS tool2 FROM lineitem GROUP BY 1, 2"),
     "dedup_max": (lambda s, d: q.dedup_max(hits(s, d).groupBy("mature", "precursor").agg(F.sum("n").alias("n")), "mature", "n", ["precursor"]), f"WITH {HITS} SELECT mature, precursor, CAST(sum(n) AS BIGINT) AS n FROM h GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY mature ORDER BY sum(n) DESC, precursor) = 1"),
     "coverage_windows": (lambda s, d: q.coverage_windows(spans(s, d), s.range(10).select(F.col("id").alias("chrom"), F.lit(5060).cast("long").alias("size")), 100), f"WITH {SPANS}, e AS (SELECT chrom, strand, unnest(range(beg, end_)) // 100 AS w FROM sp), g AS (SELECT chrom, strand, w, count(*) AS b FROM e GROUP BY ALL) SELECT c AS chrom, x.strand, w.w * 100 AS start, round(coalesce(b, 0)::DOUBLE / least(100, 5060 - w.w * 100), 6) AS depth FROM range(0, 10) t(c) CROSS JOIN range(0, 51) w(w) CROSS JOIN (SELECT DISTINCT strand FROM sp) x LEFT JOIN g ON g.chrom = c AND g.strand = x.strand AND g.w = w.w"),
@@ -124,23 +131,34 @@ QUERIES = {
     "sample_reads": (lambda s, d: q.sample_reads(alignments(s, d).select("read_id", "k", "pos", "ref"), 1000, ["read_id", "k", "pos", "ref"]), f"WITH {ALN} SELECT read_id, k, pos, ref FROM a ORDER BY md5(read_id || ':' || k || ':' || pos || ':' || ref || ':1'), read_id, k, pos, ref LIMIT 1000"),
     "classify_cascade": (lambda s, d: q.classify_cascade(alignments(s, d).select("read_id", (F.col("ref") % 12).alias("priority"), F.concat(F.lit("class"), F.col("ref") % 12).alias("class")), "read_id", "priority", "class"), f"WITH {ALN} SELECT read_id, 'class' || min(ref % 12) AS class, min(ref % 12) AS priority FROM a GROUP BY 1"),
     "best_strata": (lambda s, d: q.best_strata(alignments(s, d).select("read_id", "k", "pos", "ref", (F.col("pos") % 4).alias("mism")), 6), f"WITH {ALN} SELECT read_id, k, pos, ref, pos % 4 AS mism FROM a QUALIFY rank() OVER (PARTITION BY read_id ORDER BY pos % 4) = 1 AND count(*) OVER (PARTITION BY read_id) <= 6"),
-    "hit_windows_merge": (lambda s, d: q.hit_windows_merge(spans(s, d).where("n > 45"), ["chrom", "strand"]), f"WITH {SPANS}, m AS (SELECT *, CASE WHEN beg > max(end_) OVER (PARTITION BY chrom, strand ORDER BY beg, end_ ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 1 ELSE 0 END AS x FROM sp WHERE n > 45), i AS (SELECT *, sum(x) OVER (PARTITION BY chrom, strand ORDER BY beg, end_ ROWS UNBOUNDED PRECEDING) AS i FROM m) SELECT chrom, strand, CAST(min(beg) AS INT) AS beg, CAST(max(end_) AS INT) AS \"end\", count(*) AS hits FROM i GROUP BY chrom, strand, i"),
-    "locus_cluster": (lambda s, d: q.locus_cluster(spans(s, d).where("n > 48"), "A", "R", 5, 3), f"WITH {SPANS}, m AS (SELECT *, CASE WHEN beg - max(end_) OVER (PARTITION BY chrom ORDER BY beg, end_ ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > 5 THEN 1 ELSE 0 END AS x FROM sp WHERE n > 48), i AS (SELECT *, sum(x) OVER (PARTITION BY chrom ORDER BY beg, end_ ROWS UNBOUNDED PRECEDING) AS i FROM m) SELECT chrom, CAST(min(beg) AS INT) AS beg, CAST(max(end_) AS INT) AS \"end\", count(*) AS hits, CAST(coalesce(sum(n) FILTER (sample = 'A'), 0) AS BIGINT) AS a, CAST(coalesce(sum(n) FILTER (sample = 'R'), 0) AS BIGINT) AS b, round(log2((coalesce(sum(n) FILTER (sample = 'A'), 0) + 0.1::DOUBLE) / (coalesce(sum(n) FILTER (sample = 'R'), 0) + 0.1::DOUBLE)), 6) AS ratio FROM i GROUP BY chrom, i HAVING count(*) >= 3"),
-    "hit_ordinal": (lambda s, d: spans(s, d).where("n > 48").withColumn("ordinal", F.row_number().over(Window.partitionBy("chrom").orderBy(F.desc("n"), "beg", "strand", "sample"))).groupBy("chrom").agg(F.max("ordinal").alias("last")), f"WITH {SPANS} SELECT chrom, CAST(count(*) AS INT) AS last FROM sp WHERE n > 48 GROUP BY 1"),
+    "hit_windows_merge": (lambda s, d: q.hit_windows_merge(spans(s, d), ["chrom", "strand"]), f"WITH {SPANS}, m AS (SELECT *, CASE WHEN beg > max(end_) OVER (PARTITION BY chrom, strand ORDER BY beg, end_ ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 1 ELSE 0 END AS x FROM sp), i AS (SELECT *, sum(x) OVER (PARTITION BY chrom, strand ORDER BY beg, end_ ROWS UNBOUNDED PRECEDING) AS i FROM m) SELECT chrom, strand, CAST(min(beg) AS INT) AS beg, CAST(max(end_) AS INT) AS \"end\", count(*) AS hits FROM i GROUP BY chrom, strand, i"),
+    "locus_cluster": (lambda s, d: q.locus_cluster(spans(s, d), "A", "R", 5, 3), f"WITH {SPANS}, m AS (SELECT *, CASE WHEN beg - max(end_) OVER (PARTITION BY chrom ORDER BY beg, end_ ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > 5 THEN 1 ELSE 0 END AS x FROM sp), i AS (SELECT *, sum(x) OVER (PARTITION BY chrom ORDER BY beg, end_ ROWS UNBOUNDED PRECEDING) AS i FROM m) SELECT chrom, CAST(min(beg) AS INT) AS beg, CAST(max(end_) AS INT) AS \"end\", count(*) AS hits, CAST(coalesce(sum(n) FILTER (sample = 'A'), 0) AS BIGINT) AS a, CAST(coalesce(sum(n) FILTER (sample = 'R'), 0) AS BIGINT) AS b, round(log2((coalesce(sum(n) FILTER (sample = 'A'), 0) + 0.1::DOUBLE) / (coalesce(sum(n) FILTER (sample = 'R'), 0) + 0.1::DOUBLE)), 6) AS ratio FROM i GROUP BY chrom, i HAVING count(*) >= 3"),
+    "hit_ordinal": (
+        lambda s, d: q.hit_ordinal(spans(s, d), "chrom", [-F.col("n"), "beg", "strand", "sample"]).select("chrom", "n", "beg", "ordinal", "name"),
+        f"WITH {SPANS}, o AS (SELECT chrom, n, CAST(beg AS INT) AS beg, row_number() OVER (PARTITION BY chrom ORDER BY n DESC, beg, strand, sample) AS ordinal FROM sp) SELECT *, chrom || '.' || ordinal AS name FROM o",
+    ),
     "paste_union": (lambda s, d: longs(s, d).where("sample = 'A'").groupBy("id").pivot("sample", ["A"]).agg(F.sum("value")).unionByName(longs(s, d).where("sample <> 'A'").groupBy("id").pivot("sample", ["N", "R"]).agg(F.sum("value")), allowMissingColumns=True).na.fill(0).groupBy("id").agg(*[F.sum(c).alias(c) for c in _S]), f"WITH {LONG} SELECT id, {', '.join(f'CAST(coalesce(sum(value) FILTER (sample = {chr(39)}{x}{chr(39)}), 0) AS BIGINT) AS {chr(34)}{x}{chr(34)}' for x in _S)} FROM lo GROUP BY 1"),
-    "rc_tpm_join": (lambda s, d: longs(s, d, "rc").join(tpm(s, d), ["id", "sample"]).select("id", "sample", "rc", F.round("tpm", 6).alias("tpm")), f"WITH {TPM} SELECT id, sample, value AS rc, round(tpm, 6) AS tpm FROM lo JOIN tp USING (id, sample)"),
-    "gtf_to_gff": (lambda s, d: _hierarchy(s, d), "WITH e AS (SELECT l_suppkey % 50 AS gene, l_suppkey AS tid, l_partkey AS b, l_partkey + CAST(l_quantity AS BIGINT) AS e FROM lineitem) SELECT 'mRNA' AS feature, tid::VARCHAR AS id, min(b) AS beg, max(e) AS \"end\" FROM e GROUP BY tid UNION ALL SELECT 'gene', gene::VARCHAR, min(b), max(e) FROM e GROUP BY gene"),
-    "gene_length_from_gtf": (lambda s, d: _exons(s, d).groupBy("gene").agg(F.floor(F.sum(F.col("e") - F.col("b") + 1) / F.countDistinct("tid")).alias("len"), F.min("b").alias("beg"), F.max("e").alias("end")), "WITH e AS (SELECT l_suppkey % 50 AS gene, l_suppkey AS tid, l_partkey AS b, l_partkey + CAST(l_quantity AS BIGINT) AS e FROM lineitem) SELECT gene, CAST(floor(sum(e - b + 1)::DOUBLE / count(DISTINCT tid)) AS BIGINT) AS len, min(b) AS beg, max(e) AS \"end\" FROM e GROUP BY 1"),
-    "longest_transcript": (lambda s, d: _exons(s, d).groupBy("gene", "tid").agg(F.sum(F.col("e") - F.col("b") + 1).alias("len")).groupBy("gene").agg(F.max(F.struct("len", "tid")).alias("m")).select("gene", "m.tid", "m.len"), "WITH e AS (SELECT l_suppkey % 50 AS gene, l_suppkey AS tid, sum(CAST(l_quantity AS BIGINT) + 1) AS len FROM lineitem GROUP BY 1, 2) SELECT gene, tid, CAST(len AS BIGINT) AS len FROM e QUALIFY row_number() OVER (PARTITION BY gene ORDER BY len DESC, tid DESC) = 1"),
+    "rc_tpm_join": (
+        lambda s, d: n.rc_tpm_join(longs(s, d, "rc"), tpm(s, d), ["id", "sample"]).select("id", "sample", "rc", F.round("tpm", 6).alias("tpm")),
+        f"WITH {TPM} SELECT id, sample, value AS rc, round(tpm, 6) AS tpm FROM lo JOIN tp USING (id, sample)",
+    ),
+    "gtf_to_gff": (
+        lambda s, d: n.gtf_to_gff(_exons(s, d)),
+        "WITH e AS (SELECT l_suppkey % 50 AS gene, l_suppkey AS tid, l_partkey AS b, l_partkey + CAST(l_quantity AS BIGINT) AS e FROM lineitem) "
+        "SELECT 'gene' AS feature, gene::VARCHAR AS id, NULL AS parent, min(b) AS beg, max(e) AS \"end\" FROM e GROUP BY gene "
+        "UNION ALL SELECT 'mRNA', tid::VARCHAR, gene::VARCHAR, min(b), max(e) FROM e GROUP BY gene, tid "
+        "UNION ALL SELECT 'exon', tid || '.' || row_number() OVER (PARTITION BY tid ORDER BY b, e), tid::VARCHAR, b, e FROM e",
+    ),
+    "gene_length_from_gtf": (
+        lambda s, d: n.gene_length(_exons(s, d)),
+        "WITH e AS (SELECT l_suppkey % 50 AS gene, l_suppkey AS tid, l_partkey AS b, l_partkey + CAST(l_quantity AS BIGINT) AS e FROM lineitem) SELECT gene, CAST(floor(sum(e - b + 1)::DOUBLE / count(DISTINCT tid)) AS BIGINT) AS len, min(b) AS beg, max(e) AS \"end\" FROM e GROUP BY 1",
+    ),
+    "longest_transcript": (
+        lambda s, d: n.longest_transcript(_exons(s, d)),
+        "WITH e AS (SELECT l_suppkey % 50 AS gene, l_suppkey AS tid, sum(CAST(l_quantity AS BIGINT) + 1) AS len FROM lineitem GROUP BY 1, 2) SELECT gene, tid, CAST(len AS BIGINT) AS len FROM e QUALIFY row_number() OVER (PARTITION BY gene ORDER BY len DESC, tid DESC) = 1",
+    ),
 }
 
 
 def _exons(s, d):
     return read(s, d, "lineitem").select((F.col("l_suppkey") % 50).alias("gene"), F.col("l_suppkey").alias("tid"), F.col("l_partkey").alias("b"), (F.col("l_partkey") + F.col("l_quantity").cast("long")).alias("e"))
-
-
-def _hierarchy(s, d):
-    """Exons to mRNA and gene spans."""
-    e = _exons(s, d)
-    span = lambda k, f: e.groupBy(k).agg(F.min("b").alias("beg"), F.max("e").alias("end")).select(F.lit(f).alias("feature"), F.col(k).cast("string").alias("id"), "beg", "end")
-    return span("tid", "mRNA").unionByName(span("gene", "gene"))

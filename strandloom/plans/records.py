@@ -35,7 +35,7 @@ def _go(s, d):
 
 
 def _packed(s, d):
-    return read(s, d, "orders").where("o_custkey % 10 = 1").groupBy(F.col("o_custkey").cast("string").alias("id")).agg(F.array_join(F.array_sort(F.collect_list("o_orderkey")), "|").alias("genes"), F.array_join(F.transform(F.array_sort(F.collect_list("o_orderkey")), lambda k: F.when(k % 4 == 0, "NA").otherwise(F.concat(F.lit("K"), (k % 3).cast("string")))), "|").alias("kos"))
+    return read(s, d, "orders").groupBy(F.col("o_custkey").cast("string").alias("id")).agg(F.array_join(F.array_sort(F.collect_list("o_orderkey")), "|").alias("genes"), F.array_join(F.transform(F.array_sort(F.collect_list("o_orderkey")), lambda k: F.when(k % 4 == 0, "NA").otherwise(F.concat(F.lit("K"), (k % 3).cast("string")))), "|").alias("kos"))
 
 
 def _terms(s, d):
@@ -51,10 +51,10 @@ def _loci(s, d):
 def _report(s, d):
     p = _parts(s, d)
     c = read(s, d, "lineitem").groupBy((F.col("l_partkey") % 400).alias("m")).agg(F.count("*").alias("n")).select(F.concat(F.lit("m"), "m").alias("mature"), "n")
-    pairs = p.where("p_partkey < 300").select(F.concat(F.lit("m"), "p_partkey").alias("mature"), F.concat(F.lit("h"), F.col("p_partkey") % 50).alias("hairpin"))
-    h = p.where("p_partkey < 50").select(F.concat(F.lit("h"), "p_partkey").alias("hairpin"), F.col("p_name").alias("seq"))
-    m = p.where("p_partkey < 300").select(F.concat(F.lit("m"), "p_partkey").alias("mature"), F.col("p_brand").alias("seq"))
-    st = p.where("p_partkey < 40").select(F.concat(F.lit("h"), "p_partkey").alias("hairpin"), (-F.col("p_size")).alias("mfe"), F.col("p_partkey").alias("pos"))
+    pairs = p.select(F.concat(F.lit("m"), "p_partkey").alias("mature"), F.concat(F.lit("h"), F.col("p_partkey") % 50).alias("hairpin"))
+    h = p.select(F.concat(F.lit("h"), "p_partkey").alias("hairpin"), F.col("p_name").alias("seq"))
+    m = p.select(F.concat(F.lit("m"), "p_partkey").alias("mature"), F.col("p_brand").alias("seq"))
+    st = p.select(F.concat(F.lit("h"), "p_partkey").alias("hairpin"), (-F.col("p_size")).alias("mfe"), F.col("p_partkey").alias("pos"))
     return c, pairs, h, m, st
 
 
@@ -62,7 +62,7 @@ def _cand(s, d):
     return read(s, d, "lineitem").groupBy(F.col("l_partkey").alias("locus")).agg(F.count("*").alias("abundance"), F.countDistinct("l_suppkey").alias("hits"), (F.count_if(F.col("l_linestatus") == "O") / F.count("*")).alias("oriented"), F.countDistinct("l_returnflag").alias("islands"), F.max("l_quantity").alias("overlap"), F.avg("l_discount").alias("gc"), (-F.sum("l_quantity") / 10).alias("energy"), F.sum("l_linenumber").alias("paired"))
 
 
-_CNT = "c AS (SELECT 'm' || (l_partkey % 400) AS mature, count(*) AS n FROM lineitem GROUP BY 1), rp AS (SELECT c.mature, c.n, coalesce(CASE WHEN p.p_partkey IS NOT NULL THEN 'h' || (p.p_partkey % 50) END, '--') AS hairpin, coalesce(h.p_name, '--') AS hairpin_seq, coalesce(p.p_brand, '--') AS mature_seq, p.p_partkey % 50 AS hp, h.p_size, h.p_partkey AS hk FROM c LEFT JOIN part p ON c.mature = 'm' || p.p_partkey AND p.p_partkey < 300 LEFT JOIN part h ON h.p_partkey = p.p_partkey % 50)"
+_CNT = "c AS (SELECT 'm' || (l_partkey % 400) AS mature, count(*) AS n FROM lineitem GROUP BY 1), rp AS (SELECT c.mature, c.n, coalesce(CASE WHEN p.p_partkey IS NOT NULL THEN 'h' || (p.p_partkey % 50) END, '--') AS hairpin, coalesce(h.p_name, '--') AS hairpin_seq, coalesce(p.p_brand, '--') AS mature_seq, p.p_partkey % 50 AS hp, h.p_size, h.p_partkey AS hk FROM c LEFT JOIN part p ON c.mature = 'm' || p.p_partkey LEFT JOIN part h ON h.p_partkey = p.p_partkey % 50)"
 _RC = "reverse(translate({}, 'ACGT', 'TGCA'))"
 
 QUERIES = {
@@ -72,12 +72,12 @@ QUERIES = {
     "go_class_table": (_go, "WITH j AS (SELECT p_brand AS gene, p_type || CASE WHEN p_size = 7 THEN '?' ELSE '' END AS term, CASE WHEN p_size <> 7 THEN split_part(p_type, ' ', 1) END AS ns, lower(p_type) AS name FROM part) SELECT gene, {}, count(*) FILTER (ns IS NULL) AS unknown FROM j GROUP BY 1".format(", ".join(f"coalesce(string_agg(DISTINCT {c}, '//' ORDER BY {c}) FILTER (ns = '{n}'), '--') AS {n}_{k}" for n in ("STANDARD", "SMALL") for c, k in (("term", "ids"), ("name", "names"))))),
     "nat_table_split": (lambda s, d: r.nat_table_split(read(s, d, "lineitem").select(F.when(F.col("l_linenumber") == 1, "cis").otherwise("trans").alias("kind"), (F.col("l_partkey") % 97).alias("a"), (F.col("l_suppkey") % 89).alias("b")), sequences(s, d).select(F.col("doc_id").alias("id"), F.col("s").alias("seq"))), f"WITH {SEQS}, k AS (SELECT CASE WHEN l_linenumber = 1 THEN 'cis' ELSE 'trans' END AS kind, l_partkey % 97 AS a, l_suppkey % 89 AS b FROM lineitem), u AS (SELECT kind, a AS id FROM k UNION SELECT kind, b FROM k) SELECT kind, id, s AS seq FROM u JOIN s ON doc_id = id"),
     "phased_loci": (lambda s, d: r.phased_loci(_loci(s, d), genome(s, d)), f"WITH {SEQS}, l AS (SELECT p_partkey AS chrom, p_size * 3 + 1 AS a, p_size * 3 + 63 AS b FROM part WHERE p_size / 2e6 < 1e-5 AND p_partkey % 12 > 5) SELECT chrom, CAST(a AS INT) AS start, CAST(least(b, len(s)) AS INT) AS \"end\", substr(s, a, least(b, len(s)) - a + 1) AS seq FROM l JOIN s ON doc_id = chrom WHERE least(b, len(s)) >= a"),
-    "term_ids": (_terms, "WITH o AS (SELECT o_custkey::VARCHAR AS id, o_orderkey AS k, o_orderstatus AS st FROM orders WHERE o_custkey % 10 = 1 AND o_custkey NOT IN (11, 21)) SELECT id, string_agg(k::VARCHAR, '|' ORDER BY k) AS gene, string_agg(CASE WHEN k % 4 = 0 THEN 'NA' ELSE 'K' || (k % 3) END, '|' ORDER BY k) AS ko, string_agg(CASE WHEN k % 4 = 0 THEN 'NA' ELSE st END, '|' ORDER BY k) AS symbol FROM o GROUP BY 1"),
-    "ko_gene_groups": (lambda s, d: r.ko_gene_groups(_packed(s, d)), "SELECT o_custkey::VARCHAR AS id, 'K' || (o_orderkey % 3) AS ko, string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderkey::VARCHAR) AS genes FROM orders WHERE o_custkey % 10 = 1 AND o_orderkey % 4 <> 0 GROUP BY 1, 2"),
+    "term_ids": (_terms, "WITH o AS (SELECT o_custkey::VARCHAR AS id, o_orderkey AS k, o_orderstatus AS st FROM orders WHERE o_custkey NOT IN (11, 21)) SELECT id, string_agg(k::VARCHAR, '|' ORDER BY k) AS gene, string_agg(CASE WHEN k % 4 = 0 THEN 'NA' ELSE 'K' || (k % 3) END, '|' ORDER BY k) AS ko, string_agg(CASE WHEN k % 4 = 0 THEN 'NA' ELSE st END, '|' ORDER BY k) AS symbol FROM o GROUP BY 1"),
+    "ko_gene_groups": (lambda s, d: r.ko_gene_groups(_packed(s, d)), "SELECT o_custkey::VARCHAR AS id, 'K' || (o_orderkey % 3) AS ko, string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderkey::VARCHAR) AS genes FROM orders WHERE o_orderkey % 4 <> 0 GROUP BY 1, 2"),
     "hairpin_mature_report": (lambda s, d: r.hairpin_mature_report(*_report(s, d)[:4]), f"WITH {_CNT} SELECT mature, n, hairpin, hairpin_seq, mature_seq, '--' AS mfe, '--' AS pos FROM rp"),
-    "novel_report": (lambda s, d: r.hairpin_mature_report(*_report(s, d)), f"WITH {_CNT} SELECT mature, n, hairpin, hairpin_seq, mature_seq, coalesce(CASE WHEN hk < 40 THEN (-p_size)::VARCHAR END, '--') AS mfe, coalesce(CASE WHEN hk < 40 THEN hk::VARCHAR END, '--') AS pos FROM rp"),
+    "novel_report": (lambda s, d: r.hairpin_mature_report(*_report(s, d)), f"WITH {_CNT} SELECT mature, n, hairpin, hairpin_seq, mature_seq, coalesce((-p_size)::VARCHAR, '--') AS mfe, coalesce(hk::VARCHAR, '--') AS pos FROM rp"),
     "novel_dedup": (lambda s, d: r.novel_dedup(_parts(s, d).select(F.col("p_type").alias("seq"), F.col("p_brand").alias("star"), F.col("p_size").alias("score"), F.col("p_partkey").alias("id"))), "WITH f AS (SELECT * FROM part QUALIFY row_number() OVER (PARTITION BY p_type ORDER BY p_size DESC, p_partkey) = 1) SELECT p_partkey AS id, 'mature' AS kind, p_type AS seq FROM f UNION ALL SELECT p_partkey, 'star', p_brand FROM f"),
     "hairpin_candidate_filter": (lambda s, d: r.hairpin_candidate_filter(_cand(s, d), oriented=0.5, hits=40, gc=0.04).select("locus", "abundance", "hits", "paired"), "SELECT l_partkey AS locus, count(*) AS abundance, count(DISTINCT l_suppkey) AS hits, CAST(sum(l_linenumber) AS BIGINT) AS paired FROM lineitem GROUP BY 1 HAVING count(*) >= 5 AND count(DISTINCT l_suppkey) <= 40 AND count(*) FILTER (l_linestatus = 'O')::DOUBLE / count(*) >= 0.5 AND count(DISTINCT l_returnflag) <= 3 AND max(l_quantity) <= 70 AND avg(l_discount) >= 0.04 AND -sum(l_quantity) / 10 <= -25 AND sum(l_linenumber) >= 17"),
     "precursor_stack_excise": (lambda s, d: r.precursor_stack_excise(features(s, d).select("chrom", (F.col("start") - 1).alias("beg"), "end", "strand", (F.col("chrom") % 9).alias("hits")), genome(s, d)), f"WITH {FEAT}, x AS (SELECT *, greatest(0, start - 1 - 70) AS a, least(len(s), start + 19 + 70) AS b FROM f WHERE chrom % 9 <= 5) SELECT chrom, CAST(a AS INT) AS \"from\", CAST(b AS INT) AS \"to\", strand, CASE WHEN strand = '-' THEN {_RC.format('substr(s, a + 1, b - a)')} ELSE substr(s, a + 1, b - a) END AS seq FROM x"),
-    "seed_sites_loop": (lambda s, d: r.seed_sites_loop(ids(s, d).select(F.col("id").alias("utr"), "seq"), mirs(s, d).where("mirna % 8 = 0")), f"WITH {SEQS}, {REFS}, m AS (SELECT ref AS mirna, {_RC.format('substr(seq, 2, 8)')} AS t FROM rf WHERE ref % 8 = 0), p AS (SELECT doc_id AS utr, s AS q, unnest(range(1, len(s) - 7)) AS pos FROM s WHERE len(s) >= 60), w AS (SELECT utr, pos, substr(q, pos, 9) AS w FROM p) SELECT utr, mirna, CAST(pos AS INT) AS pos, CAST(k AS INT) AS loop_at FROM w, range(2, 9) z(k) JOIN m ON left(w, k - 1) || substr(w, k + 1) = t"),
+    "seed_sites_loop": (lambda s, d: r.seed_sites_loop(ids(s, d).select(F.col("id").alias("utr"), "seq"), mirs(s, d)), f"WITH {SEQS}, {REFS}, m AS (SELECT ref AS mirna, {_RC.format('substr(seq, 2, 8)')} AS t FROM rf), p AS (SELECT doc_id AS utr, s AS q, unnest(range(1, len(s) - 7)) AS pos FROM s WHERE len(s) >= 60), w AS (SELECT utr, pos, substr(q, pos, 9) AS w FROM p) SELECT utr, mirna, CAST(pos AS INT) AS pos, CAST(k AS INT) AS loop_at FROM w, range(2, 9) z(k) JOIN m ON left(w, k - 1) || substr(w, k + 1) = t"),
 }

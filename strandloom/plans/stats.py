@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from strandloom.operators import annotate as n
 from strandloom.operators import stats as st
 from strandloom.plans.quant import LONG, longs
 from strandloom.plans.views import read
@@ -72,6 +73,14 @@ _HY = "x AS (SELECT term, count(*) FILTER (gene IN (SELECT p_partkey FROM part W
 _P = f"CASE WHEN k * big_n < n * big_k THEN 1.0::DOUBLE ELSE least(1.0, list_sum(list_transform(range(k, least(n, big_k) + 1), lambda i: exp({_LC.format('big_k', 'i')} + {_LC.format('(big_n - big_k)', '(n - i)')} - {_LC.format('big_n', 'n')})))) END"
 _BH = "least(1.0, min({0} * m / i) OVER ({1} ORDER BY i DESC ROWS UNBOUNDED PRECEDING))"
 
+_REP = f"""WITH {LONG}, g AS (SELECT id, avg(ln(value)) AS g FROM lo WHERE value > 0 GROUP BY 1 HAVING count(DISTINCT sample) = 3),
+f AS (SELECT sample, round(median(exp(ln(value) - g)), 6) AS factor FROM lo JOIN g USING (id) GROUP BY 1),
+d AS (SELECT id, avg(value / factor) FILTER (sample IN ('A', 'N')) AS mt, avg(value / factor) FILTER (sample = 'R') AS mc, avg(value / factor) AS m, var_samp(value / factor) AS var FROM lo JOIN f USING (sample) GROUP BY 1),
+v AS (SELECT *, greatest((var - m) / (m * m), 1e-8::DOUBLE) AS disp, log2((mt + 0.5) / (mc + 0.5)) AS l FROM d WHERE mt > 0 AND mc > 0),
+u AS (SELECT *, l / (sqrt((1 / mt + disp) / 2 + (1 / mc + disp) / 1) / ln(2)) AS z FROM v),
+w AS (SELECT id, mt, mc, round(l, 4) AS lfc, disp, round(2 * {_tail('z')}, 6) AS p FROM u)"""
+_DE = f"WITH {LONG}, g AS (SELECT id, coalesce(sum(value) FILTER (sample = 'A'), 0)::DOUBLE AS x, coalesce(sum(value) FILTER (sample = 'R'), 0)::DOUBLE AS y FROM lo GROUP BY 1 HAVING x > 0 AND y > 0), t AS (SELECT *, sum(x) OVER () AS nx, sum(y) OVER () AS ny FROM g), z AS (SELECT id, round(log2(x / nx) - log2(y / ny), 6) AS m, round((log2(x) + log2(y)) / 2, 6) AS a, round((x - (x + y) * (nx / (nx + ny))) / sqrt((x + y) * (nx / (nx + ny)) * (1 - nx / (nx + ny))), 6) AS z FROM t), p AS (SELECT *, round(2 * {_tail('z')}, 6) AS p FROM z), r AS (SELECT id, m AS mm, a, z, p, row_number() OVER (ORDER BY p, id) AS i, count(*) OVER () AS m FROM p), q AS (SELECT *, round({_BH.format('p', '')}, 6) AS q FROM r), s AS (SELECT CASE WHEN abs(mm) > log2(1.05) AND q < 0.2 THEN CASE WHEN mm > 0 THEN 'up' WHEN mm < 0 THEN 'down' END END AS class FROM q)"
+
 QUERIES = {
     "binomial_tail": (lambda s, d: st.binomial_tail(counts(s, d), "n", "r", 0.12).select("key", "n", "r", F.round("p", 8).alias("p")), f"WITH {CNT} SELECT key, n, r, round(CASE WHEN r <= 0 THEN 1.0::DOUBLE ELSE least(1.0, list_sum(list_transform(range(r, n + 1), lambda i: exp({_LC.format('n', 'i')} + i * ln(0.12) + (n - i) * ln(1 - 0.12))))) END, 8) AS p FROM c"),
     "hypergeom_tail": (lambda s, d: st.enrich(_closure(s, d), _fg(s, d)).select("term", "k", "n", "big_k", "big_n", "p"), f"WITH {GO}, {_HY} SELECT term, k, n, big_k, big_n, round({_P}, 8) AS p FROM x WHERE k >= 1"),
@@ -84,10 +93,19 @@ QUERIES = {
     "size_factors": (lambda s, d: st.size_factors(longs(s, d)), f"WITH {LONG}, g AS (SELECT id, avg(ln(value)) AS g FROM lo WHERE value > 0 GROUP BY 1 HAVING count(DISTINCT sample) = 3) SELECT sample, round(median(exp(ln(value) - g)), 6) AS factor FROM lo JOIN g USING (id) GROUP BY 1"),
     "tmm_factors": (lambda s, d: st.tmm_factors(longs(s, d), "A"), f"WITH {LONG}, l AS (SELECT *, sum(value) OVER (PARTITION BY sample) AS lib FROM lo), j AS (SELECT x.id, x.sample, log2((x.value / x.lib::DOUBLE) / (r.value / r.lib::DOUBLE)) AS m, 1 / ((x.lib - x.value) / (x.lib::DOUBLE * x.value) + (r.lib - r.value) / (r.lib::DOUBLE * r.value)) AS w FROM l x JOIN l r ON r.id = x.id AND r.sample = 'A'), k AS (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY m, id) AS r, count(*) OVER (PARTITION BY sample) AS c FROM j) SELECT sample, round(pow(2.0, sum(w * m) / sum(w)), 6) AS factor FROM k WHERE r > floor(c * 0.3) AND r <= c - floor(c * 0.3) GROUP BY 1"),
     "de_no_replicates": (_de, f"WITH {LONG}, g AS (SELECT id, coalesce(sum(value) FILTER (sample = 'A'), 0)::DOUBLE AS x, coalesce(sum(value) FILTER (sample = 'R'), 0)::DOUBLE AS y FROM lo GROUP BY 1 HAVING x > 0 AND y > 0), t AS (SELECT *, sum(x) OVER () AS nx, sum(y) OVER () AS ny FROM g), z AS (SELECT id, round(log2(x / nx) - log2(y / ny), 6) AS m, round((log2(x) + log2(y)) / 2, 6) AS a, round((x - (x + y) * (nx / (nx + ny))) / sqrt((x + y) * (nx / (nx + ny)) * (1 - nx / (nx + ny))), 6) AS z FROM t), p AS (SELECT *, round(2 * {_tail('z')}, 6) AS p FROM z), r AS (SELECT id, m AS mm, a, z, p, row_number() OVER (ORDER BY p, id) AS i, count(*) OVER () AS m FROM p), q AS (SELECT *, round({_BH.format('p', '')}, 6) AS q FROM r) SELECT id, mm AS m, a, z, p, q, abs(mm) > log2(1.05) AND q < 0.2 AS significant FROM q"),
-    "volcano_class": (lambda s, d: st.volcano_class(_de(s, d)).groupBy("class").agg(F.count("*").alias("n")), None),
-    "diff_summary": (lambda s, d: st.volcano_class(_de(s, d)).agg(F.count_if("significant").alias("de"), F.count_if(F.col("class") == "up").alias("up"), F.count_if(F.col("class") == "down").alias("down")).withColumn("few", F.least("de", "up", "down") < 10), None),
-    "de_replicates": (lambda s, d: st.de_replicates(longs(s, d), ["A", "N"], ["R"]), None),
-    "de_call_pval_fc": (lambda s, d: st.de_replicates(longs(s, d), ["A", "N"], ["R"]).where((F.col("p") < 0.5) & (F.abs("lfc") > 0.1)).select("id", "lfc"), None),
+    "volcano_class": (lambda s, d: st.volcano_class(_de(s, d)).groupBy("class").agg(F.count("*").alias("n")), f"{_DE} SELECT coalesce(class, 'false') AS class, count(*) AS n FROM s GROUP BY 1"),
+    "diff_summary": (
+        lambda s, d: n.diff_summary(st.volcano_class(_de(s, d))),
+        f"{_DE} SELECT count(class) AS de, count(*) FILTER (class = 'up') AS up, count(*) FILTER (class = 'down') AS down, least(de, up, down) < 10 AS few FROM s",
+    ),
+    "de_replicates": (
+        lambda s, d: st.de_replicates(longs(s, d), ["A", "N"], ["R"]),
+        f"{_REP} SELECT id, round(mt, 4) AS treat, round(mc, 4) AS control, lfc, round(disp, 6) AS dispersion, p FROM w",
+    ),
+    "de_call_pval_fc": (
+        lambda s, d: n.de_call_pval_fc(st.de_replicates(longs(s, d), ["A", "N"], ["R"]), 0.5, 0.1),
+        f"{_REP} SELECT id, lfc, CASE WHEN lfc > 0 THEN 'up' ELSE 'down' END AS direction FROM w WHERE p < 0.5 AND abs(lfc) > 0.1",
+    ),
     "sample_correlation": (lambda s, d: st.sample_correlation(longs(s, d)), f"WITH {LONG}, x AS (SELECT *, log10(value + 1) AS l, rank() OVER (PARTITION BY sample ORDER BY value) + (count(*) OVER (PARTITION BY sample, value) - 1) / 2.0::DOUBLE AS r FROM lo) SELECT a.sample AS a, b.sample AS b, round(pow(corr(a.l, b.l), 2), 4) AS r2, round(corr(a.r, b.r), 4) AS spearman, round(regr_slope(b.l, a.l), 4) AS slope, round(regr_intercept(b.l, a.l), 4) AS intercept FROM x a JOIN x b ON a.id = b.id AND a.sample < b.sample GROUP BY 1, 2"),
     "zscale_rows": (lambda s, d: st.zscale_rows(longs(s, d), "id", "value"), f"WITH {LONG} SELECT id, sample, value, round((value - avg(value) OVER w) / stddev_samp(value) OVER w, 6) AS z FROM lo WINDOW w AS (PARTITION BY id)"),
     "cluster_expression": (lambda s, d: st.cluster_expression(read(s, d, "embeddings"), "vec_id", "embedding"), None),
