@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -178,7 +179,7 @@ def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """(row, score): a struct of the ``keep`` columns of docs, and the score of ``text``."""
     sc = docs.sparkSession.sparkContext
     shared = sc.broadcast((np.flatnonzero(model.weights).astype(np.int32), model.weights[model.weights != 0], model.bias))
-    wide = docs.select(F.struct(*keep).alias("row"), "text")
+    wide = docs.select(F.struct(*keep).alias("row"), *([] if "text" in keep else ["text"]))
 
     def run(batches):
         at, w, bias = shared.value
@@ -186,6 +187,8 @@ def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
         weights[at] = w
         own = Model(weights, bias)
         for batch in batches:
+            if "text" in keep:  # the text travels once
+                batch = batch.append_column("text", pc.struct_field(batch.column("row"), "text"))
             for part in slices(batch, "text", SLICE):
                 s = own.scores([t or "" for t in part.column("text").to_pylist()])
                 yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(s, pa.float64())], ["row", "score"])
