@@ -1,6 +1,6 @@
 """Joins of wide rows with few keys that shuffle only the rows that can match, and column names that nothing else has.
 
-Keys are hashed into a bitmap of ``BITS`` bits, kept as at most BITS / 64 rows of 64 bits, so its broadcast has one size bound
+Keys are hashed into a bitmap of ``BITS`` (or ``size``) bits, kept as at most a 64th as many rows of 64 bits, so its broadcast has one size bound
 whatever the number of keys. More keys than bits only mean that more rows take the way through the join; the result is the same.
 """
 
@@ -20,20 +20,20 @@ def fresh(name: str, *frames: DataFrame) -> str:
     return name
 
 
-def _place(key: Column) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(BITS))
+def _place(key: Column, bits: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(bits))
 
 
 def _bit(place: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
 
 
-def marked(df: DataFrame, key: str, keys: DataFrame, name: str) -> DataFrame:
+def marked(df: DataFrame, key: str, keys: DataFrame, name: str, size: int = BITS) -> DataFrame:
     """df with boolean ``name``: whether ``key`` may be among ``keys`` (one column); false is certain. Null keys are false."""
     word, bits = fresh("word", df), fresh("bits", df)
     k = F.col(keys.columns[0])
-    bitmap = keys.where(k.isNotNull()).select(_place(k).alias("p")).groupBy(F.floor(F.col("p") / 64).alias(word)).agg(F.bit_or(_bit(F.col("p"))).alias(bits))
-    place = _place(F.col(key))
+    bitmap = keys.where(k.isNotNull()).select(_place(k, size).alias("p")).groupBy(F.floor(F.col("p") / 64).alias(word)).agg(F.bit_or(_bit(F.col("p"))).alias(bits))
+    place = _place(F.col(key), size)
     hit = F.col(key).isNotNull() & (F.coalesce(F.col(bits), F.lit(0).cast("long")).bitwiseAND(_bit(place)) != 0)
     return df.withColumn(word, F.floor(place / 64)).join(F.broadcast(bitmap), word, "left").withColumn(name, hit).drop(word, bits)
 
