@@ -271,7 +271,7 @@ def _covered(base: DataFrame, hits: DataFrame, width: int) -> DataFrame:
     # one 64-bit hash of both finds nearly all that start once; the rest is compared in full
     some = found.where("hash is not null").withColumn("both", F.xxhash64("least", "hash"))
     often = some.groupBy("both").agg(F.count("*").alias("n")).where("n > 1").select("both")
-    maybe = table(marked(some, "both", often, "often").where("often").select("rid", "place", "least", "hash"), "maybe")
+    maybe = table(marked(some, "both", often, "often", 1 << 24).where("often").select("rid", "place", "least", "hash"), "maybe")
     twice = maybe.groupBy("least", "hash").agg(F.count("*").alias("n")).where("n > 1").select("least", "hash")
     places = found.where("hash is null").select("rid", "place").union(maybe.join(twice, ["least", "hash"], "left_semi").select("rid", "place"))
     return table(places.groupBy("rid").agg(F.collect_set("place").alias("places")), "covered")
