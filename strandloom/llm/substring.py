@@ -267,13 +267,16 @@ def _cut(width: int, texts: bool):
 def _covered(base: DataFrame, hits: DataFrame, width: int) -> DataFrame:
     """(rid, places): where windows that start more than once among base (rid, text) begin."""
     shared = base.sparkSession.sparkContext.broadcast(_bitmap(hits))
-    found = table(base.mapInArrow(_suspects(width, shared), "rid long, place int, least long, hash long"), "suspects")
-    # one 64-bit hash of both finds nearly all that start once; the rest is compared in full
-    some = found.where("hash is not null").withColumn("both", F.xxhash64("least", "hash"))
-    often = some.groupBy("both").agg(F.count("*").alias("n")).where("n > 1").select("both")
-    maybe = table(marked(some, "both", often, "often", 1 << 24).where("often").select("rid", "place", "least", "hash"), "maybe")
-    twice = maybe.groupBy("least", "hash").agg(F.count("*").alias("n")).where("n > 1").select("least", "hash")
-    places = found.where("hash is null").select("rid", "place").union(maybe.join(twice, ["least", "hash"], "left_semi").select("rid", "place"))
+    with scope(base.sparkSession):
+        found = table(base.mapInArrow(_suspects(width, shared), "rid long, place int, least long, hash long"), "suspects")
+        # one 64-bit hash of both finds nearly all that start once; the rest is compared in full
+        found = found.withColumn("both", F.when(F.col("hash").isNotNull(), F.xxhash64("least", "hash")))
+        often = found.where("both is not null").groupBy("both").agg(F.count("*").alias("n")).where("n > 1").select("both")
+        kept = marked(found, "both", often, "often", 1 << 24).where("often or hash is null")
+        maybe = result(kept.select("rid", "place", "least", "hash"), "maybe")  # the suspects go before the join
+    open_ = maybe.where("hash is not null")
+    twice = open_.groupBy("least", "hash").agg(F.count("*").alias("n")).where("n > 1").select("least", "hash")
+    places = maybe.where("hash is null").select("rid", "place").union(open_.join(twice, ["least", "hash"], "left_semi").select("rid", "place"))
     return table(places.groupBy("rid").agg(F.collect_set("place").alias("places")), "covered")
 
 
