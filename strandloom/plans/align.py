@@ -84,7 +84,7 @@ QUERIES = {
     "seed_sites": (lambda s, d: a.seed_sites(ids(s, d).select(F.col("id").alias("utr"), "seq"), mirs(s, d)).groupBy("utr", "mirna", "seed").agg(F.count("*").alias("sites"), F.sum("pos").alias("places")), f"WITH {SEQS}, {REFS}, m AS (SELECT ref AS mirna, {RC.format('substr(seq, 2, 8)')} AS s8, {RC.format('substr(seq, 2, 7)')} AS s7, {RC.format('substr(seq, 2, 6)')} AS s6 FROM rf), p AS (SELECT doc_id AS utr, s AS seq, unnest(range(1, len(s) - 4)) AS at_ FROM s WHERE len(s) >= 60), j AS (SELECT utr, mirna, at_, {_SITE} AS seed FROM p JOIN m ON substr(seq, at_, 6) = s6) SELECT utr, mirna, CAST(seed AS INT) AS seed, count(*) AS sites, CAST(sum(at_ - (seed - 6)) AS BIGINT) AS places FROM j GROUP BY 1, 2, 3"),
     "random_site": (lambda s, d: a.random_site(ids(s, d).select(F.col("id").alias("utr"), "seq")), f"WITH {SEQS}, h AS (SELECT doc_id AS utr, s, CAST('0x' || left(md5(doc_id::VARCHAR), 8) AS BIGINT) % (len(s) - 21) + 1 AS pos FROM s WHERE len(s) >= 60) SELECT utr, pos, substr(s, pos, 22) AS site FROM h"),
     "duplex_pvalue": (lambda s, d: a.duplex_pvalue(read(s, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", (-F.col("l_quantity")).alias("energy"), F.lit(22).alias("m"), (F.col("l_suppkey") + 100).alias("n")), 1.0, 0.5).select("l_orderkey", "l_linenumber", "l_partkey", "energy", F.round("p", 8).alias("p")), "WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey, -l_quantity AS energy, 1 - exp(-exp(-(l_quantity / ln(22 * (l_suppkey + 100)) - 1.0) / 0.5)) AS p FROM lineitem) SELECT l_orderkey, l_linenumber, l_partkey, energy, round(p, 8) AS p FROM x WHERE energy <= -10 AND p <= 0.05"),
-    "hamming_stats": (lambda s, d: a.hamming_stats(view(s, d).select("read_id", F.substring("seq", 1, 9).alias("a"), F.substring("seq", 10, 9).alias("b"))).select("read_id", "mism", "wobbles", "last"), f"WITH {READS}, x AS (SELECT read_id, substr(seq, 1, 9) AS a, substr(seq, 10, 9) AS b FROM reads), y AS (SELECT *, list_filter(list_transform(range(1, 10), lambda i: substr(a, i, 1) || substr(b, i, 1)), lambda p: substr(p, 1, 1) <> substr(p, 2, 1)) AS z FROM x) SELECT read_id, CAST(len(z) AS INT) AS mism, CAST(len(list_filter(z, lambda p: p IN ('CT', 'TC', 'AG', 'GA'))) AS INT) AS wobbles, right(a, 1) <> right(b, 1) AS last FROM y"),
+    "hamming_stats": (lambda s, d: a.hamming_stats(view(s, d).select("read_id", F.expr("left(seq, CAST(length(seq) div 2 AS INT))").alias("a"), F.expr("substr(seq, CAST(length(seq) div 2 AS INT) + 1)").alias("b"))).select("read_id", "mism", "wobbles", "last"), f"WITH {READS}, x AS (SELECT read_id, left(seq, len(seq) // 2) AS a, substr(seq, len(seq) // 2 + 1) AS b FROM reads), y AS (SELECT *, list_filter(list_transform(range(1, len(a) + 1), lambda i: substr(a, i, 1) || substr(b, i, 1)), lambda p: substr(p, 1, 1) <> substr(p, 2, 1)) AS z FROM x) SELECT read_id, CAST(len(z) AS INT) AS mism, CAST(len(list_filter(z, lambda p: p IN ('CT', 'TC', 'AG', 'GA'))) AS INT) AS wobbles, right(a, 1) <> right(b, 1) AS last FROM y"),
     "name_compat_pairs": (lambda s, d: a.name_compat_pairs(read(s, d, "part").select(F.concat(F.lit("MIR"), F.col("p_partkey") % 40, F.when(F.col("p_size") % 2 == 0, "-5p").otherwise("*")).alias("id"), F.col("p_partkey").cast("string").alias("seq")), read(s, d, "supplier").select(F.concat(F.lit("mir"), F.col("s_suppkey") % 60, F.lit("a")).alias("id"))), "WITH m AS (SELECT 'MIR' || (p_partkey % 40) || CASE WHEN p_size % 2 = 0 THEN '-5p' ELSE '*' END AS mature, 'mir' || (p_partkey % 40) AS x FROM part), h AS (SELECT 'mir' || (s_suppkey % 60) || 'a' AS hairpin FROM supplier) SELECT mature, hairpin FROM m JOIN h ON hairpin = x || 'a'"),
     "phase_register": (lambda s, d: a.phase_register(read(s, d, "lineitem").select((F.col("l_suppkey") % 10).alias("chrom"), F.col("l_partkey").alias("pos"))), "WITH p AS (SELECT DISTINCT l_suppkey % 10 AS chrom, l_partkey AS pos FROM lineitem), b AS (SELECT chrom, pos // 252 AS w, pos % 21 AS r, count(*) AS k FROM p GROUP BY ALL) SELECT chrom, w, CAST(sum(k) AS BIGINT) AS positions, max(k) AS phased FROM b GROUP BY 1, 2"),
     "phase_windows": (lambda s, d: a.phase_windows(read(s, d, "lineitem").select((F.col("l_suppkey") % 10).alias("chrom"), F.col("l_partkey").alias("pos"), (F.col("l_linenumber") + 18).alias("len"), F.col("l_quantity").cast("long").alias("n")), abundance=20, most_p=0.1), None),

@@ -69,7 +69,7 @@ def _strings(s, d):
 
 def _synonyms(s, d):
     """Names of parts joined with types through classes of brands that share a size."""
-    pairs = part(s, d).where("p_size <= 3").select(F.col("p_brand").alias("a"), F.concat(F.lit("size"), "p_size").alias("b")).distinct()
+    pairs = part(s, d).select(F.col("p_brand").alias("a"), F.concat(F.lit("size"), "p_size").alias("b")).distinct()
     left = part(s, d).groupBy(F.col("p_brand").alias("name")).agg(F.count("*").alias("n"))
     right_ = part(s, d).groupBy(F.col("p_brand").alias("name")).agg(F.max("p_partkey").alias("top"))
     return t.table_join_synonyms(left, right_, "name", pairs, ["top"])
@@ -89,7 +89,7 @@ QUERIES = {
     "table_join_anti": (lambda s, d: t.table_join_anti(o(s, d), right(s, d), ["o_orderkey"]).select("o_orderkey", "o_custkey"), "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 25)"),
     "table_join_merge": (lambda s, d: t.table_join_merge(o(s, d).select("o_orderkey", F.col("o_custkey").alias("v")), right(s, d).select("o_orderkey", "l_linenumber", F.col("l_partkey").alias("v")), ["o_orderkey"], "v", ["l_linenumber"]), f"WITH {LAST} SELECT o_orderkey, coalesce(l_partkey, o_custkey) AS v FROM orders LEFT JOIN last_ USING (o_orderkey)"),
     "table_join_keynorm": (lambda s, d: t.table_join_keynorm(part(s, d).select(F.concat(F.col("p_size").cast("string"), F.lit(".7")).alias("k"), "p_partkey"), part(s, d).groupBy(F.concat(F.col("p_size").cast("string"), F.lit(".2")).alias("k")).agg(F.count("*").alias("n")), "k", "num", ["n"]).join(t.table_join_keynorm(part(s, d).select(F.lower("p_brand").alias("k"), "p_partkey"), part(s, d).groupBy(F.col("p_brand").alias("k")).agg(F.count("*").alias("b")), "k", "upper", ["b"]).withColumnRenamed("k", "brand"), "p_partkey"), "SELECT p.p_partkey, CAST(p_size AS BIGINT) AS k, n, upper(p_brand) AS brand, b FROM part p JOIN (SELECT p_size, count(*) AS n FROM part GROUP BY 1) USING (p_size) JOIN (SELECT p_brand, count(*) AS b FROM part GROUP BY 1) USING (p_brand)"),
-    "table_join_synonyms": (_synonyms, "WITH RECURSIVE e AS (SELECT DISTINCT p_brand AS a, 'size' || p_size AS b FROM part WHERE p_size <= 3), u AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r(n, m) AS (SELECT a, a FROM u UNION SELECT u.a, r.m FROM r JOIN u ON u.b = r.n), k AS (SELECT n, min(m) AS c FROM r GROUP BY 1), l AS (SELECT p_brand AS name, count(*) AS n, max(p_partkey) AS top, coalesce(any_value(c), p_brand) AS c FROM part LEFT JOIN k ON k.n = p_brand GROUP BY p_brand) SELECT name, n, (SELECT max(top) FROM l x WHERE x.c = l.c) AS top FROM l"),
+    "table_join_synonyms": (_synonyms, "WITH RECURSIVE e AS (SELECT DISTINCT p_brand AS a, 'size' || p_size AS b FROM part), u AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r(n, m) AS (SELECT a, a FROM u UNION SELECT u.a, r.m FROM r JOIN u ON u.b = r.n), k AS (SELECT n, min(m) AS c FROM r GROUP BY 1), l AS (SELECT p_brand AS name, count(*) AS n, max(p_partkey) AS top, coalesce(any_value(c), p_brand) AS c FROM part LEFT JOIN k ON k.n = p_brand GROUP BY p_brand) SELECT name, n, (SELECT max(top) FROM l x WHERE x.c = l.c) AS top FROM l"),
     "join_project": (lambda s, d: t.join_project(t.table_join(o(s, d), right(s, d), ["o_orderkey"], ["l_linenumber"]), ["o_totalprice", "o_orderstatus", "l_linenumber", "o_orderpriority"], True), f"WITH {LAST} SELECT o_orderkey, o_custkey, l_partkey, l_quantity FROM orders JOIN last_ USING (o_orderkey)"),
     "sequential_join": (_sequential, "SELECT c_custkey AS k, c_name, count(*) AS orders, count(*) FILTER (o_orderstatus = 'F') AS done FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY 1, 2 HAVING count(*) FILTER (o_orderstatus = 'F') > 0"),
     "sort_merge_join": (lambda s, d: t.sort_merge_join(o(s, d).select(F.col("o_orderkey").alias("k"), "o_custkey"), line(s, d).select(F.col("l_orderkey").alias("k"), "l_suppkey"), ["k"]), "SELECT DISTINCT o_orderkey AS k, o_custkey, l_suppkey FROM orders JOIN lineitem ON l_orderkey = o_orderkey"),
@@ -114,7 +114,7 @@ QUERIES = {
     "cut_columns": (lambda s, d: t.cut_columns(t.cut_columns(o(s, d), "3,1-2,1"), names=["o_custkey"], invert=True), "SELECT o_orderstatus, o_orderkey, o_orderkey AS o_orderkey_2 FROM orders"),
     "merge_columns": (lambda s, d: t.merge_columns(t.merge_columns(part(s, d).select("p_partkey", "p_name", "p_brand", F.col("p_size").alias("a"), (F.col("p_size") % 7).alias("b")), "a", "b", "ab", ":", "numeric", True), "p_name", "p_brand", "nb", "|", "reversed"), "SELECT p_partkey, CASE WHEN p_size = p_size % 7 THEN p_size::VARCHAR ELSE least(p_size, p_size % 7) || ':' || greatest(p_size, p_size % 7) END AS ab, p_brand || '|' || p_name AS nb FROM part"),
     "permuted_labels": (lambda s, d: t.permuted_labels(line(s, d).select(*KEY, "l_returnflag"), KEY, "l_returnflag", 5), "WITH a AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS i FROM lineitem), b AS (SELECT l_returnflag, row_number() OVER (ORDER BY md5(l_orderkey || ':' || l_linenumber || ':' || l_partkey || ':' || l_suppkey || ':5'), l_orderkey, l_linenumber, l_partkey, l_suppkey) AS i FROM lineitem) SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag FROM a JOIN b USING (i)"),
-    "vec_basic": (lambda s, d: v.vec_basic(emb(s, d).withColumn("x", F.slice("x", 1, 6)), "vec_id", "x", 50.0), f"WITH {EMB}, z AS (SELECT vec_id, x[1:6] AS v FROM m) SELECT vec_id, round(list_sum(v), 6) AS sum, round(list_reduce(list_concat([1.0::DOUBLE], v), lambda a, b: a * b / 100), 6) + 0.0 AS product, round(list_avg(v), 6) AS mean, list_min(v) AS min, list_max(v) AS max, CAST(list_position(v, list_min(v)) AS BIGINT) AS argmin, CAST(list_position(v, list_max(v)) AS BIGINT) AS argmax, CAST(len(v) AS INT) AS n_full, v[1] AS first, list_filter(v, lambda q: q >= 50)[1] AS first_ge, list_filter(v, lambda q: q <= -50)[1] AS first_le, CAST(len(list_filter(v, lambda q: q >= 50)) AS INT) AS n_ge, CAST(len(list_filter(v, lambda q: q <= -50)) AS INT) AS n_le, list_sort(v)[3] AS kth FROM z"),
+    "vec_basic": (lambda s, d: v.vec_basic(emb(s, d), "vec_id", "x", 50.0), f"WITH {EMB}, z AS (SELECT vec_id, x AS v FROM m) SELECT vec_id, round(list_sum(v), 6) AS sum, round(list_reduce(list_concat([1.0::DOUBLE], v), lambda a, b: a * b / 100), 6) + 0.0 AS product, round(list_avg(v), 6) AS mean, list_min(v) AS min, list_max(v) AS max, CAST(list_position(v, list_min(v)) AS BIGINT) AS argmin, CAST(list_position(v, list_max(v)) AS BIGINT) AS argmax, CAST(len(v) AS INT) AS n_full, v[1] AS first, list_filter(v, lambda q: q >= 50)[1] AS first_ge, list_filter(v, lambda q: q <= -50)[1] AS first_le, CAST(len(list_filter(v, lambda q: q >= 50)) AS INT) AS n_ge, CAST(len(list_filter(v, lambda q: q <= -50)) AS INT) AS n_le, list_sort(v)[3] AS kth FROM z"),
     "vec_spread": (lambda s, d: v.vec_spread(emb(s, d), "vec_id", "x"), f"WITH {EMB}, z AS (SELECT vec_id, x AS v, list_sort(x) AS s, len(x) AS n, list_avg(x) AS a FROM m), y AS (SELECT *, sqrt(list_sum(list_transform(v, lambda q: (q - a) * (q - a))) / n) AS d, s[CAST(n // 2 + 1 AS BIGINT)] AS u FROM z) SELECT vec_id, round(d, 6) AS sd, round(d / sqrt(n), 6) AS se, round(list_sort(list_transform(v, lambda q: abs(q - u)))[CAST(n // 2 + 1 AS BIGINT)], 6) AS mad, u AS upper_median, round((u + s[CAST((n - 1) // 2 + 1 AS BIGINT)]) / 2, 6) AS median, s[CAST(floor(0.25 * (n - 1)) + 1 AS BIGINT)] AS quantile FROM y"),
     "vec_center": (lambda s, d: v.vec_center(emb(s, d), "vec_id", "x").select("vec_id", F.posexplode("z")).select("vec_id", "pos", F.round("col", 6).alias("z")), f"WITH {EMB}, z AS (SELECT vec_id, x AS v, list_avg(x) AS a FROM m), y AS (SELECT *, sqrt(list_sum(list_transform(v, lambda q: (q - a) * (q - a))) / len(v)) AS d FROM z), w AS (SELECT vec_id, a, d, unnest(v) AS q, unnest(range(0, len(v))) AS pos FROM y) SELECT vec_id, CAST(pos AS INT) AS pos, round((q - a) / d, 6) AS z FROM w"),
     "vec_similarity": (lambda s, d: v.vec_similarity(emb(s, d), "vec_id", "x", "y"), f"WITH {EMB}, z AS (SELECT vec_id, unnest(x) AS a, unnest(y) AS b, unnest(range(0, len(x))) AS i, y, len(x) AS n FROM m) SELECT vec_id, round(corr(a, b), 6) AS pearson, round(sum(a * b), 6) AS dot, round(sum(a * b) / sum(abs(a)), 6) AS dot_l1, round(sum(a * b) / any_value(n), 6) AS mean_product, round(greatest(sum(a * b), sum(a * coalesce(y[i + 2], 0)), sum(a * coalesce(y[i + 3], 0)), sum(a * coalesce(y[i + 4], 0))), 6) AS best_dot FROM z GROUP BY 1"),
