@@ -26,13 +26,35 @@ def letters(seq: Column) -> Column:
 def kmers(df: DataFrame, seq: str, k: int, keep: list[str], tile: int = 512) -> DataFrame:
     """``keep`` columns, pos (from 1) and kmer for every place of a sequence.
 
-    Sequences are cut into tiles first: taking a piece walks from the start of its string, which is square in the length.
+    Sequences are cut into overlapping tiles first, by one pass of a pattern: taking a piece by its place walks from the
+    start of the string, which is square in the length.
     """
     s = F.col(seq)
-    tiles = df.where(F.length(s) >= k).select(*keep, s, F.explode(F.sequence(F.lit(0), F.length(s) - k, F.lit(tile))).alias("__off"))
-    tiles = tiles.select(*keep, "__off", F.substr(s, F.col("__off") + 1, F.lit(tile + k - 1)).alias("__tile"))
+    cut = F.regexp_extract_all(s, F.lit(f"(?s)(?=(.{{1,{tile + k - 1}}})).{{1,{tile}}}"), F.lit(1))
+    tiles = df.where(F.length(s) >= k).select(*keep, F.posexplode(cut).alias("__no", "__tile")).where(F.length("__tile") >= k)
     cut = F.transform(F.sequence(F.lit(1), F.length("__tile") - k + 1), lambda i: F.substr("__tile", i, F.lit(k)))
-    return tiles.select(*keep, "__off", F.posexplode(cut).alias("__i", "kmer")).select(*keep, (F.col("__off") + F.col("__i") + 1).alias("pos"), "kmer")
+    return tiles.select(*keep, "__no", F.posexplode(cut).alias("__i", "kmer")).select(*keep, (F.col("__no") * tile + F.col("__i") + 1).alias("pos"), "kmer")
+
+
+def pieces(df: DataFrame, seqs: DataFrame, key: str, start: Column, end: Column, tile: int = 1 << 14) -> DataFrame:
+    """Rows of df whose key has a sequence, with __size, __from, __to and __piece: the letters start to end (1-based, closed)
+    of that sequence, as far as it reaches; empty where it has none there.
+
+    seqs: the key (once each), seq. ``start`` and ``end`` may use __size, the sequence's length. Only the tiles that a row touches
+    travel to it, never a whole sequence, so many rows on one long sequence are spread. Equal rows stay as many as they are.
+    """
+    given = df.columns
+    rows = df.join(once(seqs, "__size", F.length("seq")).select(key, "__size"), key).select(*given, "__size", start.cast("int").alias("__from"), end.cast("int").alias("__to"))
+    lo, hi = F.greatest("__from", F.lit(1)), F.least("__to", "__size")
+    number = lambda place: F.floor((place - 1) / tile).cast("int")
+    touched = rows.select("*", F.explode_outer(F.when(lo <= hi, F.sequence(number(lo), number(hi)))).alias("__no"))
+    tiles = seqs.select(key, F.posexplode(F.regexp_extract_all("seq", F.lit(f"(?s).{{1,{tile}}}"), F.lit(0))).alias("__no", "__tile"))
+    off = F.col("__no") * tile
+    a, b = F.greatest(lo - off, F.lit(1)), F.least(hi - off, F.lit(tile))
+    met = touched.join(tiles, [key, "__no"], "left").select(*given, "__size", "__from", "__to", F.struct("__no", F.substr("__tile", a, b - a + 1).alias("text")).alias("__part"))
+    whole = met.groupBy(*given, "__size", "__from", "__to").agg(F.collect_set("__part").alias("__parts"), F.count("*").alias("__n"))
+    text = F.array_join(F.transform(F.array_sort("__parts"), lambda x: x["text"]), "")
+    return whole.select(*given, "__size", "__from", "__to", F.explode(F.array_repeat(text, (F.col("__n") / F.size("__parts")).cast("int"))).alias("__piece"))
 
 
 def reverse_complement(seq: Column, iupac: bool = False) -> Column:

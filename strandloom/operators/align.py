@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandloom.functions.seq import hamming, kmers, letters, once, reverse_complement
+from strandloom.functions.seq import hamming, kmers, letters, once, pieces, reverse_complement
 from strandloom.operators.stats import hypergeom_tail
 
 
@@ -53,26 +53,25 @@ def unmapped(reads: DataFrame, hits: DataFrame) -> DataFrame:
 
 def feature_sequences(features: DataFrame, genome: DataFrame) -> DataFrame:
     """Sequence of features (chrom, start, end 1-based closed, strand) on genome (chrom, seq); reverse complement on minus."""
-    s = F.substr("seq", F.col("start"), F.col("end") - F.col("start") + 1)
-    return features.join(genome, "chrom").withColumn("seq", F.when(F.col("strand") == "-", reverse_complement(s)).otherwise(s))
+    s = F.col("__piece")
+    return pieces(features, genome, "chrom", F.col("start"), F.col("end")).select(*features.columns, F.when(F.col("strand") == "-", reverse_complement(s)).otherwise(s).alias("seq"))
 
 
 def extract_locations(seqs: DataFrame, locs: DataFrame, one_based: bool = True, gap: int = 1) -> DataFrame:
     """Cut locations (id, start, end; end -1 is the end, start > end the reverse complement), every ``gap``-th letter."""
     o = 0 if one_based else 1
-    j = locs.join(seqs, "id")
-    e = F.when(F.col("end") == -1, F.length("seq")).otherwise(F.col("end") + o)
+    e = F.when(F.col("end") == -1, F.col("__size")).otherwise(F.col("end") + o)
     s = F.col("start") + o
-    part = F.substr("seq", F.least(s, e), F.abs(e - s) + 1)
-    part = F.when(s > e, reverse_complement(part)).otherwise(part)
+    j = pieces(locs, seqs, "id", F.least(s, e), F.greatest(s, e))
+    part = F.when(s > e, reverse_complement(F.col("__piece"))).otherwise(F.col("__piece"))
     if gap > 1:
         part = F.array_join(F.filter(letters(part), lambda x, i: i % gap == 0), "")
-    return j.withColumn("seq", part)
+    return j.select(*locs.columns, part.alias("seq"))
 
 
 def cdna_from_exons(exons: DataFrame, genome: DataFrame) -> DataFrame:
     """Exons (tid, chrom, strand, start, end) in order of start, joined, reverse complement on minus."""
-    cut = exons.join(genome, "chrom").select("tid", "strand", "start", F.substr("seq", F.col("start"), F.col("end") - F.col("start") + 1).alias("x"))
+    cut = pieces(exons, genome, "chrom", F.col("start"), F.col("end")).select("tid", "strand", "start", F.col("__piece").alias("x"))
     g = cut.groupBy("tid", "strand").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "x"))), lambda e: e["x"]), "").alias("seq"))
     return g.select("tid", F.when(F.col("strand") == "-", reverse_complement(F.col("seq"))).otherwise(F.col("seq")).alias("seq"))
 
@@ -86,10 +85,9 @@ def utr3_from_cds(cds: DataFrame, seqs: DataFrame, least: int = 16) -> DataFrame
 
 def flank_hits(hits: DataFrame, genome: DataFrame, flank: int = 300) -> DataFrame:
     """Hits (chrom, start, end, strand) with flanks, cut at the ends of the sequence."""
-    j = hits.join(genome, "chrom")
-    b, e = F.greatest(F.lit(1), F.col("start") - flank), F.least(F.length("seq"), F.col("end") + flank)
-    s = F.substr("seq", b, e - b + 1)
-    return j.select(*hits.columns, b.alias("from"), e.alias("to"), F.when(F.col("strand") == "-", reverse_complement(s)).otherwise(s).alias("flanked"))
+    j = pieces(hits, genome, "chrom", F.greatest(F.lit(1), F.col("start") - flank), F.least("__size", F.col("end") + flank))
+    s = F.col("__piece")
+    return j.select(*hits.columns, F.col("__from").alias("from"), F.col("__to").alias("to"), F.when(F.col("strand") == "-", reverse_complement(s)).otherwise(s).alias("flanked"))
 
 
 def extend_utr(utr: DataFrame, upstream: DataFrame | None = None, n: int = 200) -> DataFrame:
@@ -153,7 +151,8 @@ def seed_sites(utr: DataFrame, mir: DataFrame, lengths: tuple[int, ...] = (8, 7,
 def random_site(utr: DataFrame, width: int = 22) -> DataFrame:
     """One pseudo-random window per UTR, fixed by its id."""
     h = F.conv(F.substring(F.md5(F.col("utr").cast("string").cast("binary")), 1, 8), 16, 10).cast("long")
-    return utr.where(F.length("seq") >= width).select("utr", (h % (F.length("seq") - width + 1) + 1).alias("pos")).join(utr, "utr").select("utr", "pos", F.substr("seq", F.col("pos").cast("int"), F.lit(width)).alias("site"))
+    at = utr.where(F.length("seq") >= width).select("utr", "seq", (h % (F.length("seq") - width + 1) + 1).alias("pos"))
+    return at.select("utr", "pos", F.substr("seq", F.col("pos").cast("int"), F.lit(width)).alias("site"))
 
 
 def duplex_pvalue(df: DataFrame, xi: float, theta: float, e_max: float = -10, p_max: float = 0.05) -> DataFrame:

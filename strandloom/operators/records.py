@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandloom.functions.seq import kmers, letters, reverse_complement
+from strandloom.functions.seq import kmers, letters, pieces, reverse_complement
 
 
 def rfam_compose(hits: DataFrame, total: int | None = None) -> DataFrame:
@@ -38,8 +38,8 @@ def mrd_assemble(precursors: DataFrame, windows: DataFrame, reads: DataFrame) ->
     letter = lambda i: F.when(one("M", i), "M").when(one("S", i), "S").when((i > F.col("lo")) & (i < F.col("hi")), "l").otherwise("f")
     p = precursors.join(w, "precursor", "left").withColumn("w", F.coalesce("w", F.array().cast("array<struct<kind:string,beg:int,end:int>>")))
     p = p.withColumn("mask", F.array_join(F.transform(F.sequence(F.lit(0), F.length("seq") - 1), letter), ""))
-    r = reads.join(precursors.select("precursor", F.col("seq").alias("whole")), "precursor")
-    shown = F.array_join(F.transform(letters(F.col("seq")), lambda c, i: F.when(c == F.substr("whole", F.col("beg") + i + 1, F.lit(1)), F.lower(c)).otherwise(F.upper(c))), "")
+    r = pieces(reads, precursors, "precursor", F.col("beg") + 1, F.col("beg") + F.length("seq"))
+    shown = F.array_join(F.transform(letters(F.col("seq")), lambda c, i: F.when(c == F.substr("__piece", i + 1, F.lit(1)), F.lower(c)).otherwise(F.upper(c))), "")
     g = r.groupBy("precursor").agg(F.sum("n").alias("total"), F.array_sort(F.collect_list(F.struct("beg", (F.col("beg") + F.length("seq") - 1).alias("end"), shown.alias("aligned"), "n"))).alias("reads"))
     return p.join(g, "precursor").select("precursor", "total", "mask", F.col("seq").alias("pri_seq"), "reads")
 
@@ -60,9 +60,8 @@ def nat_table_split(table: DataFrame, seqs: DataFrame) -> DataFrame:
 
 def phased_loci(loci: DataFrame, genome: DataFrame, p: float = 1e-5, n: int = 5) -> DataFrame:
     """Loci (chrom, start, end, phased, p) that are significant, cut at the sequence's end, with their sequence."""
-    j = loci.where((F.col("p") < p) & (F.col("phased") > n)).join(genome, "chrom")
-    end = F.least(F.col("end"), F.length("seq"))
-    return j.select("chrom", "start", end.alias("end"), F.substr("seq", F.col("start"), end - F.col("start") + 1).alias("seq")).where("end >= start")
+    j = pieces(loci.where((F.col("p") < p) & (F.col("phased") > n)), genome, "chrom", F.col("start"), F.least("end", "__size"))
+    return j.where("__to >= start").select("chrom", "start", F.col("__to").alias("end"), F.col("__piece").alias("seq"))
 
 
 def term_ids(enrich: DataFrame, annot: DataFrame, drop: list[str]) -> DataFrame:
@@ -103,10 +102,9 @@ def hairpin_candidate_filter(loci: DataFrame, abundance: int = 5, hits: int = 16
 
 def precursor_stack_excise(stacks: DataFrame, genome: DataFrame, max_hits: int = 5, flank: int = 70) -> DataFrame:
     """Windows around stacks (chrom, beg, end half-open, strand, hits) of at most max_hits hits, with their sequence."""
-    j = stacks.where(F.col("hits") <= max_hits).join(genome, "chrom")
-    b, e = F.greatest(F.lit(0), F.col("beg") - flank), F.least(F.length("seq"), F.col("end") + flank)
-    s = F.substr("seq", b + 1, e - b)
-    return j.where(F.col("beg") < F.length("seq")).select("chrom", b.alias("from"), e.alias("to"), "strand", F.when(F.col("strand") == "-", reverse_complement(s)).otherwise(s).alias("seq"))
+    j = pieces(stacks.where(F.col("hits") <= max_hits), genome, "chrom", F.greatest(F.lit(1), F.col("beg") - flank + 1), F.least("__size", F.col("end") + flank))
+    s = F.col("__piece")
+    return j.where(F.col("beg") < F.col("__size")).select("chrom", (F.col("__from") - 1).alias("from"), F.col("__to").alias("to"), "strand", F.when(F.col("strand") == "-", reverse_complement(s)).otherwise(s).alias("seq"))
 
 
 def seed_sites_loop(utr: DataFrame, mir: DataFrame, n: int = 8, start: int = 2) -> DataFrame:

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strandloom.functions.seq import half_up, reverse_complement
+from strandloom.functions.seq import half_up, kmers, pieces, reverse_complement
 from strandloom.operators import align, qc, quant, reads, records, stats, table, vectors
 
 A3, A5 = "TGGAATTCTCGG", "GTTCAGAGTTCT"
@@ -210,3 +210,21 @@ def test_hypergeom_tail_of_small_and_huge_counts(spark):
     got = {(r.k, r.n, r.g, r.t): r.p for r in stats.hypergeom_tail(frame(spark, rows, "k long, n long, g long, t long"), "k", "n", "g", "t").collect()}
     for r in rows:
         assert got[r] == pytest.approx(1.0 if r[0] * r[3] < r[1] * r[2] else tail(*r), rel=1e-4 if r[3] > 100 else 1e-9)
+
+
+def test_pieces_are_cut_across_tiles_and_at_the_ends(spark):
+    text = "ACGTTGCANNACGT" * 3
+    seqs = spark.createDataFrame([("a", text), ("b", ""), ("c", None)], "chrom string, seq string")
+    spans = [(1, 1), (3, 12), (0, 4), (40, 60), (50, 60), (9, 8), (3, 12), (1, 42)]
+    rows = [("a", s, e) for s, e in spans] + [("b", 1, 3), ("none", 1, 3), (None, 1, 2)]
+    out = pieces(spark.createDataFrame(rows, "chrom string, start int, end int"), seqs, "chrom", F.col("start"), F.col("end"), tile=5)
+    got = sorted((r["chrom"], r["start"], r["end"], r["__piece"]) for r in out.collect())
+    assert got == sorted([("a", s, e, text[max(s, 1) - 1 : max(e, 0)] if s <= e else "") for s, e in spans] + [("b", 1, 3, "")])
+
+
+def test_kmers_of_tiles_are_those_of_the_whole(spark):
+    text = "".join("ACGTN"[(i * i + i // 7) % 5] for i in range(1100))
+    df = spark.createDataFrame([(1, text), (2, text[:9]), (3, text[:5]), (4, ""), (5, None)], "id int, s string")
+    for k in (6, 9):
+        got = sorted((r["id"], r["pos"], r["kmer"]) for r in kmers(df, "s", k, ["id"], tile=16).collect())
+        assert got == sorted((n, i + 1, t[i : i + k]) for n, t in ((1, text), (2, text[:9]), (3, text[:5])) for i in range(len(t) - k + 1))
