@@ -31,9 +31,10 @@ def _choose(n: Column, k: Column) -> Column:
     return ln_factorial(n) - ln_factorial(k) - ln_factorial(n - k)
 
 
-def binomial_tail(df: DataFrame, n: str, r: str, p: float) -> DataFrame:
-    """P(X >= r) of n trials at rate p."""
-    term = lambda i: _choose(F.col(n), i) + i * F.ln(F.lit(p)) + (F.col(n) - i) * F.ln(F.lit(1 - p))
+def binomial_tail(df: DataFrame, n: str, r: str, p: float | Column) -> DataFrame:
+    """P(X >= r) of n trials at rate p, a number or a column between 0 and 1 (neither)."""
+    rate = F.lit(p)
+    term = lambda i: _choose(F.col(n), i) + i * F.ln(rate) + (F.col(n) - i) * F.ln(1 - rate)
     terms = F.when(F.col(r) <= F.col(n), F.transform(F.sequence(F.col(r), F.col(n)), term)).otherwise(F.array().cast("array<double>"))
     return df.withColumn("p", F.when(F.col(r) <= 0, 1.0).otherwise(_tail(terms)))
 
@@ -132,26 +133,28 @@ def _harmonic(m: Column) -> Column:
 
 
 def padjust(df: DataFrame, p: str, method: str = "BH", key: list[str] = (), tie: list[str] = ()) -> DataFrame:
-    """Adjusted p (``q``) per key: BH, BY, bonferroni, holm, hochberg or none.
+    """Adjusted p (``q``) per key: BH, BY, bonferroni, holm, hochberg, QVALUE or none.
 
+    QVALUE is BH times the share of true nulls, (1 + number of p over 0.5) / (m / 2), at most 1.
     Without a key rows are ranked by ranges of p (see ``numbered``); a range's running extreme begins with that of the ranges
     beyond it, so no task sees all rows.
     """
     x, m, i = F.col(p), F.col("__m"), F.col("__i")
     value, fold = {
-        "BH": (x * m / i, "min"), "BY": (x * m / i * _harmonic(m), "min"), "bonferroni": (x * m, None),
+        "BH": (x * m / i, "min"), "QVALUE": (x * m / i * F.least(F.lit(1.0), (1 + F.col("__high")) / (m / 2)), "min"), "BY": (x * m / i * _harmonic(m), "min"), "bonferroni": (x * m, None),
         "holm": (x * (m - i + 1), "max"), "hochberg": (x * (m - i + 1), "min"), "none": (x, None),
     }[method]
+    high = F.count_if(x > 0.5)
     if key:
         w = Window.partitionBy(*key)
-        d, part = df.withColumn("__m", F.count("*").over(w)).withColumn("__i", F.row_number().over(w.orderBy(p, *tie))), list(key)
+        d, part = df.withColumn("__m", F.count("*").over(w)).withColumn("__high", high.over(w)).withColumn("__i", F.row_number().over(w.orderBy(p, *tie))), list(key)
     else:
         parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        d = numbered(df, [p, *tie], "__i").crossJoin(F.broadcast(df.agg(F.count("*").alias("__m")))).withColumn("__part", F.floor((i - 1) * parts / m))
+        d = numbered(df, [p, *tie], "__i").crossJoin(F.broadcast(df.agg(F.count("*").alias("__m"), high.alias("__high")))).withColumn("__part", F.floor((i - 1) * parts / m))
         part = ["__part"]
     d = d.withColumn("__v", value)
     if fold is None:
-        return d.withColumn("q", F.least(F.lit(1.0), F.col("__v"))).drop("__m", "__i", "__v", *(part if not key else []))
+        return d.withColumn("q", F.least(F.lit(1.0), F.col("__v"))).drop("__m", "__high", "__i", "__v", *(part if not key else []))
     f, order = (F.min, F.desc) if fold == "min" else (F.max, F.asc)
     q = f("__v").over(Window.partitionBy(*part).orderBy(order("__i")).rowsBetween(Window.unboundedPreceding, 0))
     d = d.withColumn("q", q)
@@ -159,7 +162,7 @@ def padjust(df: DataFrame, p: str, method: str = "BH", key: list[str] = (), tie:
         w = Window.orderBy(order("__part")).rowsBetween(Window.unboundedPreceding, -1)
         beyond = d.groupBy("__part").agg(f("__v").alias("__t")).select("__part", f("__t").over(w).alias("__beyond"))
         d = d.join(F.broadcast(beyond), "__part").withColumn("q", (F.least if fold == "min" else F.greatest)("q", "__beyond")).drop("__part", "__beyond")
-    return d.withColumn("q", F.least(F.lit(1.0), F.col("q"))).drop("__m", "__i", "__v")
+    return d.withColumn("q", F.least(F.lit(1.0), F.col("q"))).drop("__m", "__high", "__i", "__v")
 
 
 def fdr_threshold(df: DataFrame, p: str, alpha: float, key: list[str]) -> DataFrame:
@@ -219,6 +222,11 @@ def de_replicates(long: DataFrame, treat: list[str], control: list[str]) -> Data
     return d.where("mt > 0 and mc > 0").select("id", F.round("mt", 4).alias("treat"), F.round("mc", 4).alias("control"), F.round(lfc, 4).alias("lfc"), F.round(disp, 6).alias("dispersion"), F.round(2 * normal_tail(lfc / se), 6).alias("p"))
 
 
+def de_call_padj(de: DataFrame, alpha: float = 0.05) -> DataFrame:
+    """Rows of ``de_replicates`` with adjusted p (BH) below alpha, and their direction."""
+    return padjust(de, "p", "BH", tie=["id"]).where(F.col("q") < alpha).withColumn("direction", F.when(F.col("lfc") > 0, "up").otherwise("down"))
+
+
 def sample_correlation(long: DataFrame) -> DataFrame:
     """All sample pairs on log10(x + 1): squared Pearson, Spearman, intercept and slope."""
     x = long.withColumn("l", F.log10(F.col("value") + 1))
@@ -267,17 +275,51 @@ def go_closure(gene2go: DataFrame, edges: DataFrame) -> DataFrame:
         return result(j.select("gene", F.coalesce("anc", "term").alias("term")).distinct(), "closure")
 
 
-def enrich(closure: DataFrame, foreground: DataFrame, least: int = 1, method: str = "BH") -> DataFrame:
-    """Per term: foreground hits, foreground, background hits, background, hypergeometric p and adjusted p.
+def _hits(closure: DataFrame, foreground: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Per term its genes of the foreground (k) and all (big_k); one row with n, the foreground's genes that have a term."""
+    fg = foreground.select("gene").distinct().join(closure.select("gene").distinct(), "gene", "left_semi").withColumn("fg", F.lit(1))
+    by = closure.select("gene", "term").distinct().join(fg, "gene", "left").groupBy("term").agg(F.count("fg").alias("k"), F.count("*").alias("big_k"))
+    return by, fg.agg(F.count("*").alias("n"))
+
+
+def enrich(closure: DataFrame, foreground: DataFrame, least: int = 1, method: str = "BH", test: str = "h", cutoff: int = 1) -> DataFrame:
+    """Per term: foreground hits, foreground, background hits, background, p and adjusted p.
 
-    closure: gene, term; foreground: gene.
+    closure: gene, term; foreground: gene. ``test``: h, the hypergeometric tail; b, the binomial tail at the background's rate;
+    c, chi-square of the foreground against the rest of the background, one degree of freedom and no continuity correction (1
+    where a margin is empty). Terms count with ``least`` genes in the foreground and ``cutoff`` in the background. A p of zero
+    becomes the least positive one / 10000.
     """
+    by, n = _hits(closure, foreground)
     bg = closure.agg(F.countDistinct("gene").alias("big_n"))
-    fg = foreground.select("gene").distinct().join(closure.select("gene").distinct(), "gene", "left_semi").withColumn("fg", F.lit(1))
-    n = fg.agg(F.count("*").alias("n"))
-    by = closure.distinct().join(fg, "gene", "left").groupBy("term").agg(F.count("fg").alias("k"), F.count("*").alias("big_k")).where(F.col("k") >= least)
-    p = hypergeom_tail(by.crossJoin(F.broadcast(bg)).crossJoin(F.broadcast(n)), "k", "n", "big_k", "big_n")
-    return padjust(p.withColumn("p", F.round("p", 8)), "p", method, tie=["term"]).select("term", "k", "n", "big_k", "big_n", "p", F.round("q", 8).alias("q"))
+    d = by.where((F.col("k") >= least) & (F.col("big_k") >= cutoff)).crossJoin(F.broadcast(bg)).crossJoin(F.broadcast(n))
+    k, n_, big_k, big_n = (F.col(c) for c in ("k", "n", "big_k", "big_n"))
+    if test == "h":
+        p = hypergeom_tail(d, "k", "n", "big_k", "big_n")
+    elif test == "b":
+        p = binomial_tail(d, "n", "k", big_k / big_n).withColumn("p", F.when(big_k == big_n, 1.0).otherwise(F.col("p")))
+    elif test == "c":
+        apart = (k * (big_n - n_ - big_k + k) - (n_ - k) * (big_k - k)).cast("double")
+        chi = F.try_divide(apart * apart * big_n, n_.cast("double") * (big_n - n_) * big_k * (big_n - big_k))
+        p = d.withColumn("p", F.coalesce(2 * normal_tail(F.sqrt(chi)), F.lit(1.0)))
+    else:
+        raise ValueError(f"test {test!r} is none of h, b, c")
+    with scope(closure.sparkSession):
+        p = table(p, "tested")  # ranks, their sums and the least p all read it
+        floor = p.agg((F.min(F.when(F.col("p") > 0, F.col("p"))) / 10000).alias("__floor"))
+        p = p.crossJoin(F.broadcast(floor)).withColumn("p", F.when(F.col("p") == 0, F.coalesce("__floor", F.lit(0.0))).otherwise(F.col("p"))).drop("__floor")
+        return result(padjust(p, "p", method, tie=["term"]).select("term", "k", "n", "big_k", "big_n", "p", "q"), "enriched")
+
+
+def frequency_list(closure: DataFrame, foreground: DataFrame) -> DataFrame:
+    """Per term of the foreground: its genes there and their share of the foreground's genes with a term; no test."""
+    by, n = _hits(closure, foreground)
+    return by.where("k > 0").crossJoin(F.broadcast(n)).select("term", "k", (F.col("k") / F.col("n")).alias("share"))
+
+
+def term_genes(closure: DataFrame, foreground: DataFrame) -> DataFrame:
+    """The foreground's genes of every term, a row each: term, gene."""
+    return closure.select("term", "gene").distinct().join(foreground.select("gene").distinct(), "gene", "left_semi").select("term", "gene")
 
 
 def go_enrich_length_bias(closure: DataFrame, foreground: DataFrame, lengths: DataFrame, bins: int = 10) -> DataFrame:

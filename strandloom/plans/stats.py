@@ -54,6 +54,14 @@ def _fg(s, d):
     return read(s, d, "part").where("p_size > 40").select(F.col("p_partkey").alias("gene"))
 
 
+def _pathways(s, d):
+    return read(s, d, "part").select(F.col("p_partkey").alias("gene"), F.col("p_brand").alias("term"))
+
+
+def _rounded(df, digits=8):
+    return df.withColumn("p", F.round("p", digits)).withColumn("q", F.round("q", digits))
+
+
 def wide(s, d):
     """id, x: six counts of orders of a customer's orders by priority and status."""
     o = read(s, d, "orders")
@@ -69,6 +77,7 @@ def _de(s, d):
     return st.de_no_replicates(longs(s, d), "A", "R", 0.2, 1.05)
 
 
+_PATH = "cl AS (SELECT p_partkey AS gene, p_brand AS term FROM part)"
 _HY = "x AS (SELECT term, count(*) FILTER (gene IN (SELECT p_partkey FROM part WHERE p_size > 40)) AS k, count(*) AS big_k, (SELECT count(*) FROM part WHERE p_size > 40) AS n, (SELECT count(DISTINCT gene) FROM cl) AS big_n FROM cl GROUP BY 1)"
 _P = f"CASE WHEN k * big_n < n * big_k THEN 1.0::DOUBLE ELSE least(1.0, list_sum(list_transform(range(k, least(n, big_k) + 1), lambda i: exp({_LC.format('big_k', 'i')} + {_LC.format('(big_n - big_k)', '(n - i)')} - {_LC.format('big_n', 'n')})))) END"
 _BH = "least(1.0, min({0} * m / i) OVER ({1} ORDER BY i DESC ROWS UNBOUNDED PRECEDING))"
@@ -83,7 +92,7 @@ _DE = f"WITH {LONG}, g AS (SELECT id, coalesce(sum(value) FILTER (sample = 'A'),
 
 QUERIES = {
     "binomial_tail": (lambda s, d: st.binomial_tail(counts(s, d), "n", "r", 0.12).select("key", "n", "r", F.round("p", 8).alias("p")), f"WITH {CNT} SELECT key, n, r, round(CASE WHEN r <= 0 THEN 1.0::DOUBLE ELSE least(1.0, list_sum(list_transform(range(r, n + 1), lambda i: exp({_LC.format('n', 'i')} + i * ln(0.12) + (n - i) * ln(1 - 0.12))))) END, 8) AS p FROM c"),
-    "hypergeom_tail": (lambda s, d: st.enrich(_closure(s, d), _fg(s, d)).select("term", "k", "n", "big_k", "big_n", "p"), f"WITH {GO}, {_HY} SELECT term, k, n, big_k, big_n, round({_P}, 8) AS p FROM x WHERE k >= 1"),
+    "hypergeom_tail": (lambda s, d: st.enrich(_closure(s, d), _fg(s, d)).select("term", "k", "n", "big_k", "big_n", F.round("p", 8).alias("p")), f"WITH {GO}, {_HY} SELECT term, k, n, big_k, big_n, round({_P}, 8) AS p FROM x WHERE k >= 1"),
     "t_test": (lambda s, d: st.t_test(line(s, d), "key", "grp", "A", "R", "v"), None),
     "rank_sum": (lambda s, d: st.rank_sum(line(s, d), "key", "grp", "A", "R", "v"), f"WITH l AS (SELECT l_suppkey AS key, l_returnflag AS g, l_quantity AS v FROM lineitem WHERE l_returnflag IN ('A', 'R')), r AS (SELECT key, g, rank() OVER (PARTITION BY key ORDER BY v) + (count(*) OVER (PARTITION BY key, v) - 1) / 2.0::DOUBLE AS r FROM l), s AS (SELECT key, sum(r) FILTER (g = 'A') AS w, count(*) FILTER (g = 'A') AS n, count(*) FILTER (g = 'R') AS m FROM r GROUP BY 1), z AS (SELECT *, (w - n * (n + m + 1) / 2.0::DOUBLE) / sqrt(n * m * (n + m + 1) / 12.0::DOUBLE) AS z FROM s) SELECT key, w, round((w - n * (n + 1) / 2.0::DOUBLE) / (n * m), 6) AS u, round(z, 6) AS z, round(2 * {_tail('z')}, 6) AS p FROM z"),
     "ks_test": (lambda s, d: st.ks_test(line(s, d), "key", "grp", "A", "R", "v").select("key", "d"), "WITH l AS (SELECT l_suppkey AS key, l_quantity AS v, count(*) FILTER (l_returnflag = 'A') AS x, count(*) FILTER (l_returnflag = 'R') AS y FROM lineitem GROUP BY 1, 2), f AS (SELECT key, sum(x) OVER w / sum(x) OVER (PARTITION BY key) AS fx, sum(y) OVER w / sum(y) OVER (PARTITION BY key) AS fy FROM l WINDOW w AS (PARTITION BY key ORDER BY v)) SELECT key, round(max(abs(fx - fy)), 6) AS d FROM f GROUP BY 1"),
@@ -106,12 +115,35 @@ QUERIES = {
         lambda s, d: n.de_call_pval_fc(st.de_replicates(longs(s, d), ["A", "N"], ["R"]), 0.5, 0.1),
         f"{_REP} SELECT id, lfc, CASE WHEN lfc > 0 THEN 'up' ELSE 'down' END AS direction FROM w WHERE p < 0.5 AND abs(lfc) > 0.1",
     ),
+    "de_call_padj": (
+        lambda s, d: st.de_call_padj(st.de_replicates(longs(s, d), ["A", "N"], ["R"]), 0.9).select("id", "lfc", "p", F.round("q", 6).alias("q"), "direction"),
+        f"{_REP}, r AS (SELECT *, row_number() OVER (ORDER BY p, id) AS i, count(*) OVER () AS m FROM w), q AS (SELECT id, lfc, p, {_BH.format('p', '')} AS q FROM r) SELECT id, lfc, p, round(q, 6) AS q, CASE WHEN lfc > 0 THEN 'up' ELSE 'down' END AS direction FROM q WHERE q < 0.9",
+    ),
     "sample_correlation": (lambda s, d: st.sample_correlation(longs(s, d)), f"WITH {LONG}, x AS (SELECT *, log10(value + 1) AS l, rank() OVER (PARTITION BY sample ORDER BY value) + (count(*) OVER (PARTITION BY sample, value) - 1) / 2.0::DOUBLE AS r FROM lo) SELECT a.sample AS a, b.sample AS b, round(pow(corr(a.l, b.l), 2), 4) AS r2, round(corr(a.r, b.r), 4) AS spearman, round(regr_slope(b.l, a.l), 4) AS slope, round(regr_intercept(b.l, a.l), 4) AS intercept FROM x a JOIN x b ON a.id = b.id AND a.sample < b.sample GROUP BY 1, 2"),
     "zscale_rows": (lambda s, d: st.zscale_rows(longs(s, d), "id", "value"), f"WITH {LONG} SELECT id, sample, value, round((value - avg(value) OVER w) / stddev_samp(value) OVER w, 6) AS z FROM lo WINDOW w AS (PARTITION BY id)"),
     "cluster_expression": (lambda s, d: st.cluster_expression(read(s, d, "embeddings"), "vec_id", "embedding"), None),
     "go_closure": (_closure, f"WITH {GO} SELECT gene, term FROM cl"),
-    "go_enrich": (lambda s, d: st.enrich(_closure(s, d), _fg(s, d)), f"WITH {GO}, {_HY}, p AS (SELECT term, k, n, big_k, big_n, round({_P}, 8) AS p FROM x WHERE k >= 1), r AS (SELECT *, row_number() OVER (ORDER BY p, term) AS i, count(*) OVER () AS m FROM p) SELECT term, k, n, big_k, big_n, p, round({_BH.format('p', '')}, 8) AS q FROM r"),
-    "kegg_enrich": (lambda s, d: st.enrich(read(s, d, "part").select(F.col("p_partkey").alias("gene"), F.col("p_brand").alias("term")), _fg(s, d), 5, "bonferroni"), f"WITH cl AS (SELECT p_partkey AS gene, p_brand AS term FROM part), {_HY}, p AS (SELECT term, k, n, big_k, big_n, round({_P}, 8) AS p FROM x WHERE k >= 5) SELECT *, round(least(1.0, p * count(*) OVER ()), 8) AS q FROM p"),
+    "go_enrich": (
+        lambda s, d: _rounded(st.enrich(_closure(s, d), _fg(s, d))),
+        f"WITH {GO}, {_HY}, p AS (SELECT term, k, n, big_k, big_n, {_P} AS p FROM x WHERE k >= 1), r AS (SELECT *, row_number() OVER (ORDER BY p, term) AS i, count(*) OVER () AS m FROM p) SELECT term, k, n, big_k, big_n, round(p, 8) AS p, round({_BH.format('p', '')}, 8) AS q FROM r",
+    ),
+    "go_enrich_genes": (lambda s, d: st.term_genes(_closure(s, d), _fg(s, d)), f"WITH {GO} SELECT term, gene FROM cl WHERE gene IN (SELECT p_partkey FROM part WHERE p_size > 40)"),
+    "kegg_enrich": (
+        lambda s, d: _rounded(st.enrich(_pathways(s, d), _fg(s, d), method="bonferroni", cutoff=5)),
+        f"WITH {_PATH}, {_HY}, p AS (SELECT term, k, n, big_k, big_n, {_P} AS p FROM x WHERE k >= 1 AND big_k >= 5) SELECT term, k, n, big_k, big_n, round(p, 8) AS p, round(least(1.0, p * count(*) OVER ()), 8) AS q FROM p",
+    ),
+    "kegg_enrich_binomial": (
+        lambda s, d: _rounded(st.enrich(_pathways(s, d), _fg(s, d), method="QVALUE", test="b", cutoff=5)),
+        f"WITH {_PATH}, {_HY}, p AS (SELECT term, k, n, big_k, big_n, least(1.0, list_sum(list_transform(range(k, n + 1), lambda i: exp({_LC.format('n', 'i')} + i * ln(big_k::DOUBLE / big_n) + (n - i) * ln(1 - big_k::DOUBLE / big_n))))) AS p FROM x WHERE k >= 1 AND big_k >= 5), r AS (SELECT *, row_number() OVER (ORDER BY p, term) AS i, count(*) OVER () AS m, count(*) FILTER (p > 0.5) OVER () AS h FROM p) SELECT term, k, n, big_k, big_n, round(p, 8) AS p, round({_BH.format('least(1.0, (1 + h) / (m / 2::DOUBLE)) * p', '')}, 8) AS q FROM r",
+    ),
+    "kegg_enrich_chi": (
+        lambda s, d: _rounded(st.enrich(_pathways(s, d), _fg(s, d), test="c", cutoff=5), 6),
+        f"WITH {_PATH}, {_HY}, z AS (SELECT *, abs(k * (big_n - n - big_k + k) - (n - k) * (big_k - k)) * sqrt(big_n / (n::DOUBLE * (big_n - n) * big_k * (big_n - big_k))) AS z FROM x WHERE k >= 1 AND big_k >= 5), p AS (SELECT term, k, n, big_k, big_n, 2 * {_tail('z')} AS p FROM z), r AS (SELECT *, row_number() OVER (ORDER BY p, term) AS i, count(*) OVER () AS m FROM p) SELECT term, k, n, big_k, big_n, round(p, 6) AS p, round({_BH.format('p', '')}, 6) AS q FROM r",
+    ),
+    "kegg_frequency": (
+        lambda s, d: st.frequency_list(_pathways(s, d), _fg(s, d)).select("term", "k", F.round("share", 8).alias("share")),
+        f"WITH {_PATH}, {_HY} SELECT term, k, round(k::DOUBLE / n, 8) AS share FROM x WHERE k > 0",
+    ),
     "go_enrich_length_bias": (lambda s, d: st.go_enrich_length_bias(_closure(s, d), _fg(s, d), read(s, d, "part").select(F.col("p_partkey").alias("gene"), F.length("p_name").alias("len"))), None),
     "expr_pattern_pairs": (lambda s, d: st.expr_pattern_pairs(series(s, d), series(s, d), 5.0, 0.95), None),
 }

@@ -228,3 +228,34 @@ def test_kmers_of_tiles_are_those_of_the_whole(spark):
     for k in (6, 9):
         got = sorted((r["id"], r["pos"], r["kmer"]) for r in kmers(df, "s", k, ["id"], tile=16).collect())
         assert got == sorted((n, i + 1, t[i : i + k]) for n, t in ((1, text), (2, text[:9]), (3, text[:5])) for i in range(len(t) - k + 1))
+
+
+def test_enrichment_tests_against_sums(spark):
+    genes = [(g, t) for g in range(40) for t in ("all", f"t{g % 3}")]
+    fore = [(g,) for g in range(0, 30, 2)] + [(99,)]
+    closure, fg = frame(spark, genes, "gene int, term string"), frame(spark, fore, "gene int")
+    n, big_n = 15, 40
+    members = {t: [g for g, x in genes if x == t] for t in ("all", "t0", "t1", "t2")}
+    hits = {t: sum((g,) in fore for g in m) for t, m in members.items()}
+    rate = lambda t: len(members[t]) / big_n
+    want = {t: sum(math.comb(n, i) * rate(t) ** i * (1 - rate(t)) ** (n - i) for i in range(hits[t], n + 1)) for t in members}
+    got = {r["term"]: (r["k"], r["p"]) for r in stats.enrich(closure, fg, test="b").collect()}
+    assert {t: v[0] for t, v in got.items()} == hits and all(v[1] == pytest.approx(want[t], rel=1e-9) for t, v in got.items())
+    chi = {r["term"]: r["p"] for r in stats.enrich(closure, fg, test="c").collect()}
+    for t in ("t0", "t1", "t2"):
+        k, m = hits[t], len(members[t])
+        x = (k * (big_n - n - m + k) - (n - k) * (m - k)) ** 2 * big_n / (n * (big_n - n) * m * (big_n - m))
+        assert chi[t] == pytest.approx(math.erfc(math.sqrt(x / 2)), abs=1e-6)
+    assert chi["all"] == 1.0  # no gene outside the term
+    assert {r["term"]: r["share"] for r in stats.frequency_list(closure, fg).collect()} == {t: hits[t] / n for t in members}
+    assert stats.term_genes(closure, fg).where("term = 'all'").count() == n
+    with pytest.raises(ValueError):
+        stats.enrich(closure, fg, test="z")
+
+
+def test_q_values_with_the_share_of_true_nulls(spark):
+    p = [0.001, 0.01, 0.2, 0.6, 0.9, 0.02, 0.03, 0.3]
+    share = min(1, (1 + sum(x > 0.5 for x in p)) / (len(p) / 2))
+    got = {r["p"]: r["q"] for r in stats.padjust(frame(spark, [(x,) for x in p], "p double"), "p", "QVALUE").collect()}
+    order = sorted(p)
+    assert got == pytest.approx({x: min(1, min(share * order[j] * len(p) / (j + 1) for j in range(i, len(p)))) for i, x in enumerate(order)})
