@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import chat, decontaminate, embeddings, minhash, packing, sharding, substring, toxicity, urls, warc
+from . import chat, decontaminate, embeddings, minhash, packing, sharding, substring, suffixes, toxicity, urls, warc
 
 
 def queries() -> dict:
@@ -19,9 +19,16 @@ def queries() -> dict:
         "op8_decontamination": decontaminate.op8_decontamination,
         "op9_embeddings": embeddings.op9_embeddings,
         "op10_chat": chat.op10_chat,
+        "op11_suffixes": suffixes.op11_suffixes,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_substring": substring.ORACLE, "op4_minhash": minhash.ORACLE, "op7_warc": warc.ORACLE, "op9_embeddings": embeddings.ORACLE}
+    return {
+        "op3_substring": substring.ORACLE,
+        "op4_minhash": minhash.ORACLE,
+        "op7_warc": warc.ORACLE,
+        "op9_embeddings": embeddings.ORACLE,
+        "op11_suffixes": suffixes.ORACLE,
+    }
