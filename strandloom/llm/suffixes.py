@@ -34,7 +34,7 @@ from strandloom.functions.keys import marked
 from strandloom.functions.scratch import result, scope, table
 from .textarrays import mix, powers, slices
 
-WIDTH, GRAM = 200, 24
+WIDTH, GRAM = 200, 64
 #: Anchors with more occurrences deal their starts to buckets of their own, STEP distances each.
 HOT, STEP = 2000, 16
 BUCKET = 1 << 20
@@ -44,12 +44,23 @@ _MUL = 0x9E6C63D0676A9A99
 _LETTER = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
+def _order(key: np.ndarray) -> np.ndarray:
+    """The places of integers in ascending order; ties by place."""
+    bits = max(1, len(key) - 1).bit_length()
+    if int(key.max(initial=0)).bit_length() + bits > 62:
+        return np.argsort(key, kind="stable")
+    packed = (key << bits) | np.arange(len(key))
+    packed.sort()
+    return packed & ((1 << bits) - 1)
+
+
 def _ranked(key: np.ndarray) -> np.ndarray:
     """Dense ranks (from 1) of integers."""
-    order = np.argsort(key, kind="stable")
+    order = _order(key)
     new = np.empty(len(key), bool)
     new[:1] = True
-    new[1:] = key[order[1:]] != key[order[:-1]]
+    sorted_ = key[order]
+    new[1:] = sorted_[1:] != sorted_[:-1]
     out = np.empty(len(key), np.int64)
     out[order] = np.cumsum(new)
     return out
@@ -57,8 +68,8 @@ def _ranked(key: np.ndarray) -> np.ndarray:
 
 def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Integers that order as the pairs (a, b) do."""
-    bits = int(b.max(initial=0)).bit_length()
-    if int(a.max(initial=0)).bit_length() + bits > 62:
+    bits, place = int(b.max(initial=0)).bit_length(), len(a).bit_length()
+    if int(a.max(initial=0)).bit_length() + bits + place > 62:
         a = _ranked(a)
     return (a << bits) | b
 
@@ -76,13 +87,13 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
         order = suffix_array(names)
         names[order] = np.arange(1, len(sample) + 1)
     else:
-        order = np.argsort(names)
+        order = _order(names)
     rank = np.zeros(n + 3, np.int64)
     rank[sample] = names
     sampled = sample[order]
     sampled = sampled[sampled < n]
     rest = np.arange(0, n, 3)
-    rest = rest[np.argsort(_pair(t[rest], rank[rest + 1]), kind="stable")]
+    rest = rest[_order(_pair(t[rest], rank[rest + 1]))]
     # how many of the rest precede each sampled suffix: by one letter and a rank, or by two letters and a rank
     bits = int(rank.max()).bit_length()
     one = sampled % 3 == 1
@@ -176,6 +187,7 @@ def _pieces(width: int):
         for batch in batches:
             for part in slices(batch, "text", SLICE):
                 buf, offsets = _bytes(part.column("text"))
+                whole = buf.tobytes()
                 spots = part.column("spots")
                 flat = spots.flatten()
                 row = np.repeat(np.arange(part.num_rows), pc.list_value_length(spots).to_numpy())
@@ -192,12 +204,16 @@ def _pieces(width: int):
                 row = row[pick]
                 for i in range(0, len(a), 1 << 14):
                     s = slice(i, i + (1 << 14))
-                    data = buf[_ranges(offsets[row[s]] + a[s], size[s])]
-                    cut = np.append(0, np.cumsum(size[s])).astype(np.int64)
-                    piece = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cut) - 1, [None, pa.py_buffer(cut), pa.py_buffer(data)])
-                    key = mix(fp[pick[s]].view(np.uint64) + np.where(hot[s], k[s] + 1, 0).astype(np.uint64) * np.uint64(_MUL)).view(np.int64)
-                    values = [pa.array(key), part.column("digest").take(pa.array(row[s])), part.column("copies").take(pa.array(row[s])), pa.array(a[s].astype(np.int32)), piece.cast(pa.binary())]
-                    yield pa.RecordBatch.from_arrays(values, ["key", "digest", "copies", "first", "piece"])
+                    begin = offsets[row[s]] + a[s]
+                    kinds: dict[bytes, int] = {}  # equal pieces of a slice go as one
+                    kind = np.array([kinds.setdefault(whole[x : x + y], len(kinds)) for x, y in zip(begin.tolist(), size[s].tolist(), strict=True)], np.int64)
+                    members = np.argsort(kind, kind="stable")
+                    one = members[np.searchsorted(kind[members], np.arange(len(kinds)))]
+                    key = mix(fp[pick[s]][one].view(np.uint64) + np.where(hot[s], k[s] + 1, 0)[one].astype(np.uint64) * np.uint64(_MUL)).view(np.int64)
+                    owner = pa.array(row[s][members])
+                    member = pa.StructArray.from_arrays([part.column("digest").take(owner), part.column("copies").take(owner), pa.array(a[s][members].astype(np.int32))], ["digest", "copies", "first"])
+                    cut = pa.array(np.append(0, np.cumsum(np.bincount(kind, minlength=len(kinds)))).astype(np.int32))
+                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(list(kinds), pa.binary()), pa.ListArray.from_arrays(cut, member)], ["key", "piece", "members"])
 
     return run
 
@@ -206,32 +222,27 @@ def _sorted_runs(width: int):
     """(digest, start, n) of the runs of repeated starts among the pieces of a bucket."""
 
     def run(rows: pa.Table) -> pa.Table:
-        digest, first, copies = rows.column("digest").to_pylist(), rows.column("first").to_pylist(), rows.column("copies").to_pylist()
-        own = dict(zip(zip(digest, first, strict=True), copies, strict=True))  # a row that came twice counts once
-        kinds: dict[bytes, list] = {}
-        seen = set()
-        for d, f, p in zip(digest, first, rows.column("piece").to_pylist(), strict=True):
-            if (d, f) not in seen:
-                seen.add((d, f))
-                kinds.setdefault(p, []).append((d, f))
+        kinds: dict[bytes, dict[tuple, int]] = {}
+        for p, members in zip(rows.column("piece").to_pylist(), rows.column("members").to_pylist(), strict=True):
+            kinds.setdefault(p, {}).update({(m["digest"], m["first"]): m["copies"] for m in members})  # a row that came twice counts once
         pieces = list(kinds)
-        weight = np.array([sum(own[k] for k in kinds[p]) for p in pieces])
+        weight = np.array([sum(kinds[p].values()) for p in pieces])
         size = np.array([len(p) for p in pieces])
-        text = np.frombuffer(b"".join(pieces), np.uint8).astype(np.int64) + 2
-        at = np.cumsum(size) - size
-        text = np.insert(text, at + size, 1)  # a letter below all bytes ends every piece
-        at = at + np.arange(len(pieces))
+        text = np.frombuffer(b"".join(p + b"\0" for p in pieces), np.uint8)
+        at = np.cumsum(size + 1) - size - 1
+        letters = text.astype(np.int64) + 2
+        letters[at + size] = 1  # below all bytes, at the end of every piece
         starts = size - width + 1
         is_start = np.zeros(len(text) + 1, bool)
         is_start[_ranges(at, starts)] = True
-        order = suffix_array(text)
+        order = suffix_array(letters)
         order = order[is_start[order]]
         same = np.zeros(len(order) + 1, bool)
         left, right = order[:-1], order[1:]
         alive = np.arange(len(left))
-        for o in range(0, width, 8):  # compare neighbours, a few bytes at a time
-            for x in range(o, min(o + 8, width)):
-                alive = alive[text[left[alive] + x] == text[right[alive] + x]]
+        eight = np.lib.stride_tricks.as_strided(text[:8].view(np.uint64), (max(0, len(text) - 7),), (1,))
+        for x in [*range(0, width - 8, 8), width - 8]:  # eight bytes at once
+            alive = alive[eight[left[alive] + x] == eight[right[alive] + x]]
         same[alive + 1] = True
         again = np.zeros(len(text) + 1, bool)
         again[order] = same[:-1] | same[1:]
@@ -271,7 +282,7 @@ def _repeated_starts(docs: DataFrame, width: int) -> DataFrame:
     spots = table(spots.join(copies, "digest"), "spots")
     some = marked(base, "digest", spots.select("digest"), "some").where("some")
     texts = some.join(spots, "digest").where(F.col("doc_id").eqNullSafe(F.col("who"))).select("digest", "copies", "text", "spots")
-    pieces = table(texts.mapInArrow(_pieces(width), "key long, digest binary, copies long, first int, piece binary"), "pieces")
+    pieces = table(texts.mapInArrow(_pieces(width), "key long, piece binary, members array<struct<digest: binary, copies: long, first: int>>"), "pieces")
     total = pieces.agg(F.sum(F.octet_length("piece"))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET))
     dealt = pieces.withColumn("bucket", F.pmod("key", F.lit(buckets))).groupBy("bucket")
