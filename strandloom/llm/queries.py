@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import chat, decontaminate, embeddings, minhash, packing, sharding, substring, suffixes, toxicity, urls, warc
+from . import chat, decontaminate, embeddings, minhash, packing, repair, sharding, spelling, substring, suffixes, toxicity, urls, warc
 
 
 def queries() -> dict:
@@ -20,6 +20,8 @@ def queries() -> dict:
         "op9_embeddings": embeddings.op9_embeddings,
         "op10_chat": chat.op10_chat,
         "op11_suffixes": suffixes.op11_suffixes,
+        "op12_repair": repair.op12_repair,
+        "op13_spelling": spelling.op13_spelling,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -31,4 +33,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_warc": warc.ORACLE,
         "op9_embeddings": embeddings.ORACLE,
         "op11_suffixes": suffixes.ORACLE,
+        "op13_spelling": spelling.ORACLE,
     }
