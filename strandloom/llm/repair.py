@@ -182,7 +182,7 @@ def _placed(turns: DataFrame) -> DataFrame:
     firsts = rows.groupBy("conv").agg(F.min("g").alias("g0")).withColumnRenamed("conv", "c")
     said_first = rows.groupBy("conv", "said").agg(F.min("g").alias("g1")).select(F.col("conv").alias("c1"), F.col("said").alias("s1"), "g1")
     rows = rows.join(firsts, F.col("conv").eqNullSafe(F.col("c"))).join(said_first, F.col("conv").eqNullSafe(F.col("c1")) & (F.col("said") == F.col("s1")))
-    end = F.substring(F.expr(f"rtrim('{SPACES.encode('unicode_escape').decode()}', text)"), -1, 1)
+    end = F.substring(F.rtrim("text", F.lit(SPACES)), -1, 1)
     fault = F.when(end == "", "blank").when(F.col("g") != F.col("g1"), "duplicate").when(~end.isin(".", "!", "?"), "truncated")
     kind = F.when(F.col("fault") == "truncated", 1).when(F.col("fault").isNotNull(), 2).otherwise(0)
     role_class = F.instr(F.lit(ROLES), F.substring("role", 1, 1)) - 1

@@ -153,15 +153,15 @@ def _bytes(part: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def _find(width: int):
+def _find(width: int, stretch: int):
     """(fp, digest, anchor, first, last) of every text, places within it."""
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text", SLICE):
                 buf, offsets = _bytes(part.column("text"))
-                for i in range(0, max(1, len(buf)), STRETCH):
-                    stop = min(len(buf), i + STRETCH + width - 1)
+                for i in range(0, max(1, len(buf)), stretch):
+                    stop = min(len(buf), i + stretch + width - 1)
                     ends = offsets[1:][(offsets[1:] > i) & (offsets[1:] < stop)] - i
                     fp, anchor, first, last = _anchors(buf[i:stop], np.append(ends, stop - i), width)
                     if not len(fp):
@@ -180,7 +180,7 @@ def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
 
 
-def _pieces(width: int):
+def _pieces(width: int, most: int):
     """Of texts and their spots: the bytes of what each anchor owns, and the bucket's key."""
 
     def run(batches):
@@ -194,10 +194,10 @@ def _pieces(width: int):
                 fp, n, anchor, first, last = (pc.struct_field(flat, k).to_numpy() for k in range(5))
                 # hot anchors: cut at distances of STEP from the anchor
                 low, high = (anchor - last) // STEP, (anchor - first) // STEP
-                cuts = np.where(n > HOT, high - low + 1, 1)
+                cuts = np.where(n > most, high - low + 1, 1)
                 pick = np.repeat(np.arange(len(fp)), cuts)
                 k = _ranges(np.zeros(len(fp), np.int64), cuts) + low[pick]
-                hot = n[pick] > HOT
+                hot = n[pick] > most
                 a = np.where(hot, np.maximum(first[pick], anchor[pick] - (k + 1) * STEP + 1), first[pick]).astype(np.int64)
                 b = np.where(hot, np.minimum(last[pick], anchor[pick] - k * STEP), last[pick]).astype(np.int64)
                 size = b - a + width
@@ -274,7 +274,7 @@ def repeated_starts(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 def _repeated_starts(docs: DataFrame, width: int) -> DataFrame:
     spark = docs.sparkSession
     base = docs.where(F.octet_length("text") >= width).select("doc_id", "text", _digest().alias("digest"))
-    anchors = table(base.select("digest", "text").mapInArrow(_find(width), "fp long, digest binary, anchor int, first int, last int"), "anchors")
+    anchors = table(base.select("digest", "text").mapInArrow(_find(width, STRETCH), "fp long, digest binary, anchor int, first int, last int"), "anchors")
     often = table(anchors.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1"), "often")
     copies = table(base.groupBy("digest").agg(F.count("*").alias("copies"), F.min("doc_id").alias("who")), "copies")
     maybe = marked(anchors, "fp", often.select("fp"), "often", 1 << 24).where("often").drop("often").distinct()
@@ -282,7 +282,7 @@ def _repeated_starts(docs: DataFrame, width: int) -> DataFrame:
     spots = table(spots.join(copies, "digest"), "spots")
     some = marked(base, "digest", spots.select("digest"), "some").where("some")
     texts = some.join(spots, "digest").where(F.col("doc_id").eqNullSafe(F.col("who"))).select("digest", "copies", "text", "spots")
-    pieces = table(texts.mapInArrow(_pieces(width), "key long, piece binary, members array<struct<digest: binary, copies: long, first: int>>"), "pieces")
+    pieces = table(texts.mapInArrow(_pieces(width, HOT), "key long, piece binary, members array<struct<digest: binary, copies: long, first: int>>"), "pieces")
     total = pieces.agg(F.sum(F.octet_length("piece"))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET))
     dealt = pieces.withColumn("bucket", F.pmod("key", F.lit(buckets))).groupBy("bucket")
