@@ -9,11 +9,13 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: list[str] = []
-_SCOPES: list[list[str]] = []
+#: The scopes around what runs now, of this thread (or context) alone: queries in other threads have their own.
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,8 +33,8 @@ def shared_dir(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path; the innermost ``scope`` deletes it at its end."""
     path = f"{shared_dir(spark)}/strandloom/{name}-{uuid.uuid4().hex}"
-    if _SCOPES:
-        _SCOPES[-1].append(path)
+    if scopes := _SCOPES.get():
+        scopes[-1].append(path)
     return path
 
 
@@ -45,21 +47,22 @@ def table(df: DataFrame, name: str) -> DataFrame:
 
 def result(df: DataFrame, name: str) -> DataFrame:
     """A table that outlives the innermost scope (and goes with the one around it, if there is one)."""
-    inner = _SCOPES.pop() if _SCOPES else None
+    token = _SCOPES.set(_SCOPES.get()[:-1])
     try:
         return table(df, name)
     finally:
-        if inner is not None:
-            _SCOPES.append(inner)
+        _SCOPES.reset(token)
 
 
 @contextmanager
 def scope(spark: SparkSession) -> Iterator[None]:
     """Delete the tables made inside at its end; what is returned must rest on ``result`` tables or given data only."""
-    _SCOPES.append([])
+    mine: list[str] = []
+    token = _SCOPES.set((*_SCOPES.get(), mine))
     try:
         yield
     finally:
-        for path in _SCOPES.pop():
+        _SCOPES.reset(token)
+        for path in mine:
             target = spark._jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -259,3 +259,25 @@ def test_q_values_with_the_share_of_true_nulls(spark):
     got = {r["p"]: r["q"] for r in stats.padjust(frame(spark, [(x,) for x in p], "p double"), "p", "QVALUE").collect()}
     order = sorted(p)
     assert got == pytest.approx({x: min(1, min(share * order[j] * len(p) / (j + 1) for j in range(i, len(p)))) for i, x in enumerate(order)})
+
+
+def test_scopes_of_threads_are_apart(spark):
+    """Each thread deletes its own tables only, and leaves none but its results."""
+    import os
+    from concurrent.futures import ThreadPoolExecutor
+
+    from strandloom.functions import scratch
+
+    folder = scratch.shared_dir(spark).removeprefix("file://") + "/strandloom"
+
+    def work(n):
+        with scratch.scope(spark):
+            with scratch.scope(spark):
+                kept = scratch.result(scratch.table(spark.range(n), "inner").where("id % 2 = 0"), "kept")
+            out = scratch.result(kept.union(kept), f"threads-{n}")
+        return out.count()
+
+    with ThreadPoolExecutor(4) as pool:
+        assert list(pool.map(work, range(100, 112))) == [2 * (n // 2 + n % 2) for n in range(100, 112)]
+    left = [x for x in os.listdir(folder) if x.startswith(("inner-", "kept-", "threads-"))]
+    assert len(left) == 12 and all(x.startswith("threads-") for x in left)
