@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandloom.functions.keys import without
+from strandloom.functions.keys import fresh, without
 from strandloom.functions.scratch import result, scope, table
 from .textarrays import Words, mix, slices
 
@@ -119,12 +119,12 @@ def _windows(bloom, lengths):
                             if 100 * held >= PERCENT * (size - SHINGLE + 1):  # its shingles can reach the share
                                 put(np.array([s]), c, hash_at[None, s : s + c - SHINGLE + 1], size)
                 if out["doc_id"]:
-                    yield pa.RecordBatch.from_pydict(out, schema=_WINDOW)
+                    yield pa.RecordBatch.from_pydict(out, schema=_WINDOW.insert(0, pa.field("doc_id", ids.type)))
 
     return run
 
 
-_WINDOW = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("words", pa.int32()), ("n_words", pa.int32()), ("print", pa.int64()), ("shingles", pa.binary())])
+_WINDOW = pa.schema([("start", pa.int32()), ("words", pa.int32()), ("n_words", pa.int32()), ("print", pa.int64()), ("shingles", pa.binary())])
 
 
 def _counted(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -165,7 +165,8 @@ def _matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     bloom = _bloom(items)
     lengths = sorted(r.n_words for r in items.select("n_words").distinct().collect())
     sc = docs.sparkSession.sparkContext
-    kind = "doc_id long, start int, words int, n_words int, print long, shingles binary"
+    own = docs.schema["doc_id"].dataType.simpleString()
+    kind = f"doc_id {own}, start int, words int, n_words int, print long, shingles binary"
     found = table(docs.mapInArrow(_windows(sc.broadcast(bloom), sc.broadcast(lengths)), kind), "windows")
     block = lambda c, k: F.shiftrightunsigned(c, k * BLOCK_BITS).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)).cast("int")
     keys = lambda c: F.explode(F.array(*[F.struct(F.lit(k).alias("k"), block(F.col(c), k).alias("v")) for k in range(BLOCKS)])).alias("b")
@@ -177,7 +178,7 @@ def _matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     # the entered rows are thousands for each item: merged, never broadcast
     met = prints.join(entered.hint("merge"), ["n_words", "k", "v"]).where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS).select("print", "n_words", "item_id").distinct()
     pairs = found.join(met, ["print", "n_words"]).join(items.select("item_id", "item_shingles"), "item_id")
-    sims = pairs.select("doc_id", "start", "words", "item_id", "shingles", "item_shingles").mapInArrow(_similar, "doc_id long, start int, words int, item_id long, similarity double")
+    sims = pairs.select("doc_id", "start", "words", "item_id", "shingles", "item_shingles").mapInArrow(_similar, f"doc_id {own}, start int, words int, item_id long, similarity double")
     best = F.max(F.struct("similarity", (-F.col("start")).alias("s"), (-F.col("words")).alias("w")))
     got = sims.where(F.col("similarity") >= PERCENT / 100).groupBy("doc_id", "item_id").agg(best.alias("b"))
     return got.select("doc_id", "item_id", (-F.col("b.s")).alias("start"), (-F.col("b.w")).alias("words"), F.col("b.similarity").alias("similarity"))
@@ -206,6 +207,11 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline: documents that hold a benchmark item go; null and empty texts stay, columns of any name go through."""
-    found = matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return without(docs, "doc_id", found.select("doc_id"))
+    """Pipeline: documents that hold a benchmark item go; null and empty texts stay, columns of any name go through.
+
+    Whether one goes depends on its text alone, whatever other texts share its id.
+    """
+    text = fresh("text_key", docs)
+    keyed = docs.withColumn(text, F.unhex(F.md5(F.col("text").cast("binary"))))
+    found = matches(keyed.select(F.col(text).alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return without(keyed, text, found.select("doc_id")).drop(text)

@@ -27,8 +27,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandloom.functions.components import components
-from strandloom.functions.keys import matching, without
+from strandloom.functions.keys import fresh, matching, without
 from strandloom.functions.scratch import result, scope, table
+from strandloom.operators.table import numbered
 from .textarrays import Words, mix, slices
 
 SAMPLES, ROWS, BANDS, BITS = 128, 4, 25, 512
@@ -299,17 +300,34 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), 85)
 
 
+def row_key(docs: DataFrame) -> Column:
+    """128 bits that tell rows with unlike id or text apart."""
+    return F.unhex(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit(":"), F.when(F.col("text").isNull(), "0").otherwise(F.concat(F.lit("1"), "text"))).cast("binary")))
+
+
+def _repeated_ids(docs: DataFrame, percent: int) -> DataFrame:
+    """Documents whose ids repeat or are null: one row of each id and text, numbered, is judged under its number."""
+    key = fresh("row_key", docs)
+    rows = table(docs.withColumn(key, row_key(docs)).dropDuplicates([key]), "rows")
+    order = rows.select(F.col("doc_id").isNull().alias("lost"), "doc_id", F.col(key).alias("key"))
+    numbers = table(numbered(order, ["lost", "doc_id", "key"], "number").select("key", "number"), "numbers")
+    named = table(rows.select(F.col(key).alias("key"), "text").join(numbers, "key").select(F.col("number").alias("doc_id"), "text"), "named")
+    gone = near_duplicates(named, percent).where("not kept").select(F.col("doc_id").alias("number"))
+    return without(rows, key, table(numbers.join(gone, "number", "left_semi").select("key"), "near-copies")).drop(key)
+
+
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline: one document of each group of near copies (similarity 0.8 or more) stays, that with the least id.
 
-    Null and empty texts stay. Of repeated rows of one id and text one stays. Columns of any name go through untouched.
+    Null and empty texts stay. Of repeated rows of one id and text one stays; rows of one id with unlike texts are documents of their
+    own; a null id stands behind all others. Columns of any name go through untouched.
     """
     with scope(spark):
-        judged = near_duplicates(docs, 80).select("doc_id", "kept")
-        gone = result(judged.where("not kept").select("doc_id").distinct(), "near-copies")
-        twice = result(judged.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
-    out = without(docs, "doc_id", gone)
-    return out if twice.isEmpty() else out.dropDuplicates(["doc_id", "text"])
+        odd = docs.groupBy("doc_id").count().where("count > 1 or doc_id is null")
+        if not odd.isEmpty():
+            return result(_repeated_ids(docs, 80), "unlike")
+        gone = result(near_duplicates(docs, 80).where("not kept").select("doc_id"), "near-copies")
+    return without(docs, "doc_id", gone)
 
 
 ORACLE = """

@@ -4,12 +4,14 @@
    all of them, summed per task and then by bucket.
 2. The log-count ratio r of each bucket; the buckets with most evidence become features.
 3. Logistic weights over r-scaled binary features, fitted on at most ``MAX_FIT`` rows of the sample (chosen by hash).
-4. Every whole text is scored in one scan without a shuffle. The model's size is fixed by ``BUCKETS`` and ``FEATURES``.
+4. Every whole text is scored in one scan without a shuffle, in blocks of at most ``BLOCK`` letters that end at a blank (or in a word
+   longer than that); the largest block's score is the text's. So a text's length alone neither raises its score nor hides a passage.
+   The model's size is fixed by ``BUCKETS`` and ``FEATURES``.
 
 Null and empty texts have no n-gram and get the intercept's score. A document with several labels is toxic if one
 label says so; null labels are left out. With labels of one class only, or none, the score is the (smoothed) share of
 toxic labels. Repeated rows are scored alike; ties between buckets go to the lower one; empty tables give no rows. Extra columns
-of any name go through untouched. A very long text is scored whole, alone (about 60 bytes for each of its letters).
+of any name go through untouched. A very long text is scored whole, block by block.
 """
 
 from __future__ import annotations
@@ -24,9 +26,11 @@ from strandloom.functions.scratch import scope, table
 from .textarrays import slices
 
 ORDERS = (3, 4, 5, 6)
-BITS = 20
+BITS = 21
 BUCKETS = 1 << BITS
 FEATURES = 4096
+#: Letters of a block; most documents are one.
+BLOCK = 8192
 #: Bytes of text hashed at a time, so that the arrays stay in the cache.
 SLICE = 1 << 17
 #: Most labelled rows that the classifier is fitted on, and most of them for the logistic weights.
@@ -56,7 +60,7 @@ def _each(texts: list[str]):
 
 
 def _count(batches):
-    acc, n = np.zeros((2, BUCKETS), np.int64), [0, 0]
+    acc, n = np.zeros((2, BUCKETS), np.int32), [0, 0]
     for batch in batches:
         for part in slices(batch, "text", SLICE):
             for label, b in zip(part.column("label").to_pylist(), _each(part.column("text").to_pylist()), strict=True):
@@ -125,6 +129,32 @@ def _logistic(rows: list[tuple[int, np.ndarray]], scale: np.ndarray, l2: float =
     return (w * scale / norm).astype(np.float32), b
 
 
+def blocks(text: str) -> list[str]:
+    """The text in parts of at most BLOCK letters, cut at blanks where there are any."""
+    out, at = [], 0
+    while len(text) - at > BLOCK:
+        cut = text.rfind(" ", at + 1, at + BLOCK)
+        cut = cut if cut > at else at + BLOCK
+        out.append(text[at:cut])
+        at = cut
+    return [*out, text[at:]]
+
+
+def _grouped(texts: list[str]):
+    """(text of each block, blocks) in groups of about SLICE letters."""
+    owner, parts, held = [], [], 0
+    for i, t in enumerate(texts):
+        for b in blocks(t):
+            owner.append(i)
+            parts.append(b)
+            held += len(b)
+            if held >= SLICE:
+                yield np.array(owner), parts
+                owner, parts, held = [], [], 0
+    if parts:
+        yield np.array(owner), parts
+
+
 class Model:
     """weights: one per bucket (zero where the bucket is no feature)."""
 
@@ -132,8 +162,10 @@ class Model:
         self.weights, self.bias = weights, bias
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        text, bucket = _present(texts, self.weights != 0)
-        x = self.bias + np.bincount(text, self.weights[bucket], minlength=len(texts))
+        x, mask = np.full(len(texts), -np.inf), self.weights != 0
+        for owner, parts in _grouped(texts):
+            text, bucket = _present(parts, mask)
+            np.maximum.at(x, owner, self.bias + np.bincount(text, self.weights[bucket], minlength=len(parts)))
         return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 

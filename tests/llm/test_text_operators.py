@@ -10,10 +10,11 @@ from collections import Counter, defaultdict
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from strandloom.llm import repair, spelling, suffixes
+from strandloom.llm import decontaminate, minhash, repair, spelling, suffixes, toxicity
 
 CLASH = ["row", "digest", "hit", "runs", "kept", "n_bytes", "key", "id", "word", "n", "conv", "place", "script", "g", "fault", "letter", "said", "bits", "marked"]
 
@@ -206,7 +207,8 @@ def test_repair_makes_each_suffix_once(spark):
     d = spark.createDataFrame([("abcd",), ("bcd",), ("xd".replace("x", "a"),), ("cd",), ("abcd",)], "signature string").coalesce(1)
     got = repair.solved(d).collect()
     assert sum(r.nodes for r in got) <= len({s[i:] for s in ("abcd", "bcd", "ad", "cd") for i in range(len(s))}) + 3 * (len(got) - 1)
-    nodes = [r for batch in repair._solve(iter([spark.createDataFrame([("ad",), ("abcd",), ("bcd",)], "signature string").toArrow().to_batches()[0]])) for r in batch.to_pylist()]
+    batch = pa.RecordBatch.from_pydict({"signature": ["ad", "abcd", "bcd"]})
+    nodes = [r for out in repair._solve(iter([batch])) for r in out.to_pylist()]
     assert [r["nodes"] for r in nodes] == [2, 3, 0]
 
 
@@ -287,3 +289,54 @@ def test_vocabulary_by_brute_force(spark, monkeypatch):
     got = spelling.vocabulary(d, damaged=True).collect()
     assert {r.word: r.n for r in got} == {w: n for w, n in want.items() if len(w) >= 6 and n >= 5}
     assert len(got) == len({r.word for r in got}) and spelling.vocabulary(d.limit(0)).count() == 0
+
+
+# pipeline stages on repeated ids, toxicity of long texts
+
+
+def test_stages_keep_unlike_texts_of_one_id(spark, tmp_path):
+    rnd = random.Random(6)
+    say = lambda n: " ".join("".join(rnd.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    a, b, c, item = say(60), say(60), say(60), say(30)
+    kind = "doc_id long, text string, row_key int, key int"
+    docs = spark.createDataFrame([(3, a, 7, 7), (5, a, 7, 7), (5, b, 7, 7), (7, c, 7, 7), (None, c, 7, 7), (None, b + " x", 7, 7), (None, None, 7, 7), (7, c, 7, 7), (8, None, 7, 7), (8, "", 7, 7)], kind)
+    got = minhash.stage(spark, docs, "")
+    assert got.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text or "") for r in got.collect()) == sorted([(3, a), (5, b), (7, c), (0, ""), (8, ""), (8, "")])
+    spark.createDataFrame([(1, item), (2, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(5, f"{say(9)} {item} {say(9)}"), (5, b), (6, c), (None, f"{item} {say(3)}"), (None, a), (7, None)], "doc_id long, text string")
+    assert sorted((r.doc_id or 0, r.text or "") for r in decontaminate.stage(spark, docs, str(tmp_path)).collect()) == sorted([(5, b), (6, c), (0, a), (7, "")])
+
+
+def test_toxicity_does_not_grow_with_length(spark):
+    """Clean documents joined to 5 MB stay clean, one toxic passage among them is found, and the text of each block is whole."""
+    rnd = random.Random(12)
+    vocab = ["".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(2, 8))) for _ in range(2000)]
+    bad = ["wretchedly", "dreadful", "loathsome", "vilest"]
+    say = lambda n: " ".join(rnd.choice(vocab) for _ in range(n))
+    rude = lambda n: " ".join(rnd.choice(bad if rnd.random() < 0.15 else vocab) for _ in range(n))
+    rows = [(i, rude(80) if i % 6 == 0 else say(rnd.randint(5, 600))) for i in range(600)]
+    model = toxicity.fit(spark.createDataFrame([(i, t, int(i % 6 == 0)) for i, t in rows], "doc_id long, text string, label int"))
+    clean = [t for i, t in rows if i % 6]
+    assert (model.scores(clean) < 0.5).all() and (model.scores([rude(80) for _ in range(20)]) >= 0.5).all()
+    long = " ".join(clean[i % len(clean)] for i in range(3000))
+    assert len(long) > 3_000_000
+    odd = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(1_000_000)), "x" * 500_000]
+    assert (model.scores([long, *odd]) < 0.5).all()
+    assert model.scores([long[:2_000_000] + " " + rude(80) + " " + long[2_000_000:]])[0] >= 0.5
+    for t in (long, odd[1], "", "a" * toxicity.BLOCK, " " * 20_000):
+        parts = toxicity.blocks(t)
+        assert "".join(parts) == t and max(map(len, parts)) <= toxicity.BLOCK
+    together = model.scores([clean[0], long, "", clean[1]])
+    assert np.allclose(together, [model.scores([t])[0] for t in (clean[0], long, "", clean[1])])
+
+
+def test_toxicity_scores_by_hand():
+    """Ratios and scores of a small model, computed without arrays."""
+    model = toxicity.Model(np.zeros(toxicity.BUCKETS, np.float32), -1.5)
+    buckets = next(toxicity._each(["abcd"]))
+    assert len(buckets) == sum(len(" abcd ") - k + 1 for k in toxicity.ORDERS)
+    model.weights[buckets[0]], model.weights[buckets[3]] = 2.0, 0.5
+    want = 1 / (1 + np.exp(1.5 - 2.0 - 0.5))
+    assert abs(model.scores(["abcd"])[0] - want) < 1e-6 and abs(model.scores(["abcd abcd"])[0] - want) < 0.3
+    assert abs(model.scores([""])[0] - 1 / (1 + np.exp(1.5))) < 1e-6
