@@ -129,25 +129,6 @@ def trans_nat(hits: DataFrame) -> DataFrame:
     return rows.withColumn("a", one("qid")).withColumn("b", one("sid")).where("a = 1 or b = 1").drop("a", "b")
 
 
-def seed_sites(utr: DataFrame, mir: DataFrame, lengths: tuple[int, ...] = (8, 7, 6), start: int = 2) -> DataFrame:
-    """Perfect seed sites: the longest of the seed lengths at each place of a UTR; pos is the site's first base (1-based).
-
-    mir: mirna, seq (its seed begins at base ``start``). The site is the reverse complement of the seed. An equi-join on the
-    seed's shortest core, then the longer seeds are tested at the same place.
-    """
-    core, most = min(lengths), max(lengths)
-    m = mir.select("mirna", *[reverse_complement(F.substring("seq", start, n)).alias(f"s{n}") for n in lengths])
-    # blanks before the sequence let a site of the core's length begin at its first base
-    padded = utr.where(F.length("seq") >= core).select("utr", F.concat(F.lit(" " * (most - core)), "seq").alias("seq"))
-    places = kmers(padded, "seq", most, ["utr"]).withColumn("core", F.right("kmer", F.lit(core)))
-    j = places.join(m, F.col("core") == F.col(f"s{core}"))
-    best = None
-    for n in sorted(lengths, reverse=True):
-        hit = F.right("kmer", F.lit(n)) == F.col(f"s{n}")
-        best = F.when(hit, n) if best is None else best.when(hit, n)
-    return j.select("utr", "mirna", best.alias("seed"), (F.col("pos") + core - best).alias("pos"))
-
-
 def random_site(utr: DataFrame, width: int = 22) -> DataFrame:
     """One pseudo-random window per UTR, fixed by its id."""
     h = F.conv(F.substring(F.md5(F.col("utr").cast("string").cast("binary")), 1, 8), 16, 10).cast("long")

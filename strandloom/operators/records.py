@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandloom.functions.seq import kmers, letters, pieces, reverse_complement
+from strandloom.functions.seq import letters, pieces, reverse_complement
 
 
 def rfam_compose(hits: DataFrame, total: int | None = None) -> DataFrame:
@@ -105,19 +105,3 @@ def precursor_stack_excise(stacks: DataFrame, genome: DataFrame, max_hits: int =
     j = pieces(stacks.where(F.col("hits") <= max_hits), genome, "chrom", F.greatest(F.lit(1), F.col("beg") - flank + 1), F.least("__size", F.col("end") + flank))
     s = F.col("__piece")
     return j.where(F.col("beg") < F.col("__size")).select("chrom", (F.col("__from") - 1).alias("from"), F.col("__to").alias("to"), "strand", F.when(F.col("strand") == "-", reverse_complement(s)).otherwise(s).alias("seq"))
-
-
-def seed_sites_loop(utr: DataFrame, mir: DataFrame, n: int = 8, start: int = 2) -> DataFrame:
-    """Seed sites with one base of the target looped out: the seed's complement with any one base put between its ends.
-
-    mir is a bounded list of small RNAs and is broadcast.
-    """
-    m = mir.select("mirna", reverse_complement(F.substring("seq", start, n)).alias("s"))
-    half = n // 2
-    # a base put in behind the first half leaves the first half whole, one put in before leaves the second
-    w = kmers(utr, "seq", n + 1, ["utr"])
-    fore = w.join(F.broadcast(m), F.substring("kmer", 1, half) == F.substring("s", 1, half)).withColumn("k", F.explode(F.sequence(F.lit(half + 1), F.lit(n))))
-    aft = w.join(F.broadcast(m), F.right("kmer", F.lit(n - half)) == F.right("s", F.lit(n - half))).withColumn("k", F.explode(F.sequence(F.lit(2), F.lit(half))))
-    both = fore.unionByName(aft)
-    cut = F.concat(F.substr("kmer", F.lit(1), F.col("k") - 1), F.substr("kmer", F.col("k") + 1, F.lit(n)))
-    return both.where(cut == F.col("s")).select("utr", "mirna", "pos", F.col("k").alias("loop_at"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from strandloom.operators import align as a
 from strandloom.operators import annotate as n
 from strandloom.operators import table as t
+from strandloom.operators import targets as tg
 from strandloom.plans.views import _ABC, _DNA, COLLAPSED, READS, SEQS, collapsed, ham, read, sequences
 from strandloom.plans.views import reads as view
 
@@ -63,6 +64,45 @@ def mirs(s, d):
     return bench(s, d).select(F.col("ref").alias("mirna"), F.substring("seq", 1, 22).alias("seq"))
 
 
+def utrs(s, d):
+    """Every document as a target."""
+    return sequences(s, d).select(F.col("doc_id").alias("utr"), F.col("s").alias("seq"))
+
+
+def _place_columns() -> tuple[str, str, str]:
+    """SQL of the first eight bases of windows and seeds, and of how each pair of them stands: 0 equal, 1 wobble, 2 mismatch."""
+    k = range(1, 9)
+    window = ", ".join(f"substr(w, {i}, 1) AS a{i}" for i in k)
+    seed = ", ".join(f"substr(seq, {i + 1}, 1) AS b{i}" for i in k)
+    stand = ", ".join(f"CASE WHEN a{i} = b{i} THEN 0 WHEN (a{i} = 'C' AND b{i} = 'T') OR (a{i} = 'A' AND b{i} = 'G') THEN 1 ELSE 2 END AS k{i}" for i in k)
+    return window, seed, stand
+
+
+def _seed_sql() -> str:
+    window, seed, stand = _place_columns()
+    count = lambda n, v: "(" + " + ".join(f"CAST(k{i} = {v} AS INT)" for i in range(1, n + 1)) + ")"
+    size = f"CASE WHEN k8 = 0 AND {count(8, 2)} <= 1 AND {count(8, 1)} <= 1 THEN 8 WHEN k7 = 0 AND {count(7, 2)} = 0 AND {count(7, 1)} <= 1 THEN 7 WHEN {count(6, 2)} + {count(6, 1)} = 0 THEN 6 END"
+    of = lambda v: f"CASE seed WHEN 8 THEN {count(8, v)} WHEN 7 THEN {count(7, v)} ELSE 0 END"
+    return f"""WITH {SEQS}, {REFS}, mi AS (SELECT ref AS mirna, {seed} FROM rf), {_WINDOWS},
+      x AS (SELECT w, mirna, {stand} FROM (SELECT w, {window} FROM p GROUP BY w), mi),
+      y AS (SELECT *, {size} AS seed FROM x),
+      z AS (SELECT w, mirna, seed, {of(2)} AS mismatches, {of(1)} AS wobbles FROM y WHERE seed IS NOT NULL)
+      SELECT mirna, target, seed, mismatches, wobbles, count(*) AS sites, CAST(sum(n - i + 1) AS BIGINT) AS places FROM p JOIN z USING (w) GROUP BY 1, 2, 3, 4, 5"""
+
+
+_WINDOWS = """t AS (SELECT doc_id AS target, len(s) AS n, reverse(translate(s, 'ACGT', 'TGCA')) AS rc FROM s WHERE len(s) >= 23),
+      p AS (SELECT target, n, i, substr(rc, i + 1, 8) AS w FROM (SELECT target, n, rc, unnest(range(1, n - 21)) AS i FROM t))"""
+SEED_SITES = _seed_sql()
+LOOP_SITES = f"""WITH {SEQS}, {REFS}, {_WINDOWS}, mi AS (SELECT ref AS mirna, seq FROM rf),
+      d AS (SELECT DISTINCT w FROM p),
+      z AS (
+        SELECT w, mirna, 0 AS loop FROM d JOIN mi ON w = substr(seq, 2, 8)
+        UNION ALL SELECT w, mirna, 1 FROM (SELECT w, left(w, j) || substr(w, j + 2) AS c FROM d, range(1, 7) r(j)) JOIN mi ON c = substr(seq, 2, 7)
+        UNION ALL SELECT w, mirna, 1 FROM (SELECT mirna, substr(seq, 2, j) || substr(seq, j + 3, 8 - j) AS w FROM mi, range(1, 7) r(j)) JOIN d USING (w)
+      )
+      SELECT mirna, target, loop, count(*) AS sites, CAST(sum(n - i + 1 - 8) AS BIGINT) AS places FROM p JOIN z USING (w) GROUP BY 1, 2, 3"""
+
+
 def selfhits(s, d):
     l = read(s, d, "lineitem")
     return l.select((F.col("l_suppkey") % 60).alias("qid"), (F.col("l_partkey") % 60).alias("sid"), F.lit(300).alias("qlen"), F.lit(280).alias("slen"), (F.col("l_quantity") * 5).cast("int").alias("alen"), (F.col("l_linenumber") - 1).alias("gaps"), (F.col("l_partkey") % 7).alias("sstart"), (F.col("l_suppkey") % 5).alias("send"), (((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 100000 + F.col("l_partkey")) * 1000 + F.col("l_suppkey")).alias("line"))
@@ -87,7 +127,14 @@ QUERIES = {
     "region_select": (lambda s, d: a.region_select(genes(s, d).select("chrom", F.col("start").alias("beg"), "end", "id"), 2, 20000, 60000), f"WITH {GENES} SELECT chrom, start AS beg, end_ AS \"end\", id FROM g WHERE chrom = 2 AND start < 60000 AND end_ > 20000"),
     "cis_nat": (lambda s, d: a.cis_nat(genes(s, d)), f"WITH {GENES} SELECT p.chrom, p.id AS p_id, m.id AS m_id, CASE WHEN {_OV} > 0 AND p.start <= m.start AND p.end_ >= m.end_ THEN 'Containing plus' WHEN {_OV} > 0 AND m.start <= p.start AND m.end_ >= p.end_ THEN 'Containing minus' WHEN {_OV} > 0 AND p.start < m.start THEN 'Tail to tail' WHEN {_OV} > 0 THEN 'Head to head' WHEN p.start < m.start THEN 'Nearby tail' ELSE 'Nearby head' END AS kind, greatest({_OV}, 0) AS overlap FROM g p JOIN g m ON p.chrom = m.chrom AND p.strand = '+' AND m.strand = '-' WHERE {_OV} > -100"),
     "trans_nat": (lambda s, d: a.trans_nat(selfhits(s, d)).select("qid", "sid", "alen", "gaps", "line", "kind"), "WITH h AS (SELECT l_suppkey % 60 AS qid, l_partkey % 60 AS sid, CAST(l_quantity * 5 AS INT) AS alen, l_linenumber - 1 AS gaps, l_partkey % 7 AS ss, l_suppkey % 5 AS se, ((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 1000 + l_suppkey AS line FROM lineitem), k AS (SELECT *, CASE WHEN gaps <> 0 AND gaps::DOUBLE / alen < 0.1 AND (alen >= 150 OR alen >= 140) THEN 'HC' WHEN gaps = 0 AND alen >= 100 THEN '100nt' END AS kind FROM h WHERE ss > se AND qid <> sid), r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY line) AS a, row_number() OVER (PARTITION BY sid ORDER BY line) AS b FROM k WHERE kind IS NOT NULL) SELECT qid, sid, alen, CAST(gaps AS INT) AS gaps, line, kind FROM r WHERE a = 1 OR b = 1"),
-    "seed_sites": (lambda s, d: a.seed_sites(ids(s, d).select(F.col("id").alias("utr"), "seq"), mirs(s, d)).groupBy("utr", "mirna", "seed").agg(F.count("*").alias("sites"), F.sum("pos").alias("places")), f"WITH {SEQS}, {REFS}, m AS (SELECT ref AS mirna, {RC.format('substr(seq, 2, 8)')} AS s8, {RC.format('substr(seq, 2, 7)')} AS s7, {RC.format('substr(seq, 2, 6)')} AS s6 FROM rf), p AS (SELECT doc_id AS utr, s AS seq, unnest(range(1, len(s) - 4)) AS at_ FROM s WHERE len(s) >= 60), j AS (SELECT utr, mirna, at_, {_SITE} AS seed FROM p JOIN m ON substr(seq, at_, 6) = s6) SELECT utr, mirna, CAST(seed AS INT) AS seed, count(*) AS sites, CAST(sum(at_ - (seed - 6)) AS BIGINT) AS places FROM j GROUP BY 1, 2, 3"),
+    "seed_sites": (
+        lambda s, d: tg.target_sites(utrs(s, d), mirs(s, d)).groupBy("mirna", "target", "seed", "mismatches", "wobbles").agg(F.count("*").alias("sites"), F.sum("start").alias("places")),
+        SEED_SITES,
+    ),
+    "seed_sites_loop": (
+        lambda s, d: tg.target_sites(utrs(s, d), mirs(s, d), lengths=(8,), wobbles={}, mismatches={}, loops=(8,)).groupBy("mirna", "target", "loop").agg(F.count("*").alias("sites"), F.sum("end").alias("places")),
+        LOOP_SITES,
+    ),
     "random_site": (lambda s, d: a.random_site(ids(s, d).select(F.col("id").alias("utr"), "seq")), f"WITH {SEQS}, h AS (SELECT doc_id AS utr, s, CAST('0x' || left(md5(doc_id::VARCHAR), 8) AS BIGINT) % (len(s) - 21) + 1 AS pos FROM s WHERE len(s) >= 60) SELECT utr, pos, substr(s, pos, 22) AS site FROM h"),
     "duplex_pvalue": (lambda s, d: a.duplex_pvalue(read(s, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", (-F.col("l_quantity")).alias("energy"), F.lit(22).alias("m"), (F.col("l_suppkey") + 100).alias("n")), 1.0, 0.5).select("l_orderkey", "l_linenumber", "l_partkey", "energy", F.round("p", 8).alias("p")), "WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey, -l_quantity AS energy, 1 - exp(-exp(-(l_quantity / ln(22 * (l_suppkey + 100)) - 1.0) / 0.5)) AS p FROM lineitem) SELECT l_orderkey, l_linenumber, l_partkey, energy, round(p, 8) AS p FROM x WHERE energy <= -10 AND p <= 0.05"),
     "hamming_stats": (lambda s, d: a.hamming_stats(view(s, d).select("read_id", F.expr("left(seq, CAST(length(seq) div 2 AS INT))").alias("a"), F.expr("substr(seq, CAST(length(seq) div 2 AS INT) + 1)").alias("b"))).select("read_id", "mism", "wobbles", "last"), f"WITH {READS}, x AS (SELECT read_id, left(seq, len(seq) // 2) AS a, substr(seq, len(seq) // 2 + 1) AS b FROM reads), y AS (SELECT *, list_filter(list_transform(range(1, len(a) + 1), lambda i: substr(a, i, 1) || substr(b, i, 1)), lambda p: substr(p, 1, 1) <> substr(p, 2, 1)) AS z FROM x) SELECT read_id, CAST(len(z) AS INT) AS mism, CAST(len(list_filter(z, lambda p: p IN ('CT', 'TC', 'AG', 'GA'))) AS INT) AS wobbles, right(a, 1) <> right(b, 1) AS last FROM y"),

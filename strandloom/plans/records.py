@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strandloom.operators import records as r
-from strandloom.plans.align import FEAT, REFS, features, genome, ids, mirs
+from strandloom.plans.align import FEAT, features, genome, ids
 from strandloom.plans.views import SEQS, read, sequences
 
 
@@ -81,5 +81,4 @@ QUERIES = {
     "novel_dedup": (lambda s, d: r.novel_dedup(_parts(s, d).select(F.col("p_type").alias("seq"), F.col("p_brand").alias("star"), F.col("p_size").alias("score"), F.col("p_partkey").alias("id"))), "WITH f AS (SELECT * FROM part QUALIFY row_number() OVER (PARTITION BY p_type ORDER BY p_size DESC, p_partkey) = 1) SELECT p_partkey AS id, 'mature' AS kind, p_type AS seq FROM f UNION ALL SELECT p_partkey, 'star', p_brand FROM f"),
     "hairpin_candidate_filter": (lambda s, d: r.hairpin_candidate_filter(_cand(s, d), oriented=0.5, hits=40, gc=0.04).select("locus", "abundance", "hits", "paired"), "SELECT l_partkey AS locus, count(*) AS abundance, count(DISTINCT l_suppkey) AS hits, CAST(sum(l_linenumber) AS BIGINT) AS paired FROM lineitem GROUP BY 1 HAVING count(*) >= 5 AND count(DISTINCT l_suppkey) <= 40 AND count(*) FILTER (l_linestatus = 'O')::DOUBLE / count(*) >= 0.5 AND count(DISTINCT l_returnflag) <= 3 AND max(l_quantity) <= 70 AND avg(l_discount) >= 0.04 AND -sum(l_quantity) / 10 <= -25 AND sum(l_linenumber) >= 17"),
     "precursor_stack_excise": (lambda s, d: r.precursor_stack_excise(features(s, d).select("chrom", (F.col("start") - 1).alias("beg"), "end", "strand", (F.col("chrom") % 9).alias("hits")), genome(s, d)), f"WITH {FEAT}, x AS (SELECT *, greatest(0, start - 1 - 70) AS a, least(len(s), start + 19 + 70) AS b FROM f WHERE chrom % 9 <= 5) SELECT chrom, CAST(a AS INT) AS \"from\", CAST(b AS INT) AS \"to\", strand, CASE WHEN strand = '-' THEN {_RC.format('substr(s, a + 1, b - a)')} ELSE substr(s, a + 1, b - a) END AS seq FROM x"),
-    "seed_sites_loop": (lambda s, d: r.seed_sites_loop(ids(s, d).select(F.col("id").alias("utr"), "seq"), mirs(s, d)), f"WITH {SEQS}, {REFS}, m AS (SELECT ref AS mirna, {_RC.format('substr(seq, 2, 8)')} AS t FROM rf), p AS (SELECT doc_id AS utr, s AS q, unnest(range(1, len(s) - 7)) AS pos FROM s WHERE len(s) >= 60), w AS (SELECT utr, pos, substr(q, pos, 9) AS w FROM p) SELECT utr, mirna, CAST(pos AS INT) AS pos, CAST(k AS INT) AS loop_at FROM w, range(2, 9) z(k) JOIN m ON left(w, k - 1) || substr(w, k + 1) = t"),
 }

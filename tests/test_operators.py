@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandloom.functions.seq import half_up, kmers, pieces, reverse_complement
-from strandloom.operators import align, qc, quant, reads, records, stats, table, vectors
+from strandloom.operators import align, qc, quant, reads, records, stats, table, targets, vectors
 
 A3, A5 = "TGGAATTCTCGG", "GTTCAGAGTTCT"
 
@@ -129,9 +129,10 @@ def test_cis_pairs_at_the_border(spark):
 def test_seeds(spark):
     utr = frame(spark, [("u", "GGTTTTACGACCCC"), ("s", "ACG")], "utr string, seq string")
     mir = frame(spark, [("m", "ATCGTAAAAC")], "mirna string, seq string")  # seed TCGTAAAA: TTTTACGA
-    assert [(r.utr, r.seed, r.pos) for r in align.seed_sites(utr, mir).collect()] == [("u", 8, 3)]
+    assert [(r.target, r.seed, r.end, r.start) for r in targets.target_sites(utr, mir, min_len=8).collect()] == [("u", 8, 3, 11)]
     loop = frame(spark, [("u", "GGTTTTCACGACC")], "utr string, seq string")
-    assert {(r.pos, r.loop_at) for r in records.seed_sites_loop(loop, mir).collect()} == {(3, 5)}
+    got = targets.target_sites(loop, mir, lengths=(8,), wobbles={}, mismatches={}, loops=(8,), min_len=8).collect()
+    assert {(r.loop, r.target_seq, tuple(r.target_pairing)) for r in got} == {(1, "GTCGTGAAA", (0, 2, 3, 4, 5, 0, 6, 7, 8))}
 
 
 def test_t_tail_and_normal_tail(spark):
