@@ -2,49 +2,112 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandloom.functions.seq import hamming, kmers, letters, once, pieces, reverse_complement
+from strandloom.functions.seq import kmers, letters, once, pieces, reverse_complement
 from strandloom.operators.stats import hypergeom_tail
 
 
-def ref_windows(refs: DataFrame, lengths: list[int], both: bool = True) -> DataFrame:
-    """All windows of the read lengths on one or both strands: ref, pos (0-based), strand, seq. refs: ref, seq."""
+#: Letters of a packed word: three bits each.
+WORD = 21
+#: The seed that reads and references meet by: its length, and for each number of mismatches how many pieces it is cut into and how
+#: many of them must be exact (with v mismatches all but v pieces are).
+CORE, PIECES = 18, {0: (1, 1), 1: (3, 2), 2: (5, 3), 3: (6, 3)}
+
+
+def packed(seq: Column, most: int) -> list[Column]:
+    """A sequence as longs of three bits a base, the first base highest, ACGT as 1 to 4, others 5, none 0."""
+    words = -(-most // WORD)
+    octal = F.translate(F.rpad(F.regexp_replace(seq, "[^ACGT ]", "N"), words * WORD, " "), "ACGTN ", "123450")
+    return [F.conv(F.substring(octal, WORD * k + 1, WORD), 8, 10).cast("long") for k in range(words)]
+
+
+def _letters_mask(places: range) -> int:
+    return sum(7 << (3 * (WORD - 1 - i)) for i in places)
+
+
+def reference_index(refs: DataFrame, least: int, most: int, both: bool = True) -> DataFrame:
+    """One row a place and strand of refs (ref, seq): ref, strand, edge, room, w0, w1, ...
+
+    The words hold the bases read from the place in the strand's direction; edge: the read's first place (0-based) on plus, the
+    place after its last on minus; room: how many bases there are to read, at most ``most``; rows with fewer than ``least`` are left out.
+    """
+    pad = F.lit(" " * (most - least))
+    long = refs.where(F.length("seq") >= least).select("ref", F.length("seq").alias("n"), F.concat(pad, "seq", pad).alias("seq"))
+    places = kmers(long, "seq", most, ["ref", "n"]).withColumn("p", F.col("pos") - 1 - (most - least))
+    end = F.col("p") + most
+    plus = F.struct(F.lit("+").alias("strand"), F.col("p").alias("edge"), F.least(F.lit(most), F.col("n") - F.col("p")).alias("room"), F.col("kmer").alias("text"))
+    minus = F.struct(F.lit("-").alias("strand"), end.alias("edge"), F.least(F.lit(most), end).alias("room"), reverse_complement(F.col("kmer")).alias("text"))
+    rows = places.select("ref", "n", F.explode(F.array(plus, minus) if both else F.array(plus)).alias("x")).select("ref", "n", "x.*")
+    rows = rows.where((F.col("room") >= least) & (F.col("edge") >= 0) & (F.col("edge") <= F.col("n")))
+    return rows.select("ref", "strand", "edge", "room", *[w.alias(f"w{k}") for k, w in enumerate(packed(F.col("text"), most))])
+
+
+def _keys(word: Column, combos: list[tuple[int, ...]], masks: list[int]) -> Column:
+    """The exact pieces that may bring a read and a place together: combination number and the word's bits there."""
+    return F.explode(F.array(*[F.struct(F.lit(k).alias("k"), word.bitwiseAND(F.lit(sum(masks[i] for i in c))).alias("bits")) for k, c in enumerate(combos)])).alias("key")
+
+
+def mismatch_align(reads: DataFrame, refs: DataFrame, lengths: list[int], v: int = 1, both: bool = True) -> DataFrame:
+    """Reads (seq, ...) on references (ref, seq) with at most v mismatches: pos (0-based), strand, mism. All hits, none left out.
+
+    The first bases of a read (``CORE``, or the shortest length) are cut into pieces of which some must be exact however the mismatches
+    lie; each choice of exact pieces is one key of an equi-join, as packed bits. A pair that has more exact pieces than that counts at
+    the first choice only. What remains is compared by bits; one index row a place and strand serves reads of all lengths.
+    """
     least, most = min(lengths), max(lengths)
-    # blanks after the sequence let shorter windows begin in its last places
-    padded = refs.where(F.length("seq") >= least).select("ref", F.length("seq").alias("n"), F.concat("seq", F.lit(" " * (most - least))).alias("seq"))
-    places = kmers(padded, "seq", most, ["ref", "n"]).select("*", F.explode(F.array(*[F.lit(x) for x in lengths])).alias("len"))
-    w = places.where(F.col("pos") + F.col("len") - 1 <= F.col("n")).select("ref", (F.col("pos") - 1).alias("pos"), F.substr("kmer", F.lit(1), F.col("len")).alias("seq"))
-    plus = w.withColumn("strand", F.lit("+"))
-    return plus if not both else plus.unionByName(w.withColumn("seq", reverse_complement(F.col("seq"))).withColumn("strand", F.lit("-")))
+    core = min(least, CORE)
+    pieces_, exact = PIECES[v] if core >= PIECES[v][0] else (v + 1, 1)
+    cuts = [core * i // pieces_ for i in range(pieces_ + 1)]
+    masks = [_letters_mask(range(a, b)) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    combos = list(combinations(range(pieces_), exact))
+    words = range(-(-most // WORD))
+    given = [F.col(c) for c in reads.columns]
+    ones = [F.conv(F.substring(F.rpad(F.repeat(F.lit("1"), F.length("seq")), WORD * len(words), "0"), WORD * k + 1, WORD), 8, 10).cast("long") for k in words]
+    left = reads.where(F.length("seq").isin(lengths)).select(F.struct(*given).alias("row"), F.length("seq").alias("size"), *[c.alias(f"r{k}") for k, c in enumerate(packed(F.col("seq"), most))], *[c.alias(f"m{k}") for k, c in enumerate(ones)])
+    left = left.select("*", _keys(F.col("r0"), combos, masks))
+    right = reference_index(refs, least, most, both)
+    right = right.select("*", _keys(F.col("w0"), combos, masks))
+    met = left.join(right, "key").where(F.col("size") <= F.col("room"))
+    unlike = F.lit(0)
+    for k in words:
+        x = F.col(f"r{k}").bitwiseXOR(F.col(f"w{k}"))
+        any_ = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseOR(F.shiftrightunsigned(x, 2))
+        unlike = unlike + F.bit_count(any_.bitwiseAND(F.col(f"m{k}")))
+    x = F.col("r0").bitwiseXOR(F.col("w0"))
+    first = F.lit(False)
+    for k, c in enumerate(combos):
+        lone = F.lit(True)
+        for i in set(range(c[-1])) - set(c):
+            lone = lone & (x.bitwiseAND(F.lit(masks[i])) != 0)
+        first = first | ((F.col("key.k") == k) & lone)
+    start = F.when(F.col("strand") == "+", F.col("edge")).otherwise(F.col("edge") - F.col("size")).cast("int")
+    return met.where(first & (unlike <= v)).select("row.*", "ref", start.alias("pos"), "strand", unlike.cast("int").alias("mism"))
 
 
 def exact_align(reads: DataFrame, refs: DataFrame, lengths: list[int], both: bool = True, one: bool = True) -> DataFrame:
     """Reads (seq, ...) on references without mismatch; with ``one`` a read's first hit by reference, place and strand."""
-    hits = reads.join(ref_windows(refs, lengths, both), "seq")
+    hits = mismatch_align(reads, refs, lengths, 0, both).drop("mism")
     return hits if not one else first_hit(hits, ["ref", "pos", "strand"])
 
 
-def first_hit(hits: DataFrame, order: list[str]) -> DataFrame:
-    best = F.min(F.struct(*order)).alias("__b")
-    return hits.groupBy(*[c for c in hits.columns if c not in order]).agg(best).select(*[c for c in hits.columns if c not in order], "__b.*")
-
+def mirna_profile(reads: DataFrame, refs: DataFrame, sets: DataFrame, mismatches: int = 0, sizes: tuple[int, int] = (18, 25)) -> DataFrame:
+    """Known small RNAs among reads (seq, n; distinct), by set of organisms: set, ref, mism, n, uniq.
 
-def _seeds(seq: Column, v: int) -> Column:
-    """The v + 1 pieces of a sequence with their numbers; a window with at most v mismatches keeps one of them."""
-    n = F.length(seq)
-    cut = lambda k: F.floor(n * k / (v + 1)).cast("int")
-    return F.array(*[F.struct(F.lit(k).alias("k"), F.substr(seq, cut(k) + 1, cut(k + 1) - cut(k)).alias("seed")) for k in range(v + 1)])
+    refs: ref, seq; sets: set, ref (a reference may be in several). A read counts once for a reference, at its fewest mismatches.
+    """
+    hits = mismatch_align(reads.select("seq", "n"), refs, list(range(sizes[0], sizes[1] + 1)), mismatches)
+    best = hits.groupBy("ref", "seq", "n").agg(F.min("mism").alias("mism"))
+    counts = best.groupBy("ref", "mism").agg(F.sum("n").alias("n"), F.count("*").alias("uniq"))
+    return counts.join(sets.select("set", "ref").distinct(), "ref").select("set", "ref", "mism", "n", "uniq")
 
 
-def mismatch_align(reads: DataFrame, refs: DataFrame, lengths: list[int], v: int = 1, both: bool = True) -> DataFrame:
-    """Reads on references with at most v mismatches (``mism``): seed join, then verification. No seed is left out."""
-    w = ref_windows(refs, lengths, both).withColumnRenamed("seq", "window")
-    left = reads.select("*", F.explode(_seeds(F.col("seq"), v)).alias("s"))
-    right = w.select("*", F.explode(_seeds(F.col("window"), v)).alias("s"))
-    met = left.join(right, (left["s.k"] == right["s.k"]) & (left["s.seed"] == right["s.seed"]) & (F.length("seq") == F.length("window"))).drop("s").distinct()
-    return once(met, "mism", hamming(F.col("seq"), F.col("window"))).where(F.col("mism") <= v).drop("window")
+def first_hit(hits: DataFrame, order: list[str]) -> DataFrame:
+    best = F.min(F.struct(*order)).alias("__b")
+    return hits.groupBy(*[c for c in hits.columns if c not in order]).agg(best).select(*[c for c in hits.columns if c not in order], "__b.*")
 
 
 def unmapped(reads: DataFrame, hits: DataFrame) -> DataFrame:

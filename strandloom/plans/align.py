@@ -29,6 +29,24 @@ EXACT = f"{UNIQ}, {REFS}, ex AS (SELECT u.seq, n, ref, pos, strand FROM u JOIN w
 MISM = f"{UNIQ}, {REFS}, ms AS (SELECT DISTINCT u.seq, n, ref, pos, strand, wi.seq AS w FROM u JOIN wi ON len(u.seq) = len(wi.seq) AND left(u.seq, len(u.seq) // 2) = left(wi.seq, len(wi.seq) // 2) UNION SELECT u.seq, n, ref, pos, strand, wi.seq FROM u JOIN wi ON len(u.seq) = len(wi.seq) AND right(u.seq, len(u.seq) - len(u.seq) // 2) = right(wi.seq, len(wi.seq) - len(wi.seq) // 2)), mm AS (SELECT seq, n, ref, pos, strand, {ham('seq', 'w')} AS mism FROM ms)"
 
 
+def organism_sets(s, d):
+    """Every reference is known in all organisms, and in plants or animals."""
+    return read(s, d, "benchmark").select(F.col("item_id").alias("ref"), F.explode(F.array(F.lit("all"), F.when(F.col("item_id") % 2 == 0, "plant").otherwise("animal"))).alias("set"))
+
+
+def _profile_sql(v: int, low: int, high: int) -> str:
+    """Reads and windows that share one of v + 1 pieces, compared in full."""
+    piece = lambda c, k: f"substr({c}, 1 + len({c}) * {k} // {v + 1}, len({c}) * {k + 1} // {v + 1} - len({c}) * {k} // {v + 1})"
+    met = " UNION ".join(f"SELECT u.seq, n, ref, hamming(u.seq, wi.seq) AS mism FROM u JOIN wi ON len(u.seq) = len(wi.seq) AND {piece('u.seq', k)} = {piece('wi.seq', k)} AND hamming(u.seq, wi.seq) <= {v}" for k in range(v + 1))
+    return f"""WITH {UNIQ.replace("GROUP BY 1)", f"WHERE len(seq) BETWEEN {low} AND {high} GROUP BY 1)")}, {REFS.replace("range(18, 37)", f"range({low}, {high + 1})")}, mm AS ({met}),
+      b AS (SELECT ref, seq, n, min(mism) AS mism FROM mm GROUP BY 1, 2, 3),
+      o AS (SELECT item_id AS ref, 'all' AS set FROM benchmark UNION ALL SELECT item_id, CASE WHEN item_id % 2 = 0 THEN 'plant' ELSE 'animal' END FROM benchmark)
+      SELECT set, ref, CAST(mism AS INT) AS mism, CAST(sum(n) AS BIGINT) AS n, count(*) AS uniq FROM b JOIN o USING (ref) GROUP BY 1, 2, 3"""
+
+
+PROFILE = _profile_sql(3, 18, 25)
+
+
 def genes(s, d):
     p = read(s, d, "part")
     st = (F.col("p_partkey") * 137 % 100000 + 1).cast("long")
@@ -117,7 +135,7 @@ QUERIES = {
     "mismatch_align": (lambda s, d: a.mismatch_align(uniq(s, d), bench(s, d), LENGTHS), f"WITH {MISM} SELECT seq, n, ref, CAST(pos AS INT) AS pos, strand, CAST(mism AS INT) AS mism FROM mm WHERE mism <= 1"),
     "unmapped": (lambda s, d: a.unmapped(uniq(s, d), a.exact_align(uniq(s, d), bench(s, d), LENGTHS)), f"WITH {EXACT} SELECT seq, n FROM u WHERE seq NOT IN (SELECT seq FROM ex)"),
     "size_filter_genome": (lambda s, d: a.unmapped(uniq(s, d).where("length(seq) between 20 and 30"), a.exact_align(uniq(s, d), bench(s, d), LENGTHS)), f"WITH {EXACT} SELECT seq, n FROM u WHERE len(seq) BETWEEN 20 AND 30 AND seq NOT IN (SELECT seq FROM ex)"),
-    "mirna_profile": (lambda s, d: a.mismatch_align(uniq(s, d).where("length(seq) between 18 and 25"), bench(s, d), LENGTHS[:8]).groupBy("ref", "mism").agg(F.sum("n").alias("n"), F.countDistinct("seq").alias("uniq")), f"WITH {MISM} SELECT ref, CAST(mism AS INT) AS mism, CAST(sum(n) AS BIGINT) AS n, count(DISTINCT seq) AS uniq FROM mm WHERE mism <= 1 AND len(seq) <= 25 GROUP BY 1, 2"),
+    "mirna_profile": (lambda s, d: a.mirna_profile(uniq(s, d), bench(s, d), organism_sets(s, d), 3), PROFILE),
     "feature_sequences": (lambda s, d: a.feature_sequences(features(s, d), genome(s, d)), f"WITH {FEAT} SELECT chrom, CAST(start AS INT) AS start, strand, CAST(start + 19 AS INT) AS \"end\", CASE WHEN strand = '-' THEN {RC.format('substr(s, start, 20)')} ELSE substr(s, start, 20) END AS seq FROM f"),
     "extract_locations": (lambda s, d: a.extract_locations(ids(s, d), locations(s, d), gap=2), f"WITH {SEQS}, o AS (SELECT doc_id AS id, s, unnest(range(0, len(s) - 59, 60)) AS o FROM s WHERE len(s) >= 60), x AS (SELECT id, o, s, o + CASE WHEN id % 2 = 0 THEN 30 ELSE 3 END AS a, CASE WHEN id % 3 = 0 AND o = 0 THEN len(s) ELSE o + 12 END AS b FROM o), y AS (SELECT *, substr(s, least(a, b), abs(b - a) + 1) AS p FROM x), z AS (SELECT *, CASE WHEN a > b THEN {RC.format('p')} ELSE p END AS q FROM y) SELECT id, CAST(a AS INT) AS start, CAST(CASE WHEN id % 3 = 0 AND o = 0 THEN -1 ELSE o + 12 END AS INT) AS \"end\", array_to_string(string_split(q, '')[1:len(q):2], '') AS seq FROM z"),
     "cdna_from_exons": (lambda s, d: a.cdna_from_exons(features(s, d).withColumn("tid", F.col("chrom")), genome(s, d)), f"WITH {FEAT} SELECT chrom AS tid, CASE WHEN strand = '-' THEN {RC.format('string_agg(substr(s, start, 20), chr(0) ORDER BY start)').replace('chr(0)', repr(''))} ELSE string_agg(substr(s, start, 20), '' ORDER BY start) END AS seq FROM f GROUP BY chrom, strand"),
