@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandloom.functions.seq import letters, pieces, reverse_complement
+from strandloom.operators.table import cumulative_sum
 
 
 def rfam_compose(hits: DataFrame, total: int | None = None) -> DataFrame:
@@ -100,6 +101,32 @@ def hairpin_candidate_filter(loci: DataFrame, abundance: int = 5, hits: int = 16
     return loci.where((c("abundance") >= abundance) & (c("hits") <= hits) & (c("oriented") >= oriented) & (c("islands") <= islands) & (c("overlap") <= overlap) & (c("gc") >= gc) & (c("energy") <= energy) & (c("paired") >= paired))
 
 
+def read_stacks(aln: DataFrame, max_hits: int = 5, reach: int = 70, gear: int = 50_000) -> DataFrame:
+    """Stacks of reads that stand out: chrom, strand, beg, end, height, hits; at most ``gear`` of them.
+
+    aln: chrom, strand, beg, end (half-open), read, n: an alignment of n equal reads a row. Reads with more than max_hits
+    alignments are left out. The height of a place is the number of reads that begin there; a stack is a place than which none within
+    ``reach`` bases of its strand is higher, nor as high and before it; it ends where the longest read of its place does, and has as
+    many hits as the most scattered of them. Of all stacks those of the least height stay that leaves no more than ``gear``:
+    equal heights stay or go together.
+
+    Places meet their neighbours in bins as wide as the reach (each place in its own and the two beside it), so no task holds a
+    chromosome; the height to keep comes from running sums over the distinct heights, by ranges.
+    """
+    few = aln.groupBy("read").agg(F.count("*").alias("hits")).where(F.col("hits") <= max_hits)
+    places = aln.join(few, "read").groupBy("chrom", "strand", "beg").agg(F.sum("n").cast("long").alias("height"), F.max("end").alias("end"), F.max("hits").alias("hits"))
+    own = F.floor(F.col("beg") / reach)
+    binned = places.withColumn("bin", F.explode(F.array(own - 1, own, own + 1)))
+    around = Window.partitionBy("chrom", "strand", "bin").orderBy("beg")
+    higher = F.max("height").over(around.rangeBetween(-reach, reach))
+    before = F.max("height").over(around.rangeBetween(-reach, -1))
+    peaks = binned.withColumns({"top": higher, "before": before}).where((F.col("bin") == own) & (F.col("height") == F.col("top")) & (F.coalesce("before", F.lit(0)) < F.col("height")))
+    peaks = peaks.select("chrom", "strand", "beg", "end", "height", "hits")
+    counts = peaks.groupBy((-F.col("height")).alias("low")).agg(F.count("*").alias("k"))
+    kept = cumulative_sum(counts, "k", ["low"], "upto").where(F.col("upto") <= gear).agg(F.max("low").alias("low"))
+    return peaks.join(F.broadcast(kept), -F.col("height") <= F.col("low")).drop("low")
+
+
 def precursor_stack_excise(stacks: DataFrame, genome: DataFrame, max_hits: int = 5, flank: int = 70) -> DataFrame:
     """Windows around stacks (chrom, beg, end half-open, strand, hits) of at most max_hits hits, with their sequence."""
     j = pieces(stacks.where(F.col("hits") <= max_hits), genome, "chrom", F.greatest(F.lit(1), F.col("beg") - flank + 1), F.least("__size", F.col("end") + flank))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strandloom.operators import records as r
-from strandloom.plans.align import FEAT, features, genome, ids
-from strandloom.plans.views import SEQS, read, sequences
+from strandloom.plans.align import genome, ids
+from strandloom.plans.views import ALN, SEQS, alignments, read, sequences
 
 
 def _edits(s, d):
@@ -67,6 +67,24 @@ def _cand(s, d):
 _CNT = "c AS (SELECT 'm' || (l_partkey % 400) AS mature, count(*) AS n FROM lineitem GROUP BY 1), rp AS (SELECT c.mature, c.n, coalesce(CASE WHEN p.p_partkey IS NOT NULL THEN 'h' || (p.p_partkey % 50) END, '--') AS hairpin, coalesce(h.p_name, '--') AS hairpin_seq, coalesce(p.p_brand, '--') AS mature_seq, p.p_partkey % 50 AS hp, h.p_size, h.p_partkey AS hk FROM c LEFT JOIN part p ON c.mature = 'm' || p.p_partkey LEFT JOIN part h ON h.p_partkey = p.p_partkey % 50)"
 _RC = "reverse(translate({}, 'ACGT', 'TGCA'))"
 
+def _stacked(s, d):
+    """Alignments of reads of 18 to 24 bases: orders as reads, suppliers' documents as chromosomes."""
+    a = alignments(s, d)
+    return a.select(F.col("ref").alias("chrom"), "strand", F.col("pos").alias("beg"), (F.col("pos") + 17 + F.col("k").cast("int")).alias("end"), F.col("read_id").alias("read"), "n")
+
+
+STACKS = f"""WITH {SEQS}, {ALN}, f AS (SELECT read_id FROM a GROUP BY 1 HAVING count(*) <= 4),
+  p AS (SELECT ref, strand, pos, CAST(sum(n) AS BIGINT) AS height, max(pos + 17 + k) AS e FROM a SEMI JOIN f USING (read_id) GROUP BY 1, 2, 3),
+  w AS (
+    SELECT *, max(height) OVER (PARTITION BY ref, strand ORDER BY pos RANGE BETWEEN 70 PRECEDING AND 70 FOLLOWING) AS top,
+      max(height) OVER (PARTITION BY ref, strand ORDER BY pos RANGE BETWEEN 70 PRECEDING AND 1 PRECEDING) AS before FROM p
+  ),
+  q AS (SELECT * FROM w WHERE height = top AND coalesce(before, 0) < height),
+  c AS (SELECT height, sum(count(*)) OVER (ORDER BY height DESC) AS upto FROM q GROUP BY 1),
+  z AS (SELECT ref, strand, greatest(0, pos - 70) AS a, least(len(s), e + 70) AS b, s FROM q JOIN s ON s.doc_id = ref WHERE height >= (SELECT min(height) FROM c WHERE upto <= 3000) AND pos < len(s))
+  SELECT ref AS chrom, CAST(a AS INT) AS "from", CAST(b AS INT) AS "to", strand, CASE WHEN strand = '-' THEN {_RC.format('substr(s, a + 1, b - a)')} ELSE substr(s, a + 1, b - a) END AS seq FROM z"""
+
+
 QUERIES = {
     "rfam_compose": (lambda s, d: r.rfam_compose(_parts(s, d).select(F.concat(F.lit("RF;"), F.split_part("p_type", F.lit(" "), F.lit(1)), F.lit(";x:"), "p_brand").alias("ref"), F.col("p_size").cast("long").alias("n")), 1000000), "WITH b AS (SELECT split_part(p_type, ' ', 1) AS class, p_brand AS species, CAST(sum(p_size) AS BIGINT) AS n FROM part GROUP BY 1, 2) SELECT class, species, n, round(100.0::DOUBLE * n / 1000000, 4) AS of_total, round(100.0::DOUBLE * n / (SELECT sum(n) FROM b), 4) AS of_mapped FROM b"),
     "nt_edit_sites": (lambda s, d: r.nt_edit_sites(_edits(s, d)), f"WITH {SEQS}, h AS (SELECT sample, doc_id % 5 + 1 AS n, s, unnest(range(0, len(s) // 100)) AS o FROM s), x AS (SELECT sample, 'm' || o AS mature, n, unnest(range(0, 7)) AS beg, substr(s, 100 * o + 1, 100) AS s FROM h), i AS (SELECT sample, mature, n, beg, translate(substr(s, beg + 1, 18), 'N', 'A') AS q FROM x WHERE beg <= 4), e AS (SELECT sample, mature, n, beg + p - 1 AS pos, substr('ACGTACGTACGTACGTACGTAC', beg + p, 1) AS a, substr(q, p, 1) AS b FROM (SELECT *, unnest(range(1, 19)) AS p FROM i)), c AS (SELECT sample, mature, pos, sum(n) AS coverage FROM e GROUP BY 1, 2, 3), d AS (SELECT sample, mature, pos, a || '->' || b AS sub, sum(n) AS edited FROM e WHERE a <> b GROUP BY 1, 2, 3, 4) SELECT sample AS precursor, mature, CAST(pos AS INT) AS pos, sub, CAST(edited AS BIGINT) AS edited, CAST(coverage AS BIGINT) AS coverage, round(100.0::DOUBLE * edited / coverage, 4) AS percent FROM d JOIN c USING (sample, mature, pos)"),
@@ -80,5 +98,5 @@ QUERIES = {
     "novel_report": (lambda s, d: r.hairpin_mature_report(*_report(s, d)), f"WITH {_CNT} SELECT mature, n, hairpin, hairpin_seq, mature_seq, coalesce((-p_size)::VARCHAR, '--') AS mfe, coalesce(hk::VARCHAR, '--') AS pos FROM rp"),
     "novel_dedup": (lambda s, d: r.novel_dedup(_parts(s, d).select(F.col("p_type").alias("seq"), F.col("p_brand").alias("star"), F.col("p_size").alias("score"), F.col("p_partkey").alias("id"))), "WITH f AS (SELECT * FROM part QUALIFY row_number() OVER (PARTITION BY p_type ORDER BY p_size DESC, p_partkey) = 1) SELECT p_partkey AS id, 'mature' AS kind, p_type AS seq FROM f UNION ALL SELECT p_partkey, 'star', p_brand FROM f"),
     "hairpin_candidate_filter": (lambda s, d: r.hairpin_candidate_filter(_cand(s, d), oriented=0.5, hits=40, gc=0.04).select("locus", "abundance", "hits", "paired"), "SELECT l_partkey AS locus, count(*) AS abundance, count(DISTINCT l_suppkey) AS hits, CAST(sum(l_linenumber) AS BIGINT) AS paired FROM lineitem GROUP BY 1 HAVING count(*) >= 5 AND count(DISTINCT l_suppkey) <= 40 AND count(*) FILTER (l_linestatus = 'O')::DOUBLE / count(*) >= 0.5 AND count(DISTINCT l_returnflag) <= 3 AND max(l_quantity) <= 70 AND avg(l_discount) >= 0.04 AND -sum(l_quantity) / 10 <= -25 AND sum(l_linenumber) >= 17"),
-    "precursor_stack_excise": (lambda s, d: r.precursor_stack_excise(features(s, d).select("chrom", (F.col("start") - 1).alias("beg"), "end", "strand", (F.col("chrom") % 9).alias("hits")), genome(s, d)), f"WITH {FEAT}, x AS (SELECT *, greatest(0, start - 1 - 70) AS a, least(len(s), start + 19 + 70) AS b FROM f WHERE chrom % 9 <= 5) SELECT chrom, CAST(a AS INT) AS \"from\", CAST(b AS INT) AS \"to\", strand, CASE WHEN strand = '-' THEN {_RC.format('substr(s, a + 1, b - a)')} ELSE substr(s, a + 1, b - a) END AS seq FROM x"),
+    "precursor_stack_excise": (lambda s, d: r.precursor_stack_excise(r.read_stacks(_stacked(s, d), 4, 70, 3000), genome(s, d)), STACKS),
 }

@@ -68,3 +68,29 @@ def test_profile_counts_a_read_once_a_reference(spark):
     sets = spark.createDataFrame([("plant", "r"), ("all", "r"), ("all", "r"), ("all", "q")], "set string, ref string")
     got = {(x.set, x.ref, x.mism): (x.n, x.uniq) for x in align.mirna_profile(reads, refs, sets, 1).collect()}
     assert got == {(s, "r", m): (n, 1) for s in ("plant", "all") for m, n in ((0, 5), (1, 3))}
+
+
+@pytest.mark.parametrize("gear", [3, 40, 10_000])
+def test_read_stacks_by_comparing_all_places(spark, gear):
+    from strandloom.operators import records
+
+    rnd = random.Random(gear)
+    rows = [(rnd.choice("ab"), rnd.choice("+-"), b := rnd.randint(0, 900), b + rnd.randint(18, 25), f"r{rnd.randint(0, 120)}", rnd.randint(1, 4)) for _ in range(400)]
+    hits = Counter(r[4] for r in rows)
+    places = {}
+    for c, s, b, e, read, n in rows:
+        if hits[read] <= 5:
+            h, end, most = places.get((c, s, b), (0, 0, 0))
+            places[(c, s, b)] = (h + n, max(end, e), max(most, hits[read]))
+    peaks = set()
+    for (c, s, b), (h, e, most) in places.items():
+        near = [(x, v[0]) for (c2, s2, x), v in places.items() if (c2, s2) == (c, s) and x != b and abs(x - b) <= 70]
+        if all(v < h or (v == h and x > b) for x, v in near):
+            peaks.add((c, s, b, e, h, most))
+    count = Counter(p[4] for p in peaks)
+    least = min((h for h in count if sum(k for x, k in count.items() if x >= h) <= gear), default=None)
+    want = {p for p in peaks if least is not None and p[4] >= least}
+    aln = spark.createDataFrame(rows, "chrom string, strand string, beg int, end int, read string, n int")
+    got = records.read_stacks(aln, 5, 70, gear)
+    assert {(r.chrom, r.strand, r.beg, r.end, r.height, r.hits) for r in got.collect()} == want and got.count() == len(want) <= gear
+    assert records.read_stacks(aln.limit(0)).count() == 0
