@@ -121,6 +121,18 @@ LOOP_SITES = f"""WITH {SEQS}, {REFS}, {_WINDOWS}, mi AS (SELECT ref AS mirna, se
       SELECT mirna, target, loop, count(*) AS sites, CAST(sum(n - i + 1 - 8) AS BIGINT) AS places FROM p JOIN z USING (w) GROUP BY 1, 2, 3"""
 
 
+def _part_genes(s, d):
+    return read(s, d, "part").where("p_size > 10").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("gene"))
+
+
+def _terms(s, d):
+    """Part types as terms: members of the foreground (large parts) and of the background, with the totals of both."""
+    p = read(s, d, "part")
+    large = F.count_if(F.col("p_size") > 25)
+    by = p.groupBy(F.col("p_type").alias("term")).agg(large.alias("hits"), F.count("*").alias("background"))
+    return by.crossJoin(F.broadcast(p.agg(large.alias("all_hits"), F.count("*").alias("all_background"))))
+
+
 def selfhits(s, d):
     l = read(s, d, "lineitem")
     return l.select((F.col("l_suppkey") % 60).alias("qid"), (F.col("l_partkey") % 60).alias("sid"), F.lit(300).alias("qlen"), F.lit(280).alias("slen"), (F.col("l_quantity") * 5).cast("int").alias("alen"), (F.col("l_linenumber") - 1).alias("gaps"), (F.col("l_partkey") % 7).alias("sstart"), (F.col("l_suppkey") % 5).alias("send"), (((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 100000 + F.col("l_partkey")) * 1000 + F.col("l_suppkey")).alias("line"))
@@ -183,7 +195,16 @@ QUERIES = {
         lambda s, d: n.topn_example(read(s, d, "orders").select("o_custkey", "o_orderkey", "o_totalprice"), "o_custkey", [F.desc("o_totalprice"), "o_orderkey"]),
         "SELECT o_custkey, o_orderkey, o_totalprice FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) = 1 ORDER BY o_custkey LIMIT 15",
     ),
-    "transcript_to_gene": (lambda s, d: read(s, d, "lineitem").select("l_orderkey", "l_partkey").join(read(s, d, "part").where("p_size > 10").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("gene")), "l_partkey").groupBy("gene").agg(F.countDistinct("l_orderkey").alias("targets")), "SELECT p_brand AS gene, count(DISTINCT l_orderkey) AS targets FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_size > 10 GROUP BY 1"),
+    "transcript_to_gene": (
+        lambda s, d: n.gene_target_counts(n.transcript_to_gene(read(s, d, "lineitem"), _part_genes(s, d), "l_partkey", "l_orderkey"), "l_orderkey"),
+        "SELECT p_brand AS gene, count(DISTINCT l_orderkey) AS targets FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_size > 10 GROUP BY 1",
+    ),
+    "term_percent": (
+        lambda s, d: n.with_percent(_terms(s, d), "hits", "all_hits", "background", "all_background").select("term", "hits", "background", "percent", "background_percent"),
+        """SELECT p_type AS term, count(*) FILTER (p_size > 25) AS hits, count(*) AS background,
+          round(100 * count(*) FILTER (p_size > 25) / (SELECT count(*) FILTER (p_size > 25)::DOUBLE FROM part), 4) AS percent,
+          round(100 * count(*) / (SELECT count(*)::DOUBLE FROM part), 4) AS background_percent FROM part GROUP BY 1""",
+    ),
     "annotate_genes": (
         lambda s, d: n.annotate_genes(read(s, d, "lineitem"), read(s, d, "part").where("p_size < 25").select(F.col("p_partkey").alias("l_partkey"), "p_name"), "l_partkey"),
         "SELECT DISTINCT l_partkey, p_name FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_size < 25",

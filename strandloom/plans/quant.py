@@ -85,6 +85,11 @@ _CASE = "CASE WHEN tpm <= 0.1 THEN '0-0.1' WHEN tpm <= 0.3 THEN '0.1-0.3' WHEN t
 _EXPR = ", ".join(f"CAST(coalesce(sum(n) FILTER (sample = '{x}'), 0) AS BIGINT) AS n_{x}, round(coalesce(sum(n) FILTER (sample = '{x}') * 1e6::DOUBLE / (SELECT sum(n) FROM h WHERE sample = '{x}'), 0.0), 2) AS cpm_{x}" for x in _S)
 _FAM = ["Brand#11", "Brand#12", "Brand#13"]
 
+def _side(s, d, samples):
+    """A table of counts by id with some of the samples."""
+    return longs(s, d).where(F.col("sample").isin(samples)).groupBy("id").pivot("sample", samples).agg(F.sum("value"))
+
+
 QUERIES = {
     "feature_counts": (lambda s, d: q.feature_counts(alignments(s, d), refs(s, d)), f"WITH {ALN}, g AS (SELECT ref, sample, sum(n) AS n FROM a GROUP BY 1, 2), t AS (SELECT sample, sum(n) AS t FROM a GROUP BY 1) SELECT s_suppkey AS ref, t.sample, CAST(coalesce(n, 0) AS BIGINT) AS n, round(coalesce(1e6::DOUBLE * n / t, 0.0), 4) AS cpm FROM supplier CROSS JOIN t LEFT JOIN g ON g.ref = s_suppkey AND g.sample = t.sample"),
     "feature_uniq_counts": (lambda s, d: q.feature_uniq_counts(alignments(s, d)), f"WITH {ALN}, m AS (SELECT *, 1.0::DOUBLE / count(*) OVER (PARTITION BY read_id) AS w FROM a) SELECT ref, sample, count(DISTINCT read_id) AS uniq, round(sum(w), 4) AS weight FROM m GROUP BY 1, 2"),
@@ -124,7 +129,11 @@ QUERIES = {
         lambda s, d: n.union_ids(mirna_pairs(s, d).select(F.struct("mirna", "target").alias("id"))).select("id.*"),
         "SELECT DISTINCT l_suppkey AS mirna, l_partkey % 100 AS target FROM lineitem",
     ),
-    "tool_consensus": (lambda s, d: mirna_pairs(s, d).withColumn("k", F.col("mirna") % 3).groupBy("target", "mirna").agg(*[F.max((F.col("k") >= i).cast("int")).alias(f"tool{i}") for i in (0, 1, 2)]), "SELECT l_partkey % 100 AS target, l_suppkey AS mirna, CAST(max(CASE WHEN l_suppkey % 3 >= 0 THEN 1 ELSE 0 END) AS INT) AS tool0, CAST(max(CASE WHEN l_suppkey % 3 >= 1 THEN 1 ELSE 0 END) AS INT) AS tool1, CAST(max(CASE WHEN l_suppkey % 3 >= 2 THEN 1 ELSE 0 END) AS INT) AS tool2 FROM lineitem GROUP BY 1, 2"),
+    "tool_consensus": (
+        lambda s, d: n.tool_consensus({f"tool{i}": mirna_pairs(s, d).where(F.col("mirna") % 3 >= i) for i in (0, 1, 2)}, ["target", "mirna"]),
+        """SELECT l_partkey % 100 AS target, l_suppkey AS mirna, 1 AS tool0, CAST(l_suppkey % 3 >= 1 AS INT) AS tool1, CAST(l_suppkey % 3 >= 2 AS INT) AS tool2,
+          l_suppkey % 3 >= 2 AS all_tools FROM lineitem GROUP BY 1, 2""",
+    ),
     "dedup_max": (lambda s, d: q.dedup_max(hits(s, d).groupBy("mature", "precursor").agg(F.sum("n").alias("n")), "mature", "n", ["precursor"]), f"WITH {HITS} SELECT mature, precursor, CAST(sum(n) AS BIGINT) AS n FROM h GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY mature ORDER BY sum(n) DESC, precursor) = 1"),
     "coverage_windows": (lambda s, d: q.coverage_windows(spans(s, d), s.range(10).select(F.col("id").alias("chrom"), F.lit(5060).cast("long").alias("size")), 100), f"WITH {SPANS}, e AS (SELECT chrom, strand, unnest(range(beg, end_)) // 100 AS w FROM sp), g AS (SELECT chrom, strand, w, count(*) AS b FROM e GROUP BY ALL) SELECT c AS chrom, x.strand, w.w * 100 AS start, round(coalesce(b, 0)::DOUBLE / least(100, 5060 - w.w * 100), 6) AS depth FROM range(0, 10) t(c) CROSS JOIN range(0, 51) w(w) CROSS JOIN (SELECT DISTINCT strand FROM sp) x LEFT JOIN g ON g.chrom = c AND g.strand = x.strand AND g.w = w.w"),
     "outlier_cut": (lambda s, d: q.outlier_cut(spans(s, d).groupBy("chrom", "strand", "beg").agg(F.sum("n").cast("double").alias("depth")), 1.0), f"WITH {SPANS}, c AS (SELECT chrom, strand, CAST(beg AS INT) AS beg, sum(n)::DOUBLE AS depth FROM sp GROUP BY ALL) SELECT chrom, strand, beg, depth FROM c JOIN (SELECT strand, avg(depth) + stddev_samp(depth) AS top FROM c GROUP BY 1) USING (strand) WHERE depth < top"),
@@ -137,7 +146,10 @@ QUERIES = {
         lambda s, d: q.hit_ordinal(spans(s, d), "chrom", [-F.col("n"), "beg", "strand", "sample"]).select("chrom", "n", "beg", "ordinal", "name"),
         f"WITH {SPANS}, o AS (SELECT chrom, n, CAST(beg AS INT) AS beg, row_number() OVER (PARTITION BY chrom ORDER BY n DESC, beg, strand, sample) AS ordinal FROM sp) SELECT *, chrom || '.' || ordinal AS name FROM o",
     ),
-    "paste_union": (lambda s, d: longs(s, d).where("sample = 'A'").groupBy("id").pivot("sample", ["A"]).agg(F.sum("value")).unionByName(longs(s, d).where("sample <> 'A'").groupBy("id").pivot("sample", ["N", "R"]).agg(F.sum("value")), allowMissingColumns=True).na.fill(0).groupBy("id").agg(*[F.sum(c).alias(c) for c in _S]), f"WITH {LONG} SELECT id, {', '.join(f'CAST(coalesce(sum(value) FILTER (sample = {chr(39)}{x}{chr(39)}), 0) AS BIGINT) AS {chr(34)}{x}{chr(34)}' for x in _S)} FROM lo GROUP BY 1"),
+    "paste_union": (
+        lambda s, d: n.paste_union([_side(s, d, ["A"]), _side(s, d, ["N", "R"])], "id", list(_S)),
+        f"WITH {LONG} SELECT id, {', '.join(f'CAST(coalesce(sum(value) FILTER (sample = {chr(39)}{x}{chr(39)}), 0) AS BIGINT) AS {chr(34)}{x}{chr(34)}' for x in _S)} FROM lo GROUP BY 1",
+    ),
     "rc_tpm_join": (
         lambda s, d: n.rc_tpm_join(longs(s, d, "rc"), tpm(s, d), ["id", "sample"]).select("id", "sample", "rc", F.round("tpm", 6).alias("tpm")),
         f"WITH {TPM} SELECT id, sample, value AS rc, round(tpm, 6) AS tpm FROM lo JOIN tp USING (id, sample)",
