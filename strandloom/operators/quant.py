@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandloom.functions.seq import half_up
+from strandloom.operators.order import density, quantiles
 from strandloom.operators.table import cumulative_sum, islands, numbered
 
 
@@ -175,8 +176,15 @@ def tpm_intervals(long: DataFrame) -> DataFrame:
 
 
 def expr_density_box(long: DataFrame) -> DataFrame:
-    v = F.log10(F.col("tpm") + 1)
-    return long.select("sample", v.alias("v")).groupBy("sample").agg(*[F.round(F.percentile("v", q), 6).alias(n) for q, n in ((0.25, "q1"), (0.5, "q2"), (0.75, "q3"))], F.round(F.min("v"), 6).alias("lo"), F.round(F.max("v"), 6).alias("hi"))
+    """Quartiles and range of log10(tpm + 1) by sample; exact, and no task holds a sample."""
+    v = long.select("sample", F.log10(F.col("tpm") + 1).alias("v"))
+    box = quantiles(v, ["sample"], "v", {"lo": 0.0, "q1": 0.25, "q2": 0.5, "q3": 0.75, "hi": 1.0})
+    return box.select("sample", *[F.round(c, 6).alias(c) for c in ("q1", "q2", "q3", "lo", "hi")])
+
+
+def expr_density(long: DataFrame, points: int = 512) -> DataFrame:
+    """Density of log10(tpm + 1) by sample at equal steps of the range of all samples: sample, point, x, density."""
+    return density(long.select("sample", F.log10(F.col("tpm") + 1).alias("v")), "sample", "v", points)
 
 
 def venn_regions(sets: DataFrame) -> DataFrame:

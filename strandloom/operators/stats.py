@@ -12,6 +12,7 @@ from pyspark.sql.types import DoubleType
 
 from strandloom.functions.scratch import result, scope, table
 from strandloom.functions.seq import let
+from strandloom.operators.order import kendall, placed, quantiles, ranked
 from strandloom.operators.table import numbered
 
 
@@ -173,11 +174,15 @@ def fdr_threshold(df: DataFrame, p: str, alpha: float, key: list[str]) -> DataFr
 
 
 def size_factors(long: DataFrame) -> DataFrame:
-    """Median-of-ratios factor of each sample, over ids with counts in all samples. long: id, sample, value."""
+    """Median-of-ratios factor of each sample, over ids with counts in all samples. long: id, sample, value.
+
+    The median is exact, by ranges of the order of all ratios: no task holds a sample.
+    """
     samples = long.agg(F.countDistinct("sample").alias("s"))
     logs = long.where("value > 0").groupBy("id").agg(F.avg(F.ln("value")).alias("g"), F.countDistinct("sample").alias("k"))
     ok = logs.crossJoin(F.broadcast(samples)).where("k = s").select("id", "g")
-    return long.join(ok, "id").groupBy("sample").agg(F.round(F.median(F.exp(F.ln("value") - F.col("g"))), 6).alias("factor"))
+    ratios = long.join(ok, "id").select("sample", F.exp(F.ln("value") - F.col("g")).alias("ratio"))
+    return quantiles(ratios, ["sample"], "ratio", {"factor": 0.5}).select("sample", F.round("factor", 6).alias("factor"))
 
 
 def tmm_factors(long: DataFrame, reference: str, trim: float = 0.3) -> DataFrame:
@@ -187,10 +192,11 @@ def tmm_factors(long: DataFrame, reference: str, trim: float = 0.3) -> DataFrame
     ref = x.where(F.col("sample") == reference).select("id", F.col("value").alias("rv"), F.col("lib").alias("rl"))
     j = x.join(ref, "id").withColumn("m", F.log2((F.col("value") / F.col("lib")) / (F.col("rv") / F.col("rl"))))
     j = j.withColumn("w", 1 / ((F.col("lib") - F.col("value")) / (F.col("lib") * F.col("value")) + (F.col("rl") - F.col("rv")) / (F.col("rl") * F.col("rv"))))
-    w = Window.partitionBy("sample")
-    j = j.withColumn("r", F.row_number().over(w.orderBy("m", "id"))).withColumn("c", F.count("*").over(w))
-    kept = j.where((F.col("r") > F.floor(F.col("c") * trim)) & (F.col("r") <= F.col("c") - F.floor(F.col("c") * trim)))
-    return kept.groupBy("sample").agg(F.round(F.pow(F.lit(2.0), F.sum(F.col("w") * F.col("m")) / F.sum("w")), 6).alias("factor"))
+    with scope(long.sparkSession):
+        j = placed(table(j.select("id", "sample", "m", "w"), "ratios"), ["sample"], ["m", "id"], "r", "c")
+        kept = j.where((F.col("r") > F.floor(F.col("c") * trim)) & (F.col("r") <= F.col("c") - F.floor(F.col("c") * trim)))
+        mean = F.sum(F.col("w") * F.col("m")) / F.sum("w")
+        return result(kept.groupBy("sample").agg(F.round(F.pow(F.lit(2.0), mean), 6).alias("factor")), "factors")
 
 
 def de_no_replicates(long: DataFrame, a: str, b: str, q: float = 0.01, fc: float = 2.0) -> DataFrame:
@@ -203,8 +209,10 @@ def de_no_replicates(long: DataFrame, a: str, b: str, q: float = 0.01, fc: float
     share = F.col("nx") / (F.col("nx") + F.col("ny"))
     z = (F.col("x") - total * share) / F.sqrt(total * share * (1 - share))
     g = g.select("id", F.round(m, 6).alias("m"), F.round((F.log2("x") + F.log2("y")) / 2, 6).alias("a"), F.round(z, 6).alias("z")).withColumn("p", F.round(2 * normal_tail(F.col("z")), 6))
-    out = padjust(g, "p", "BH", tie=["id"])
-    return out.withColumn("q", F.round("q", 6)).withColumn("significant", (F.abs("m") > float(np.log2(fc))) & (F.col("q") < q))
+    with scope(long.sparkSession):
+        out = padjust(table(g, "tested"), "p", "BH", tie=["id"])  # it reads them several times
+        called = (F.abs("m") > float(np.log2(fc))) & (F.col("q") < q)
+        return result(out.withColumn("q", F.round("q", 6)).withColumn("significant", called), "de")
 
 
 def volcano_class(de: DataFrame, fc: float = 1.0) -> DataFrame:
@@ -227,14 +235,29 @@ def de_call_padj(de: DataFrame, alpha: float = 0.05) -> DataFrame:
     return padjust(de, "p", "BH", tie=["id"]).where(F.col("q") < alpha).withColumn("direction", F.when(F.col("lfc") > 0, "up").otherwise("down"))
 
 
+def _sample_pairs(long: DataFrame, *cols: str) -> DataFrame:
+    """Ids that two samples share: a < b, and each column of either sample with its letter."""
+    side = lambda n: long.select("id", F.col("sample").alias(n), *[F.col(c).alias(c + n) for c in cols])
+    return side("a").join(side("b"), "id").where("a < b")
+
+
 def sample_correlation(long: DataFrame) -> DataFrame:
-    """All sample pairs on log10(x + 1): squared Pearson, Spearman, intercept and slope."""
-    x = long.withColumn("l", F.log10(F.col("value") + 1))
-    w = Window.partitionBy("sample").orderBy("value")
-    x = x.withColumn("r", F.rank().over(w) + (F.count("*").over(Window.partitionBy("sample", "value")) - 1) / 2)
-    a, b = x.select("id", F.col("sample").alias("a"), F.col("l").alias("la"), F.col("r").alias("ra")), x.select("id", F.col("sample").alias("b"), F.col("l").alias("lb"), F.col("r").alias("rb"))
-    j = a.join(b, "id").where("a < b")
-    return j.groupBy("a", "b").agg(F.round(F.pow(F.corr("la", "lb"), F.lit(2)), 4).alias("r2"), F.round(F.corr("ra", "rb"), 4).alias("spearman"), F.round(F.regr_slope("lb", "la"), 4).alias("slope"), F.round(F.regr_intercept("lb", "la"), 4).alias("intercept"))
+    """All sample pairs on log10(x + 1): squared Pearson, Spearman, intercept and slope.
+
+    Mean ranks come from ranges of the order of all values: no task holds a sample.
+    """
+    with scope(long.sparkSession):
+        ranks = ranked(long, ["sample"], "value").select("sample", "value", (F.col("below") + (F.col("n") + 1) / 2).alias("r"))
+        x = table(long.join(ranks, ["sample", "value"], "left").select("id", "sample", "r", F.log10(F.col("value") + 1).alias("l")), "ranks")
+        r2, spearman = F.pow(F.corr("la", "lb"), F.lit(2)), F.corr("ra", "rb")
+        lines = F.regr_slope("lb", "la"), F.regr_intercept("lb", "la")
+        named = zip((r2, spearman, *lines), ("r2", "spearman", "slope", "intercept"), strict=True)
+        return result(_sample_pairs(x, "l", "r").groupBy("a", "b").agg(*[F.round(c, 4).alias(n) for c, n in named]), "correlations")
+
+
+def sample_kendall(long: DataFrame) -> DataFrame:
+    """Kendall's tau-b of all sample pairs over the ids that both have: a, b, points, tau."""
+    return kendall(_sample_pairs(long, "value"), ["a", "b"], "valuea", "valueb").withColumn("tau", F.round("tau", 6))
 
 
 def zscale_rows(long: DataFrame, key: str, value: str) -> DataFrame:

@@ -115,6 +115,19 @@ QUERIES = {
     "group_means": (lambda s, d: q.group_means(longs(s, d), s.createDataFrame([("A", "g1"), ("N", "g1"), ("R", "g2")], "sample string, grp string")), f"WITH {LONG} SELECT id, CASE WHEN sample = 'R' THEN 'g2' ELSE 'g1' END AS grp, round(avg(value), 4) AS mean FROM lo GROUP BY 1, 2"),
     "tpm_intervals": (lambda s, d: q.tpm_intervals(tpm(s, d)), f"WITH {TPM}, b AS (SELECT sample, {_CASE} AS interval_, count(*) AS n FROM tp GROUP BY 1, 2) SELECT sample, interval_ AS \"interval\", n, round(100.0::DOUBLE * n / sum(n) OVER (PARTITION BY sample), 4) AS percent FROM b"),
     "expr_density_box": (lambda s, d: q.expr_density_box(tpm(s, d)), f"WITH {TPM}, v AS (SELECT sample, log10(tpm + 1) AS v FROM tp) SELECT sample, round(quantile_cont(v, 0.25), 6) AS q1, round(quantile_cont(v, 0.5), 6) AS q2, round(quantile_cont(v, 0.75), 6) AS q3, round(min(v), 6) AS lo, round(max(v), 6) AS hi FROM v GROUP BY 1"),
+    "expr_density": (
+        lambda s, d: q.expr_density(tpm(s, d), 64).select("sample", "point", F.round("x", 6).alias("x"), F.round("density", 6).alias("density")),
+        f"""WITH {TPM}, v AS (SELECT sample, log10(tpm + 1) AS v FROM tp),
+  span AS (SELECT min(v) AS lo, (max(v) - min(v)) / 63 AS step FROM v),
+  b AS (SELECT sample, count(*) AS n, 0.9::DOUBLE * least(stddev_samp(v), (quantile_cont(v, 0.75) - quantile_cont(v, 0.25)) / 1.34::DOUBLE) / pow(count(*), 0.2::DOUBLE) AS h FROM v GROUP BY 1),
+  dealt AS (SELECT sample, (v - lo) / step AS x FROM v, span),
+  cut AS (SELECT sample, least(floor(x), 63) AS bin, 1 - (x - least(floor(x), 63)) AS w FROM dealt UNION ALL SELECT sample, least(floor(x) + 1, 63), x - least(floor(x), 63) FROM dealt),
+  bins AS (SELECT sample, bin, sum(w) AS w FROM cut GROUP BY 1, 2),
+  p AS (SELECT unnest(range(0, 64)) AS point)
+SELECT sample, CAST(point AS INT) AS point, round(any_value(lo + point * step), 6) AS x,
+  round(sum(w * exp(-0.5::DOUBLE * pow((point - bin) * step / h, 2))) / any_value(n * h * sqrt(2 * pi())), 6) AS density
+FROM bins JOIN b USING (sample), span, p GROUP BY 1, 2""",
+    ),
     "venn_regions": (lambda s, d: q.venn_regions(sets(s, d)), f"WITH {ALN}, o AS (SELECT pos AS id, string_agg(DISTINCT sample || strand, '&' ORDER BY sample || strand) AS region FROM a GROUP BY 1) SELECT region, count(*) AS n, min(id) AS first_id, max(id) AS last_id FROM o GROUP BY 1"),
     "exclusive_sets": (lambda s, d: q.exclusive_sets(longs(s, d).withColumnRenamed("sample", "grp"), "A", "R", 4000), f"WITH {LONG}, g AS (SELECT id, coalesce(bool_or(value > 4000) FILTER (sample = 'A'), false) AS a, coalesce(bool_or(value > 4000) FILTER (sample = 'R'), false) AS b FROM lo GROUP BY 1) SELECT id, CASE WHEN a THEN 'yes' ELSE 'no' END || '/' || CASE WHEN b THEN 'yes' ELSE 'no' END AS set FROM g WHERE a OR b"),
     "union_ids": (

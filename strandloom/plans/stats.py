@@ -120,6 +120,12 @@ QUERIES = {
         f"{_REP}, r AS (SELECT *, row_number() OVER (ORDER BY p, id) AS i, count(*) OVER () AS m FROM w), q AS (SELECT id, lfc, p, {_BH.format('p', '')} AS q FROM r) SELECT id, lfc, p, round(q, 6) AS q, CASE WHEN lfc > 0 THEN 'up' ELSE 'down' END AS direction FROM q WHERE q < 0.9",
     ),
     "sample_correlation": (lambda s, d: st.sample_correlation(longs(s, d)), f"WITH {LONG}, x AS (SELECT *, log10(value + 1) AS l, rank() OVER (PARTITION BY sample ORDER BY value) + (count(*) OVER (PARTITION BY sample, value) - 1) / 2.0::DOUBLE AS r FROM lo) SELECT a.sample AS a, b.sample AS b, round(pow(corr(a.l, b.l), 2), 4) AS r2, round(corr(a.r, b.r), 4) AS spearman, round(regr_slope(b.l, a.l), 4) AS slope, round(regr_intercept(b.l, a.l), 4) AS intercept FROM x a JOIN x b ON a.id = b.id AND a.sample < b.sample GROUP BY 1, 2"),
+    "sample_kendall": (
+        lambda s, d: st.sample_kendall(longs(s, d)),
+        f"""WITH {LONG}, j AS (SELECT a.sample AS a, b.sample AS b, a.value AS x, b.value AS y FROM lo a JOIN lo b ON a.id = b.id AND a.sample < b.sample),
+  o AS (SELECT p.a, p.b, sum(sign(p.x - q.x) * sign(p.y - q.y)) AS s, count(*) FILTER (p.x <> q.x) AS nx, count(*) FILTER (p.y <> q.y) AS ny FROM j p JOIN j q USING (a, b) GROUP BY 1, 2)
+SELECT a, b, (SELECT count(*) FROM j WHERE j.a = o.a AND j.b = o.b) AS points, round(s / sqrt(nx::DOUBLE * ny), 6) AS tau FROM o""",
+    ),
     "zscale_rows": (lambda s, d: st.zscale_rows(longs(s, d), "id", "value"), f"WITH {LONG} SELECT id, sample, value, round((value - avg(value) OVER w) / stddev_samp(value) OVER w, 6) AS z FROM lo WINDOW w AS (PARTITION BY id)"),
     "cluster_expression": (lambda s, d: st.cluster_expression(read(s, d, "embeddings"), "vec_id", "embedding"), None),
     "go_closure": (_closure, f"WITH {GO} SELECT gene, term FROM cl"),
