@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandloom.functions.scratch import result, scope, table
 from strandloom.functions.seq import letters, pieces, reverse_complement
-from strandloom.operators.table import cumulative_sum
+from strandloom.operators.table import cumulative_sum, islands
 
 
 def rfam_compose(hits: DataFrame, total: int | None = None) -> DataFrame:
@@ -96,11 +97,57 @@ def novel_dedup(pred: DataFrame) -> DataFrame:
 
 
 def hairpin_candidate_filter(loci: DataFrame, abundance: int = 5, hits: int = 16, oriented: float = 0.9, islands: int = 3, overlap: int = 70, gc: float = 0.1, energy: float = -25, paired: int = 17) -> DataFrame:
-    """Loci that pass the finder's limits; energy and paired bases are input columns."""
+    """Loci (of ``hairpin_loci``) that pass the finder's limits; energy and paired bases are input columns, since they need folding."""
     c = F.col
     return loci.where((c("abundance") >= abundance) & (c("hits") <= hits) & (c("oriented") >= oriented) & (c("islands") <= islands) & (c("overlap") <= overlap) & (c("gc") >= gc) & (c("energy") <= energy) & (c("paired") >= paired))
 
 
+def hairpin_loci(aln: DataFrame, genome: DataFrame, sizes: tuple[int, int] = (20, 22), distance: int = 200, most: int = 3) -> DataFrame:
+    """Loci of small RNAs and what the finder asks of them, a row each:
+    chrom, beg, end, strand, abundance, hits, oriented, islands, overlap, gc.
+
+    aln: chrom, strand, beg, end (half-open), read, n: an alignment of n equal reads a row; genome: chrom, seq. Alignments whose
+    length is in ``sizes`` form a locus with those at most ``distance`` bases on. Its strand is that of most reads (+ where
+    equal) and ``oriented`` their share; ``abundance`` the reads; ``hits`` the alignments (of any length, everywhere) of its candidate, which is the
+    alignment of most reads (ties: the least read, strand, place), and ``gc`` the candidate's share of G and C (null off the sequence);
+    ``islands`` the largest number of alignments of which no two share a base, where more than ``most`` count as most + 1;
+    ``overlap`` the bases that the longest run of overlapping alignments covers.
+
+    Loci and runs are islands found by ranges of the order. The alignments apart are picked one by one, always the first to end after
+    the one before (which is the largest choice), for all loci at once: most + 1 aggregations, and no task holds a locus.
+    """
+    with scope(aln.sparkSession):
+        size = F.col("end") - F.col("beg")
+        hits = aln.groupBy("read").agg(F.count("*").alias("hits"))
+        fit = aln.where(size.between(*sizes) & F.col("chrom").isNotNull()).join(hits, "read")
+        first = F.struct((-F.col("n")).alias("less"), "read", "strand", "beg", "end")
+        places = fit.groupBy("chrom", "beg", "end").agg(
+            F.sum("n").cast("long").alias("all"), F.coalesce(F.sum(F.when(F.col("strand") == "+", F.col("n"))), F.lit(0)).cast("long").alias("plus"),
+            F.min(F.struct(first.alias("rank"), "hits")).alias("best"),
+        )
+        places = table(islands(table(places, "places"), ["chrom"], "beg", "end", distance, "locus"), "loci").withColumn("last", F.col("end") - 1)
+        runs = islands(places.select("locus", "beg", "last"), ["locus"], "beg", "last", name="run")
+        runs = runs.groupBy("locus", "run").agg((F.max("last") - F.min("beg") + 1).alias("w")).groupBy("locus").agg(F.max("w").alias("overlap"))
+        ends = table(places.groupBy("locus", "beg").agg(F.min("end").alias("end")), "ends")
+        pick = table(ends.groupBy("locus").agg(F.min("end").alias("upto")), "pick")
+        picks = pick
+        for _ in range(most):
+            pick = table(ends.join(pick, "locus").where(F.col("beg") >= F.col("upto")).groupBy("locus").agg(F.min("end").alias("upto")), "pick")
+            picks = picks.union(pick)
+        apart = picks.groupBy("locus").agg(F.count("*").alias("islands"))
+        loci = places.groupBy("locus", "chrom").agg(F.min("beg").alias("beg"), F.max("end").alias("end"), F.sum("all").alias("abundance"), F.sum("plus").alias("plus"), F.min("best").alias("best"))
+        minus = F.col("abundance") - F.col("plus")
+        loci = loci.join(runs, "locus").join(apart, "locus").select(
+            "chrom", "beg", "end", F.when(F.col("plus") >= minus, "+").otherwise("-").alias("strand"), "abundance", F.col("best.hits").alias("hits"),
+            F.try_divide(F.greatest("plus", minus), "abundance").alias("oriented"), "islands", "overlap", F.col("best.rank.beg").alias("at"), F.col("best.rank.end").alias("to"),
+        )
+        cut = pieces(loci, genome, "chrom", F.col("at") + 1, F.col("to"))
+        gc = F.try_divide(F.length(F.regexp_replace("__piece", "[^GCgc]", "")), F.length("__piece"))
+        cut = cut.select(*loci.columns, gc.alias("gc"))
+        bare = loci.join(genome.select("chrom").where("seq is not null").distinct(), "chrom", "left_anti").withColumn("gc", F.lit(None).cast("double"))
+        return result(cut.unionByName(bare).drop("at", "to"), "loci")
+
+
 def read_stacks(aln: DataFrame, max_hits: int = 5, reach: int = 70, gear: int = 50_000) -> DataFrame:
     """Stacks of reads that stand out: chrom, strand, beg, end, height, hits; at most ``gear`` of them.
 

@@ -61,7 +61,11 @@ def _report(s, d):
 
 
 def _cand(s, d):
-    return read(s, d, "lineitem").groupBy(F.col("l_partkey").alias("locus")).agg(F.count("*").alias("abundance"), F.countDistinct("l_suppkey").alias("hits"), (F.count_if(F.col("l_linestatus") == "O") / F.count("*")).alias("oriented"), F.countDistinct("l_returnflag").alias("islands"), F.max("l_quantity").alias("overlap"), F.avg("l_discount").alias("gc"), (-F.sum("l_quantity") / 10).alias("energy"), F.sum("l_linenumber").alias("paired"))
+    """Loci of the orders' reads; energies and paired bases, which need folding, by supplier."""
+    loci = r.hairpin_loci(_stacked(s, d), genome(s, d), (18, 22), 4)
+    c = F.col("s_nationkey")
+    folds = read(s, d, "supplier").select(F.col("s_suppkey").alias("chrom"), (-c - 20).alias("energy"), (F.lit(14) + c % 9).alias("paired"))
+    return loci.join(folds, "chrom")
 
 
 _CNT = "c AS (SELECT 'm' || (l_partkey % 400) AS mature, count(*) AS n FROM lineitem GROUP BY 1), rp AS (SELECT c.mature, c.n, coalesce(CASE WHEN p.p_partkey IS NOT NULL THEN 'h' || (p.p_partkey % 50) END, '--') AS hairpin, coalesce(h.p_name, '--') AS hairpin_seq, coalesce(p.p_brand, '--') AS mature_seq, p.p_partkey % 50 AS hp, h.p_size, h.p_partkey AS hk FROM c LEFT JOIN part p ON c.mature = 'm' || p.p_partkey LEFT JOIN part h ON h.p_partkey = p.p_partkey % 50)"
@@ -85,6 +89,33 @@ STACKS = f"""WITH {SEQS}, {ALN}, f AS (SELECT read_id FROM a GROUP BY 1 HAVING c
   SELECT ref AS chrom, CAST(a AS INT) AS "from", CAST(b AS INT) AS "to", strand, CASE WHEN strand = '-' THEN {_RC.format('substr(s, a + 1, b - a)')} ELSE substr(s, a + 1, b - a) END AS seq FROM z"""
 
 
+_PICKS = ", ".join(
+    f"p{i} AS (SELECT l.locus, min(l.e) AS e FROM l" + (f" JOIN p{i - 1} p ON p.locus = l.locus AND l.beg >= p.e" if i else "") + " GROUP BY 1)" for i in range(4)
+)
+_PICKED = " UNION ALL ".join(f"SELECT locus FROM p{i}" for i in range(4))
+LOCI = f"""WITH {SEQS}, {ALN},
+  r AS (SELECT ref AS chrom, strand, pos AS beg, CAST(pos + 17 + k AS INT) AS e, read_id, n, count(*) OVER (PARTITION BY read_id) AS hits FROM a),
+  f AS (SELECT * FROM r WHERE e - beg BETWEEN 18 AND 22),
+  u AS (SELECT *, max(e) OVER (PARTITION BY chrom ORDER BY beg, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS upto FROM (SELECT DISTINCT chrom, beg, e FROM f)),
+  l AS (
+    SELECT *, sum(CASE WHEN upto IS NULL OR beg - upto > 4 THEN 1 ELSE 0 END) OVER (ORDER BY chrom, beg, e ROWS UNBOUNDED PRECEDING) AS locus,
+      sum(CASE WHEN upto IS NULL OR beg >= upto THEN 1 ELSE 0 END) OVER (ORDER BY chrom, beg, e ROWS UNBOUNDED PRECEDING) AS run FROM u
+  ),
+  o AS (SELECT locus, max(w) AS overlap FROM (SELECT locus, run, max(e) - min(beg) AS w FROM l GROUP BY 1, 2) GROUP BY 1),
+  {_PICKS}, i AS (SELECT locus, count(*) AS islands FROM ({_PICKED}) GROUP BY 1),
+  g AS (SELECT f.*, locus, row_number() OVER (PARTITION BY locus ORDER BY n DESC, read_id, strand, f.beg, f.e) AS k FROM f JOIN l USING (chrom, beg, e)),
+  b AS (
+    SELECT g.locus, chrom, min(beg) AS beg, max(e) AS "end", CAST(sum(n) AS BIGINT) AS abundance, coalesce(sum(n) FILTER (strand = '+'), 0) AS plus,
+      max(hits) FILTER (k = 1) AS hits, max(beg) FILTER (k = 1) AS at_, max(e) FILTER (k = 1) AS to_ FROM g GROUP BY 1, 2
+  ),
+  loci AS (
+    SELECT chrom, beg, "end", CASE WHEN plus >= abundance - plus THEN '+' ELSE '-' END AS strand, abundance, hits, greatest(plus, abundance - plus) / abundance::DOUBLE AS oriented,
+      islands, CAST(overlap AS INT) AS overlap,
+      CASE WHEN len(substr(s, at_ + 1, to_ - at_)) > 0 THEN len(regexp_replace(substr(s, at_ + 1, to_ - at_), '[^GC]', '', 'g')) / len(substr(s, at_ + 1, to_ - at_))::DOUBLE END AS gc
+    FROM b JOIN o USING (locus) JOIN i USING (locus) LEFT JOIN s ON s.doc_id = chrom
+  )"""
+
+
 QUERIES = {
     "rfam_compose": (lambda s, d: r.rfam_compose(_parts(s, d).select(F.concat(F.lit("RF;"), F.split_part("p_type", F.lit(" "), F.lit(1)), F.lit(";x:"), "p_brand").alias("ref"), F.col("p_size").cast("long").alias("n")), 1000000), "WITH b AS (SELECT split_part(p_type, ' ', 1) AS class, p_brand AS species, CAST(sum(p_size) AS BIGINT) AS n FROM part GROUP BY 1, 2) SELECT class, species, n, round(100.0::DOUBLE * n / 1000000, 4) AS of_total, round(100.0::DOUBLE * n / (SELECT sum(n) FROM b), 4) AS of_mapped FROM b"),
     "nt_edit_sites": (lambda s, d: r.nt_edit_sites(_edits(s, d)), f"WITH {SEQS}, h AS (SELECT sample, doc_id % 5 + 1 AS n, s, unnest(range(0, len(s) // 100)) AS o FROM s), x AS (SELECT sample, 'm' || o AS mature, n, unnest(range(0, 7)) AS beg, substr(s, 100 * o + 1, 100) AS s FROM h), i AS (SELECT sample, mature, n, beg, translate(substr(s, beg + 1, 18), 'N', 'A') AS q FROM x WHERE beg <= 4), e AS (SELECT sample, mature, n, beg + p - 1 AS pos, substr('ACGTACGTACGTACGTACGTAC', beg + p, 1) AS a, substr(q, p, 1) AS b FROM (SELECT *, unnest(range(1, 19)) AS p FROM i)), c AS (SELECT sample, mature, pos, sum(n) AS coverage FROM e GROUP BY 1, 2, 3), d AS (SELECT sample, mature, pos, a || '->' || b AS sub, sum(n) AS edited FROM e WHERE a <> b GROUP BY 1, 2, 3, 4) SELECT sample AS precursor, mature, CAST(pos AS INT) AS pos, sub, CAST(edited AS BIGINT) AS edited, CAST(coverage AS BIGINT) AS coverage, round(100.0::DOUBLE * edited / coverage, 4) AS percent FROM d JOIN c USING (sample, mature, pos)"),
@@ -97,6 +128,15 @@ QUERIES = {
     "hairpin_mature_report": (lambda s, d: r.hairpin_mature_report(*_report(s, d)[:4]), f"WITH {_CNT} SELECT mature, n, hairpin, hairpin_seq, mature_seq, '--' AS mfe, '--' AS pos FROM rp"),
     "novel_report": (lambda s, d: r.hairpin_mature_report(*_report(s, d)), f"WITH {_CNT} SELECT mature, n, hairpin, hairpin_seq, mature_seq, coalesce((-p_size)::VARCHAR, '--') AS mfe, coalesce(hk::VARCHAR, '--') AS pos FROM rp"),
     "novel_dedup": (lambda s, d: r.novel_dedup(_parts(s, d).select(F.col("p_type").alias("seq"), F.col("p_brand").alias("star"), F.col("p_size").alias("score"), F.col("p_partkey").alias("id"))), "WITH f AS (SELECT * FROM part QUALIFY row_number() OVER (PARTITION BY p_type ORDER BY p_size DESC, p_partkey) = 1) SELECT p_partkey AS id, 'mature' AS kind, p_type AS seq FROM f UNION ALL SELECT p_partkey, 'star', p_brand FROM f"),
-    "hairpin_candidate_filter": (lambda s, d: r.hairpin_candidate_filter(_cand(s, d), oriented=0.5, hits=40, gc=0.04).select("locus", "abundance", "hits", "paired"), "SELECT l_partkey AS locus, count(*) AS abundance, count(DISTINCT l_suppkey) AS hits, CAST(sum(l_linenumber) AS BIGINT) AS paired FROM lineitem GROUP BY 1 HAVING count(*) >= 5 AND count(DISTINCT l_suppkey) <= 40 AND count(*) FILTER (l_linestatus = 'O')::DOUBLE / count(*) >= 0.5 AND count(DISTINCT l_returnflag) <= 3 AND max(l_quantity) <= 70 AND avg(l_discount) >= 0.04 AND -sum(l_quantity) / 10 <= -25 AND sum(l_linenumber) >= 17"),
+    "hairpin_candidate_filter": (
+        lambda s, d: r.hairpin_candidate_filter(_cand(s, d), oriented=0.6, hits=4).withColumns({"gc": F.round("gc", 6), "oriented": F.round("oriented", 6)}),
+        f"""{LOCI} SELECT chrom, beg, "end", strand, abundance, hits, round(oriented, 6) AS oriented, islands, overlap, round(gc, 6) AS gc, energy, paired
+  FROM loci JOIN (SELECT s_suppkey AS chrom, -s_nationkey - 20 AS energy, 14 + s_nationkey % 9 AS paired FROM supplier) USING (chrom)
+  WHERE abundance >= 5 AND hits <= 4 AND oriented >= 0.6 AND islands <= 3 AND overlap <= 70 AND gc >= 0.1 AND energy <= -25 AND paired >= 17""",
+    ),
+    "hairpin_loci": (
+        lambda s, d: r.hairpin_loci(_stacked(s, d), genome(s, d), (18, 22), 4).withColumns({"gc": F.round("gc", 6), "oriented": F.round("oriented", 6)}),
+        f'{LOCI} SELECT chrom, beg, "end", strand, abundance, hits, round(oriented, 6) AS oriented, islands, overlap, round(gc, 6) AS gc FROM loci',
+    ),
     "precursor_stack_excise": (lambda s, d: r.precursor_stack_excise(r.read_stacks(_stacked(s, d), 4, 70, 3000), genome(s, d)), STACKS),
 }

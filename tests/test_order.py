@@ -95,3 +95,38 @@ def test_sample_statistics_by_ranges(spark):
         at = ("abc"[i], "abc"[j])
         assert got[at].spearman == pytest.approx(np.corrcoef(rank(x[:, i]), rank(x[:, j]))[0, 1], abs=1e-4)
         assert tau[at] == pytest.approx(tau_b(list(zip(x[:, i], x[:, j], strict=True))), abs=1e-6)
+
+
+def test_hairpin_loci_by_hand(spark):
+    """Two loci on one chromosome: four alignments in a chain, of which two are apart; and one alone, of a read that is also elsewhere."""
+    from strandloom.operators import records
+
+    aln = spark.createDataFrame(
+        [
+            ("c", "+", 0, 20, "a", 5), ("c", "+", 15, 36, "b", 2), ("c", "-", 30, 50, "d", 1), ("c", "+", 40, 60, "e", 9),
+            ("c", "-", 500, 520, "f", 3), ("d", "+", 7, 27, "f", 3), ("c", "+", 100, 130, "long", 50), (None, "+", 0, 20, "g", 1),
+        ],
+        "chrom string, strand string, beg int, end int, read string, n int",
+    )
+    genome = spark.createDataFrame([("c", "A" * 45 + "GC" * 5 + "A" * 600)], "chrom string, seq string")
+    got = {tuple(r) for r in records.hairpin_loci(aln, genome).collect()}
+    assert got == {
+        ("c", 0, 60, "+", 17, 1, 16 / 17, 2, 60, 0.5),
+        ("c", 500, 520, "-", 3, 2, 1.0, 1, 20, 0.0),
+        ("d", 7, 27, "+", 3, 2, 1.0, 1, 20, None),
+    }
+    assert records.hairpin_loci(aln.where("n > 99"), genome).count() == 0
+
+
+def test_most_alignments_apart_by_brute_force(spark):
+    from strandloom.operators import records
+
+    rng = np.random.default_rng(2)
+    rows = [(int(c), "+", int(b), int(b) + int(rng.integers(20, 23)), f"r{i}", 1) for i, (c, b) in enumerate(zip(rng.integers(0, 30, 240), rng.integers(0, 120, 240), strict=True))]
+    aln = spark.createDataFrame(rows, "chrom int, strand string, beg int, end int, read string, n int")
+    genome = spark.createDataFrame([(c, "ACGT" * 60) for c in range(30)], "chrom int, seq string")
+    got = {r.chrom: r.islands for r in records.hairpin_loci(aln, genome, most=9).collect()}
+    for c in {r[0] for r in rows}:
+        spans = [(b, e) for q, _, b, e, _, _ in rows if q == c]
+        best = max(k for k in range(1, 8) for pick in combinations(spans, k) if all(x[1] <= y[0] for x, y in zip(sorted(pick), sorted(pick)[1:], strict=False)))
+        assert got[c] == best

@@ -6,7 +6,7 @@ import gzip
 
 
 from strandloom.sources import readers, sinks
-from strandloom.streaming.upsert import upsert_qc, upsert_stream
+from strandloom.streaming.upsert import read_upserted, upsert_qc, upsert_stream
 
 
 def put(tmp_path, name, text):
@@ -100,3 +100,33 @@ def test_upsert_in_batch_and_stream(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert {tuple(r) for r in spark.read.parquet(str(tmp_path / "out" / "v=0")).select("sample", "at").collect()} == {("s", 2), ("t", 1)}
+
+
+def test_upsert_touches_only_buckets_of_the_batch(spark, tmp_path):
+    src, out, cp = (str(tmp_path / n) for n in ("in", "out", "cp"))
+
+    def put(rows):
+        spark.createDataFrame(rows, "k int, at int, v string").coalesce(1).write.mode("append").parquet(src)
+        q = upsert_stream(spark.readStream.schema("k int, at int, v string").parquet(src), ["k"], ["at"], out, cp, 8)
+        q.processAllAvailable()
+        q.stop()
+
+    def shown(before=float("inf")):
+        return {tuple(r) for r in read_upserted(spark, out, before).collect()}
+
+    assert read_upserted(spark, out) is None
+    first = [(k, 1, "a") for k in range(40)]
+    put(first)
+    assert shown() == set(first) and (tmp_path / "out" / "v=0").is_dir()
+    put([(3, 2, "b"), (5, 0, "late")])
+    want = {(k, 2, "b") if k == 3 else (k, 1, "a") for k in range(40)}
+    assert shown() == want
+    assert 1 <= len(list((tmp_path / "out" / "v=1").glob("upsert_bucket=*"))) <= 2
+    assert shown(1) == set(first)  # what the batch started from is still there, should it run again
+    put([(3, 3, "c")])
+    assert shown() == {(k, 3, "c") if k == 3 else (k, 1, "a") for k in range(40)}
+    # key 3's bucket had been replaced by v=1 before this batch began
+    assert len(list((tmp_path / "out").glob("v=*/upsert_bucket=*"))) <= 8 + 2
+    # a version without its mark does not count
+    (tmp_path / "out" / "v=2" / "_SUCCESS").unlink()
+    assert shown() == want
