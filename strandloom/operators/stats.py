@@ -345,19 +345,6 @@ def term_genes(closure: DataFrame, foreground: DataFrame) -> DataFrame:
     return closure.select("term", "gene").distinct().join(foreground.select("gene").distinct(), "gene", "left_semi").select("term", "gene")
 
 
-def go_enrich_length_bias(closure: DataFrame, foreground: DataFrame, lengths: DataFrame, bins: int = 10) -> DataFrame:
-    """Enrichment with odds by length: genes fall into equal bins of length, a bin's hit rate weights its genes; normal
-    approximation of the weighted count. lengths: gene, len."""
-    g = closure.select("gene").distinct().join(lengths, "gene").join(foreground.select("gene").distinct().withColumn("fg", F.lit(1)), "gene", "left").withColumn("fg", F.coalesce("fg", F.lit(0)))
-    cuts = g.agg(F.percentile_approx("len", [i / bins for i in range(1, bins)], 10000).alias("cuts"))
-    g = g.crossJoin(F.broadcast(cuts)).withColumn("bin", F.size(F.filter("cuts", lambda c: c < F.col("len"))))
-    rate = g.groupBy("bin").agg(((F.sum("fg") + 0.5) / (F.count("*") + 1)).alias("w"))
-    g = g.join(F.broadcast(rate), "bin").select("gene", "fg", "w")
-    t = closure.distinct().join(g, "gene").groupBy("term").agg(F.sum("fg").alias("k"), F.sum("w").alias("expected"), F.sum(F.col("w") * (1 - F.col("w"))).alias("var"), F.count("*").alias("big_k"))
-    z = (F.col("k") - 0.5 - F.col("expected")) / F.sqrt("var")
-    return t.select("term", "k", "big_k", F.round("expected", 4).alias("expected"), F.round(F.when(z > 0, normal_tail(z)).otherwise(1 - normal_tail(z)), 6).alias("p"))
-
-
 def expr_pattern_pairs(a: DataFrame, b: DataFrame, least_change: float, least_r: float) -> DataFrame:
     """Pairs of series (id, x) of one length that change enough and correlate.
 
