@@ -57,11 +57,12 @@ GENES = "g AS (SELECT p_partkey % 5 AS chrom, p_partkey * 137 % 100000 + 1 AS st
 
 
 def features(s, d):
-    """Features of 20 bases all along every document."""
-    return sequences(s, d).where("length(s) >= 60").select(F.col("doc_id").alias("chrom"), F.explode(F.sequence(F.lit(5), F.length("s") - 19, F.lit(26))).alias("start"), F.when(F.col("doc_id") % 2 == 0, "-").otherwise("+").alias("strand")).withColumn("end", F.col("start") + 19)
+    """Features of 20 bases all along every document; the last one may reach beyond its end."""
+    starts = F.expr("CASE WHEN length(s) > 0 THEN sequence(1, length(s), 26) ELSE array() END")
+    return sequences(s, d).select(F.col("doc_id").alias("chrom"), F.explode(starts).alias("start"), F.when(F.col("doc_id") % 2 == 0, "-").otherwise("+").alias("strand")).withColumn("end", F.col("start") + 19)
 
 
-FEAT = f"{SEQS}, f AS (SELECT doc_id AS chrom, unnest(range(5, len(s) - 18, 26)) AS start, CASE WHEN doc_id % 2 = 0 THEN '-' ELSE '+' END AS strand, s FROM s WHERE len(s) >= 60)"
+FEAT = f"{SEQS}, f AS (SELECT doc_id AS chrom, unnest(range(1, len(s) + 1, 26)) AS start, CASE WHEN doc_id % 2 = 0 THEN '-' ELSE '+' END AS strand, s FROM s)"
 
 
 def genome(s, d):
@@ -69,12 +70,12 @@ def genome(s, d):
 
 
 def ids(s, d):
-    return sequences(s, d).where("length(s) >= 60").select(F.col("doc_id").alias("id"), F.col("s").alias("seq"))
+    return sequences(s, d).select(F.col("doc_id").alias("id"), F.col("s").alias("seq"))
 
 
 def locations(s, d):
     """A location in every 60 bases of every document, forwards or backwards; every third document's first one reaches to the end."""
-    o = ids(s, d).select("id", F.explode(F.sequence(F.lit(0), F.length("seq") - 60, F.lit(60))).alias("o"))
+    o = ids(s, d).select("id", F.explode(F.expr("CASE WHEN length(seq) > 0 THEN sequence(0, length(seq) - 1, 60) ELSE array() END")).alias("o"))
     return o.select("id", (F.col("o") + F.when(F.col("id") % 2 == 0, 30).otherwise(3)).alias("start"), F.when((F.col("id") % 3 == 0) & (F.col("o") == 0), -1).otherwise(F.col("o") + 12).alias("end"))
 
 
@@ -149,11 +150,11 @@ QUERIES = {
     "size_filter_genome": (lambda s, d: a.unmapped(uniq(s, d).where("length(seq) between 20 and 30"), a.exact_align(uniq(s, d), bench(s, d), LENGTHS)), f"WITH {EXACT} SELECT seq, n FROM u WHERE len(seq) BETWEEN 20 AND 30 AND seq NOT IN (SELECT seq FROM ex)"),
     "mirna_profile": (lambda s, d: a.mirna_profile(uniq(s, d), bench(s, d), organism_sets(s, d), 3), PROFILE),
     "feature_sequences": (lambda s, d: a.feature_sequences(features(s, d), genome(s, d)), f"WITH {FEAT} SELECT chrom, CAST(start AS INT) AS start, strand, CAST(start + 19 AS INT) AS \"end\", CASE WHEN strand = '-' THEN {RC.format('substr(s, start, 20)')} ELSE substr(s, start, 20) END AS seq FROM f"),
-    "extract_locations": (lambda s, d: a.extract_locations(ids(s, d), locations(s, d), gap=2), f"WITH {SEQS}, o AS (SELECT doc_id AS id, s, unnest(range(0, len(s) - 59, 60)) AS o FROM s WHERE len(s) >= 60), x AS (SELECT id, o, s, o + CASE WHEN id % 2 = 0 THEN 30 ELSE 3 END AS a, CASE WHEN id % 3 = 0 AND o = 0 THEN len(s) ELSE o + 12 END AS b FROM o), y AS (SELECT *, substr(s, least(a, b), abs(b - a) + 1) AS p FROM x), z AS (SELECT *, CASE WHEN a > b THEN {RC.format('p')} ELSE p END AS q FROM y) SELECT id, CAST(a AS INT) AS start, CAST(CASE WHEN id % 3 = 0 AND o = 0 THEN -1 ELSE o + 12 END AS INT) AS \"end\", array_to_string(string_split(q, '')[1:len(q):2], '') AS seq FROM z"),
+    "extract_locations": (lambda s, d: a.extract_locations(ids(s, d), locations(s, d), gap=2), f"WITH {SEQS}, o AS (SELECT doc_id AS id, s, unnest(range(0, len(s), 60)) AS o FROM s), x AS (SELECT id, o, s, o + CASE WHEN id % 2 = 0 THEN 30 ELSE 3 END AS a, CASE WHEN id % 3 = 0 AND o = 0 THEN len(s) ELSE o + 12 END AS b FROM o), y AS (SELECT *, substr(s, least(a, b), abs(b - a) + 1) AS p FROM x), z AS (SELECT *, CASE WHEN a > b THEN {RC.format('p')} ELSE p END AS q FROM y) SELECT id, CAST(a AS INT) AS start, CAST(CASE WHEN id % 3 = 0 AND o = 0 THEN -1 ELSE o + 12 END AS INT) AS \"end\", array_to_string(string_split(q, '')[1:len(q):2], '') AS seq FROM z"),
     "cdna_from_exons": (lambda s, d: a.cdna_from_exons(features(s, d).withColumn("tid", F.col("chrom")), genome(s, d)), f"WITH {FEAT} SELECT chrom AS tid, CASE WHEN strand = '-' THEN {RC.format('string_agg(substr(s, start, 20), chr(0) ORDER BY start)').replace('chr(0)', repr(''))} ELSE string_agg(substr(s, start, 20), '' ORDER BY start) END AS seq FROM f GROUP BY chrom, strand"),
-    "utr3_from_cds": (lambda s, d: a.utr3_from_cds(ids(s, d).select("id", F.lit(25).alias("start"), F.lit(50).alias("end"), F.when(F.col("id") % 2 == 0, "-").otherwise("+").alias("strand")), ids(s, d)), f"WITH {SEQS}, u AS (SELECT doc_id AS id, CASE WHEN doc_id % 2 = 0 THEN left(s, 24) ELSE substr(s, 51) END AS utr FROM s WHERE len(s) >= 60) SELECT id, utr FROM u WHERE len(utr) >= 16"),
+    "utr3_from_cds": (lambda s, d: a.utr3_from_cds(ids(s, d).select("id", F.lit(25).alias("start"), F.lit(50).alias("end"), F.when(F.col("id") % 2 == 0, "-").otherwise("+").alias("strand")), ids(s, d)), f"WITH {SEQS}, u AS (SELECT doc_id AS id, CASE WHEN doc_id % 2 = 0 THEN left(s, 24) ELSE substr(s, 51) END AS utr FROM s) SELECT id, utr FROM u WHERE len(utr) >= 16"),
     "flank_hits": (lambda s, d: a.flank_hits(features(s, d), genome(s, d), 30), f"WITH {FEAT}, x AS (SELECT *, greatest(1, start - 30) AS a, least(len(s), start + 19 + 30) AS b FROM f) SELECT chrom, CAST(start AS INT) AS start, strand, CAST(start + 19 AS INT) AS \"end\", CAST(a AS INT) AS \"from\", CAST(b AS INT) AS \"to\", CASE WHEN strand = '-' THEN {RC.format('substr(s, a, b - a + 1)')} ELSE substr(s, a, b - a + 1) END AS flanked FROM x"),
-    "extend_utr": (lambda s, d: a.extend_utr(ids(s, d), ids(s, d).where("id % 2 = 0"), 80), f"WITH {SEQS} SELECT doc_id AS id, CASE WHEN doc_id % 2 = 0 THEN lpad(right(s, 80), 80, 'A') ELSE repeat('A', 80) END || s || repeat('A', 80) AS seq FROM s WHERE len(s) >= 60"),
+    "extend_utr": (lambda s, d: a.extend_utr(ids(s, d), ids(s, d).where("id % 2 = 0"), 80), f"WITH {SEQS} SELECT doc_id AS id, CASE WHEN doc_id % 2 = 0 THEN lpad(right(s, 80), 80, 'A') ELSE repeat('A', 80) END || s || repeat('A', 80) AS seq FROM s"),
     "region_select": (lambda s, d: a.region_select(genes(s, d).select("chrom", F.col("start").alias("beg"), "end", "id"), 2, 20000, 60000), f"WITH {GENES} SELECT chrom, start AS beg, end_ AS \"end\", id FROM g WHERE chrom = 2 AND start < 60000 AND end_ > 20000"),
     "cis_nat": (lambda s, d: a.cis_nat(genes(s, d)), f"WITH {GENES} SELECT p.chrom, p.id AS p_id, m.id AS m_id, CASE WHEN {_OV} > 0 AND p.start <= m.start AND p.end_ >= m.end_ THEN 'Containing plus' WHEN {_OV} > 0 AND m.start <= p.start AND m.end_ >= p.end_ THEN 'Containing minus' WHEN {_OV} > 0 AND p.start < m.start THEN 'Tail to tail' WHEN {_OV} > 0 THEN 'Head to head' WHEN p.start < m.start THEN 'Nearby tail' ELSE 'Nearby head' END AS kind, greatest({_OV}, 0) AS overlap FROM g p JOIN g m ON p.chrom = m.chrom AND p.strand = '+' AND m.strand = '-' WHERE {_OV} > -100"),
     "trans_nat": (lambda s, d: a.trans_nat(selfhits(s, d)).select("qid", "sid", "alen", "gaps", "line", "kind"), "WITH h AS (SELECT l_suppkey % 60 AS qid, l_partkey % 60 AS sid, CAST(l_quantity * 5 AS INT) AS alen, l_linenumber - 1 AS gaps, l_partkey % 7 AS ss, l_suppkey % 5 AS se, ((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 1000 + l_suppkey AS line FROM lineitem), k AS (SELECT *, CASE WHEN gaps <> 0 AND gaps::DOUBLE / alen < 0.1 AND (alen >= 150 OR alen >= 140) THEN 'HC' WHEN gaps = 0 AND alen >= 100 THEN '100nt' END AS kind FROM h WHERE ss > se AND qid <> sid), r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY line) AS a, row_number() OVER (PARTITION BY sid ORDER BY line) AS b FROM k WHERE kind IS NOT NULL) SELECT qid, sid, alen, CAST(gaps AS INT) AS gaps, line, kind FROM r WHERE a = 1 OR b = 1"),
@@ -165,7 +166,7 @@ QUERIES = {
         lambda s, d: tg.target_sites(utrs(s, d), mirs(s, d), lengths=(8,), wobbles={}, mismatches={}, loops=(8,)).groupBy("mirna", "target", "loop").agg(F.count("*").alias("sites"), F.sum("end").alias("places")),
         LOOP_SITES,
     ),
-    "random_site": (lambda s, d: a.random_site(ids(s, d).select(F.col("id").alias("utr"), "seq")), f"WITH {SEQS}, h AS (SELECT doc_id AS utr, s, CAST('0x' || left(md5(doc_id::VARCHAR), 8) AS BIGINT) % (len(s) - 21) + 1 AS pos FROM s WHERE len(s) >= 60) SELECT utr, pos, substr(s, pos, 22) AS site FROM h"),
+    "random_site": (lambda s, d: a.random_site(ids(s, d).select(F.col("id").alias("utr"), "seq")), f"WITH {SEQS}, h AS (SELECT doc_id AS utr, s, CAST('0x' || left(md5(doc_id::VARCHAR), 8) AS BIGINT) % (len(s) - 21) + 1 AS pos FROM s WHERE len(s) >= 22) SELECT utr, pos, substr(s, pos, 22) AS site FROM h"),
     "duplex_pvalue": (lambda s, d: a.duplex_pvalue(read(s, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", (-F.col("l_quantity")).alias("energy"), F.lit(22).alias("m"), (F.col("l_suppkey") + 100).alias("n")), 1.0, 0.5).select("l_orderkey", "l_linenumber", "l_partkey", "energy", F.round("p", 8).alias("p")), "WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey, -l_quantity AS energy, 1 - exp(-exp(-(l_quantity / ln(22 * (l_suppkey + 100)) - 1.0) / 0.5)) AS p FROM lineitem) SELECT l_orderkey, l_linenumber, l_partkey, energy, round(p, 8) AS p FROM x WHERE energy <= -10 AND p <= 0.05"),
     "hamming_stats": (lambda s, d: a.hamming_stats(view(s, d).select("read_id", F.expr("left(seq, CAST(length(seq) div 2 AS INT))").alias("a"), F.expr("substr(seq, CAST(length(seq) div 2 AS INT) + 1)").alias("b"))).select("read_id", "mism", "wobbles", "last"), f"WITH {READS}, x AS (SELECT read_id, left(seq, len(seq) // 2) AS a, substr(seq, len(seq) // 2 + 1) AS b FROM reads), y AS (SELECT *, list_filter(list_transform(range(1, len(a) + 1), lambda i: substr(a, i, 1) || substr(b, i, 1)), lambda p: substr(p, 1, 1) <> substr(p, 2, 1)) AS z FROM x) SELECT read_id, CAST(len(z) AS INT) AS mism, CAST(len(list_filter(z, lambda p: p IN ('CT', 'TC', 'AG', 'GA'))) AS INT) AS wobbles, right(a, 1) <> right(b, 1) AS last FROM y"),
     "name_compat_pairs": (lambda s, d: a.name_compat_pairs(read(s, d, "part").select(F.concat(F.lit("MIR"), F.col("p_partkey") % 40, F.when(F.col("p_size") % 2 == 0, "-5p").otherwise("*")).alias("id"), F.col("p_partkey").cast("string").alias("seq")), read(s, d, "supplier").select(F.concat(F.lit("mir"), F.col("s_suppkey") % 60, F.lit("a")).alias("id"))), "WITH m AS (SELECT 'MIR' || (p_partkey % 40) || CASE WHEN p_size % 2 = 0 THEN '-5p' ELSE '*' END AS mature, 'mir' || (p_partkey % 40) AS x FROM part), h AS (SELECT 'mir' || (s_suppkey % 60) || 'a' AS hairpin FROM supplier) SELECT mature, hairpin FROM m JOIN h ON hairpin = x || 'a'"),
@@ -227,7 +228,7 @@ QUERIES = {
     ),
     "genome_sizes": (
         lambda s, d: n.genome_sizes(ids(s, d)),
-        f"WITH {SEQS} SELECT doc_id AS id, CAST(len(s) AS INT) AS size FROM s WHERE len(s) >= 60 ORDER BY 2 DESC, 1 LIMIT 10",
+        f"WITH {SEQS} SELECT doc_id AS id, CAST(len(s) AS INT) AS size FROM s ORDER BY 2 DESC, 1 LIMIT 10",
     ),
     "drop_nohit_blocks": (lambda s, d: read(s, d, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("block")).where(~F.col("block").contains("the")), "SELECT doc_id, block FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS block FROM documents) WHERE NOT contains(block, 'the')"),
     "completeness_check": (

@@ -10,18 +10,16 @@ from strandloom.plans.views import ALN, SEQS, alignments, read, sequences
 
 
 def _edits(s, d):
-    """Pieces all along the sequences as edited reads of one mature, seven in every 100 bases; a mature has the number of its hundred."""
-    x = sequences(s, d).where("length(s) >= 100").select("sample", F.posexplode(F.regexp_extract_all("s", F.lit("[A-Z]{100}"), F.lit(0))).alias("o", "s"), "doc_id")
-    x = x.select("*", F.explode(F.sequence(F.lit(0), F.lit(6))).alias("beg"))
-    return x.select(F.col("sample").alias("precursor"), F.concat(F.lit("m"), "o").alias("mature"), "beg", F.translate(F.substr("s", F.col("beg") + 1, F.lit(18)), "N", "A").alias("seq"), F.lit("ACGTACGTACGTACGTACGTAC").alias("ref"), (F.col("doc_id") % 5 + 1).alias("n"))
+    """The sequences cut into edited reads of 18 bases (the last may be shorter); five in a row are reads of one mature, each one place further."""
+    x = sequences(s, d).select("sample", F.posexplode(F.regexp_extract_all("s", F.lit("[A-Z]{1,18}"), F.lit(0))).alias("o", "s"), "doc_id").withColumn("beg", F.col("o") % 5)
+    return x.select(F.col("sample").alias("precursor"), F.concat(F.lit("m"), F.floor(F.col("o") / 5)).alias("mature"), "beg", F.translate("s", "N", "A").alias("seq"), F.lit("ACGTACGTACGTACGTACGTAC").alias("ref"), (F.col("doc_id") % 5 + 1).alias("n"))
 
 
 def _mrd(s, d):
     p = ids(s, d).select(F.col("id").alias("precursor"), "seq")
     w = p.select("precursor", F.explode(F.array(F.struct(F.lit("M").alias("kind"), F.lit(5).alias("beg"), F.lit(26).alias("end")), F.struct(F.lit("S").alias("kind"), F.lit(35).alias("beg"), F.lit(56).alias("end")))).alias("w")).select("precursor", "w.*")
-    x = p.select("precursor", F.posexplode(F.regexp_extract_all("seq", F.lit("[A-Z]{1,35}"), F.lit(0))).alias("o", "q")).where("length(q) >= 15")
-    x = x.select("precursor", "o", "q", F.explode(F.array(F.lit(5), F.lit(3))).alias("b")).withColumn("beg", 35 * F.col("o") + F.col("b"))
-    x = x.select("precursor", "beg", F.concat(F.substr("q", F.col("b") + 1, F.lit(9)), F.lit("A")).alias("seq"), (F.col("precursor") % 4 + F.col("beg")).alias("n"))
+    x = p.select("precursor", F.posexplode(F.regexp_extract_all("seq", F.lit("[A-Z]{1,10}"), F.lit(0))).alias("o", "q")).withColumn("beg", 10 * F.col("o"))
+    x = x.select("precursor", "beg", F.regexp_replace("q", ".$", "A").alias("seq"), (F.col("precursor") % 4 + F.col("beg") + 1).alias("n"))
     return r.mrd_assemble(p, w, x).select("precursor", "total", "mask", "pri_seq", F.array_join(F.transform("reads", lambda q: F.concat_ws(":", q["beg"], q["end"], q["aligned"], q["n"])), " ").alias("reads"))
 
 
@@ -118,8 +116,8 @@ LOCI = f"""WITH {SEQS}, {ALN},
 
 QUERIES = {
     "rfam_compose": (lambda s, d: r.rfam_compose(_parts(s, d).select(F.concat(F.lit("RF;"), F.split_part("p_type", F.lit(" "), F.lit(1)), F.lit(";x:"), "p_brand").alias("ref"), F.col("p_size").cast("long").alias("n")), 1000000), "WITH b AS (SELECT split_part(p_type, ' ', 1) AS class, p_brand AS species, CAST(sum(p_size) AS BIGINT) AS n FROM part GROUP BY 1, 2) SELECT class, species, n, round(100.0::DOUBLE * n / 1000000, 4) AS of_total, round(100.0::DOUBLE * n / (SELECT sum(n) FROM b), 4) AS of_mapped FROM b"),
-    "nt_edit_sites": (lambda s, d: r.nt_edit_sites(_edits(s, d)), f"WITH {SEQS}, h AS (SELECT sample, doc_id % 5 + 1 AS n, s, unnest(range(0, len(s) // 100)) AS o FROM s), x AS (SELECT sample, 'm' || o AS mature, n, unnest(range(0, 7)) AS beg, substr(s, 100 * o + 1, 100) AS s FROM h), i AS (SELECT sample, mature, n, beg, translate(substr(s, beg + 1, 18), 'N', 'A') AS q FROM x WHERE beg <= 4), e AS (SELECT sample, mature, n, beg + p - 1 AS pos, substr('ACGTACGTACGTACGTACGTAC', beg + p, 1) AS a, substr(q, p, 1) AS b FROM (SELECT *, unnest(range(1, 19)) AS p FROM i)), c AS (SELECT sample, mature, pos, sum(n) AS coverage FROM e GROUP BY 1, 2, 3), d AS (SELECT sample, mature, pos, a || '->' || b AS sub, sum(n) AS edited FROM e WHERE a <> b GROUP BY 1, 2, 3, 4) SELECT sample AS precursor, mature, CAST(pos AS INT) AS pos, sub, CAST(edited AS BIGINT) AS edited, CAST(coverage AS BIGINT) AS coverage, round(100.0::DOUBLE * edited / coverage, 4) AS percent FROM d JOIN c USING (sample, mature, pos)"),
-    "mrd_assemble": (_mrd, f"WITH {SEQS}, p AS (SELECT doc_id AS precursor, s AS q FROM s WHERE len(s) >= 60), x AS (SELECT precursor, substr(q, b + 1, 10) AS w, b, substr(q, b + 1, 9) || 'A' AS t, precursor % 4 + b AS n FROM (SELECT *, unnest(list_concat(range(5, len(q) - 9, 35), range(3, len(q) - 11, 35))) AS b FROM p)), y AS (SELECT precursor, b, n, array_to_string(list_transform(range(1, 11), lambda i: CASE WHEN substr(t, i, 1) = substr(w, i, 1) THEN lower(substr(t, i, 1)) ELSE substr(t, i, 1) END), '') AS al FROM x) SELECT precursor, CAST(sum(n) AS BIGINT) AS total, repeat('f', 5) || repeat('M', 22) || repeat('l', 8) || repeat('S', 22) || repeat('f', any_value(len(q)) - 57) AS mask, any_value(q) AS pri_seq, string_agg(b || ':' || (b + 9) || ':' || al || ':' || n, ' ' ORDER BY b) AS reads FROM y JOIN p USING (precursor) GROUP BY precursor"),
+    "nt_edit_sites": (lambda s, d: r.nt_edit_sites(_edits(s, d)), f"WITH {SEQS}, h AS (SELECT sample, doc_id % 5 + 1 AS n, s, unnest(range(0, (len(s) + 17) // 18)) AS o FROM s), i AS (SELECT sample, 'm' || (o // 5) AS mature, n, o % 5 AS beg, translate(substr(s, 18 * o + 1, 18), 'N', 'A') AS q FROM h), e AS (SELECT sample, mature, n, beg + p - 1 AS pos, substr('ACGTACGTACGTACGTACGTAC', beg + p, 1) AS a, substr(q, p, 1) AS b FROM (SELECT *, unnest(range(1, len(q) + 1)) AS p FROM i)), c AS (SELECT sample, mature, pos, sum(n) AS coverage FROM e GROUP BY 1, 2, 3), d AS (SELECT sample, mature, pos, a || '->' || b AS sub, sum(n) AS edited FROM e WHERE a <> b GROUP BY 1, 2, 3, 4) SELECT sample AS precursor, mature, CAST(pos AS INT) AS pos, sub, CAST(edited AS BIGINT) AS edited, CAST(coverage AS BIGINT) AS coverage, round(100.0::DOUBLE * edited / coverage, 4) AS percent FROM d JOIN c USING (sample, mature, pos)"),
+    "mrd_assemble": (_mrd, f"WITH {SEQS}, p AS (SELECT doc_id AS precursor, s AS q FROM s), x AS (SELECT precursor, w, b, left(w, len(w) - 1) || 'A' AS t, precursor % 4 + b + 1 AS n FROM (SELECT precursor, b, substr(q, b + 1, 10) AS w FROM (SELECT *, unnest(range(0, len(q), 10)) AS b FROM p))), y AS (SELECT precursor, b, n, len(w) AS l, array_to_string(list_transform(range(1, len(w) + 1), lambda i: CASE WHEN substr(t, i, 1) = substr(w, i, 1) THEN lower(substr(t, i, 1)) ELSE substr(t, i, 1) END), '') AS al FROM x) SELECT precursor, CAST(sum(n) AS BIGINT) AS total, left(repeat('f', 5) || repeat('M', 22) || repeat('l', 8) || repeat('S', 22) || repeat('f', any_value(len(q))), any_value(len(q))) AS mask, any_value(q) AS pri_seq, string_agg(b || ':' || (b + l - 1) || ':' || al || ':' || n, ' ' ORDER BY b) AS reads FROM y JOIN p USING (precursor) GROUP BY precursor"),
     "go_class_table": (_go, "WITH j AS (SELECT p_brand AS gene, p_type || CASE WHEN p_size = 7 THEN '?' ELSE '' END AS term, CASE WHEN p_size <> 7 THEN split_part(p_type, ' ', 1) END AS ns, lower(p_type) AS name FROM part) SELECT gene, {}, count(*) FILTER (ns IS NULL) AS unknown FROM j GROUP BY 1".format(", ".join(f"coalesce(string_agg(DISTINCT {c}, '//' ORDER BY {c}) FILTER (ns = '{n}'), '--') AS {n}_{k}" for n in ("STANDARD", "SMALL") for c, k in (("term", "ids"), ("name", "names"))))),
     "nat_table_split": (lambda s, d: r.nat_table_split(read(s, d, "lineitem").select(F.when(F.col("l_linenumber") == 1, "cis").otherwise("trans").alias("kind"), (F.col("l_partkey") % 97).alias("a"), (F.col("l_suppkey") % 89).alias("b")), sequences(s, d).select(F.col("doc_id").alias("id"), F.col("s").alias("seq"))), f"WITH {SEQS}, k AS (SELECT CASE WHEN l_linenumber = 1 THEN 'cis' ELSE 'trans' END AS kind, l_partkey % 97 AS a, l_suppkey % 89 AS b FROM lineitem), u AS (SELECT kind, a AS id FROM k UNION SELECT kind, b FROM k) SELECT kind, id, s AS seq FROM u JOIN s ON doc_id = id"),
     "phased_loci": (lambda s, d: r.phased_loci(_loci(s, d), genome(s, d)), f"WITH {SEQS}, l AS (SELECT p_partkey AS chrom, p_size * 3 + 1 AS a, p_size * 3 + 63 AS b FROM part WHERE p_size / 2e6 < 1e-5 AND p_partkey % 12 > 5) SELECT chrom, CAST(a AS INT) AS start, CAST(least(b, len(s)) AS INT) AS \"end\", substr(s, a, least(b, len(s)) - a + 1) AS seq FROM l JOIN s ON doc_id = chrom WHERE least(b, len(s)) >= a"),

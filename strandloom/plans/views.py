@@ -21,11 +21,12 @@ def sequences(spark: SparkSession, d: str) -> DataFrame:
 
 
 def reads(spark: SparkSession, d: str) -> DataFrame:
-    """sample, doc_id, i, read_id, seq, qual: pieces of 18 to 36 bases."""
-    cut = sequences(spark, d).withColumn("i", F.explode(F.expr("CASE WHEN length(s) >= 36 THEN sequence(0, CAST(floor(length(s) / 36) AS INT) - 1) ELSE array() END")))
-    seq = F.expr("substr(s, 36 * i + 1, CAST(18 + (i * 7 + doc_id) % 19 AS INT))")
+    """sample, doc_id, i, read_id, seq, qual: every letter of every text, in reads of 18 to 36 bases by document; a text's last read may be shorter."""
+    size = (18 + F.col("doc_id") % 19).cast("string")
+    cut = F.regexp_extract_all("s", F.concat(F.lit("[A-Z]{1,"), size, F.lit("}")), F.lit(0))
     rid = F.concat_ws("_", "doc_id", F.concat(F.col("i"), F.lit("#x")))
-    return cut.select("sample", "doc_id", "i", rid.alias("read_id"), seq.alias("seq")).withColumn("qual", F.translate("seq", _BASES, _QUAL))
+    rows = sequences(spark, d).select("sample", "doc_id", F.posexplode(cut).alias("i", "seq"))
+    return rows.select("sample", "doc_id", "i", rid.alias("read_id"), "seq", F.translate("seq", _BASES, _QUAL).alias("qual"))
 
 
 def collapsed(spark: SparkSession, d: str) -> DataFrame:
@@ -41,9 +42,9 @@ def alignments(spark: SparkSession, d: str) -> DataFrame:
 
 
 SEQS = f"""s AS (SELECT doc_id, source AS sample, translate(lower(regexp_replace(coalesce(text, ''), '[^A-Za-z]', '', 'g')), '{_ABC}', '{_DNA}') AS s FROM documents)"""
-READS = f"""{SEQS}, reads AS (SELECT sample, doc_id, i, doc_id || '_' || i || '#x' AS read_id, substr(s, CAST(36 * i + 1 AS BIGINT), CAST(18 + (i * 7 + doc_id) % 19 AS BIGINT)) AS seq,
-  translate(substr(s, CAST(36 * i + 1 AS BIGINT), CAST(18 + (i * 7 + doc_id) % 19 AS BIGINT)), '{_BASES}', '{_QUAL}') AS qual
-  FROM (SELECT *, unnest(range(0, len(s) // 36)) AS i FROM s))"""
+READS = f"""{SEQS}, reads AS (SELECT sample, doc_id, i, doc_id || '_' || i || '#x' AS read_id, substr(s, CAST(size * i + 1 AS BIGINT), size) AS seq,
+  translate(substr(s, CAST(size * i + 1 AS BIGINT), size), '{_BASES}', '{_QUAL}') AS qual
+  FROM (SELECT *, CAST(18 + doc_id % 19 AS BIGINT) AS size, unnest(range(0, (len(s) + 17 + doc_id % 19) // (18 + doc_id % 19))) AS i FROM s))"""
 COLLAPSED = f"{READS}, c AS (SELECT sample, seq, count(*) AS n FROM reads GROUP BY 1, 2)"
 ALN = "a AS (SELECT l_returnflag AS sample, CAST(l_orderkey AS VARCHAR) AS read_id, CASE WHEN l_linestatus = 'O' THEN '+' ELSE '-' END AS strand, l_suppkey AS ref, CAST(l_partkey AS INT) AS pos, CAST(l_quantity AS BIGINT) AS n, l_linenumber AS k FROM lineitem)"
 
