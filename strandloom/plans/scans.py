@@ -31,7 +31,7 @@ def fasta(s, d):
 def fastq(s, d):
     df = reads(s, d)
     path = _put(df, F.concat_ws("\n", F.concat(F.lit("@"), "read_id"), "seq", F.lit("+"), F.translate("qual", "#", "@")), "fastq")
-    return readers.read_fastq(s, [path], split=1 << 20).select("read_id", "seq", "qual")
+    return readers.read_fastq(s, [path]).select("read_id", "seq", "qual")
 
 
 def alignments(s, d):

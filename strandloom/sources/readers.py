@@ -1,19 +1,16 @@
 """Readers of sequence files and reports: Spark's own sources with the right separators, then expressions.
 
-FASTQ has four lines a record and no separator that a quality line cannot hold, so it has a Python data source.
+FASTQ has four lines a record and no separator that a quality line cannot hold, and a wrapped FASTA sequence has no bound; both
+follow the lines of a range of a file in their order, as Arrow columns.
 """
 
 from __future__ import annotations
 
-import gzip
-import io
-from dataclasses import dataclass
-
+import numpy as np
 import pyarrow as pa
-from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 
 def read_fasta(spark: SparkSession, path, upper: bool = True, drop_n: bool = False, line: int | None = None) -> DataFrame:
@@ -27,104 +24,112 @@ def read_fasta(spark: SparkSession, path, upper: bool = True, drop_n: bool = Fal
     return out.where(~F.upper("seq").contains("N")) if drop_n else out
 
 
-def _filesystem(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
-
-
-@dataclass
-class _FastqPart(InputPartition):
-    """The records that begin in bytes ``start`` to ``stop`` of a file (stop None: to the end)."""
-
-    path: str
-    start: int
-    stop: int | None
-
-
-class _FastqReader(DataSourceReader):
-    def __init__(self, paths: list[str], phred: int, split: int):
-        self.paths, self.split = paths, split
-        self.shift = bytes(min(255, max(0, i - phred + 33)) for i in range(256))
-
-    def partitions(self):
-        out = []
-        for path in self.paths:
-            files, place = _filesystem(path)
-            prefix = path[: len(path) - len(place)] if path.endswith(place) else ""
-            info = files.get_file_info(place)
-            found = files.get_file_info(fs.FileSelector(place, recursive=True)) if info.type == fs.FileType.Directory else [info]
-            for f in found:
-                if f.type != fs.FileType.File or f.base_name[0] in "._":
-                    continue
-                if f.path.endswith(".gz"):
-                    out.append(_FastqPart(prefix + f.path, 0, None))
-                else:
-                    out += [_FastqPart(prefix + f.path, i, i + self.split) for i in range(0, f.size, self.split)]
-        return out
-
-    def read(self, partition):
-        files, place = _filesystem(partition.path)
-        with io.BufferedReader(files.open_input_file(place), 1 << 20) as raw:
-            f = gzip.GzipFile(fileobj=raw) if place.endswith(".gz") else raw
-            rows = []
-            for row in _fastq_records(f, partition.start, partition.stop):
-                rows.append(row)
-                if len(rows) == 8192:
-                    yield self._batch(rows, partition.path)
-                    rows = []
-            if rows:
-                yield self._batch(rows, partition.path)
-
-    def _batch(self, rows, path):
-        text = lambda k: [r[k].decode("utf-8", "replace") for r in rows]
-        qual = [r[2].translate(self.shift).decode("latin-1") for r in rows]
-        return pa.RecordBatch.from_pydict({"read_id": text(0), "seq": text(1), "qual": qual, "file": [path] * len(rows), "offset": pa.array([r[3] for r in rows], pa.int64())})
-
-
-def _fastq_records(f, start: int, stop: int | None):
-    """(id, seq, qual, offset) of the records that begin in the range.
-
-    Inside a file a record begins at a line with ``@`` whose next line but one has ``+``: a quality line may begin
-    with ``@`` too, but is followed by a header and a sequence.
-    """
-    at, held = start, []
-    if start:
-        f.seek(start - 1)
-        at += len(f.readline()) - 1
-        held = [f.readline() for _ in range(3)]
-        while held[0] and not (held[0][:1] == b"@" and held[2][:1] == b"+"):
-            at += len(held.pop(0))
-            held.append(f.readline())
-    while stop is None or at < stop:
-        head = held.pop(0) if held else f.readline()
-        if not head:
-            return
-        if head.strip():
-            body = [held.pop(0) if held else f.readline() for _ in range(3)]
-            yield head.rstrip(b"\r\n")[1:], body[0].rstrip(b"\r\n"), body[2].rstrip(b"\r\n"), at
-            at += sum(map(len, body))
-        at += len(head)
-
-
-class FastqSource(DataSource):
-    """A partition for every ``split`` bytes of a plain file; a gz file cannot be cut.
-
-    Options: path (files or folders, commas between; local paths or URIs that Arrow opens), phred, split.
-    """
+def text_lines(spark: SparkSession, paths) -> DataFrame:
+    """value, file, block: lines in the file's order within the range (which begins at byte ``block``) that they begin in."""
+    return spark.read.text(paths).selectExpr("value", "_metadata.file_path AS file", "_metadata.file_block_start AS block")
+
+
+def _by_range(batches):
+    """(file, block, lines): the lines of a range, in as many parts as batches hold some of them."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        file, block = batch.column("file"), batch.column("block").to_numpy()
+        other = np.asarray(pc.not_equal(file.slice(1), file.slice(0, len(file) - 1))).astype(bool) | (block[1:] != block[:-1])
+        cuts = [0, *(np.flatnonzero(other) + 1), len(file)]
+        for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+            yield file[i].as_py(), int(block[i]), batch.column("value").slice(i, j - i)
+
+
+def _starts(lines: pa.Array) -> np.ndarray:
+    """Bytes before each line, and of all; what a range has of the line before it is not counted, so a line's start stays inside its range."""
+    return np.concatenate([[0], np.cumsum(np.asarray(pc.binary_length(lines)) + 1)]).astype(np.int64)
 
-    @classmethod
-    def name(cls):
-        return "fastq"
 
-    def schema(self):
-        return "read_id string, seq string, qual string, file string, offset bigint"
+def _without_blank_heads(lines: pa.Array) -> pa.Array:
+    while True:
+        blank = np.flatnonzero(np.asarray(pc.equal(pc.utf8_trim_whitespace(lines.take(pa.array(range(0, len(lines), 4)))), "")))
+        if not len(blank):
+            return lines
+        at = 4 * int(blank[0])
+        lines = pa.concat_arrays([lines.slice(0, at), lines.slice(at + 1)])
 
-    def reader(self, schema):
-        return _FastqReader(self.options["path"].split(","), int(self.options.get("phred", "33")), int(self.options.get("split", str(128 << 20))))
 
+def _fastq_records(batches):
+    """Records that lie in one range: file, offset, read_id, seq, qual; of a gz file also a last one that is cut off."""
+    for kind, file, offset, lines in _fastq_parts(batches):
+        if kind == "edge" and file.endswith(".gz"):
+            lines, offset = pa.concat_arrays([lines, pa.array([""] * (4 - len(lines)), pa.string())]), offset[:1]
+        elif kind == "edge":
+            continue
+        else:
+            offset = offset[::4]
+        line = lambda k: lines.take(pa.array(np.arange(k, len(lines), 4)))  # noqa: E731, B023
+        yield pa.RecordBatch.from_pydict({"file": pa.array([file] * len(offset)), "offset": pa.array(offset), "read_id": pc.utf8_slice_codeunits(line(0), 1), "seq": line(1), "qual": line(3)})
 
-def read_fastq(spark: SparkSession, paths: list[str], phred: int = 33, split: int = 128 << 20) -> DataFrame:
-    spark.dataSource.register(FastqSource)
-    return spark.read.format("fastq").option("phred", str(phred)).option("split", str(split)).option("path", ",".join(paths)).load()
+
+def _fastq_edges(batches):
+    """Lines of records that begin in one range and end in another: file, offset, line."""
+    for kind, file, offset, lines in _fastq_parts(batches):
+        if kind == "edge":
+            yield pa.RecordBatch.from_pydict({"file": pa.array([file] * len(lines)), "offset": pa.array(offset), "line": lines})
+
+
+def _fastq_parts(batches):
+    """(kind, file, offsets, lines): ``whole`` has lines of whole records, four each; ``edge`` up to three lines before or after them.
+
+    Inside a file a record begins at a line with ``@`` whose next line but one has ``+``: a quality line may begin with ``@`` too, but
+    is followed by a header and a sequence. From there on every fourth line is one.
+    """
+    none = pa.array([], pa.string())
+    key, held, place, found = None, none, 0, False
+    for file, block, lines in _by_range(batches):
+        if (file, block) != key:
+            if len(held):
+                yield "edge", key[0], place + _starts(held)[:-1], held
+            key, held, place, found = (file, block), none, block, block == 0
+        lines = pa.concat_arrays([held, lines])
+        if not found:
+            starts = np.asarray(pc.starts_with(lines, "@"))[:-2] & np.asarray(pc.starts_with(lines, "+"))[2:]
+            if not starts.any():
+                held = lines
+                continue
+            found, skip = True, int(np.argmax(starts))
+            if skip:
+                at = place + _starts(lines.slice(0, skip))
+                yield "edge", file, at[:-1], lines.slice(0, skip)
+                place, lines = int(at[-1]), lines.slice(skip)
+        lines = _without_blank_heads(lines)
+        whole = lines.slice(0, len(lines) // 4 * 4)
+        if len(whole):
+            at = place + _starts(whole)
+            yield "whole", file, at[:-1], whole
+            place = int(at[-1])
+        held = lines.slice(len(whole))
+    if len(held):
+        yield "edge", key[0], place + _starts(held)[:-1], held
+
+
+def read_fastq(spark: SparkSession, paths: list[str], phred: int = 33) -> DataFrame:
+    """read_id, seq, qual (as Phred + 33), file, offset (grows with the place in the file).
+
+    Spark's text source cuts plain files into byte ranges (``spark.sql.files.maxPartitionBytes``), wherever Spark can read; a gz file is one.
+    Records that lie in one range are put together there, as Arrow columns; those that reach into the next one, at most one a range,
+    by the order of their lines, for which plain files are read twice. Blank lines before the first and after the last record are
+    skipped; what a last record that is cut off lacks is empty.
+    """
+    lines = text_lines(spark, paths)
+    whole = lines.mapInArrow(_fastq_records, "file string, offset bigint, read_id string, seq string, qual string")
+    edges = lines.where(~F.col("file").endswith(".gz")).mapInArrow(_fastq_edges, "file string, offset bigint, line string")
+    k = F.row_number().over(Window.partitionBy("file").orderBy("offset")) - 1
+    four = edges.withColumn("k", k).groupBy("file", F.floor(F.col("k") / 4)).agg(F.min("offset").alias("offset"), *[F.max(F.when(F.col("k") % 4 == i, F.col("line"))).alias(f"x{i}") for i in range(4)])
+    text = lambda i: F.coalesce(f"x{i}", F.lit(""))
+    crossing = four.where(F.trim("x0") != "").select("file", "offset", F.expr("substr(x0, 2)").alias("read_id"), text(1).alias("seq"), text(3).alias("qual"))
+    out = whole.unionByName(crossing)
+    if phred != 33:
+        old = "".join(chr(i) for i in range(phred, 127))
+        out = out.withColumn("qual", F.translate("qual", old, "".join(chr(ord(c) - phred + 33) for c in old)))
+    return out.select("read_id", "seq", "qual", "file", "offset")
 
 
 def fastq_to_fasta(df: DataFrame) -> DataFrame:

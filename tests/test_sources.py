@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gzip
 
+import pytest
 
 from strandloom.sources import readers, sinks
 from strandloom.streaming.upsert import read_upserted, upsert_qc, upsert_stream
@@ -32,19 +33,47 @@ def test_fastq(spark, tmp_path):
     assert readers.read_fastq(spark, [b], phred=64).first().qual == "I"
 
 
-def test_fastq_is_cut_anywhere_without_loss(spark, tmp_path):
-    # quality lines that look like headers or separators, records without bases, a blank end
+@pytest.fixture
+def ranges(spark):
+    """Sets the size of the ranges that files are cut into, and puts it back."""
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    old = [spark.conf.get(k) for k in keys]
+
+    def cut(size):
+        for k in keys:
+            spark.conf.set(k, str(size))
+
+    yield cut
+    for k, v in zip(keys, old, strict=True):
+        spark.conf.set(k, v)
+
+
+def test_fastq_is_cut_anywhere_without_loss(spark, tmp_path, ranges):
+    # quality lines that look like headers or separators, records without bases, a quality of one @, a blank end
     rows = [(f"r{i}", "ACGT"[: i % 5], "@+@@"[: i % 5]) for i in range(40)]
     p = put(tmp_path, "a.fq", "".join(f"@{a}\n{b}\n+\n{c}\n" for a, b, c in rows) + "\n")
-    size = len(open(p).read())
-    for split in (1, 7, 64, size):
-        found = []
-        for start in range(0, size, split):
-            with open(p, "rb") as f:
-                found += list(readers._fastq_records(f, start, start + split))
-        assert [tuple(x.decode() for x in r[:3]) for r in found] == rows, split
-    got = readers.read_fastq(spark, [str(tmp_path)], split=50).orderBy("offset").collect()
-    assert [(r.read_id, r.seq, r.qual) for r in got] == rows
+    put(tmp_path, "b.fq", "\n@x\nAC\n+x\n@@\n@y\r\nA\r\n+\r\n@\r\n@z\nACG\n+")
+    for size in (11, 13, 50, 200, 1 << 20):
+        ranges(size)
+        got = readers.read_fastq(spark, [str(tmp_path)]).orderBy("file", "offset").collect()
+        assert [(r.read_id, r.seq, r.qual) for r in got] == [*rows, ("x", "AC", "@@"), ("y", "A", "@"), ("z", "ACG", "")], size
+        assert len({(r.file, r.offset) for r in got}) == len(got)
+    assert readers.read_fastq(spark, [p]).count() == 40
+
+
+def test_fastq_batches_of_any_size(spark, tmp_path):
+    rows = [(f"r{i}", "ACG", "@" * 3 if i % 3 else "III") for i in range(50)]
+    p = put(tmp_path, "a.fq", "".join(f"@{a}\n{b}\n+\n{c}\n" for a, b, c in rows))
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    try:
+        for size in (1, 2, 7):
+            spark.conf.set(key, str(size))
+            got = readers.read_fastq(spark, [p]).orderBy("offset").collect()
+            assert [(r.read_id, r.seq, r.qual) for r in got] == rows, size
+            assert [r.offset for r in got] == sorted({r.offset for r in got})
+    finally:
+        spark.conf.set(key, old)
 
 
 def test_tables(spark, tmp_path):
