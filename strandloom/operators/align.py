@@ -30,14 +30,20 @@ def _letters_mask(places: range) -> int:
 
 
 def reference_index(refs: DataFrame, least: int, most: int, both: bool = True) -> DataFrame:
-    """One row a place and strand of refs (ref, seq): ref, strand, edge, room, w0, w1, ...
+    """One row a place and strand of refs (ref, seq), whole or as tiles (ref, at, own, seq) that overlap by at least most - 1 letters:
+    ref, strand, edge, room, w0, w1, ...
 
     The words hold the bases read from the place in the strand's direction; edge: the read's first place (0-based) on plus, the
     place after its last on minus; room: how many bases there are to read, at most ``most``; rows with fewer than ``least`` are left out.
     """
     pad = F.lit(" " * (most - least))
-    long = refs.where(F.length("seq") >= least).select("ref", F.length("seq").alias("n"), F.concat(pad, "seq", pad).alias("seq"))
-    places = kmers(long, "seq", most, ["ref", "n"]).withColumn("p", F.col("pos") - 1 - (most - least))
+    if "at" not in refs.columns:
+        refs = refs.select("ref", F.lit(0).alias("at"), F.length("seq").alias("own"), "seq")
+    short = F.length("seq") < F.col("own") + most - 1  # it reaches the reference's end
+    begins, n = F.col("at") == 0, F.col("at") + F.length("seq")
+    long = refs.where(F.length("seq") >= least).select("ref", n.alias("n"), "at", "own", F.concat(F.when(begins, pad).otherwise(""), "seq", F.when(short, pad).otherwise("")).alias("seq"))
+    places = kmers(long, "seq", most, ["ref", "n", "at", "own"]).withColumn("p", F.col("at") + F.col("pos") - 1 - F.when(begins, most - least).otherwise(0))
+    places = places.where(F.col("p") < F.col("at") + F.col("own"))
     end = F.col("p") + most
     plus = F.struct(F.lit("+").alias("strand"), F.col("p").alias("edge"), F.least(F.lit(most), F.col("n") - F.col("p")).alias("room"), F.col("kmer").alias("text"))
     minus = F.struct(F.lit("-").alias("strand"), end.alias("edge"), F.least(F.lit(most), end).alias("room"), reverse_complement(F.col("kmer")).alias("text"))

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandloom.functions.scratch import new_path
+from strandloom.operators import align
+from strandloom.plans.align import EXACT, LENGTHS, bench, uniq
 from strandloom.plans.views import READS, SEQS, read, reads, sequences
 from strandloom.sources import readers
 
@@ -28,6 +30,20 @@ def fasta(s, d):
     return readers.read_fasta(s, _put(df, F.concat(F.lit(">"), "doc_id", F.lit(" "), F.coalesce("sample", F.lit("")), F.lit("\n"), F.lower(wrapped)), "fasta"), drop_n=True)
 
 
+def _wrapped(s, refs, name):
+    """A FASTA file of refs (ref, seq) with 60 letters a line."""
+    return _put(refs, F.concat(F.lit(">"), "ref", F.lit(" x\n"), F.regexp_replace("seq", "(.{60})", "$1\n")), name)
+
+
+def tiles(s, d):
+    path = _wrapped(s, sequences(s, d).select(F.col("doc_id").alias("ref"), F.col("s").alias("seq")), "tiles")
+    return readers.fasta_tiles(s, path, 256, 35)
+
+
+def tiled_align(s, d):
+    return align.exact_align(uniq(s, d), readers.fasta_tiles(s, _wrapped(s, bench(s, d), "references"), 256, max(LENGTHS) - 1), LENGTHS, one=False)
+
+
 def fastq(s, d):
     df = reads(s, d)
     path = _put(df, F.concat_ws("\n", F.concat(F.lit("@"), "read_id"), "seq", F.lit("+"), F.translate("qual", "#", "@")), "fastq")
@@ -122,6 +138,12 @@ _FEATURE = "p AS (SELECT *, CASE WHEN p_size % 2 = 0 THEN 'exon' ELSE 'gene' END
 
 QUERIES = {
     "read_fasta": (fasta, f"WITH {SEQS} SELECT CAST(doc_id AS VARCHAR) AS id, coalesce(sample, '') AS description, s AS seq FROM s WHERE NOT contains(s, 'N')"),
+    "fasta_tiles": (
+        tiles,
+        f"""WITH {SEQS}, t AS (SELECT doc_id, s, unnest(range(0, len(s), 256)) AS at FROM s)
+          SELECT CAST(doc_id AS VARCHAR) AS ref, at, CAST(least(256, len(s) - at) AS INT) AS own, substr(s, at + 1, 256 + 35) AS seq FROM t""",
+    ),
+    "tiled_align": (tiled_align, f"WITH {EXACT} SELECT seq, n, CAST(ref AS VARCHAR) AS ref, CAST(pos AS INT) AS pos, strand FROM ex"),
     "read_fastq": (fastq, f"WITH {READS} SELECT read_id, seq, translate(qual, '#', '@') AS qual FROM reads"),
     "read_alignments": (alignments, "SELECT CAST(l_orderkey AS VARCHAR) AS read_id, CASE WHEN l_linestatus = 'O' THEN '+' ELSE '-' END AS strand, CAST(l_suppkey AS VARCHAR) AS ref, CAST(l_partkey AS INT) AS pos, 'ACGT' AS seq, '\"I\"I' AS qual, l_linenumber AS ceil, CASE WHEN l_linenumber = 1 THEN '3:A>C' END AS mism FROM lineitem"),
     "read_gtf": (gtf, f"WITH {_FEATURE} SELECT p_brand AS chrom, 'x' AS source, feature, \"start\", \"end\", '.' AS score, strand, '.' AS frame, 'g' || p_size AS gene_id, 't' || p_partkey AS transcript_id FROM p WHERE feature = 'exon'"),

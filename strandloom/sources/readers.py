@@ -110,6 +110,56 @@ def _fastq_parts(batches):
         yield "edge", key[0], place + _starts(held)[:-1], held
 
 
+def _fasta_pieces(batches):
+    """Consecutive lines of one sequence, joined: file, block, no (in the range), ref (null: of a sequence that began before the range), at, seq."""
+    key, no, ref, at = None, 0, None, 0
+    for file, block, lines in _by_range(batches):
+        if (file, block) != key:
+            key, no, ref, at = (file, block), 0, None, 0
+        heads = np.flatnonzero(np.asarray(pc.starts_with(lines, ">")))
+        cuts = heads if len(heads) and heads[0] == 0 else np.concatenate([[0], heads])
+        text = pc.if_else(pc.starts_with(lines, ">"), "", pc.utf8_trim_whitespace(lines))
+        seq = pc.binary_join(pa.ListArray.from_arrays(pa.array([*cuts, len(lines)], pa.int32()), text), "")
+        names = pc.replace_substring_regex(lines.take(pa.array(heads)), r"^>(\S*).*$", r"\1")
+        goes_on = len(cuts) > len(heads)
+        refs = pa.concat_arrays([pa.array([ref], pa.string()), names]) if goes_on else names
+        begins = np.zeros(len(cuts), np.int64)
+        begins[0] = at if goes_on else 0
+        yield pa.RecordBatch.from_pydict({"file": pa.array([file] * len(cuts)), "block": pa.array([block] * len(cuts)), "no": pa.array(no + np.arange(len(cuts))), "ref": refs, "at": pa.array(begins), "seq": seq})
+        no, ref, at = no + len(cuts), refs[-1].as_py(), int(begins[-1]) + len(seq[-1].as_py())
+
+
+def fasta_tiles(spark: SparkSession, paths, tile: int = 1 << 20, overlap: int = 0, upper: bool = True) -> DataFrame:
+    """ref, at, own, seq: sequences in tiles of ``tile`` letters from place ``at`` (0-based), each followed by ``overlap`` letters of the next ones.
+
+    ``own``: letters of the tile without the overlap. Files are read in byte ranges and no row holds a whole sequence, however long; where
+    a range begins inside a sequence, its name and place follow from one row a range. A sequence without letters has no tile. Names (the
+    first word of a header) are unique within a file.
+    """
+    pieces_ = text_lines(spark, paths).mapInArrow(_fasta_pieces, "file string, block bigint, no bigint, ref string, at bigint, seq string")
+    size = F.length("seq")
+    last = F.max(F.struct("no", "ref", (F.col("at") + size).alias("after")))
+    ranges = pieces_.groupBy("file", "block").agg(last.alias("last"), F.sum(size).alias("all"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select("file", "block", "last", F.coalesce(F.sum("all").over(before), F.lit(0)).alias("upto"), "all")
+    # where the sequence that a range ends in began, in letters of the file
+    named = F.when(F.col("last.ref").isNotNull(), F.struct(F.col("last.ref").alias("ref"), (F.col("upto") + F.col("all") - F.col("last.after")).alias("begin")))
+    ranges = ranges.select("file", "block", "upto", F.last(named, ignorenulls=True).over(before).alias("open"))
+    p = pieces_.where(size > 0).join(ranges, ["file", "block"])
+    goes_on = F.col("ref").isNull()
+    place = F.when(goes_on, F.col("upto") - F.col("open.begin")).otherwise(0) + F.col("at")
+    p = p.select("file", F.when(goes_on, F.col("open.ref")).otherwise(F.col("ref")).alias("ref"), place.alias("place"), F.upper("seq").alias("seq") if upper else "seq").where("ref is not null")
+    first, final = F.greatest(F.lit(0), F.floor((F.col("place") - overlap) / tile)), F.floor((F.col("place") + size - 1) / tile)
+    p = p.select("*", F.explode(F.sequence(first, final)).alias("tile_no"))
+    start = F.greatest(F.col("place"), F.col("tile_no") * tile)
+    stop = F.least(F.col("place") + size, (F.col("tile_no") + 1) * tile + overlap)
+    part = F.substr("seq", (start - F.col("place") + 1).cast("int"), (stop - start).cast("int"))
+    parts = p.where(start < stop).groupBy("file", "ref", "tile_no").agg(F.array_sort(F.collect_list(F.struct(start.alias("start"), part.alias("part")))).alias("parts"))
+    text = F.array_join(F.transform("parts", lambda x: x["part"]), "")
+    tiles = parts.select("ref", (F.col("tile_no") * tile).alias("at"), text.alias("seq"))
+    return tiles.select("ref", "at", F.least(F.lit(tile), F.length("seq")).alias("own"), "seq")
+
+
 def read_fastq(spark: SparkSession, paths: list[str], phred: int = 33) -> DataFrame:
     """read_id, seq, qual (as Phred + 33), file, offset (grows with the place in the file).
 

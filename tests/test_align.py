@@ -54,6 +54,16 @@ def test_mismatch_align_by_every_place(spark, v, lengths, both):
     assert align.mismatch_align(r, f.limit(0), list(lengths), v).count() == 0
 
 
+@pytest.mark.parametrize("tile,overlap", [(1, 44), (32, 44), (50, 60)])
+def test_tiles_give_the_rows_of_whole_references(spark, tile, overlap):
+    lengths = list(range(18, 46))
+    reads, refs, r, _ = tables(spark, random.Random(11), lengths)
+    rows = [(k, at, min(tile, len(s) - at), s[at : at + tile + overlap]) for k, s in refs for at in range(0, len(s or ""), tile)]
+    tiles = spark.createDataFrame(rows, "ref long, at long, own int, seq string")
+    got = Counter((x.seq, x.n, x.ref, x.pos, x.strand, x.mism) for x in align.mismatch_align(r, tiles, lengths, 1).collect())
+    assert got == every_hit(reads, refs, lengths, 1)
+
+
 def test_exact_align_takes_the_first_hit(spark):
     reads, refs, r, f = tables(spark, random.Random(7), list(range(18, 37)))
     first = {}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gzip
+import random
 
 import pytest
 
@@ -76,6 +77,20 @@ def test_fastq_batches_of_any_size(spark, tmp_path):
         spark.conf.set(key, old)
 
 
+def test_fasta_tiles_whatever_the_ranges(spark, tmp_path, ranges):
+    rnd = random.Random(5)
+    refs = [(f"s{i}", "".join(rnd.choice("acgt") for _ in range(n))) for i, n in enumerate((0, 1, 63, 64, 65, 300, 0, 7, 128))]
+    wrap = lambda s: "\n".join(s[i : i + 10] for i in range(0, len(s), 10))
+    put(tmp_path, "a.fa", "".join(f">{k} about {k}\n{wrap(s)}\n" for k, s in refs[:5]) + "\n")
+    put(tmp_path, "b.fa", "".join(f">{k}\r\n{wrap(s)}\r\n\r\n" for k, s in refs[5:]))
+    for tile, overlap in ((64, 0), (64, 35), (16, 40), (1 << 20, 9)):
+        want = {(k, at, min(tile, len(s) - at), s.upper()[at : at + tile + overlap]) for k, s in refs for at in range(0, len(s), tile)}
+        for size in (12, 40, 1 << 20):
+            ranges(size)
+            got = readers.fasta_tiles(spark, str(tmp_path), tile, overlap).collect()
+            assert len(got) == len(want) and {(r.ref, r.at, r.own, r.seq) for r in got} == want, (tile, overlap, size)
+
+
 def test_tables(spark, tmp_path):
     aln = readers.read_alignments(spark, put(tmp_path, "a.bwt", "r_x1\t+\tm\t102\tACG\tIII\t0\t\n"))
     assert aln.first().pos == 102
