@@ -126,13 +126,17 @@ def feature_sequences(features: DataFrame, genome: DataFrame) -> DataFrame:
     return pieces(features, genome, "chrom", F.col("start"), F.col("end")).select(*features.columns, F.when(F.col("strand") == "-", reverse_complement(s)).otherwise(s).alias("seq"))
 
 
-def extract_locations(seqs: DataFrame, locs: DataFrame, one_based: bool = True, gap: int = 1) -> DataFrame:
-    """Cut locations (id, start, end; end -1 is the end, start > end the reverse complement), every ``gap``-th letter."""
+def extract_locations(seqs: DataFrame, locs: DataFrame, one_based: bool = True, gap: int = 1, forced: str | None = None) -> DataFrame:
+    """Cut locations (id, start, end; end -1 is the end, start > end the reverse complement), every ``gap``-th letter.
+
+    ``forced``: a column of locs whose - or + decides the strand, whatever the order of start and end; null or other values leave it to that.
+    """
     o = 0 if one_based else 1
     e = F.when(F.col("end") == -1, F.col("__size")).otherwise(F.col("end") + o)
     s = F.col("start") + o
     j = pieces(locs, seqs, "id", F.least(s, e), F.greatest(s, e))
-    part = F.when(s > e, reverse_complement(F.col("__piece"))).otherwise(F.col("__piece"))
+    back = s > e if forced is None else F.when(F.col(forced).isin("+", "-"), F.col(forced) == "-").otherwise(s > e)
+    part = F.when(back, reverse_complement(F.col("__piece"))).otherwise(F.col("__piece"))
     if gap > 1:
         part = F.array_join(F.filter(letters(part), lambda x, i: i % gap == 0), "")
     return j.select(*locs.columns, part.alias("seq"))
@@ -170,7 +174,8 @@ def region_select(aln: DataFrame, chrom, start: int, end: int) -> DataFrame:
 
 
 def cis_nat(genes: DataFrame, near: int = 100, width: int = 10_000) -> DataFrame:
-    """Pairs of a plus and a minus gene that overlap or lie near, with their class and overlap.
+    """Pairs of a plus and a minus gene that overlap or lie near, with their class, overlap and where it lies: beg and end on the
+    chromosome, p_from to p_to and m_from to m_to in either gene's own direction (from 1); null without overlap.
 
     genes: chrom, start, end (1-based closed), strand, id. Genes are entered in bins of ``width``; a pair is kept in the
     first bin that both share. All qualifying pairs come back.
@@ -185,7 +190,9 @@ def cis_nat(genes: DataFrame, near: int = 100, width: int = 10_000) -> DataFrame
         F.when((over > 0) & (ps <= ms) & (pe >= me), "Containing plus").when((over > 0) & (ms <= ps) & (me >= pe), "Containing minus")
         .when((over > 0) & (ps < ms), "Tail to tail").when(over > 0, "Head to head").when(ps < ms, "Nearby tail").otherwise("Nearby head")
     )
-    return j.where(over > -near).select("chrom", "p_id", "m_id", kind.alias("kind"), F.greatest(over, F.lit(0)).alias("overlap"))
+    beg, end = F.greatest(ps, ms), F.least(pe, me)
+    places = {"beg": beg, "end": end, "p_from": beg - ps + 1, "p_to": end - ps + 1, "m_from": me - end + 1, "m_to": me - beg + 1}
+    return j.where(over > -near).select("chrom", "p_id", "m_id", kind.alias("kind"), F.greatest(over, F.lit(0)).alias("overlap"), *[F.when(over > 0, x).alias(c) for c, x in places.items()])
 
 
 def trans_nat(hits: DataFrame) -> DataFrame:
@@ -198,6 +205,14 @@ def trans_nat(hits: DataFrame) -> DataFrame:
     return rows.withColumn("a", one("qid")).withColumn("b", one("sid")).where("a = 1 or b = 1").drop("a", "b")
 
 
+def trans_nat_places(pairs: DataFrame, genes: DataFrame) -> DataFrame:
+    """Pairs (qid, sid, kind, qstart, qend, sstart > send) whose genes (id, chrom, start, strand) are known: where either part lies on its chromosome."""
+    side = lambda p: genes.select(F.col("id").alias(f"{p}id"), *[F.col(c).alias(f"{p}_{c}") for c in ("chrom", "strand")], F.col("start").alias(f"__{p}"))
+    j = pairs.join(side("q"), "qid").join(side("s"), "sid")
+    place = {"q_beg": ("qstart", "__q"), "q_end": ("qend", "__q"), "s_beg": ("send", "__s"), "s_end": ("sstart", "__s")}
+    return j.withColumns({k: F.col(a) + F.col(b) - 1 for k, (a, b) in place.items()}).drop("__q", "__s")
+
+
 def random_site(utr: DataFrame, width: int = 22) -> DataFrame:
     """One pseudo-random window per UTR, fixed by its id."""
     h = F.conv(F.substring(F.md5(F.col("utr").cast("string").cast("binary")), 1, 8), 16, 10).cast("long")

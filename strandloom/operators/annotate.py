@@ -7,7 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strandloom.operators.align import cdna_from_exons
 from strandloom.operators.table import take_first_n
+from strandloom.sources.sinks import wide_matrix
 
 
 def ids_subset(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
@@ -42,6 +44,18 @@ def completeness_check(df: DataFrame, group: str, part: str, expected: int) -> D
     return g.select(group, "rows", (F.col("__n") == expected).alias("complete"))
 
 
+def completeness_report(tables: dict[str, DataFrame | None], expected: list[str], sample: str = "sample") -> DataFrame:
+    """What each table (None: it was not written) holds: table, present, rows, missing (expected samples without a row, by commas), complete."""
+    rows = []
+    for name, df in tables.items():
+        if df is None:
+            df = next(x for x in tables.values() if x is not None).where(F.lit(False))
+        found = F.coalesce(F.collect_set(F.when(F.col(sample).isin(expected), F.col(sample))), F.array())
+        lacks = F.array_join(F.array_sort(F.array_except(F.array(*[F.lit(x) for x in expected]), found)), ",")
+        rows.append(df.agg(F.lit(name).alias("table"), F.lit(tables[name] is not None).alias("present"), F.count("*").alias("rows"), lacks.alias("missing")))
+    return reduce(DataFrame.union, rows).withColumn("complete", F.col("present") & (F.col("rows") > 0) & (F.col("missing") == ""))
+
+
 def topn_example(df: DataFrame, key: str, order: list, n: int = 15) -> DataFrame:
     """The first row of each key, for the first n keys: a report of fixed size."""
     return take_first_n(df, [key], 1, order).orderBy(key).limit(n)
@@ -110,6 +124,16 @@ def longest_transcript(exons: DataFrame) -> DataFrame:
     return by.groupBy("gene").agg(F.max(F.struct("len", "tid")).alias("m")).select("gene", "m.tid", "m.len")
 
 
+def longest_cdna(exons: DataFrame, genome: DataFrame) -> DataFrame:
+    """Each gene's longest transcript and its cDNA: gene, tid, len, seq.
+
+    exons: gene, tid, chrom, strand, start, end (1-based, closed); genome: chrom, seq. Only the longest transcripts' exons are cut.
+    """
+    best = longest_transcript(exons.select("gene", "tid", F.col("start").alias("b"), F.col("end").alias("e")))
+    chosen = exons.join(best, ["gene", "tid"], "left_semi").select("tid", "chrom", "strand", "start", "end")
+    return best.join(cdna_from_exons(chosen, genome), "tid").select("gene", "tid", "len", "seq")
+
+
 def gtf_to_gff(exons: DataFrame) -> DataFrame:
     """Exons (gene, tid, b, e) to a hierarchy of gene, mRNA and exon rows: feature, id, parent, beg, end.
 
@@ -140,6 +164,11 @@ def union_ids(sets: DataFrame) -> DataFrame:
     return sets.select("id").distinct()
 
 
+def union_matrix(sets: DataFrame, long: DataFrame, samples: list[str]) -> DataFrame:
+    """The rows of a matrix, from long (id, sample, value), of all ids of the sets; ids without values are left out."""
+    return wide_matrix(long.join(sets.select("id"), "id", "left_semi"), samples)
+
+
 def rc_tpm_join(counts: DataFrame, tpm: DataFrame, keys: list[str]) -> DataFrame:
     return counts.join(tpm, keys)
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandloom.functions.seq import let, letters, once, phred
@@ -163,6 +163,20 @@ def fastq_summary(df: DataFrame) -> DataFrame:
     )
 
 
+def fastq_report(raw: DataFrame, clean: DataFrame) -> DataFrame:
+    """Raw against clean reads by sample: the summary of either stage, the error (its positions' errors over 100, summed) and, for clean, the reads discarded."""
+    key = ["sample", "stage"]
+
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        each = df.select("sample", F.posexplode(phred(F.col("qual"))).alias("p", "q")).groupBy("sample", "p").agg(F.avg("q").alias("q"))
+        error = each.groupBy("sample").agg(F.round(F.sum(F.pow(F.lit(10.0), -F.col("q") / 10)), 6).alias("error"))
+        return fastq_summary(df).join(error, "sample", "left").withColumn("stage", F.lit(name))
+
+    both = stage(raw, "raw").unionByName(stage(clean, "clean"))
+    before = Window.partitionBy("sample").orderBy(F.desc("stage"))
+    return both.withColumn("discarded", F.coalesce(F.lag("reads").over(before) - F.col("reads"), F.lit(0))).select(*key, *[c for c in both.columns if c not in key], "discarded")
+
+
 def qc_passrate(df: DataFrame) -> DataFrame:
     """df: sample, ok. Per sample: filtered, total, passed, percent passed."""
     passed = F.count_if(F.col("ok"))

@@ -187,9 +187,16 @@ def expr_density(long: DataFrame, points: int = 512) -> DataFrame:
     return density(long.select("sample", F.log10(F.col("tpm") + 1).alias("v")), "sample", "v", points)
 
 
-def venn_regions(sets: DataFrame) -> DataFrame:
-    """sets (id, comparison): ids and their number by the exact set of comparisons."""
-    own = sets.groupBy("id").agg(F.array_join(F.array_sort(F.collect_set("comparison")), "&").alias("region"))
+def venn_members(sets: DataFrame, direction: str | None = None) -> DataFrame:
+    """sets (id, comparison[, direction]): each id with its region, the exact set of comparisons that hold it; with ``direction``
+    (up or down) only of those where it goes that way. The rows of a region are its list."""
+    chosen = sets if direction is None else sets.where(F.col("direction") == direction)
+    return chosen.groupBy("id").agg(F.array_join(F.array_sort(F.collect_set("comparison")), "&").alias("region"))
+
+
+def venn_regions(sets: DataFrame, direction: str | None = None) -> DataFrame:
+    """Number of ids by region, with the first and the last of them."""
+    own = venn_members(sets, direction)
     return own.groupBy("region").agg(F.count("*").alias("n"), F.min("id").alias("first_id"), F.max("id").alias("last_id"))
 
 

@@ -95,9 +95,11 @@ def vec_information(df: DataFrame, key: str, x: str, y: str) -> DataFrame:
 
 
 def vec_sets(df: DataFrame, key: str, x: str, y: str) -> DataFrame:
-    """Common and all values of two arrays (sorted), and how often the most common value of x stands there."""
-    counts = F.transform(F.array_distinct(x), lambda v: F.size(F.filter(x, lambda w: w == v)))
-    return df.select(key, F.array_join(F.array_sort(F.array_intersect(x, y)), ",").alias("common"), F.array_join(F.array_sort(F.array_union(x, y)), ",").alias("all"), F.coalesce(F.array_max(counts), F.lit(0)).alias("most"))
+    """Common and all values of two arrays (sorted), how often each value of x stands there (``value:count``), and the most common one."""
+    each = lambda v: F.size(F.filter(x, lambda w: w == v))
+    counts = F.transform(F.array_distinct(x), each)
+    listed = F.array_join(F.transform(F.array_sort(F.array_distinct(x)), lambda v: F.concat_ws(":", v, each(v))), ",")
+    return df.select(key, F.array_join(F.array_sort(F.array_intersect(x, y)), ",").alias("common"), F.array_join(F.array_sort(F.array_union(x, y)), ",").alias("all"), listed.alias("counts"), F.coalesce(F.array_max(counts), F.lit(0)).alias("most"))
 
 
 def ratio_to_first(df: DataFrame, key: str, col: str, c: float = 1.0) -> DataFrame:

@@ -141,6 +141,11 @@ def selfhits(s, d):
 
 RC = "reverse(translate({}, 'ACGT', 'TGCA'))"
 _SITE = "CASE WHEN at_ >= 3 AND substr(seq, at_ - 2, 8) = s8 THEN 8 WHEN at_ >= 2 AND substr(seq, at_ - 1, 7) = s7 THEN 7 ELSE 6 END"
+_BEG, _END = "greatest(p.start, m.start)", "least(p.end_, m.end_)"
+_PLACES = ", ".join(
+    f"CASE WHEN {_BEG} <= {_END} THEN {x} END AS {c}"
+    for c, x in (("beg", _BEG), ('"end"', _END), ("p_from", f"{_BEG} - p.start + 1"), ("p_to", f"{_END} - p.start + 1"), ("m_from", f"m.end_ - {_END} + 1"), ("m_to", f"m.end_ - {_BEG} + 1"))
+)
 _OV = "least(p.end_, m.end_) - greatest(p.start, m.start) + 1"
 
 QUERIES = {
@@ -151,12 +156,38 @@ QUERIES = {
     "mirna_profile": (lambda s, d: a.mirna_profile(uniq(s, d), bench(s, d), organism_sets(s, d), 3), PROFILE),
     "feature_sequences": (lambda s, d: a.feature_sequences(features(s, d), genome(s, d)), f"WITH {FEAT} SELECT chrom, CAST(start AS INT) AS start, strand, CAST(start + 19 AS INT) AS \"end\", CASE WHEN strand = '-' THEN {RC.format('substr(s, start, 20)')} ELSE substr(s, start, 20) END AS seq FROM f"),
     "extract_locations": (lambda s, d: a.extract_locations(ids(s, d), locations(s, d), gap=2), f"WITH {SEQS}, o AS (SELECT doc_id AS id, s, unnest(range(0, len(s), 60)) AS o FROM s), x AS (SELECT id, o, s, o + CASE WHEN id % 2 = 0 THEN 30 ELSE 3 END AS a, CASE WHEN id % 3 = 0 AND o = 0 THEN len(s) ELSE o + 12 END AS b FROM o), y AS (SELECT *, substr(s, least(a, b), abs(b - a) + 1) AS p FROM x), z AS (SELECT *, CASE WHEN a > b THEN {RC.format('p')} ELSE p END AS q FROM y) SELECT id, CAST(a AS INT) AS start, CAST(CASE WHEN id % 3 = 0 AND o = 0 THEN -1 ELSE o + 12 END AS INT) AS \"end\", array_to_string(string_split(q, '')[1:len(q):2], '') AS seq FROM z"),
+    "extract_locations_strand": (
+        lambda s, d: a.extract_locations(ids(s, d), locations(s, d).withColumn("strand", F.element_at(F.array(F.lit("+"), F.lit("-"), F.lit(".")), (F.col("start") % 3 + 1).cast("int"))), forced="strand"),
+        f"""WITH {SEQS}, o AS (SELECT doc_id AS id, s, unnest(range(0, len(s), 60)) AS o FROM s),
+          x AS (SELECT id, s, o + CASE WHEN id % 2 = 0 THEN 30 ELSE 3 END AS a, CASE WHEN id % 3 = 0 AND o = 0 THEN -1 ELSE o + 12 END AS e FROM o),
+          y AS (SELECT *, CASE WHEN e = -1 THEN len(s) ELSE e END AS b, substr('+-.', a % 3 + 1, 1) AS strand FROM x),
+          z AS (SELECT *, substr(s, least(a, b), abs(b - a) + 1) AS p FROM y)
+          SELECT id, CAST(a AS INT) AS start, CAST(e AS INT) AS "end", strand, CASE WHEN strand = '-' OR (strand = '.' AND a > b) THEN {RC.format('p')} ELSE p END AS seq FROM z""",
+    ),
+    "longest_cdna": (
+        lambda s, d: n.longest_cdna(features(s, d).select((F.col("chrom") % 50).alias("gene"), F.col("chrom").alias("tid"), "chrom", "strand", "start", "end"), genome(s, d)),
+        f"""WITH {FEAT}, t AS (SELECT chrom % 50 AS gene, chrom AS tid, CAST(20 * count(*) AS BIGINT) AS len, string_agg(substr(s, start, 20), '' ORDER BY start) AS p, any_value(strand) AS strand FROM f GROUP BY chrom)
+          SELECT gene, tid, len, CASE WHEN strand = '-' THEN {RC.format('p')} ELSE p END AS seq FROM t QUALIFY row_number() OVER (PARTITION BY gene ORDER BY len DESC, tid DESC) = 1""",
+    ),
+    "trans_nat_places": (
+        lambda s, d: a.trans_nat_places(
+            a.trans_nat(selfhits(s, d).withColumns({"qstart": F.col("gaps") + 1, "qend": F.col("gaps") + F.col("alen")})),
+            genes(s, d),
+        ).select("qid", "sid", "line", "kind", "q_chrom", "q_strand", "q_beg", "q_end", "s_chrom", "s_strand", "s_beg", "s_end"),
+        f"""WITH {GENES}, h AS (SELECT l_suppkey % 60 AS qid, l_partkey % 60 AS sid, CAST(l_quantity * 5 AS INT) AS alen, l_linenumber - 1 AS gaps, l_partkey % 7 AS ss, l_suppkey % 5 AS se,
+            ((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 1000 + l_suppkey AS line FROM lineitem),
+          k AS (SELECT *, CASE WHEN gaps <> 0 AND gaps::DOUBLE / alen < 0.1 AND (alen >= 150 OR alen >= 140) THEN 'HC' WHEN gaps = 0 AND alen >= 100 THEN '100nt' END AS kind FROM h WHERE ss > se AND qid <> sid),
+          r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY line) AS a, row_number() OVER (PARTITION BY sid ORDER BY line) AS b FROM k WHERE kind IS NOT NULL)
+          SELECT qid, sid, line, kind, q.chrom AS q_chrom, q.strand AS q_strand, gaps + q.start AS q_beg, gaps + alen + q.start - 1 AS q_end,
+            t.chrom AS s_chrom, t.strand AS s_strand, se + t.start - 1 AS s_beg, ss + t.start - 1 AS s_end
+          FROM r JOIN g q ON q.id = qid JOIN g t ON t.id = sid WHERE a = 1 OR b = 1""",
+    ),
     "cdna_from_exons": (lambda s, d: a.cdna_from_exons(features(s, d).withColumn("tid", F.col("chrom")), genome(s, d)), f"WITH {FEAT} SELECT chrom AS tid, CASE WHEN strand = '-' THEN {RC.format('string_agg(substr(s, start, 20), chr(0) ORDER BY start)').replace('chr(0)', repr(''))} ELSE string_agg(substr(s, start, 20), '' ORDER BY start) END AS seq FROM f GROUP BY chrom, strand"),
     "utr3_from_cds": (lambda s, d: a.utr3_from_cds(ids(s, d).select("id", F.lit(25).alias("start"), F.lit(50).alias("end"), F.when(F.col("id") % 2 == 0, "-").otherwise("+").alias("strand")), ids(s, d)), f"WITH {SEQS}, u AS (SELECT doc_id AS id, CASE WHEN doc_id % 2 = 0 THEN left(s, 24) ELSE substr(s, 51) END AS utr FROM s) SELECT id, utr FROM u WHERE len(utr) >= 16"),
     "flank_hits": (lambda s, d: a.flank_hits(features(s, d), genome(s, d), 30), f"WITH {FEAT}, x AS (SELECT *, greatest(1, start - 30) AS a, least(len(s), start + 19 + 30) AS b FROM f) SELECT chrom, CAST(start AS INT) AS start, strand, CAST(start + 19 AS INT) AS \"end\", CAST(a AS INT) AS \"from\", CAST(b AS INT) AS \"to\", CASE WHEN strand = '-' THEN {RC.format('substr(s, a, b - a + 1)')} ELSE substr(s, a, b - a + 1) END AS flanked FROM x"),
     "extend_utr": (lambda s, d: a.extend_utr(ids(s, d), ids(s, d).where("id % 2 = 0"), 80), f"WITH {SEQS} SELECT doc_id AS id, CASE WHEN doc_id % 2 = 0 THEN lpad(right(s, 80), 80, 'A') ELSE repeat('A', 80) END || s || repeat('A', 80) AS seq FROM s"),
     "region_select": (lambda s, d: a.region_select(genes(s, d).select("chrom", F.col("start").alias("beg"), "end", "id"), 2, 20000, 60000), f"WITH {GENES} SELECT chrom, start AS beg, end_ AS \"end\", id FROM g WHERE chrom = 2 AND start < 60000 AND end_ > 20000"),
-    "cis_nat": (lambda s, d: a.cis_nat(genes(s, d)), f"WITH {GENES} SELECT p.chrom, p.id AS p_id, m.id AS m_id, CASE WHEN {_OV} > 0 AND p.start <= m.start AND p.end_ >= m.end_ THEN 'Containing plus' WHEN {_OV} > 0 AND m.start <= p.start AND m.end_ >= p.end_ THEN 'Containing minus' WHEN {_OV} > 0 AND p.start < m.start THEN 'Tail to tail' WHEN {_OV} > 0 THEN 'Head to head' WHEN p.start < m.start THEN 'Nearby tail' ELSE 'Nearby head' END AS kind, greatest({_OV}, 0) AS overlap FROM g p JOIN g m ON p.chrom = m.chrom AND p.strand = '+' AND m.strand = '-' WHERE {_OV} > -100"),
+    "cis_nat": (lambda s, d: a.cis_nat(genes(s, d)), f"WITH {GENES} SELECT p.chrom, p.id AS p_id, m.id AS m_id, CASE WHEN {_OV} > 0 AND p.start <= m.start AND p.end_ >= m.end_ THEN 'Containing plus' WHEN {_OV} > 0 AND m.start <= p.start AND m.end_ >= p.end_ THEN 'Containing minus' WHEN {_OV} > 0 AND p.start < m.start THEN 'Tail to tail' WHEN {_OV} > 0 THEN 'Head to head' WHEN p.start < m.start THEN 'Nearby tail' ELSE 'Nearby head' END AS kind, greatest({_OV}, 0) AS overlap, {_PLACES} FROM g p JOIN g m ON p.chrom = m.chrom AND p.strand = '+' AND m.strand = '-' WHERE {_OV} > -100"),
     "trans_nat": (lambda s, d: a.trans_nat(selfhits(s, d)).select("qid", "sid", "alen", "gaps", "line", "kind"), "WITH h AS (SELECT l_suppkey % 60 AS qid, l_partkey % 60 AS sid, CAST(l_quantity * 5 AS INT) AS alen, l_linenumber - 1 AS gaps, l_partkey % 7 AS ss, l_suppkey % 5 AS se, ((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 1000 + l_suppkey AS line FROM lineitem), k AS (SELECT *, CASE WHEN gaps <> 0 AND gaps::DOUBLE / alen < 0.1 AND (alen >= 150 OR alen >= 140) THEN 'HC' WHEN gaps = 0 AND alen >= 100 THEN '100nt' END AS kind FROM h WHERE ss > se AND qid <> sid), r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY line) AS a, row_number() OVER (PARTITION BY sid ORDER BY line) AS b FROM k WHERE kind IS NOT NULL) SELECT qid, sid, alen, CAST(gaps AS INT) AS gaps, line, kind FROM r WHERE a = 1 OR b = 1"),
     "seed_sites": (
         lambda s, d: tg.target_sites(utrs(s, d), mirs(s, d)).groupBy("mirna", "target", "seed", "mismatches", "wobbles").agg(F.count("*").alias("sites"), F.sum("start").alias("places")),
@@ -230,7 +261,15 @@ QUERIES = {
         lambda s, d: n.genome_sizes(ids(s, d)),
         f"WITH {SEQS} SELECT doc_id AS id, CAST(len(s) AS INT) AS size FROM s ORDER BY 2 DESC, 1 LIMIT 10",
     ),
-    "drop_nohit_blocks": (lambda s, d: read(s, d, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("block")).where(~F.col("block").contains("the")), "SELECT doc_id, block FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS block FROM documents) WHERE NOT contains(block, 'the')"),
+    "completeness_report": (
+        lambda s, d: n.completeness_report(
+            {"lineitem": read(s, d, "lineitem").select(F.col("l_linestatus").alias("sample")), "orders": read(s, d, "orders").select(F.col("o_orderstatus").alias("sample")), "returns": None}, ["F", "O", "P"]
+        ),
+        """WITH t AS (SELECT 'lineitem' AS "table", l_linestatus AS sample FROM lineitem UNION ALL SELECT 'orders', o_orderstatus FROM orders),
+          x AS (SELECT "table", true AS present, count(*) AS rows, list_distinct(list(sample)) AS found FROM t GROUP BY 1 UNION ALL SELECT 'returns', false, 0, []),
+          y AS (SELECT "table", present, rows, array_to_string(list_filter(['F', 'O', 'P'], lambda q: NOT list_contains(found, q)), ',') AS missing FROM x)
+          SELECT *, present AND rows > 0 AND missing = '' AS complete FROM y""",
+    ),
     "completeness_check": (
         lambda s, d: n.completeness_check(read(s, d, "orders"), "o_orderstatus", "o_orderpriority", 5),
         "SELECT o_orderstatus, count(*) AS rows, count(DISTINCT o_orderpriority) = 5 AS complete FROM orders GROUP BY 1",

@@ -26,6 +26,18 @@ def _waterfall_slice(spark, d):
     return reads.length_distribution(reads.collapse_reads(kept), 10, 36)
 
 
+def _report_sql() -> str:
+    clean = f"clean AS (SELECT * FROM reads WHERE NOT (0.5 * len(seq) <= {_LOW.format(14)}))"
+    stage = """SELECT sample, '{0}' AS stage, count(*) AS reads, CAST(sum(len) AS BIGINT) AS bases, round(100.0::DOUBLE * sum(nn) / sum(len), 4) AS n_percent, round(100.0::DOUBLE * sum(q5) / sum(len), 4) AS low_percent,
+      round(100 - 100.0::DOUBLE * sum(q19) / sum(len), 4) AS q20, round(100 - 100.0::DOUBLE * sum(q29) / sum(len), 4) AS q30, round(100.0::DOUBLE * sum(gc) / (sum(len) - sum(nn)), 4) AS gc_percent,
+      round(100.0::DOUBLE * (count(*) - count(DISTINCT seq)) / count(*), 4) AS duplication FROM {1} GROUP BY 1"""
+    error = """SELECT sample, '{0}' AS stage, round(sum(pow(10.0, -q / 10)), 6) AS error FROM (SELECT sample, p, avg(q) AS q FROM
+      (SELECT sample, unnest(range(1, len(qual) + 1)) AS p, unnest(list_transform(string_split(qual, ''), lambda q: ascii(q) - 33)) AS q FROM {1}) GROUP BY 1, 2) GROUP BY 1"""
+    both = lambda text, raw, kept: text.format("raw", raw) + " UNION ALL " + text.format("clean", kept)
+    return f"""WITH {READS}, {clean}, x AS ({both(stage, _Q, _Q.replace("FROM reads", "FROM clean"))}), e AS ({both(error, "reads", "clean")})
+      SELECT x.*, error, CASE WHEN stage = 'clean' THEN (SELECT reads FROM x y WHERE y.sample = x.sample AND y.stage = 'raw') - reads ELSE 0 END AS discarded FROM x JOIN e USING (sample, stage)"""
+
+
 def _ids(spark, d):
     """SAMPLE_IDX_xN ids over a whole table, every 7th malformed."""
     c = read(spark, d, "documents")
@@ -52,6 +64,7 @@ QUERIES = {
     "quality_by_position": (lambda s, d: qc.quality_by_position(view(s, d)), f"WITH {READS}, e AS (SELECT unnest(range(1, len(qual) + 1)) AS p, unnest(list_transform(string_split(qual, ''), lambda q: ascii(q) - 33)) AS q FROM reads) SELECT CAST(p AS INT) AS pos, round(avg(q), 6) AS mean_q, round(100 * pow(10.0, -avg(q) / 10), 6) AS error FROM e GROUP BY 1"),
     "quality_histogram": (lambda s, d: qc.quality_histogram(view(s, d)), f"WITH {READS}, e AS (SELECT unnest(list_transform(string_split(qual, ''), lambda q: ascii(q) - 33)) AS q FROM reads) SELECT CAST(q AS INT) AS q, count(*) AS n FROM e GROUP BY 1"),
     "fastq_summary": (lambda s, d: qc.fastq_summary(view(s, d)), f"WITH {READS} SELECT sample, count(*) AS reads, CAST(sum(len) AS BIGINT) AS bases, round(100.0::DOUBLE * sum(nn) / sum(len), 4) AS n_percent, round(100.0::DOUBLE * sum(q5) / sum(len), 4) AS low_percent, round(100 - 100.0::DOUBLE * sum(q19) / sum(len), 4) AS q20, round(100 - 100.0::DOUBLE * sum(q29) / sum(len), 4) AS q30, round(100.0::DOUBLE * sum(gc) / (sum(len) - sum(nn)), 4) AS gc_percent, round(100.0::DOUBLE * (count(*) - count(DISTINCT seq)) / count(*), 4) AS duplication FROM {_Q} GROUP BY 1"),
+    "fastq_report": (lambda s, d: qc.fastq_report(view(s, d), qc.filter_low_qual(view(s, d), 14, 0.5)), _report_sql()),
     "qc_passrate": (lambda s, d: qc.qc_passrate(read(s, d, "orders").select(F.col("o_orderpriority").alias("sample"), (F.col("o_orderstatus") == "F").alias("ok"))), "SELECT o_orderpriority AS sample, count(*) FILTER (o_orderstatus <> 'F') AS filtered, count(*) AS total, count(*) FILTER (o_orderstatus = 'F') AS passed, round(100.0::DOUBLE * count(*) FILTER (o_orderstatus = 'F') / count(*), 2) AS rate FROM orders GROUP BY 1"),
     "uniq_total_stats": (lambda s, d: reads.uniq_total_stats(collapsed(s, d)), f"WITH {COLLAPSED} SELECT sample, CAST(sum(n) AS BIGINT) AS reads, CAST(sum(n * len(seq)) AS BIGINT) AS bases, count(*) AS uniq_reads, CAST(sum(len(seq)) AS BIGINT) AS uniq_bases FROM c GROUP BY 1"),
     "first_base_bias": (lambda s, d: reads.first_base_bias(collapsed(s, d)), "WITH {} SELECT x.sample, CAST(g AS INT) AS len, {} FROM (SELECT DISTINCT sample FROM c) x CROSS JOIN range(18, 31) t(g) LEFT JOIN c ON c.sample = x.sample AND len(c.seq) = g GROUP BY 1, 2".format(COLLAPSED, ", ".join(f"CAST(coalesce(sum(n) FILTER (left(seq, 1) = '{b.replace('U', 'T')}'), 0) AS BIGINT) AS {b.lower()}" for b in "AUCG"))),

@@ -68,7 +68,11 @@ def mirna_pairs(s, d):
 
 
 def sets(s, d):
-    return alignments(s, d).select(F.col("pos").alias("id"), F.concat("sample", "strand").alias("comparison"))
+    return alignments(s, d).select(F.col("pos").alias("id"), F.concat("sample", "strand").alias("comparison"), "n")
+
+
+def _directed(s, d):
+    return sets(s, d).withColumn("direction", F.when(F.col("n") > 25, "up").otherwise("down"))
 
 
 def _merged(s, d):
@@ -130,6 +134,18 @@ FROM bins JOIN b USING (sample), span, p GROUP BY 1, 2""",
     ),
     "venn_regions": (lambda s, d: q.venn_regions(sets(s, d)), f"WITH {ALN}, o AS (SELECT pos AS id, string_agg(DISTINCT sample || strand, '&' ORDER BY sample || strand) AS region FROM a GROUP BY 1) SELECT region, count(*) AS n, min(id) AS first_id, max(id) AS last_id FROM o GROUP BY 1"),
     "exclusive_sets": (lambda s, d: q.exclusive_sets(longs(s, d).withColumnRenamed("sample", "grp"), "A", "R", 4000), f"WITH {LONG}, g AS (SELECT id, coalesce(bool_or(value > 4000) FILTER (sample = 'A'), false) AS a, coalesce(bool_or(value > 4000) FILTER (sample = 'R'), false) AS b FROM lo GROUP BY 1) SELECT id, CASE WHEN a THEN 'yes' ELSE 'no' END || '/' || CASE WHEN b THEN 'yes' ELSE 'no' END AS set FROM g WHERE a OR b"),
+    "venn_members": (
+        lambda s, d: q.venn_members(_directed(s, d), "up"),
+        f"WITH {ALN} SELECT pos AS id, string_agg(DISTINCT sample || strand, '&' ORDER BY sample || strand) AS region FROM a WHERE n > 25 GROUP BY 1",
+    ),
+    "venn_regions_down": (
+        lambda s, d: q.venn_regions(_directed(s, d), "down"),
+        f"WITH {ALN}, o AS (SELECT pos AS id, string_agg(DISTINCT sample || strand, '&' ORDER BY sample || strand) AS region FROM a WHERE n <= 25 GROUP BY 1) SELECT region, count(*) AS n, min(id) AS first_id, max(id) AS last_id FROM o GROUP BY 1",
+    ),
+    "union_matrix": (
+        lambda s, d: n.union_matrix(alignments(s, d).where("n = 50").select(F.col("ref").alias("id"), F.col("sample").alias("comparison")), longs(s, d), list(_S)),
+        f"WITH {LONG} SELECT id, {', '.join(f'CAST(coalesce(sum(value) FILTER (sample = {chr(39)}{x}{chr(39)}), 0) AS BIGINT) AS {chr(34)}{x}{chr(34)}' for x in _S)} FROM lo WHERE id IN (SELECT l_suppkey FROM lineitem WHERE l_quantity = 50) GROUP BY 1",
+    ),
     "union_ids": (
         lambda s, d: n.union_ids(sets(s, d)),
         f"WITH {ALN} SELECT DISTINCT pos AS id FROM a",

@@ -9,7 +9,8 @@ from strandloom.functions.scratch import new_path
 from strandloom.operators import align
 from strandloom.plans.align import EXACT, LENGTHS, bench, uniq
 from strandloom.plans.views import READS, SEQS, read, reads, sequences
-from strandloom.sources import readers
+from strandloom.plans.quant import LONG, longs
+from strandloom.sources import readers, sinks
 
 
 def _put(df: DataFrame, value: Column, name: str) -> str:
@@ -44,6 +45,25 @@ def tiled_align(s, d):
     return align.exact_align(uniq(s, d), readers.fasta_tiles(s, _wrapped(s, bench(s, d), "references"), 256, max(LENGTHS) - 1), LENGTHS, one=False)
 
 
+def written_fasta(s, d):
+    path = new_path(s, "written-fasta")
+    sinks.write_fasta(sequences(s, d).select(F.col("doc_id").alias("id"), F.col("s").alias("seq")), path)
+    return readers.read_fasta(s, path).select("id", "seq")
+
+
+def written_matrix(s, d):
+    path = new_path(s, "written-matrix")
+    sinks.write_matrix(longs(s, d), SAMPLES, path)
+    return s.read.csv(path, sep="\t", header=True, schema=f"id bigint, {', '.join(f'{x} bigint' for x in SAMPLES)}")
+
+
+def hit_blocks(s, d):
+    """A search report of a block for each part; every third part has no hit."""
+    found = F.when(F.col("p_size") % 3 == 0, "No Hits Found above Threshold").otherwise(F.col("p_type"))
+    path = _put(read(s, d, "part"), F.concat(F.lit("query p"), "p_partkey", F.lit("\n"), found, F.lit("\nComplete")), "hits")
+    return readers.read_hit_blocks(s, path)
+
+
 def fastq(s, d):
     df = reads(s, d)
     path = _put(df, F.concat_ws("\n", F.concat(F.lit("@"), "read_id"), "seq", F.lit("+"), F.translate("qual", "#", "@")), "fastq")
@@ -136,12 +156,18 @@ def sheet(s, d):
 
 _FEATURE = "p AS (SELECT *, CASE WHEN p_size % 2 = 0 THEN 'exon' ELSE 'gene' END AS feature, CAST(p_partkey AS INT) AS \"start\", CAST(p_partkey + p_size AS INT) AS \"end\", CASE WHEN p_size > 25 THEN '+' ELSE '-' END AS strand FROM part)"
 
+SAMPLES = ["A", "N", "R"]
+_WIDE = ", ".join(f"CAST(coalesce(sum(value) FILTER (sample = '{x}'), 0) AS BIGINT) AS \"{x}\"" for x in SAMPLES)
+
 QUERIES = {
+    "write_fasta": (written_fasta, f"WITH {SEQS} SELECT CAST(doc_id AS VARCHAR) AS id, s AS seq FROM s"),
+    "write_matrix": (written_matrix, f"WITH {LONG} SELECT id, {_WIDE} FROM lo GROUP BY 1"),
+    "drop_nohit_blocks": (hit_blocks, "SELECT 'query p' || p_partkey || chr(10) || p_type AS block FROM part WHERE p_size % 3 <> 0"),
     "read_fasta": (fasta, f"WITH {SEQS} SELECT CAST(doc_id AS VARCHAR) AS id, coalesce(sample, '') AS description, s AS seq FROM s WHERE NOT contains(s, 'N')"),
     "fasta_tiles": (
         tiles,
-        f"""WITH {SEQS}, t AS (SELECT doc_id, s, unnest(range(0, len(s), 256)) AS at FROM s)
-          SELECT CAST(doc_id AS VARCHAR) AS ref, at, CAST(least(256, len(s) - at) AS INT) AS own, substr(s, at + 1, 256 + 35) AS seq FROM t""",
+        f"""WITH {SEQS}, t AS (SELECT doc_id, s, unnest(range(0, len(s), 256)) AS "at" FROM s)
+          SELECT CAST(doc_id AS VARCHAR) AS ref, "at", CAST(least(256, len(s) - "at") AS INT) AS own, substr(s, "at" + 1, 256 + 35) AS seq FROM t""",
     ),
     "tiled_align": (tiled_align, f"WITH {EXACT} SELECT seq, n, CAST(ref AS VARCHAR) AS ref, CAST(pos AS INT) AS pos, strand FROM ex"),
     "read_fastq": (fastq, f"WITH {READS} SELECT read_id, seq, translate(qual, '#', '@') AS qual FROM reads"),

@@ -119,6 +119,6 @@ QUERIES = {
     "vec_center": (lambda s, d: v.vec_center(emb(s, d), "vec_id", "x").select("vec_id", F.posexplode("z")).select("vec_id", "pos", F.round("col", 6).alias("z")), f"WITH {EMB}, z AS (SELECT vec_id, x AS v, list_avg(x) AS a FROM m), y AS (SELECT *, sqrt(list_sum(list_transform(v, lambda q: (q - a) * (q - a))) / len(v)) AS d FROM z), w AS (SELECT vec_id, a, d, unnest(v) AS q, unnest(range(0, len(v))) AS pos FROM y) SELECT vec_id, CAST(pos AS INT) AS pos, round((q - a) / d, 6) AS z FROM w"),
     "vec_similarity": (lambda s, d: v.vec_similarity(emb(s, d), "vec_id", "x", "y"), f"WITH {EMB}, z AS (SELECT vec_id, unnest(x) AS a, unnest(y) AS b, unnest(range(0, len(x))) AS i, y, len(x) AS n FROM m) SELECT vec_id, round(corr(a, b), 6) AS pearson, round(sum(a * b), 6) AS dot, round(sum(a * b) / sum(abs(a)), 6) AS dot_l1, round(sum(a * b) / any_value(n), 6) AS mean_product, round(greatest(sum(a * b), sum(a * coalesce(y[i + 2], 0)), sum(a * coalesce(y[i + 3], 0)), sum(a * coalesce(y[i + 4], 0))), 6) AS best_dot FROM z GROUP BY 1"),
     "vec_information": (lambda s, d: v.vec_information(line(s, d).select("l_suppkey", (F.col("l_quantity") % 5).cast("int").alias("x"), (F.col("l_partkey") % 4).cast("int").alias("y")), "l_suppkey", "x", "y"), "WITH l AS (SELECT l_suppkey, CAST(l_quantity AS INT) % 5 AS x, l_partkey % 4 AS y FROM lineitem), t AS (SELECT l_suppkey, count(*) AS t FROM l GROUP BY 1), j AS (SELECT l_suppkey, x, y, count(*) AS n FROM l GROUP BY ALL), px AS (SELECT l_suppkey, x, sum(n) AS m FROM j GROUP BY ALL), py AS (SELECT l_suppkey, y, sum(n) AS m FROM j GROUP BY ALL) SELECT l_suppkey, (SELECT round(-sum(m::DOUBLE / t * log2(m::DOUBLE / t)), 6) FROM px WHERE px.l_suppkey = t.l_suppkey) AS entropy, (SELECT round(sum(n::DOUBLE / t * ln(n::DOUBLE * t / (px.m * py.m))), 6) FROM j JOIN px USING (l_suppkey, x) JOIN py USING (l_suppkey, y) WHERE j.l_suppkey = t.l_suppkey) AS mutual, (SELECT round(sum((px.m::DOUBLE / t - py.m::DOUBLE / t) * ln(px.m::DOUBLE / py.m)), 6) FROM px JOIN py ON px.l_suppkey = py.l_suppkey AND px.x = py.y WHERE px.l_suppkey = t.l_suppkey) AS kl FROM t"),
-    "vec_sets": (lambda s, d: v.vec_sets(read(s, d, "part").select("p_partkey", F.split("p_type", "").alias("x"), F.split("p_brand", "").alias("y")).select("p_partkey", F.filter("x", lambda q: q != "").alias("x"), F.filter("y", lambda q: q != "").alias("y")), "p_partkey", "x", "y"), "WITH z AS (SELECT p_partkey, string_split(p_type, '') AS x, string_split(p_brand, '') AS y FROM part) SELECT p_partkey, array_to_string(list_sort(list_distinct(list_intersect(x, y))), ',') AS common, array_to_string(list_sort(list_distinct(list_concat(x, y))), ',') AS \"all\", CAST(list_max(list_transform(x, lambda a: len(list_filter(x, lambda b: b = a)))) AS INT) AS most FROM z"),
+    "vec_sets": (lambda s, d: v.vec_sets(read(s, d, "part").select("p_partkey", F.split("p_type", "").alias("x"), F.split("p_brand", "").alias("y")).select("p_partkey", F.filter("x", lambda q: q != "").alias("x"), F.filter("y", lambda q: q != "").alias("y")), "p_partkey", "x", "y"), "WITH z AS (SELECT p_partkey, string_split(p_type, '') AS x, string_split(p_brand, '') AS y FROM part) SELECT p_partkey, array_to_string(list_sort(list_distinct(list_intersect(x, y))), ',') AS common, array_to_string(list_sort(list_distinct(list_concat(x, y))), ',') AS \"all\", array_to_string(list_transform(list_sort(list_distinct(x)), lambda a: a || ':' || len(list_filter(x, lambda b: b = a))), ',') AS counts, CAST(list_max(list_transform(x, lambda a: len(list_filter(x, lambda b: b = a)))) AS INT) AS most FROM z"),
     "ratio_to_first": (lambda s, d: v.ratio_to_first(emb(s, d).withColumn("x", F.transform("x", lambda q: F.abs(q))), "vec_id", "x").select("vec_id", F.posexplode("ratio")).select("vec_id", "pos", F.round("col", 6).alias("r")), f"WITH {EMB}, w AS (SELECT vec_id, abs(x[1]) AS f, unnest(x) AS q, unnest(range(0, len(x))) AS pos FROM m) SELECT vec_id, CAST(pos AS INT) AS pos, round(log2((abs(q) + 1) / (f + 1)), 6) AS r FROM w"),
 }

@@ -249,6 +249,12 @@ def read_structures(spark: SparkSession, path) -> DataFrame:
     return spark.read.option("lineSep", "\n>").text(path).select(F.regexp_extract(F.get(lines, 0), r"^(\S+)", 1).alias("id"), F.get(lines, 1).alias("seq"), F.regexp_extract(F.get(lines, 2), r"^([.()]+)", 1).alias("structure"), F.regexp_extract(F.get(lines, 2), r"\(\s*(-?[\d.]+)\)\s*$", 1).cast("double").alias("mfe"))
 
 
+def read_hit_blocks(spark: SparkSession, path) -> DataFrame:
+    """Blocks of a search report, each ended by ``Complete``, that have hits."""
+    blocks = spark.read.option("lineSep", "Complete").text(path).select(F.trim(F.regexp_replace("value", r"^\s+|\s+$", "")).alias("block"))
+    return drop_nohit_blocks(blocks.where("block <> ''"), "block")
+
+
 def drop_nohit_blocks(df: DataFrame, col: str = "value") -> DataFrame:
     return df.where(~F.col(col).contains("No Hits Found above Threshold"))
 
