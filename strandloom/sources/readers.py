@@ -9,7 +9,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -110,6 +110,10 @@ def _fastq_parts(batches):
         yield "edge", key[0], place + _starts(held)[:-1], held
 
 
+#: Letters of a sequence that travel to their tiles at once.
+PIECE = 4096
+
+
 def _fasta_pieces(batches):
     """Consecutive lines of one sequence, joined: file, block, no (in the range), ref (null: of a sequence that began before the range), at, seq."""
     key, no, ref, at = None, 0, None, 0
@@ -132,7 +136,7 @@ def _fasta_pieces(batches):
 def fasta_tiles(spark: SparkSession, paths, tile: int = 1 << 20, overlap: int = 0, upper: bool = True) -> DataFrame:
     """ref, at, own, seq: sequences in tiles of ``tile`` letters from place ``at`` (0-based), each followed by ``overlap`` letters of the next ones.
 
-    ``own``: letters of the tile without the overlap. Files are read in byte ranges and no row holds a whole sequence, however long; where
+    ``own``: letters of the tile without the overlap. Files are read in byte ranges and no row holds a whole sequence, however long, as long as its lines are wrapped; where
     a range begins inside a sequence, its name and place follow from one row a range. A sequence without letters has no tile. Names (the
     first word of a header) are unique within a file.
     """
@@ -148,13 +152,19 @@ def fasta_tiles(spark: SparkSession, paths, tile: int = 1 << 20, overlap: int =
     p = pieces_.where(size > 0).join(ranges, ["file", "block"])
     goes_on = F.col("ref").isNull()
     place = F.when(goes_on, F.col("upto") - F.col("open.begin")).otherwise(0) + F.col("at")
-    p = p.select("file", F.when(goes_on, F.col("open.ref")).otherwise(F.col("ref")).alias("ref"), place.alias("place"), F.upper("seq").alias("seq") if upper else "seq").where("ref is not null")
+    # short pieces first: a letter's place in a string is found by walking to it
+    short = F.posexplode(F.regexp_extract_all("seq", F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))).alias("i", "piece")
+    p = p.select("file", F.when(goes_on, F.col("open.ref")).otherwise(F.col("ref")).alias("ref"), place.alias("begin"), short).where("ref is not null")
+    p = p.select("file", "ref", (F.col("begin") + F.col("i").cast("long") * PIECE).alias("place"), F.upper("piece").alias("piece") if upper else "piece")
+    size = F.length("piece")
     first, final = F.greatest(F.lit(0), F.floor((F.col("place") - overlap) / tile)), F.floor((F.col("place") + size - 1) / tile)
-    p = p.select("*", F.explode(F.sequence(first, final)).alias("tile_no"))
-    start = F.greatest(F.col("place"), F.col("tile_no") * tile)
-    stop = F.least(F.col("place") + size, (F.col("tile_no") + 1) * tile + overlap)
-    part = F.substr("seq", (start - F.col("place") + 1).cast("int"), (stop - start).cast("int"))
-    parts = p.where(start < stop).groupBy("file", "ref", "tile_no").agg(F.array_sort(F.collect_list(F.struct(start.alias("start"), part.alias("part")))).alias("parts"))
+
+    def cut(no: Column) -> Column:
+        start, stop = F.greatest(F.col("place"), no * tile), F.least(F.col("place") + size, (no + 1) * tile + overlap)
+        return F.struct(no.alias("tile_no"), start.alias("start"), F.substr("piece", (start - F.col("place") + 1).cast("int"), (stop - start).cast("int")).alias("part"))
+
+    p = p.select("file", "ref", F.explode(F.transform(F.sequence(first, final), cut)).alias("x")).select("file", "ref", "x.*")
+    parts = p.groupBy("file", "ref", "tile_no").agg(F.array_sort(F.collect_list(F.struct("start", "part"))).alias("parts"))
     text = F.array_join(F.transform("parts", lambda x: x["part"]), "")
     tiles = parts.select("ref", (F.col("tile_no") * tile).alias("at"), text.alias("seq"))
     return tiles.select("ref", "at", F.least(F.lit(tile), F.length("seq")).alias("own"), "seq")
