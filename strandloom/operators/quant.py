@@ -113,15 +113,28 @@ def _inside(reads: DataFrame, windows: DataFrame, width: int, how: str) -> DataF
     return r.join(w, same & (F.col("r.beg") >= F.col("w.beg")) & (F.col("r.end") <= F.col("w.end")), how)
 
 
-def read_in_window(reads: DataFrame, windows: DataFrame, width: int = 256) -> DataFrame:
-    """Reads (precursor, beg, end, n) inside windows of their precursor; a read in two windows counts in both."""
-    return _inside(reads, windows, width, "inner").groupBy("w.precursor", "mature").agg(F.count("*").alias("reads"), F.sum("r.n").alias("n"))
+def _spans(reads: DataFrame) -> DataFrame:
+    """Equal spans (precursor, beg, end) of reads as one row: their number (reads) and the sum of n."""
+    return reads.groupBy("precursor", "beg", "end").agg(F.count("*").alias("reads"), F.sum("n").alias("n"))
 
 
-def remaining_count(reads: DataFrame, windows: DataFrame, width: int = 256) -> DataFrame:
-    """Per precursor: reads outside all windows."""
-    out = _inside(reads, windows, width, "left_anti")
-    return reads.select("precursor").distinct().join(out.groupBy("precursor").agg(F.sum("n").alias("n")), "precursor", "left").select("precursor", zero("n").alias("remaining"))
+def read_in_window(reads: DataFrame, windows: DataFrame, width: int = 32) -> DataFrame:
+    """Reads (precursor, beg, end, n) inside windows of their precursor; a read in two windows counts in both.
+
+    Only distinct spans of reads meet distinct spans of windows, so the pairs are bounded by the places and lengths that there are,
+    however many reads and matures lie on them.
+    """
+    span = ["precursor", "beg", "end"]
+    met = _inside(_spans(reads), windows.select(*span).distinct(), width, "inner")
+    sums = met.groupBy(*[f"w.{c}" for c in span]).agg(F.sum("r.reads").alias("reads"), F.sum("r.n").alias("n"))
+    return windows.select(*span, "mature").join(sums, span).groupBy("precursor", "mature").agg(F.sum("reads").alias("reads"), F.sum("n").alias("n"))
+
+
+def remaining_count(reads: DataFrame, windows: DataFrame, width: int = 32) -> DataFrame:
+    """Per precursor: reads outside all windows. Of the windows that begin at one place only the longest matters."""
+    spans = _spans(reads)
+    out = _inside(spans, windows.groupBy("precursor", "beg").agg(F.max("end").alias("end")), width, "left_anti")
+    return spans.select("precursor").distinct().join(out.groupBy("precursor").agg(F.sum("n").alias("n")), "precursor", "left").select("precursor", zero("n").alias("remaining"))
 
 
 def precursor_coverage(reads: DataFrame) -> DataFrame:

@@ -97,6 +97,15 @@ def test_window_clamp_and_double_count(spark):
     assert quant.remaining_count(r, w).first().remaining == 2
 
 
+def test_many_equal_reads_and_windows_meet_once(spark):
+    """10^11 pairs of rows, but one pair of spans."""
+    n = 10**6
+    r = spark.range(n).select(F.lit("p").alias("precursor"), F.lit(3).alias("beg"), F.lit(9).alias("end"), F.lit(2).alias("n"))
+    w = spark.range(10**5).select(F.lit("p").alias("precursor"), (F.col("id") % 2).alias("mature"), F.lit(1).alias("beg"), F.lit(9).alias("end"))
+    assert {tuple(x) for x in quant.read_in_window(r, w).collect()} == {("p", m, n * 50_000, 2 * n * 50_000) for m in (0, 1)}
+    assert quant.remaining_count(r, w).first().remaining == 0
+
+
 def test_category_other_closes_the_total(spark):
     c = frame(spark, [("a", "s", 1.5), ("b", "s", 2.5)], "class string, sample string, n double")
     got = {r["class"]: r.n for r in quant.category_table(c, frame(spark, [("s", 9)], "sample string, total long")).collect()}
