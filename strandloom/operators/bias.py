@@ -6,7 +6,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -92,6 +92,39 @@ def _tails(k: pd.Series, m1: pd.Series, m2: pd.Series, n: pd.Series, odds: pd.Se
     return pd.Series([wallenius_tail(int(a), int(b), int(c), int(d), float(e)) for a, b, c, d, e in zip(k, m1, m2, n, odds, strict=True)], dtype=float)
 
 
+#: Steps of a draw's order, coarse and fine: so many for each power of e (powers of two, so that fine ones divide coarse ones).
+STEPS = (8, 512)
+
+
+def _drawn_terms(links: DataFrame, genes: DataFrame, all_: DataFrame, draws: int, u: Column) -> DataFrame:
+    """term, draw, c: the term's genes among the first n (of ``all_``) of each draw's order by -ln(u) / w, then gene. genes: gene, w.
+
+    The orders are cut into steps by the logarithm of that value and the genes of each coarse step counted, then those of the fine steps of
+    the coarse one that n falls into. Steps wholly within the first n need no order; only the genes of the fine step that n falls into are
+    sorted. A gene's values are made anew from its hash in each pass, and its terms travel with it: no row for a gene and draw is
+    written or shuffled but those sorted.
+    """
+    parts = int(genes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packed = links.groupBy("gene").agg(F.collect_list("term").alias("terms"))
+    rows = table(genes.select("gene", "w").join(packed, "gene").repartition(parts, "gene"), "weighted")
+    late = rows.repartition(parts, "gene").withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws)))).withColumn("late", -F.ln(u) / F.col("w"))
+    near = late.crossJoin(F.broadcast(all_.select(F.col("n").alias("left"))))
+    for k, steps in enumerate(STEPS):
+        near = near.withColumn(f"step{k}", F.floor(F.ln("late") * steps))
+        counts = near.groupBy("draw", f"step{k}", "left").agg(F.count("*").alias("m"))
+        counts = counts.withColumn("upto", F.sum("m").over(Window.partitionBy("draw").orderBy(f"step{k}")))
+        last = counts.where((F.col("upto") >= F.col("left")) & (F.col("upto") - F.col("m") < F.col("left")))
+        last = table(last.select("draw", F.col(f"step{k}").alias("last"), (F.col("left") - F.col("upto") + F.col("m")).alias("left")), "steps")
+        near = late.join(F.broadcast(last), "draw")  # a row a draw
+        if k + 1 < len(STEPS):
+            near = near.where(F.floor(F.ln("late") * steps) == F.col("last")).drop("last")
+    near = near.withColumn("step", F.floor(F.ln("late") * STEPS[-1]))
+    within = near.where(F.col("step") < F.col("last")).select("draw", "terms")
+    edge = table(near.where(F.col("step") == F.col("last")).select("draw", "late", "gene", "terms", "left"), "edge")
+    edge = placed(edge, ["draw"], ["late", "gene"], "place", "of").where(F.col("place") <= F.col("left")).select("draw", "terms")
+    return within.unionByName(edge).select("draw", F.explode("terms").alias("term")).groupBy("term", "draw").agg(F.count("*").alias("c"))
+
+
 def go_enrich_length_bias(closure: DataFrame, foreground: DataFrame, lengths: DataFrame, method: str = "Wallenius", bins: int = 50, draws: int = 2000, seed: int = 1, least: int = 0, adjust: str = "BH") -> DataFrame:
     """Per term: k of its genes in the foreground, big_k genes, odds, p of at least k, and adjusted p.
 
@@ -100,7 +133,7 @@ def go_enrich_length_bias(closure: DataFrame, foreground: DataFrame, lengths: Da
     genes. ``Wallenius``: the non-central tail at the odds of the term's mean weight to the mean weight of the other genes (1 where a term
     has all genes). ``Sampling``: as many genes as the foreground has are drawn ``draws`` times without replacement by weight, and
     p = (1 + draws with at least k) / (draws + 1). A draw is an order of all genes by -ln(u) / weight, u a hash of gene,
-    draw and seed, so it is the same on each run; places in it come from ranges of the order. A p of 0 becomes the least above / 10000.
+    draw and seed, so it is the same on each run; only the genes around the last one drawn are sorted. A p of 0 becomes the least above / 10000.
     Without a foreground gene every p is 1. Terms with fewer than ``least`` genes in the foreground are left out.
     """
     if method not in ("Wallenius", "Sampling"):
@@ -125,9 +158,7 @@ def go_enrich_length_bias(closure: DataFrame, foreground: DataFrame, lengths: Da
             t = t.withColumn("p", _tails("k", "big_k", rest, "n", "odds"))
         else:
             u = (F.pmod(F.xxhash64("gene", "draw", F.lit(seed)), F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
-            drawn = g.select("gene", "w", F.explode(F.sequence(F.lit(1), F.lit(draws))).alias("draw")).select("gene", "draw", (-F.ln(u) / F.col("w")).alias("late"))
-            drawn = placed(table(drawn, "draws"), ["draw"], ["late", "gene"], "place", "of").crossJoin(F.broadcast(all_)).where(F.col("place") <= F.col("n"))
-            counts = drawn.select("gene", "draw").join(links, "gene").groupBy("term", "draw").agg(F.count("*").alias("c"))
+            counts = _drawn_terms(links, g, all_, draws, u)
             least_k = t.select("term", "k")
             as_many = counts.join(least_k, "term").where(F.col("c") >= F.col("k")).groupBy("term").agg(F.count("*").alias("m"))
             m = F.when(F.col("k") == 0, draws).otherwise(F.coalesce("m", F.lit(0)))

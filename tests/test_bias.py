@@ -78,3 +78,22 @@ def test_both_methods(spark):
     none = bias.go_enrich_length_bias(frames[0], frames[1].where("gene < 0"), frames[2], bins=6).collect()
     assert {r.p for r in none} == {1.0}
     assert bias.go_enrich_length_bias(frames[0].where("gene < 0"), *frames[1:], bins=6).count() == 0
+
+
+def test_drawn_terms_are_those_of_whole_orders(spark):
+    from pyspark.sql import functions as F
+
+    closure, _, frames = tables(spark)
+    genes = frames[2].select("gene", (F.floor(F.col("len") / 300) + 1.0).alias("w")).join(frames[0].select("gene").distinct(), "gene")
+    u = (F.pmod(F.xxhash64("gene", "draw", F.lit(1)), F.lit(37)).cast("double") + 0.5) / 37.0  # genes of a draw tie
+    late = genes.crossJoin(spark.range(1, 8).select(F.col("id").cast("int").alias("draw"))).withColumn("late", -F.ln(u) / F.col("w"))
+    rows = [tuple(r) for r in late.select("draw", "late", "gene").collect()]
+    for n in (40, len(rows) // 7):
+        want: dict[tuple[str, int], int] = {}
+        for draw in range(1, 8):
+            first = {g for _, _, g in sorted(r for r in rows if r[0] == draw)[:n]}
+            for g, t in closure:
+                if g in first:
+                    want[t, draw] = want.get((t, draw), 0) + 1
+        got = bias._drawn_terms(frames[0], genes, spark.createDataFrame([(n,)], "n long"), 7, u)
+        assert {(r.term, r.draw): r.c for r in got.collect()} == want
