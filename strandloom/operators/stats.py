@@ -32,11 +32,23 @@ def _choose(n: Column, k: Column) -> Column:
     return ln_factorial(n) - ln_factorial(k) - ln_factorial(n - k)
 
 
+def _near(first: Column, last: Column, n: Column, rate: Column) -> Column:
+    """The whole numbers from ``first`` to ``last`` whose chance among n draws at a rate, with or without replacement, can differ from 0 in doubles.
+
+    By Bernstein's bound a number further than d from the mean m has less than exp(-d^2 / (2 (m (1 - rate) + d / 3))), which is under
+    the least double (exp(-745)) for this d; so the sum of them all is the same, and there are about sqrt(m) of them.
+    """
+    mean, third = n * rate, 760 / 3
+    d = third + F.sqrt(F.greatest(F.lit(0.0), mean * (1 - rate)) * (2 * 760.0) + third * third)
+    low, high = F.greatest(first, F.floor(mean - d)), F.least(last, F.ceil(mean + d))
+    return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<bigint>"))
+
+
 def binomial_tail(df: DataFrame, n: str, r: str, p: float | Column) -> DataFrame:
     """P(X >= r) of n trials at rate p, a number or a column between 0 and 1 (neither)."""
     rate = F.lit(p)
     term = lambda i: _choose(F.col(n), i) + i * F.ln(rate) + (F.col(n) - i) * F.ln(1 - rate)
-    terms = F.when(F.col(r) <= F.col(n), F.transform(F.sequence(F.col(r), F.col(n)), term)).otherwise(F.array().cast("array<double>"))
+    terms = F.when(F.col(r) <= F.col(n), F.transform(_near(F.col(r).cast("long"), F.col(n).cast("long"), F.col(n), rate), term)).otherwise(F.array().cast("array<double>"))
     return df.withColumn("p", F.when(F.col(r) <= 0, 1.0).otherwise(_tail(terms)))
 
 
@@ -45,7 +57,7 @@ def hypergeom_tail(df: DataFrame, k: str, n: str, big_k: str, big_n: str) -> Dat
     c = F.col
     term = lambda i: _choose(c(big_k), i) + _choose(c(big_n) - c(big_k), c(n) - i) - _choose(c(big_n), c(n))
     top = F.least(c(n), c(big_k))
-    terms = F.when(c(k) <= top, F.transform(F.sequence(F.greatest(c(k), c(n) - (c(big_n) - c(big_k))), top), term)).otherwise(F.array().cast("array<double>"))
+    terms = F.when(c(k) <= top, F.transform(_near(F.greatest(c(k), c(n) - (c(big_n) - c(big_k))).cast("long"), top.cast("long"), c(n), c(big_k) / c(big_n)), term)).otherwise(F.array().cast("array<double>"))
     return df.withColumn("p", F.when(c(k) * c(big_n) < c(n) * c(big_k), 1.0).otherwise(_tail(terms)))
 
 

@@ -292,3 +292,27 @@ def test_scopes_of_threads_are_apart(spark):
         assert list(pool.map(work, range(100, 112))) == [2 * (n // 2 + n % 2) for n in range(100, 112)]
     left = [x for x in set(os.listdir(folder)) - before if x.startswith(("inner-", "kept-", "threads-"))]
     assert len(left) == 12 and all(x.startswith("threads-") for x in left)
+
+
+def test_binomial_tail_of_counts_too_many_to_list(spark):
+    rows = frame(spark, [(3000, 3 * 10**9), (30_000, 3 * 10**9)], "r long, n long")
+    got = [r.p for r in stats.binomial_tail(rows, "n", "r", 1e-6).orderBy("r").collect()]
+    assert got == [pytest.approx(0.5024, abs=1e-3), 0.0]
+
+
+def test_ranges_are_found_by_halving(spark):
+    rows = frame(spark, [(i * 7919 % 1000, None if i % 9 == 0 else f"v{i % 5}") for i in range(1000)], "a int, b string")
+    dealt = table._ranges(rows, ["b", "a"])
+    assert "filter(__bounds" not in dealt._jdf.queryExecution().analyzed().toString()
+    got = sorted(dealt.collect(), key=lambda r: ((r.b is not None), r.b or "", r.a))
+    assert [r["__part"] for r in got] == sorted(r["__part"] for r in got)
+    assert {r["__part"] for r in got} == set(range(5))  # four bounds
+
+
+def test_near_genes_of_unlike_lengths_by_brute_force(spark):
+    rng = np.random.default_rng(4)
+    rows = [(int(c), int(b), int(b) + int(length), "+-"[i % 2], i) for i, (c, b, length) in enumerate(zip(rng.integers(0, 2, 200), rng.integers(1, 9000, 200), rng.choice([0, 20, 300, 7000], 200), strict=True))]
+    want = sorted((c, i, k) for c, a, b, s, i in rows if s == "+" for d, e, f, t, k in rows if t == "-" and c == d and min(b, f) - max(a, e) + 1 > -100)
+    genes = frame(spark, rows, "chrom int, start int, end int, strand string, id int")
+    for width in (None, 50):
+        assert sorted((r.chrom, r.p_id, r.m_id) for r in align.cis_nat(genes, width=width).collect()) == want
