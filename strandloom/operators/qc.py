@@ -5,32 +5,11 @@ Reads have sample, read_id, seq and, where it is used, qual (Phred + 33).
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandloom.functions.seq import let, letters, once, phred
-
-
-def _with_mismatches(adapter: str, most: int, end_from: int | None = None) -> str:
-    """A pattern of the adapter with at most so many unlike letters; from ``end_from`` letters on the text may end.
-
-    Each letter either is the adapter's or is not, so a place of the text is tried along one path only.
-    """
-
-    def rest(k: int, left: int) -> str:
-        if k == len(adapter):
-            return ""
-        letter = re.escape(adapter[k])
-        ways = [letter + rest(k + 1, left)]
-        if left:
-            ways.append(f"[^{letter}]" + rest(k + 1, left - 1))
-        if end_from is not None and k >= end_from:
-            ways.append("\\z")
-        return ways[0] if len(ways) == 1 else f"(?:{'|'.join(ways)})"
-
-    return rest(0, most)
+from strandloom.functions.seqarrays import adapter_ends, adapter_place
 
 
 def _count_upto(q: int) -> Column:
@@ -69,11 +48,7 @@ def head_trim(df: DataFrame, n: int = 50) -> DataFrame:
 
 def has_adapter5(a5: str, least: int = 8, mismatches: int = 1) -> Column:
     """A 5' adapter, or a suffix of it at the read's start, ends at some base from ``least`` on."""
-    n = len(a5)
-    behind = f"(?<=[\\s\\S]{{{least - n}}})" if n < least else ""
-    whole = behind + _with_mismatches(a5, mismatches)
-    parts = [f"\\A{_with_mismatches(a5[n - cut :], mismatches)}" for cut in range(least, n)]
-    return F.coalesce(F.col("seq").rlike(f"(?:{'|'.join([whole, *parts])})(?=[\\s\\S])"), F.lit(False))
+    return adapter_ends(F.col("seq"), a5, mismatches, least)
 
 
 def adapter5_detect(df: DataFrame, a5: str, min5: int = 8, mm: int = 1) -> DataFrame:
@@ -83,7 +58,7 @@ def adapter5_detect(df: DataFrame, a5: str, min5: int = 8, mm: int = 1) -> DataF
 def insert3(a3: str, least: int = 8, mismatches: int = 2) -> Column:
     """What stands before the leftmost 3' adapter (a part of at least ``least`` bases at the end counts); null if none."""
     seq = F.col("seq")
-    at = F.regexp_instr(seq, F.lit(f"(?=[\\s\\S]{{{least}}}){_with_mismatches(a3, mismatches, least)}"))
+    at = adapter_place(seq, a3, mismatches, least)
     return let(at, lambda p: F.when(p > 0, F.substr(seq, F.lit(1), p - 1)))
 
 
