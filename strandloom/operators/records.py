@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strandloom.functions.scratch import result, scope, table
 from strandloom.functions.seq import letters, pieces, reverse_complement
+from strandloom.functions.seqarrays import aligned, mask
 from strandloom.operators.table import cumulative_sum, islands
 
 
@@ -33,17 +34,14 @@ def mrd_assemble(precursors: DataFrame, windows: DataFrame, reads: DataFrame) ->
     """One nested record per precursor: total, mask (M in a mature, S in a star, l between, f outside) and reads in order.
 
     precursors: precursor, seq; windows: precursor, kind (M or S), beg, end (0-based closed); reads: precursor, beg, seq, n.
-    Mismatching letters of a read are upper case, the others lower.
+    Mismatching letters of a read are upper case, the others lower. A precursor's reads are brought together once, as its record holds
+    them, and shown beside its sequence a batch of precursors at a time.
     """
-    w = windows.groupBy("precursor").agg(F.collect_list(F.struct("kind", "beg", "end")).alias("w"), F.min("beg").alias("lo"), F.max("end").alias("hi"))
-    one = lambda k, i: F.exists("w", lambda x: (x["kind"] == k) & (x["beg"] <= i) & (i <= x["end"]))
-    letter = lambda i: F.when(one("M", i), "M").when(one("S", i), "S").when((i > F.col("lo")) & (i < F.col("hi")), "l").otherwise("f")
-    p = precursors.join(w, "precursor", "left").withColumn("w", F.coalesce("w", F.array().cast("array<struct<kind:string,beg:int,end:int>>")))
-    p = p.withColumn("mask", F.array_join(F.transform(F.sequence(F.lit(0), F.length("seq") - 1), letter), ""))
-    r = pieces(reads, precursors, "precursor", F.col("beg") + 1, F.col("beg") + F.length("seq"))
-    shown = F.array_join(F.transform(letters(F.col("seq")), lambda c, i: F.when(c == F.substr("__piece", i + 1, F.lit(1)), F.lower(c)).otherwise(F.upper(c))), "")
-    g = r.groupBy("precursor").agg(F.sum("n").alias("total"), F.array_sort(F.collect_list(F.struct("beg", (F.col("beg") + F.length("seq") - 1).alias("end"), shown.alias("aligned"), "n"))).alias("reads"))
-    return p.join(g, "precursor").select("precursor", "total", "mask", F.col("seq").alias("pri_seq"), "reads")
+    p = precursors.join(windows.groupBy("precursor").agg(F.collect_list(F.struct("kind", "beg", "end")).alias("w")), "precursor", "left")
+    given = dict(reads.dtypes)
+    g = reads.groupBy("precursor").agg(F.sum("n").alias("total"), F.collect_list(F.struct("beg", "seq", "n")).alias("given"))
+    shown = p.join(g, "precursor").select("precursor", "total", mask(F.length("seq"), F.col("w")).alias("mask"), F.col("seq").alias("pri_seq"), aligned(F.col("seq"), F.col("given"), (given["beg"], given["n"])).alias("reads"))
+    return shown.withColumn("reads", F.sort_array("reads"))
 
 
 def go_class_table(gene2go: DataFrame, terms: DataFrame, spaces: list[str]) -> DataFrame:
