@@ -8,8 +8,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandloom.functions.seq import let, letters, once, phred
-from strandloom.functions.seqarrays import adapter_ends, adapter_place
+from strandloom.functions.seq import let, once
+from strandloom.functions.seqarrays import adapter_ends, adapter_place, tally
+
+
+def _quality() -> Column:
+    """The quality that a letter counted by ``tally`` stands for."""
+    return F.col("code") - 33
 
 
 def _count_upto(q: int) -> Column:
@@ -105,30 +110,35 @@ def adaptor_tool(df: DataFrame, a3: str, a5: str | None = None, lo: int = 18, hi
 
 def base_composition(df: DataFrame) -> DataFrame:
     """Per position (from 1): count and percent of A, T, G, C and N."""
-    each = df.select(F.posexplode(letters(F.col("seq"))).alias("p", "base"))
-    by = each.groupBy((F.col("p") + 1).alias("pos")).pivot("base", list("ATGCN")).count().na.fill(0)
+    own = lambda b: F.coalesce(F.sum(F.when(F.col("code") == ord(b), F.col("n"))), F.lit(0).cast("long"))
+    by = tally(df, [], ["seq"]).groupBy("pos").agg(*[own(b).alias(b) for b in "ATGCN"])
     total = sum((F.col(b) for b in "ATGCN"), F.lit(0))
     return by.select("pos", *[F.col(b).alias(f"n_{b.lower()}") for b in "ATGCN"], *[F.round(100 * F.col(b) / total, 4).alias(f"p_{b.lower()}") for b in "ATGCN"])
 
 
 def quality_by_position(df: DataFrame) -> DataFrame:
     """Per position (from 1): mean quality and the error percentage it stands for."""
-    each = df.select(F.posexplode(phred(F.col("qual"))).alias("p", "q"))
-    q = F.avg("q")
-    return each.groupBy((F.col("p") + 1).alias("pos")).agg(F.round(q, 6).alias("mean_q"), F.round(100 * F.pow(F.lit(10.0), -q / 10), 6).alias("error"))
+    q = F.sum(_quality() * F.col("n")) / F.sum("n")
+    return tally(df, [], ["qual"]).groupBy("pos").agg(F.round(q, 6).alias("mean_q"), F.round(100 * F.pow(F.lit(10.0), -q / 10), 6).alias("error"))
 
 
 def quality_histogram(df: DataFrame) -> DataFrame:
-    return df.select(F.explode(phred(F.col("qual"))).alias("q")).groupBy("q").agg(F.count("*").alias("n"))
+    return tally(df, [], ["qual"]).groupBy(_quality().alias("q")).agg(F.sum("n").alias("n"))
 
 
 def fastq_summary(df: DataFrame) -> DataFrame:
     """Per sample: reads, bases, N, low quality, Q20, Q30, GC (all in percent) and duplication."""
-    lost = lambda letters_: F.length("seq") - F.length(F.translate("seq", letters_, ""))
-    quality = [_count_upto(k).alias(f"q{k}") for k in (5, 19, 29)]
-    rows = df.select("sample", "seq", F.length("seq").alias("len"), lost("N").alias("nn"), lost("GC").alias("gc"), *quality)
-    s = rows.groupBy("sample", "seq").agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in ("len", "nn", "gc", "q5", "q19", "q29")])
-    s = s.groupBy("sample").agg(F.sum("n").alias("reads"), F.count("*").alias("distinct"), *[F.sum(c).alias(c) for c in ("len", "nn", "gc", "q5", "q19", "q29")])
+    return _summary(df, tally(df, ["sample"], ["seq", "qual"]))
+
+
+def _summary(df: DataFrame, letters: DataFrame) -> DataFrame:
+    """The summary of reads from the distinct ones and from counts of letters by place."""
+    code = F.col("code")
+    of = lambda text, test: F.sum(F.when(F.col("text") == text, F.when(test, F.col("n")).otherwise(0)))
+    counts = letters.groupBy("sample").agg(of("seq", code == ord("N")).alias("nn"), of("seq", code.isin(ord("G"), ord("C"))).alias("gc"), *[of("qual", code.between(1, q + 33)).alias(f"q{q}") for q in (5, 19, 29)])
+    s = df.groupBy("sample", "seq").agg(F.count("*").alias("n"))
+    s = s.groupBy("sample").agg(F.sum("n").alias("reads"), F.count("*").alias("distinct"), F.sum(F.length("seq") * F.col("n")).alias("len"))
+    s = s.join(F.broadcast(counts.withColumnRenamed("sample", "__s")), F.col("sample").eqNullSafe(F.col("__s")), "left")
     pct = lambda a, b: F.round(100 * a / b, 4)
     n = F.col("len")
     return s.select(
@@ -143,9 +153,10 @@ def fastq_report(raw: DataFrame, clean: DataFrame) -> DataFrame:
     key = ["sample", "stage"]
 
     def stage(df: DataFrame, name: str) -> DataFrame:
-        each = df.select("sample", F.posexplode(phred(F.col("qual"))).alias("p", "q")).groupBy("sample", "p").agg(F.avg("q").alias("q"))
-        error = each.groupBy("sample").agg(F.round(F.sum(F.pow(F.lit(10.0), -F.col("q") / 10)), 6).alias("error"))
-        return fastq_summary(df).join(error, "sample", "left").withColumn("stage", F.lit(name))
+        letters = tally(df, ["sample"], ["seq", "qual"])
+        error = letters.where("text = 'qual'").groupBy("sample", "pos").agg((F.sum(_quality() * F.col("n")) / F.sum("n")).alias("q"))
+        error = error.groupBy("sample").agg(F.round(F.sum(F.pow(F.lit(10.0), -F.col("q") / 10)), 6).alias("error"))
+        return _summary(df, letters).join(error, "sample", "left").withColumn("stage", F.lit(name))
 
     both = stage(raw, "raw").unionByName(stage(clean, "clean"))
     before = Window.partitionBy("sample").orderBy(F.desc("stage"))

@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandloom.functions.scratch import result, scope, table
-from strandloom.functions.seq import letters, pieces, reverse_complement
-from strandloom.functions.seqarrays import aligned, mask
+from strandloom.functions.seq import pieces, reverse_complement
+from strandloom.functions.seqarrays import aligned, mask, site_counts
 from strandloom.operators.table import cumulative_sum, islands
 
+#: Letters of a chromosome that candidates meet at once.
+_TILE = 512
+
 
 def rfam_compose(hits: DataFrame, total: int | None = None) -> DataFrame:
     """hits (ref, n): reads by class (second field of ``a;class;...``) and species (after the last colon), percent of all and of mapped."""
@@ -23,11 +26,9 @@ def nt_edit_sites(reads: DataFrame) -> DataFrame:
     """reads (precursor, mature, beg, seq, ref, n; ref is the mature's sequence, beg the read's place in it): per site coverage,
     edited reads and their percent by substitution X->Y. Only reads wholly inside the mature count."""
     inside = reads.where((F.col("beg") >= 0) & (F.col("beg") + F.length("seq") <= F.length("ref")))
-    site = inside.select("precursor", "mature", "n", "beg", "ref", F.posexplode(letters(F.col("seq"))).alias("p", "base"))
-    site = site.select("precursor", "mature", (F.col("beg") + F.col("p")).alias("pos"), F.substr("ref", F.col("beg") + F.col("p") + 1, F.lit(1)).alias("x"), F.col("base").alias("y"), "n")
-    cover = site.groupBy("precursor", "mature", "pos").agg(F.sum("n").alias("coverage"))
-    edit = site.where("x <> y").groupBy("precursor", "mature", "pos", F.concat("x", F.lit("->"), "y").alias("sub")).agg(F.sum("n").alias("edited"))
-    return edit.join(cover, ["precursor", "mature", "pos"]).select("precursor", "mature", "pos", "sub", "edited", "coverage", F.round(100 * F.col("edited") / F.col("coverage"), 4).alias("percent"))
+    key = ["precursor", "mature"]
+    site = site_counts(inside.dropna(subset=key), key).withColumn("coverage", F.sum("n").over(Window.partitionBy(*key, "pos")))
+    return site.where("x <> y").select(*key, "pos", F.concat("x", F.lit("->"), "y").alias("sub"), F.col("n").alias("edited"), "coverage", F.round(100 * F.col("n") / F.col("coverage"), 4).alias("percent"))
 
 
 def mrd_assemble(precursors: DataFrame, windows: DataFrame, reads: DataFrame) -> DataFrame:
@@ -111,8 +112,9 @@ def hairpin_loci(aln: DataFrame, genome: DataFrame, sizes: tuple[int, int] = (20
     ``islands`` the largest number of alignments of which no two share a base, where more than ``most`` count as most + 1;
     ``overlap`` the bases that the longest run of overlapping alignments covers.
 
-    Loci and runs are islands found by ranges of the order. The alignments apart are picked one by one, always the first to end after
-    the one before (which is the largest choice), for all loci at once: most + 1 aggregations, and no task holds a locus.
+    Loci and runs are islands found in one pass by ranges of the order. The alignments apart are picked one by one, always the first to
+    end after the one before (which is the largest choice), for all loci at once: ``most`` joins, each with what begins after the
+    last pick alone, and no task holds a locus. A candidate meets the one tile of its chromosome that it begins in.
     """
     with scope(aln.sparkSession):
         size = F.col("end") - F.col("beg")
@@ -123,27 +125,33 @@ def hairpin_loci(aln: DataFrame, genome: DataFrame, sizes: tuple[int, int] = (20
             F.sum("n").cast("long").alias("all"), F.coalesce(F.sum(F.when(F.col("strand") == "+", F.col("n"))), F.lit(0)).cast("long").alias("plus"),
             F.min(F.struct(first.alias("rank"), "hits")).alias("best"),
         )
-        places = table(islands(table(places, "places"), ["chrom"], "beg", "end", distance, "locus"), "loci").withColumn("last", F.col("end") - 1)
-        runs = islands(places.select("locus", "beg", "last"), ["locus"], "beg", "last", name="run")
-        runs = runs.groupBy("locus", "run").agg((F.max("last") - F.min("beg") + 1).alias("w")).groupBy("locus").agg(F.max("w").alias("overlap"))
-        ends = table(places.groupBy("locus", "beg").agg(F.min("end").alias("end")), "ends")
-        pick = table(ends.groupBy("locus").agg(F.min("end").alias("upto")), "pick")
-        picks = pick
+        places = table(islands(table(places, "places"), ["chrom"], "beg", "end", distance, "locus", also={"run": -1}), "loci")
+        runs = places.groupBy("chrom", "locus", "run").agg(
+            F.min("beg").alias("beg"), F.max("beg").alias("begin"), F.max("end").alias("end"), F.min("end").alias("upto"), F.sum("all").alias("abundance"), F.sum("plus").alias("plus"), F.min("best").alias("best"),
+        )
+        loci = table(runs.groupBy("chrom", "locus").agg(
+            F.min("beg").alias("beg"), F.max("begin").alias("begin"), F.max("end").alias("end"), F.min("upto").alias("upto"), F.sum("abundance").alias("abundance"), F.sum("plus").alias("plus"), F.min("best").alias("best"),
+            F.max(F.col("end") - F.col("beg")).alias("overlap"),
+        ), "sums")
+        rest, pick = places.select("locus", "beg", "end"), loci.where(F.col("begin") >= F.col("upto")).select("locus", "upto")
+        picks = None
         for _ in range(most):
-            pick = table(ends.join(pick, "locus").where(F.col("beg") >= F.col("upto")).groupBy("locus").agg(F.min("end").alias("upto")), "pick")
-            picks = picks.union(pick)
-        apart = picks.groupBy("locus").agg(F.count("*").alias("islands"))
-        loci = places.groupBy("locus", "chrom").agg(F.min("beg").alias("beg"), F.max("end").alias("end"), F.sum("all").alias("abundance"), F.sum("plus").alias("plus"), F.min("best").alias("best"))
+            rest = table(rest.join(pick, "locus").where(F.col("beg") >= F.col("upto")).groupBy("locus", "beg").agg(F.min("end").alias("end")), "rest")
+            pick = rest.groupBy("locus").agg(F.min("end").alias("upto"))
+            picks = pick if picks is None else picks.union(pick)
+        apart = loci.select("locus") if picks is None else picks
+        apart = apart.groupBy("locus").agg((F.count("*") + (0 if picks is None else 1)).alias("islands"))
         minus = F.col("abundance") - F.col("plus")
-        loci = loci.join(runs, "locus").join(apart, "locus").select(
+        loci = loci.join(apart, "locus", "left").select(
             "chrom", "beg", "end", F.when(F.col("plus") >= minus, "+").otherwise("-").alias("strand"), "abundance", F.col("best.hits").alias("hits"),
-            F.try_divide(F.greatest("plus", minus), "abundance").alias("oriented"), "islands", "overlap", F.col("best.rank.beg").alias("at"), F.col("best.rank.end").alias("to"),
+            F.try_divide(F.greatest("plus", minus), "abundance").alias("oriented"), F.coalesce("islands", F.lit(1).cast("long")).alias("islands"), "overlap",
+            F.greatest(F.col("best.rank.beg"), F.lit(0)).alias("at"), F.col("best.rank.end").alias("to"),
         )
-        cut = pieces(loci, genome, "chrom", F.col("at") + 1, F.col("to"))
-        gc = F.try_divide(F.length(F.regexp_replace("__piece", "[^GCgc]", "")), F.length("__piece"))
-        cut = cut.select(*loci.columns, gc.alias("gc"))
-        bare = loci.join(genome.select("chrom").where("seq is not null").distinct(), "chrom", "left_anti").withColumn("gc", F.lit(None).cast("double"))
-        return result(cut.unionByName(bare).drop("at", "to"), "loci")
+        tiles = genome.select("chrom", F.posexplode(F.regexp_extract_all("seq", F.lit(f"(?s)(?=(.{{1,{_TILE + sizes[1]}}})).{{1,{_TILE}}}"), F.lit(1))).alias("no", "tile"))
+        cut = loci.withColumn("no", F.floor(F.col("at") / _TILE).cast("int")).join(tiles, ["chrom", "no"], "left")
+        piece = F.substr("tile", (F.col("at") - F.col("no") * _TILE + 1).cast("int"), F.greatest(F.col("to") - F.col("at"), F.lit(0)).cast("int"))
+        gc = F.try_divide(F.length(F.regexp_replace(piece, "[^GCgc]", "")), F.length(piece))
+        return result(cut.select(*[c for c in loci.columns if c not in ("at", "to")], gc.alias("gc")), "loci")
 
 
 def read_stacks(aln: DataFrame, max_hits: int = 5, reach: int = 70, gear: int = 50_000) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from strandloom.functions.seqarrays import cut
 from strandloom.operators import records as r
 from strandloom.plans.align import genome, ids
 from strandloom.plans.views import ALN, SEQS, alignments, read, sequences
@@ -11,8 +12,8 @@ from strandloom.plans.views import ALN, SEQS, alignments, read, sequences
 
 def _edits(s, d):
     """The sequences cut into edited reads of 18 bases (the last may be shorter); five in a row are reads of one mature, each one place further."""
-    x = sequences(s, d).select("sample", F.posexplode(F.regexp_extract_all("s", F.lit("[A-Z]{1,18}"), F.lit(0))).alias("o", "s"), "doc_id").withColumn("beg", F.col("o") % 5)
-    return x.select(F.col("sample").alias("precursor"), F.concat(F.lit("m"), F.floor(F.col("o") / 5)).alias("mature"), "beg", F.translate("s", "N", "A").alias("seq"), F.lit("ACGTACGTACGTACGTACGTAC").alias("ref"), (F.col("doc_id") % 5 + 1).alias("n"))
+    x = sequences(s, d).select("sample", F.posexplode(cut(F.col("s"), F.lit(18))).alias("o", "s"), "doc_id").withColumn("beg", F.col("o") % 5)
+    return x.select(F.col("sample").alias("precursor"), F.concat(F.lit("m"), F.floor(F.col("o") / 5)).alias("mature"), "beg", F.replace("s", F.lit("N"), F.lit("A")).alias("seq"), F.lit("ACGTACGTACGTACGTACGTAC").alias("ref"), (F.col("doc_id") % 5 + 1).alias("n"))
 
 
 def _mrd(s, d):
