@@ -9,6 +9,9 @@ from strandloom.functions.seq import half_up
 from strandloom.operators.order import density, quantiles
 from strandloom.operators.table import cumulative_sum, islands, numbered
 
+#: Tasks for each part of the input where rows are sorted by read.
+SHARE = 8
+
 
 def zero(c) -> Column:
     return F.coalesce(c, F.lit(0).cast("long"))
@@ -28,9 +31,16 @@ def feature_counts(aln: DataFrame, refs: DataFrame, strands: bool = False, weigh
 
 
 def feature_uniq_counts(aln: DataFrame) -> DataFrame:
-    """Per reference and sample: distinct reads, and their weights one over the hits of the read."""
-    m = aln.withColumn("w", F.lit(1.0) / F.count("*").over(Window.partitionBy("read_id")))
-    return m.groupBy("ref", "sample").agg(F.countDistinct("read_id").alias("uniq"), F.round(F.sum("w"), 4).alias("weight"))
+    """Per reference and sample: distinct reads, and their weights one over the hits of the read.
+
+    Rows are dealt by read once, to ``SHARE`` tasks for each part of the input, so what a task sorts does not grow with the table; only
+    sums go further.
+    """
+    rows = aln.select("read_id", "ref", "sample")
+    parts = max(int(aln.sparkSession.conf.get("spark.sql.shuffle.partitions")), SHARE * rows.rdd.getNumPartitions())
+    once = rows.repartition(parts, "read_id").groupBy("read_id", "ref", "sample").agg(F.count("*").alias("k"))
+    m = once.withColumn("w", F.col("k") / F.sum("k").over(Window.partitionBy("read_id")))
+    return m.groupBy("ref", "sample").agg(F.count("read_id").alias("uniq"), F.round(F.sum("w"), 4).alias("weight"))
 
 
 def class_totals(aln: DataFrame, kind: str) -> DataFrame:
