@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandloom.functions.seq import let, once
-from strandloom.functions.seqarrays import adapter_ends, adapter_place, tally
+from strandloom.functions.seqarrays import adapter_ends, adapter_place, counted, tally
 
 
 def _quality() -> Column:
@@ -19,8 +19,7 @@ def _quality() -> Column:
 
 def _count_upto(q: int) -> Column:
     """How many letters of ``qual`` stand for a quality of at most ``q``."""
-    low = "".join(chr(c) for c in range(1, q + 34))
-    return F.length("qual") - F.length(F.translate("qual", low, ""))
+    return counted(F.col("qual"), 1, q + 33)
 
 
 def n_rich(rate: float = 0.1) -> Column:
