@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
+from strandloom.functions.keys import marked
+from strandloom.functions.locusarrays import FAR, joined, portions
 from strandloom.functions.scratch import result, scope, table
 from strandloom.functions.seq import pieces, reverse_complement
 from strandloom.functions.seqarrays import aligned, mask, site_counts
-from strandloom.operators.table import cumulative_sum, islands
+from strandloom.operators.table import cumulative_sum, dealt_by, range_bounds
 
 #: Letters of a chromosome that candidates meet at once.
 _TILE = 512
@@ -112,46 +116,67 @@ def hairpin_loci(aln: DataFrame, genome: DataFrame, sizes: tuple[int, int] = (20
     ``islands`` the largest number of alignments of which no two share a base, where more than ``most`` count as most + 1;
     ``overlap`` the bases that the longest run of overlapping alignments covers.
 
-    Loci and runs are islands found in one pass by ranges of the order. The alignments apart are picked one by one, always the first to
-    end after the one before (which is the largest choice), for all loci at once: ``most`` joins, each with what begins after the
-    last pick alone, and no task holds a locus. A candidate meets the one tile of its chromosome that it begins in.
+    Alignments are dealt once, by ranges of their order, and with them the tiles of the genome that they may begin in. A range is read in order, a batch at a
+    time: loci inside it are whole; those over an edge leave a portion with its sums, and what it adds to the alignments apart for every place
+    where the last one before it may end (as many as the longest alignment has bases). So no task holds a locus, and at most two portions a range
+    are put together at the end.
     """
-    with scope(aln.sparkSession):
-        size = F.col("end") - F.col("beg")
-        hits = aln.groupBy("read").agg(F.count("*").alias("hits"))
-        fit = aln.where(size.between(*sizes) & F.col("chrom").isNotNull()).join(hits, "read")
-        first = F.struct((-F.col("n")).alias("less"), "read", "strand", "beg", "end")
-        places = fit.groupBy("chrom", "beg", "end").agg(
-            F.sum("n").cast("long").alias("all"), F.coalesce(F.sum(F.when(F.col("strand") == "+", F.col("n"))), F.lit(0)).cast("long").alias("plus"),
-            F.min(F.struct(first.alias("rank"), "hits")).alias("best"),
-        )
-        places = table(islands(table(places, "places"), ["chrom"], "beg", "end", distance, "locus", also={"run": -1}), "loci")
-        runs = places.groupBy("chrom", "locus", "run").agg(
-            F.min("beg").alias("beg"), F.max("beg").alias("begin"), F.max("end").alias("end"), F.min("end").alias("upto"), F.sum("all").alias("abundance"), F.sum("plus").alias("plus"), F.min("best").alias("best"),
-        )
-        loci = table(runs.groupBy("chrom", "locus").agg(
-            F.min("beg").alias("beg"), F.max("begin").alias("begin"), F.max("end").alias("end"), F.min("upto").alias("upto"), F.sum("abundance").alias("abundance"), F.sum("plus").alias("plus"), F.min("best").alias("best"),
-            F.max(F.col("end") - F.col("beg")).alias("overlap"),
-        ), "sums")
-        rest, pick = places.select("locus", "beg", "end"), loci.where(F.col("begin") >= F.col("upto")).select("locus", "upto")
-        picks = None
-        for _ in range(most):
-            rest = table(rest.join(pick, "locus").where(F.col("beg") >= F.col("upto")).groupBy("locus", "beg").agg(F.min("end").alias("end")), "rest")
-            pick = rest.groupBy("locus").agg(F.min("end").alias("upto"))
-            picks = pick if picks is None else picks.union(pick)
-        apart = loci.select("locus") if picks is None else picks
-        apart = apart.groupBy("locus").agg((F.count("*") + (0 if picks is None else 1)).alias("islands"))
+    spark, size, given = aln.sparkSession, F.col("end") - F.col("beg"), dict(aln.dtypes)
+    span = aln.select((F.col("end") - F.col("beg")).alias("span")).dtypes[0][1]
+    with scope(spark):
+        fits = size.between(max(sizes[0], 1), sizes[1]) & F.col("chrom").isNotNull()
+        rows = aln.where(F.col("read").isNotNull()).select("read", *[F.when(fits, F.col(c).cast(t) if t else F.col(c)).alias(c) for c, t in (("chrom", None), ("beg", "long"), ("end", "long"), ("n", "long"), ("strand", None))])
+        fit = rows.where(F.col("chrom").isNotNull())
+        order = ["chrom", "beg", "end", "read"]
+        bounds = table(range_bounds(fit, order), "bounds")
+        key = F.struct(*order)
+        few = bounds.select(F.explode("__bounds").alias("b")).select("b.chrom").distinct()
+        # only a chromosome that holds a bound is in several ranges
+        spread = dealt_by(fit.join(F.broadcast(few), "chrom", "left_semi"), bounds, key).groupBy("chrom", "__part").agg(F.min("beg").alias("beg"), F.max("end").alias("end"))
+        edges = _edges(spread.collect())
+        hits = rows.withColumn("hits", F.count("*").over(Window.partitionBy("read"))).where(F.col("chrom").isNotNull())
+        columns = ["chrom", "beg", "end", "n", "strand", "read", "hits"]
+        dealt = dealt_by(hits, bounds, key).select(F.col("__part").alias("part"), *columns, F.lit(None).cast("string").alias("tile"))
+        letters = marked(genome.select(F.col("chrom").cast(given["chrom"]).alias("chrom"), "seq"), "chrom", fit.select("chrom"), "__met").where("__met")
+        tiles = letters.select("chrom", F.posexplode(F.regexp_extract_all("seq", F.lit(f"(?s)(?=(.{{1,{_TILE + sizes[1]}}})).{{1,{_TILE}}}"), F.lit(1))).alias("no", "tile"))
+        tiles = tiles.withColumn("beg", F.when(F.col("no") == 0, -FAR // 2).otherwise(F.col("no").cast("long") * _TILE))  # before what begins off the sequence
+        place = lambda beg: F.struct("chrom", beg.alias("beg"), F.lit(None).cast("long").alias("end"), F.lit(None).cast(given["read"]).alias("read"))
+        tiles = dealt_by(dealt_by(tiles, bounds, place(F.col("beg")), "__low"), bounds, place((F.col("no").cast("long") + 1) * _TILE), "__high")
+        empty = {"end": "long", "strand": given["strand"], "read": given["read"], "hits": "long"}
+        tiles = tiles.withColumns({"n": F.col("no").cast("long"), **{c: F.lit(None).cast(t) for c, t in empty.items()}}).select(F.explode(F.sequence("__low", "__high")).alias("part"), *columns, "tile")
+        ranges = int(spark.conf.get("spark.sql.shuffle.partitions")) + 1
+        sorted_ = dealt.union(tiles).repartitionById(ranges, F.col("part")).sortWithinPartitions("part", "chrom", "beg", F.asc_nulls_first("end"))
+        made = (
+            f"chrom {given['chrom']}, beg long, end long, abundance long, plus long, hits long, gc double, islands long, overlap long, edge struct<part: int, left: boolean, right: boolean, less: long, read: {given['read']}, "
+            f"strand: {given['strand']}, at: long, to: long, head: long, tail: long, single: boolean, counts: array<int>, ends: array<long>>"
+        )
+        kind = StructType.fromDDL(made)
+        schema = to_arrow_schema(kind)
+        found = result(sorted_.mapInArrow(lambda batches: portions(batches, schema, edges, distance, most, sizes[1], _TILE), kind), "loci")
+        over = joined(found.where("edge is not null").collect(), most)
+        loci = found.where("edge is null").drop("edge")
+        loci = loci.union(spark.createDataFrame(over, loci.schema)) if over else loci
         minus = F.col("abundance") - F.col("plus")
-        loci = loci.join(apart, "locus", "left").select(
-            "chrom", "beg", "end", F.when(F.col("plus") >= minus, "+").otherwise("-").alias("strand"), "abundance", F.col("best.hits").alias("hits"),
-            F.try_divide(F.greatest("plus", minus), "abundance").alias("oriented"), F.coalesce("islands", F.lit(1).cast("long")).alias("islands"), "overlap",
-            F.greatest(F.col("best.rank.beg"), F.lit(0)).alias("at"), F.col("best.rank.end").alias("to"),
+        return loci.select(
+            "chrom", F.col("beg").cast(given["beg"]).alias("beg"), F.col("end").cast(given["end"]).alias("end"), F.when(F.col("plus") >= minus, "+").otherwise("-").alias("strand"), "abundance", "hits",
+            F.try_divide(F.greatest("plus", minus), "abundance").alias("oriented"), "islands", F.col("overlap").cast(span).alias("overlap"), "gc",
         )
-        tiles = genome.select("chrom", F.posexplode(F.regexp_extract_all("seq", F.lit(f"(?s)(?=(.{{1,{_TILE + sizes[1]}}})).{{1,{_TILE}}}"), F.lit(1))).alias("no", "tile"))
-        cut = loci.withColumn("no", F.floor(F.col("at") / _TILE).cast("int")).join(tiles, ["chrom", "no"], "left")
-        piece = F.substr("tile", (F.col("at") - F.col("no") * _TILE + 1).cast("int"), F.greatest(F.col("to") - F.col("at"), F.lit(0)).cast("int"))
-        gc = F.try_divide(F.length(F.regexp_replace(piece, "[^GCgc]", "")), F.length(piece))
-        return result(cut.select(*[c for c in loci.columns if c not in ("at", "to")], gc.alias("gc")), "loci")
+
+
+def _edges(rows: list) -> dict[int, tuple[int | None, int | None]]:
+    """Of chromosomes in several ranges (chrom, __part, beg, end), by range: where what lies in the ranges before ends, where the next one begins."""
+    out: dict[int, tuple[int | None, int | None]] = {}
+    by: dict = {}
+    for r in rows:
+        by.setdefault(r.chrom, []).append((r["__part"], r.beg, r.end))
+    for own in by.values():
+        own.sort()
+        upto = None
+        for (part, _, end), (after, beg, _) in zip(own, own[1:], strict=False):
+            upto = end if upto is None else max(upto, end)
+            out[part] = (out.get(part, (None, None))[0], beg)
+            out[after] = (upto, out.get(after, (None, None))[1])
+    return out
 
 
 def read_stacks(aln: DataFrame, max_hits: int = 5, reach: int = 70, gear: int = 50_000) -> DataFrame:

@@ -130,3 +130,106 @@ def test_most_alignments_apart_by_brute_force(spark):
         spans = [(b, e) for q, _, b, e, _, _ in rows if q == c]
         best = max(k for k in range(1, 8) for pick in combinations(spans, k) if all(x[1] <= y[0] for x, y in zip(sorted(pick), sorted(pick)[1:], strict=False)))
         assert got[c] == best
+
+
+def plain_loci(rows, seqs, sizes, distance, most):
+    """Loci of (chrom, strand, beg, end, read, n) by reading them one by one."""
+    from collections import Counter
+
+    hits, out = Counter(r[4] for r in rows), []
+    fit = sorted((r for r in rows if r[0] is not None and sizes[0] <= r[3] - r[2] <= sizes[1]), key=lambda r: (r[0], r[2], r[3]))
+    groups = []
+    for r in fit:
+        if not groups or groups[-1][0][0] != r[0] or r[2] - max(x[3] for x in groups[-1]) > distance:
+            groups.append([])
+        groups[-1].append(r)
+    for g in groups:
+        runs, picks, end = [], 0, None
+        for _, _, b, e, _, _ in g:
+            if runs and b < runs[-1][1]:
+                runs[-1][1] = max(runs[-1][1], e)
+            else:
+                runs.append([b, e])
+        for _, _, b, e, _, _ in sorted(g, key=lambda r: r[3]):
+            if end is None or b >= end:
+                picks, end = picks + 1, e
+        total, plus = sum(r[5] for r in g), sum(r[5] for r in g if r[1] == "+")
+        c = min(g, key=lambda r: (-r[5], r[4], r[1] or "", r[2], r[3]))
+        piece = seqs.get(c[0], "")[max(c[2], 0) : max(c[3], 0)]
+        gc = sum(x in "GCgc" for x in piece) / len(piece) if piece else None
+        out.append((c[0], g[0][2], max(r[3] for r in g), "+" if 2 * plus >= total else "-", total, hits[c[4]], max(plus, total - plus) / total, min(picks, most + 1), max(b - a for a, b in runs), gc))
+    return sorted(out)
+
+
+def some_alignments(seed, n=400, wide=900):
+    rng = np.random.default_rng(seed)
+    rows = [("abcd"[rng.integers(0, 4) // (1 + i % 3)], [None, "+", "-"][rng.integers(0, 3)], int(b), int(b) + int(rng.integers(17, 24)), f"r{rng.integers(0, n // 2 + 1)}", int(rng.integers(1, 5))) for i, b in enumerate(rng.integers(-30, wide, n))]
+    seqs = {c: "".join(rng.choice(list("ACGTn"), k)) for c, k in (("a", 1100), ("b", 600), ("c", 513))}
+    return rows, seqs
+
+
+@pytest.mark.parametrize(("distance", "most", "batch"), [(4, 3, 1000), (60, 9, 7), (0, 1, 1)])
+def test_loci_over_edges_of_ranges_and_batches(spark, monkeypatch, distance, most, batch):
+    """One pass over the dealt alignments: nothing but the ranges' bounds and the loci is written."""
+    from strandloom.operators import records
+
+    rows, seqs = some_alignments(distance, 200)
+    aln = spark.createDataFrame(rows + [(None, "+", 0, 20, "r1", 1)], "chrom string, strand string, beg int, end int, read string, n int")
+    genome = spark.createDataFrame([*seqs.items(), ("z", "ACGT"), ("none", None)], "chrom string, seq string")
+    written = []
+    for name in ("table", "result"):
+        monkeypatch.setattr(records, name, lambda df, label, f=getattr(records, name): written.append(label) or f(df, label))
+    kept = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        got = sorted(tuple(r) for r in records.hairpin_loci(aln, genome, (18, 22), distance, most).collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", kept)
+    assert got == plain_loci(rows + [(None, "+", 0, 20, "r1", 1)], seqs, (18, 22), distance, most)
+    assert written == ["bounds", "loci"]
+
+
+@pytest.mark.parametrize("seed", [*range(12), 56])
+def test_portions_of_any_ranges_and_batches(seed):
+    import pyarrow as pa
+
+    from strandloom.functions import locusarrays as la
+
+    rng = np.random.default_rng(seed)
+    rows, seqs = some_alignments(seed, int(rng.integers(1, 200)), int(rng.integers(1, 700)))
+    distance, most, tile = int(rng.integers(0, 30)), int(rng.integers(0, 6)), int(rng.integers(1, 40))
+    want = plain_loci(rows, seqs, (17, 23), distance, most)
+    fit = sorted(((r, sum(x[4] == r[4] for x in rows)) for r in rows), key=lambda x: (x[0][0], x[0][2], x[0][3]))
+    cuts = np.sort(rng.integers(0, len(fit) + 1, int(rng.integers(0, 9))))
+    part = np.searchsorted(cuts, np.arange(len(fit)), side="right")
+    spread = {}
+    for (r, _), p in zip(fit, part.tolist(), strict=True):
+        b, e = spread.get((r[0], p), (r[2], r[3]))
+        spread[r[0], p] = min(b, r[2]), max(e, r[3])
+    from pyspark.sql import Row
+
+    from strandloom.operators.records import _edges
+
+    spots = [Row(**{"chrom": c, "__part": p, "beg": b, "end": e}) for (c, p), (b, e) in spread.items()]
+    edges = _edges([r for r in spots if sum(x.chrom == r.chrom for x in spots) > 1])
+    lines = [(p, r[0], r[2], r[3], r[5], r[1], r[4], h, None) for (r, h), p in zip(fit, part.tolist(), strict=True)]
+    for c, s in seqs.items():
+        for no in range(-(-len(s) // tile)):
+            lines += [(p, c, -la.FAR // 2 if no == 0 else no * tile, None, no, None, None, None, s[no * tile : (no + 1) * tile + 23]) for p in range(10)]
+    lines.sort(key=lambda x: (x[0], x[1], x[2], x[3] is not None, x[3] or 0))
+    names = ["part", "chrom", "beg", "end", "n", "strand", "read", "hits", "tile"]
+    kinds = [pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
+    table = pa.table([pa.array(x, k) for x, k in zip(zip(*lines, strict=True), kinds, strict=True)], names=names)
+    ints = dict.fromkeys(("less", "at", "to", "head", "tail"), pa.int64())
+    edge = pa.struct([(c, ints.get(c, {"part": pa.int32(), "counts": pa.list_(pa.int32()), "ends": pa.list_(pa.int64()), "read": pa.string(), "strand": pa.string()}.get(c, pa.bool_()))) for c in la.EDGE])
+    schema = pa.schema([("chrom", pa.string()), *[(c, pa.float64() if c == "gc" else pa.int64()) for c in la.LOCUS[1:]], ("edge", edge)])
+    # ranges come in tasks of several, or each alone
+    for size in (1, int(rng.integers(2, 30)), 10_000) if len(rows) < 100 else (3, 10_000):
+        found = []
+        for task in ([table] if size % 2 else [table.filter(pa.compute.equal(table["part"], p)) for p in range(10)]):
+            for b in la.portions(iter(task.to_batches(max_chunksize=size)), schema, edges, distance, most, 23, tile):
+                found += b.to_pylist()
+        open_ = [Row(**{**r, "edge": Row(**r["edge"])}) for r in found if r["edge"]]
+        whole = [tuple(r[c] for c in la.LOCUS) for r in found if not r["edge"]] + la.joined(open_, most)
+        shown = sorted((c, b, e, "+" if 2 * plus >= n else "-", n, h, max(plus, n - plus) / n, k, o, gc) for c, b, e, n, plus, h, gc, k, o in whole)
+        assert shown == want
