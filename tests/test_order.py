@@ -233,3 +233,19 @@ def test_portions_of_any_ranges_and_batches(seed):
         whole = [tuple(r[c] for c in la.LOCUS) for r in found if not r["edge"]] + la.joined(open_, most)
         shown = sorted((c, b, e, "+" if 2 * plus >= n else "-", n, h, max(plus, n - plus) / n, k, o, gc) for c, b, e, n, plus, h, gc, k, o in whole)
         assert shown == want
+
+
+def test_candidates_among_loci_of_one_pass(spark, monkeypatch):
+    """What the filter keeps of the loci, each with its energy and paired bases; no alignments are written for it."""
+    from strandloom.operators import records
+
+    rows, seqs = some_alignments(8, 150)
+    aln = spark.createDataFrame(rows, "chrom string, strand string, beg int, end int, read string, n int")
+    written = []
+    for name in ("table", "result"):
+        monkeypatch.setattr(records, name, lambda df, label, f=getattr(records, name): written.append(label) or f(df, label))
+    folds = spark.createDataFrame([("a", -30, 18), ("b", -25, 17), ("c", -40, 16)], "chrom string, energy int, paired int")
+    loci = records.hairpin_loci(aln, spark.createDataFrame(list(seqs.items()), "chrom string, seq string"), (18, 22), 4).join(folds, "chrom")
+    got = sorted(tuple(r)[:10] for r in records.hairpin_candidate_filter(loci, oriented=0.6, hits=4).collect())
+    assert got == [x for x in plain_loci(rows, seqs, (18, 22), 4, 3) if x[0] in "ab" and x[4] >= 5 and x[5] <= 4 and x[6] >= 0.6 and x[7] <= 3 and x[8] <= 70 and x[9] is not None and x[9] >= 0.1]
+    assert len(got) > 5 and written == ["bounds", "loci"]
